@@ -65,3 +65,335 @@ def q_defi_protocol_risk_top50(spark: SparkSession, sf_dir: str) -> DataFrame:
           sql.with_adapters(sql.STABLE_REPORT_ROWS + f"select * from stable_report order by {sql.STABLE_ORDER} limit 50"))
 def q_stablecoin_depeg_risk_top50(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.stablecoin_depeg_risk(latest_stablecoins(spark, sf_dir))
+
+
+# --- helpers ------------------------------------------------------------------
+
+def _scratch(spark: SparkSession, name: str) -> str:
+    from tidemark.session import scratch_path
+
+    return scratch_path(spark, name)
+
+
+def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/orders.parquet")
+
+
+# --- metrics (E1-E8) ------------------------------------------------------------
+
+@register("ratio_volume_mcap", "E1",
+          sql.with_adapters("x as (select 1) select id, ingested_at_utc, case when market_cap > 0 then "
+                            "total_volume / market_cap end as volume_to_market_cap_ratio from fx_markets"))
+def q_ratio_volume_mcap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.token_metrics(fx.fx_markets(spark, sf_dir)).select(
+        "id", "ingested_at_utc", "volume_to_market_cap_ratio")
+
+
+@register("ratio_circulating", "E2",
+          sql.with_adapters("x as (select 1) select id, ingested_at_utc, case when circulating_supply > 0 and "
+                            "total_supply > 0 then circulating_supply / total_supply end as circulating_supply_ratio "
+                            "from fx_markets"))
+def q_ratio_circulating(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.token_metrics(fx.fx_markets(spark, sf_dir)).select(
+        "id", "ingested_at_utc", "circulating_supply_ratio")
+
+
+@register("ratio_tvl_mcap", "E3",
+          sql.with_adapters("x as (select 1) select name, ingested_at_utc, case when mcap > 0 then tvl / mcap end "
+                            "as tvl_to_mcap_ratio from fx_protocols"))
+def q_ratio_tvl_mcap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.protocol_metrics(fx.fx_protocols(spark, sf_dir)).select(
+        "name", "ingested_at_utc", "tvl_to_mcap_ratio")
+
+
+@register("peg_distance", "E4",
+          sql.with_adapters("x as (select 1) select name, abs(price - 1.0) as absolute_depeg from fx_stablecoins"))
+def q_peg_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.stablecoin_metrics(fx.fx_stablecoins(spark, sf_dir)).select("name", "absolute_depeg")
+
+
+@register("supply_changes", "E5 E6 E7",
+          sql.with_adapters("m as (" + sql.STABLE_METRICS.format(src="fx_stablecoins") + ") "
+                            "select name, supply_change_1d, supply_change_7d, "
+                            "round(supply_change_1d * 100, 2) as supply_change_1d_pct, "
+                            "round(supply_change_7d * 100, 2) as supply_change_7d_pct from m"))
+def q_supply_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from tidemark.functions.arith import round_half_away
+
+    m = reports.stablecoin_metrics(fx.fx_stablecoins(spark, sf_dir))
+    return m.select("name", "supply_change_1d", "supply_change_7d",
+                    round_half_away(F.col("supply_change_1d") * 100, 2).alias("supply_change_1d_pct"),
+                    round_half_away(F.col("supply_change_7d") * 100, 2).alias("supply_change_7d_pct"))
+
+
+@register("rounding", "E8",
+          sql.with_adapters("x as (select 1) select name, ingested_at_utc, round(tvl, 2) as tvl_2, "
+                            "round(change_1d / 7, 4) as change_1d_4, round(change_7d / 300000, 6) as change_7d_6, "
+                            "round(mcap / 3, 2) as mcap_2, round(-change_1d / 1000, 2) as small_2 from fx_protocols"))
+def q_rounding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from tidemark.functions.arith import round_half_away as r
+
+    p = fx.fx_protocols(spark, sf_dir)
+    return p.select("name", "ingested_at_utc", r("tvl", 2).alias("tvl_2"),
+                    r(F.col("change_1d") / 7, 4).alias("change_1d_4"),
+                    r(F.col("change_7d") / 300000, 6).alias("change_7d_6"),
+                    r(F.col("mcap") / 3, 2).alias("mcap_2"),
+                    r(-F.col("change_1d") / 1000, 2).alias("small_2"))
+
+
+# --- bands and scores (B1-B12, SC1-SC3) ---------------------------------------------
+
+_BAND_QUERIES = {
+    # query name: (card, band name, feed, key columns, SQL band, SQL metrics source)
+    "band_volume_ratio": ("liquidity", "volume_ratio_points", "markets", ["id", "ingested_at_utc"], sql.B_VOLUME),
+    "band_price_24h": ("liquidity", "price_24h_points", "markets", ["id", "ingested_at_utc"], sql.B_PRICE_24H),
+    "band_price_7d": ("liquidity", "price_7d_points", "markets", ["id", "ingested_at_utc"], sql.B_PRICE_7D),
+    "band_circulating": ("liquidity", "circulating_points", "markets", ["id", "ingested_at_utc"], sql.B_CIRC),
+    "band_tvl": ("protocol", "tvl_points", "protocols", ["name", "ingested_at_utc"], sql.B_TVL),
+    "band_tvl_1d": ("protocol", "tvl_1d_points", "protocols", ["name", "ingested_at_utc"], sql.B_TVL_1D),
+    "band_tvl_7d": ("protocol", "tvl_7d_points", "protocols", ["name", "ingested_at_utc"], sql.B_TVL_7D),
+    "band_audits": ("protocol", "audits_points", "protocols", ["name", "ingested_at_utc"], sql.B_AUDITS),
+    "band_depeg": ("depeg", "depeg_points", "stablecoins", ["name"], sql.B_DEPEG),
+    "band_supply_1d": ("depeg", "supply_1d_points", "stablecoins", ["name"], sql.B_SUPPLY_1D),
+    "band_supply_7d": ("depeg", "supply_7d_points", "stablecoins", ["name"], sql.B_SUPPLY_7D),
+    "band_chains": ("depeg", "chains_points", "stablecoins", ["name"], sql.B_CHAINS),
+}
+_CARD_SPEC = {
+    "liquidity": ("markets", reports.score_tokens, sql.TOKEN_METRICS, "fx_markets"),
+    "protocol": ("protocols", reports.score_protocols, sql.PROTOCOL_METRICS, "fx_protocols"),
+    "depeg": ("stablecoins", reports.score_stablecoins, sql.STABLE_METRICS, "fx_stablecoins"),
+}
+
+
+def _band_builder(card: str, band: str, keys: list[str]) -> Builder:
+    feed, score, _, _ = _CARD_SPEC[card]
+
+    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return score(fx.FEED_BUILDERS[feed](spark, sf_dir), with_bands=True).select(*keys, band)
+    build.__name__ = f"q_{band}"
+    return build
+
+
+for _name, (_card, _band, _feed, _keys, _sql_band) in _BAND_QUERIES.items():
+    _metrics = _CARD_SPEC[_card][2].format(src=_CARD_SPEC[_card][3])
+    register(_name, f"band {_band}", sql.with_adapters(
+        f"m as ({_metrics}) select {', '.join(_keys)}, {_sql_band} as {_band} from m"))(
+        _band_builder(_card, _band, _keys))
+
+
+def _score_builder(card: str, keys: list[str]) -> Builder:
+    feed, score, _, _ = _CARD_SPEC[card]
+    from tidemark.functions.scorecard import CARDS
+
+    card_obj = {"liquidity": CARDS["liquidity_risk_score"], "protocol": CARDS["protocol_risk_score"],
+                "depeg": CARDS["depeg_risk_score"]}[card]
+
+    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+        scored = score(fx.FEED_BUILDERS[feed](spark, sf_dir), with_bands=True)
+        return scored.select(*keys, *[b.name for b in card_obj.bands], card_obj.name)
+    return build
+
+
+for _name, _card, _keys, _bands, _total, _score_sql in [
+    ("score_liquidity", "liquidity", ["id", "ingested_at_utc"],
+     [("volume_ratio_points", sql.B_VOLUME), ("price_24h_points", sql.B_PRICE_24H),
+      ("price_7d_points", sql.B_PRICE_7D), ("circulating_points", sql.B_CIRC)],
+     "liquidity_risk_score", sql.LIQUIDITY_SCORE),
+    ("score_protocol", "protocol", ["name", "ingested_at_utc"],
+     [("tvl_points", sql.B_TVL), ("tvl_1d_points", sql.B_TVL_1D), ("tvl_7d_points", sql.B_TVL_7D),
+      ("audits_points", sql.B_AUDITS)],
+     "protocol_risk_score", sql.PROTOCOL_SCORE),
+    ("score_depeg", "depeg", ["name"],
+     [("depeg_points", sql.B_DEPEG), ("supply_1d_points", sql.B_SUPPLY_1D),
+      ("supply_7d_points", sql.B_SUPPLY_7D), ("chains_points", sql.B_CHAINS)],
+     "depeg_risk_score", sql.DEPEG_SCORE),
+]:
+    _metrics = _CARD_SPEC[_card][2].format(src=_CARD_SPEC[_card][3])
+    _band_sql = ", ".join(f"{s} as {n}" for n, s in _bands)
+    register(_name, f"{_total} with bands", sql.with_adapters(
+        f"m as ({_metrics}) select {', '.join(_keys)}, {_band_sql}, {_score_sql} as {_total} from m"))(
+        _score_builder(_card, _keys))
+
+
+# --- filters (P6, P7) -------------------------------------------------------------
+
+@register("filter_pegged_usd", "P6",
+          sql.with_adapters("x as (select 1) select name, pegType from fx_stablecoins where pegType = 'peggedUSD'"))
+def q_filter_pegged_usd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.pegged_usd_only(fx.fx_stablecoins(spark, sf_dir)).select("name", "pegType")
+
+
+@register("filter_not_null", "P7",
+          sql.with_adapters("x as (select 1) select id, ingested_at_utc, market_cap from fx_markets "
+                            "where market_cap is not null"))
+def q_filter_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    return fx.fx_markets(spark, sf_dir).where(F.col("market_cap").isNotNull()).select(
+        "id", "ingested_at_utc", "market_cap")
+
+
+# --- join and trends (J1, E9-E11, R4, R5) ---------------------------------------------
+
+@register("join_snapshots_null_safe", "J1",
+          sql.with_adapters("""
+pro_stamps as (select distinct ingested_at_utc as s from fx_protocols),
+l as (select * from fx_protocols where ingested_at_utc = (select max(s) from pro_stamps)),
+p as (select * from fx_protocols
+      where ingested_at_utc = (select max(s) from pro_stamps where s < (select max(s) from pro_stamps)))
+select l.id as id, l.name as name_latest, p.name as name_previous, l.tvl as tvl_latest, p.tvl as tvl_previous
+from l join p on l.id is not distinct from p.id"""))
+def q_join_snapshots_null_safe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.operators.trends import compare_snapshots
+    from tidemark.sources.snapshots import newest_two_in_plan
+
+    latest, previous = newest_two_in_plan(fx.fx_protocols(spark, sf_dir))
+    joined = compare_snapshots(latest.select("id", "name", "tvl"), previous.select("id", "name", "tvl"))
+    return joined.select("id", "name_latest", "name_previous", "tvl_latest", "tvl_previous")
+
+
+@register("token_liquidity_risk_trends", "R4 J1 E9 E10 P9 S10 S11",
+          sql.with_adapters(sql.TOKEN_TRENDS + f", x as (select 1) select {sql.TOKEN_TREND_SELECT} from token_trends"))
+def q_token_liquidity_risk_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.operators import trends
+
+    return trends.trends_from_history(fx.fx_markets(spark, sf_dir), trends.token_liquidity_risk_trends)
+
+
+@register("defi_protocol_risk_trends", "R5 J1 E9 E11 P9 S10 S11",
+          sql.with_adapters(sql.PROTOCOL_TRENDS + f", x as (select 1) select {sql.PROTOCOL_TREND_SELECT} "
+                            "from protocol_trends"))
+def q_defi_protocol_risk_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.operators import trends
+
+    return trends.trends_from_history(fx.fx_protocols(spark, sf_dir), trends.defi_protocol_risk_trends)
+
+
+@register("pct_change_unguarded", "E10",
+          sql.with_adapters(sql.TOKEN_TRENDS + ", x as (select 1) select id, market_cap_change_pct, "
+                            "volume_change_pct from token_trends"))
+def q_pct_change_unguarded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.functions.arith import pct_change_ieee
+    from tidemark.operators.trends import compare_snapshots
+    from tidemark.sources.snapshots import newest_two_in_plan
+
+    latest, previous = newest_two_in_plan(fx.fx_markets(spark, sf_dir))
+    cols = ["id", "market_cap", "total_volume"]
+    t = compare_snapshots(latest.select(*cols), previous.select(*cols))
+    return t.select("id",
+                    pct_change_ieee("market_cap_latest", "market_cap_previous").alias("market_cap_change_pct"),
+                    pct_change_ieee("total_volume_latest", "total_volume_previous").alias("volume_change_pct"))
+
+
+@register("pct_change_guarded", "E11",
+          sql.with_adapters(sql.PROTOCOL_TRENDS + ", x as (select 1) select name_latest, name_previous, "
+                            "tvl_change_pct from protocol_trends"))
+def q_pct_change_guarded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.functions.arith import guarded_pct_change
+    from tidemark.operators.trends import compare_snapshots
+    from tidemark.sources.snapshots import newest_two_in_plan
+
+    latest, previous = newest_two_in_plan(fx.fx_protocols(spark, sf_dir))
+    t = compare_snapshots(latest.select("id", "name", "tvl"), previous.select("id", "name", "tvl"))
+    return t.select("name_latest", "name_previous",
+                    guarded_pct_change("tvl_latest", "tvl_previous").alias("tvl_change_pct"))
+
+
+# --- coercion (C1-C4, N1, N2) ----------------------------------------------------------
+
+def number_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw text of every shape the number coercion must handle, one per order."""
+    from pyspark.sql import functions as F
+
+    o = _orders(spark, sf_dir)
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+
+    def s(x):
+        return x.cast("string")
+
+    shapes = [
+        s(c), F.concat(F.lit(" "), s(c), F.lit(" ")), F.concat(s(c), F.lit("."), s(k % 100)),
+        F.concat(s(c % 100), F.lit("e"), s(k % 5)), F.concat(F.lit("+"), s(c)), F.concat(F.lit("."), s(k % 1000)),
+        F.concat(s(c), F.lit(".")), F.concat(s(c), F.lit("d")), F.col("o_orderpriority"), F.lit(""),
+        F.lit("NaN"), F.when(c % 2 == 0, F.lit("inf")).otherwise(F.lit("-Infinity")),
+        F.concat(F.lit("0x"), s(c % 100)), F.concat(F.lit("1_"), s(k % 1000)), F.concat(s(c), F.lit(",000")),
+        F.concat(F.lit("-"), s(c), F.lit("."), s(k % 7), F.lit("E-2")),
+    ]
+    text = None
+    for i, shape in enumerate(shapes):
+        text = F.when(k % 16 == i, shape) if text is None else text.when(k % 16 == i, shape)
+    return o.select("o_orderkey", text.alias("raw_text"))
+
+
+@register("coerce_number", "C1", sql.COERCE_NUMBER)
+def q_coerce_number(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.functions.coerce import to_number
+
+    return number_text(spark, sf_dir).withColumn("number", to_number("raw_text"))
+
+
+@register("coerce_timestamp", "C2", sql.COERCE_TIMESTAMP)
+def q_coerce_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from tidemark.functions.coerce import to_timestamp_loose
+
+    o = _orders(spark, sf_dir)
+    k = F.col("o_orderkey")
+    text = (F.when(k % 4 == 0, F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+            .when(k % 4 == 1, F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
+            .when(k % 4 == 2, F.lit("not a date"))
+            .otherwise(F.concat(F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("T25:00:00Z"))))
+    t = o.select("o_orderkey", text.alias("raw_text"))
+    return t.select("o_orderkey", "raw_text",
+                    F.date_format(to_timestamp_loose("raw_text"), "yyyy-MM-dd HH:mm:ss").alias("parsed_text"))
+
+
+@register("stamp_partition_date", "C3 C4 S3",
+          sql.with_adapters("x as (select 1) select distinct ingested_at_utc, "
+                            "strftime(strptime(ingested_at_utc, '%Y%m%dT%H%M%SZ'), '%Y-%m-%d') as ingestion_date, "
+                            "strftime(strptime(ingested_at_utc, '%Y%m%dT%H%M%SZ'), '%Y%m%dT%H%M%SZ') as snapshot_ts "
+                            "from fx_markets"))
+def q_stamp_partition_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.sources.snapshots import with_snapshot_partitions
+
+    return with_snapshot_partitions(fx.fx_markets(spark, sf_dir).select("ingested_at_utc").distinct())
+
+
+@register("nested_pegged_usd", "N1",
+          "select l_partkey as k, case when l_partkey % 5 in (0, 1) then sum(l_quantity) end as pegged_usd "
+          "from lineitem group by l_partkey")
+def q_nested_pegged_usd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from tidemark.functions.coerce import json_field_number
+
+    base = fx.stablecoin_base(spark, sf_dir)
+    k, q = F.col("k"), F.col("q").cast("string")
+    text = (F.when(k % 5 == 0, F.concat(F.lit('{"peggedUSD": '), q, F.lit("}")))
+            .when(k % 5 == 1, F.concat(F.lit('{"peggedUSD": "'), q, F.lit('"}')))
+            .when(k % 5 == 2, F.concat(F.lit('{"peggedEUR": '), q, F.lit("}")))
+            .when(k % 5 == 3, q)
+            .otherwise(F.lit('{"peggedUSD": {"value": 1}}')))
+    return base.select("k", json_field_number(F.parse_json(text), "peggedUSD").alias("pegged_usd"))
+
+
+@register("nested_list_length", "N2",
+          "select l_partkey as k, cast(case l_partkey % 4 when 0 then l_partkey % 6 when 1 then 0 end as int) "
+          "as chain_count from lineitem group by l_partkey")
+def q_nested_list_length(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from tidemark.functions.coerce import json_list_length
+
+    base = fx.stablecoin_base(spark, sf_dir)
+    k = F.col("k")
+    text = (F.when(k % 4 == 0, F.to_json(F.array_repeat(F.lit("x"), (k % 6).cast("int"))))
+            .when(k % 4 == 1, F.lit("[]"))
+            .when(k % 4 == 2, F.lit('{"a": 1}'))
+            .otherwise(F.lit('"[1, 2]"')))
+    return base.select("k", json_list_length(F.parse_json(text)).cast("int").alias("chain_count"))

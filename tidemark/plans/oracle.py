@@ -155,3 +155,139 @@ stable_report as (
 STABLE_ORDER = """depeg_risk_score desc nulls last, circulating_usd desc nulls last, name asc nulls last,
   symbol asc nulls last, pegMechanism asc nulls last, price asc nulls last, absolute_depeg asc nulls last,
   supply_change_1d_pct asc nulls last, supply_change_7d_pct asc nulls last, chain_count asc nulls last"""
+
+
+# --- trends ------------------------------------------------------------------
+
+def pct_ieee(l: str, p: str) -> str:
+    return (f"case when {p} = 0 then (case when {l} > 0 then cast('inf' as double) "
+            f"when {l} < 0 then cast('-inf' as double) end) else ({l} - {p}) / {p} * 100 end")
+
+
+def pct_guarded(l: str, p: str) -> str:
+    return f"case when {p} > 0 then ({l} - {p}) / {p} * 100 end"
+
+
+TOKEN_TRENDS = """
+tok_scored as (
+  select id, symbol, name, market_cap, total_volume,
+    round(volume_to_market_cap_ratio, 4) as volume_to_market_cap_ratio,
+    {score} as liquidity_risk_score, ingested_at_utc
+  from ({metrics}) m),
+tok_stamps as (select distinct ingested_at_utc as s from fx_markets),
+tok_l as (select * from tok_scored where ingested_at_utc = (select max(s) from tok_stamps)),
+tok_p as (select * from tok_scored
+          where ingested_at_utc = (select max(s) from tok_stamps where s < (select max(s) from tok_stamps))),
+token_trends as (
+  select l.symbol as symbol_latest, l.name as name_latest,
+    p.liquidity_risk_score as liquidity_risk_score_previous,
+    l.liquidity_risk_score as liquidity_risk_score_latest,
+    l.liquidity_risk_score - p.liquidity_risk_score as risk_score_change,
+    {mcap} as market_cap_change_pct,
+    {vol} as volume_change_pct,
+    p.volume_to_market_cap_ratio as volume_to_market_cap_ratio_previous,
+    l.volume_to_market_cap_ratio as volume_to_market_cap_ratio_latest,
+    p.ingested_at_utc as ingested_at_utc_previous, l.ingested_at_utc as ingested_at_utc_latest,
+    l.id as id
+  from tok_l l join tok_p p on l.id is not distinct from p.id)
+""".format(score=LIQUIDITY_SCORE, metrics=TOKEN_METRICS.format(src="fx_markets"),
+           mcap=pct_ieee("l.market_cap", "p.market_cap"), vol=pct_ieee("l.total_volume", "p.total_volume"))
+TOKEN_TREND_SELECT = """symbol_latest, name_latest, liquidity_risk_score_previous, liquidity_risk_score_latest,
+  risk_score_change, market_cap_change_pct, volume_change_pct, volume_to_market_cap_ratio_previous,
+  volume_to_market_cap_ratio_latest, ingested_at_utc_previous, ingested_at_utc_latest"""
+TOKEN_TREND_ORDER = """risk_score_change desc nulls last, liquidity_risk_score_latest desc nulls last,
+  symbol_latest asc nulls last, name_latest asc nulls last, liquidity_risk_score_previous asc nulls last,
+  market_cap_change_pct asc nulls last, volume_change_pct asc nulls last,
+  volume_to_market_cap_ratio_previous asc nulls last, volume_to_market_cap_ratio_latest asc nulls last,
+  ingested_at_utc_previous asc nulls last, ingested_at_utc_latest asc nulls last"""
+
+PROTOCOL_TRENDS = """
+pro_scored as (
+  select id, name, symbol, chain, category, tvl, change_1d, change_7d, audits,
+    {score} as protocol_risk_score, ingested_at_utc
+  from fx_protocols),
+pro_stamps as (select distinct ingested_at_utc as s from fx_protocols),
+pro_l as (select * from pro_scored where ingested_at_utc = (select max(s) from pro_stamps)),
+pro_p as (select * from pro_scored
+          where ingested_at_utc = (select max(s) from pro_stamps where s < (select max(s) from pro_stamps))),
+protocol_trends as (
+  select l.name as name_latest, l.symbol as symbol_latest, l.chain as chain_latest, l.category as category_latest,
+    p.protocol_risk_score as protocol_risk_score_previous, l.protocol_risk_score as protocol_risk_score_latest,
+    l.protocol_risk_score - p.protocol_risk_score as risk_score_change,
+    p.tvl as tvl_previous, l.tvl as tvl_latest, {tvl} as tvl_change_pct,
+    l.change_1d as change_1d_latest, l.change_7d as change_7d_latest, l.audits as audits_latest,
+    p.ingested_at_utc as ingested_at_utc_previous, l.ingested_at_utc as ingested_at_utc_latest,
+    l.id as id, p.name as name_previous
+  from pro_l l join pro_p p on l.id is not distinct from p.id)
+""".format(score=PROTOCOL_SCORE, tvl=pct_guarded("l.tvl", "p.tvl"))
+PROTOCOL_TREND_SELECT = """name_latest, symbol_latest, chain_latest, category_latest, protocol_risk_score_previous,
+  protocol_risk_score_latest, risk_score_change, tvl_previous, tvl_latest, tvl_change_pct, change_1d_latest,
+  change_7d_latest, audits_latest, ingested_at_utc_previous, ingested_at_utc_latest"""
+PROTOCOL_TREND_ORDER = """risk_score_change desc nulls last, protocol_risk_score_latest desc nulls last,
+  name_latest asc nulls last, symbol_latest asc nulls last, chain_latest asc nulls last,
+  category_latest asc nulls last, protocol_risk_score_previous asc nulls last, tvl_previous asc nulls last,
+  tvl_latest asc nulls last, tvl_change_pct asc nulls last, change_1d_latest asc nulls last,
+  change_7d_latest asc nulls last, audits_latest asc nulls last, ingested_at_utc_previous asc nulls last,
+  ingested_at_utc_latest asc nulls last"""
+
+ALL_REPORTS = ",\n".join([TOKEN_REPORT_ROWS.strip(), PROTOCOL_REPORT_ROWS.strip(), STABLE_REPORT_ROWS.strip(),
+                          TOKEN_TRENDS.strip(), PROTOCOL_TRENDS.strip()]) + ",\n" + """
+token_top as (select * from token_report order by {t} limit 50),
+protocol_top as (select * from protocol_report order by {p} limit 50),
+stable_top as (select * from stable_report order by {s} limit 50)
+""".format(t=TOKEN_ORDER, p=PROTOCOL_ORDER, s=STABLE_ORDER)
+
+
+def with_reports(body: str) -> str:
+    return with_adapters(ALL_REPORTS + ", " + body)
+
+
+# --- coercion fixtures ----------------------------------------------------------
+
+NUMBER_TEXT = """
+select o_orderkey, case o_orderkey % 16
+    when 0 then cast(o_custkey as varchar)
+    when 1 then concat(' ', cast(o_custkey as varchar), ' ')
+    when 2 then concat(cast(o_custkey as varchar), '.', cast(o_orderkey % 100 as varchar))
+    when 3 then concat(cast(o_custkey % 100 as varchar), 'e', cast(o_orderkey % 5 as varchar))
+    when 4 then concat('+', cast(o_custkey as varchar))
+    when 5 then concat('.', cast(o_orderkey % 1000 as varchar))
+    when 6 then concat(cast(o_custkey as varchar), '.')
+    when 7 then concat(cast(o_custkey as varchar), 'd')
+    when 8 then o_orderpriority
+    when 9 then ''
+    when 10 then 'NaN'
+    when 11 then case when o_custkey % 2 = 0 then 'inf' else '-Infinity' end
+    when 12 then concat('0x', cast(o_custkey % 100 as varchar))
+    when 13 then concat('1_', cast(o_orderkey % 1000 as varchar))
+    when 14 then concat(cast(o_custkey as varchar), ',000')
+    else concat('-', cast(o_custkey as varchar), '.', cast(o_orderkey % 7 as varchar), 'E-2')
+  end as raw_text
+from orders
+"""
+NUMBER_PATTERN = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\s*$"
+INFINITY_PATTERN = r"^\s*[+-]?([iI][nN][fF]|[iI][nN][fF][iI][nN][iI][tT][yY])\s*$"
+COERCE_NUMBER = f"""
+select o_orderkey, raw_text,
+  case when regexp_full_match(raw_text, '{NUMBER_PATTERN}') then cast(trim(raw_text) as double)
+       when regexp_full_match(raw_text, '{INFINITY_PATTERN}') then
+         case when starts_with(trim(raw_text), '-') then cast('-inf' as double) else cast('inf' as double) end
+  end as number
+from ({NUMBER_TEXT}) t
+"""
+
+TIME_TEXT = """
+select o_orderkey, case o_orderkey % 4
+    when 0 then strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ')
+    when 1 then strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')
+    when 2 then 'not a date'
+    else concat(strftime(o_orderdate, '%Y-%m-%d'), 'T25:00:00Z')
+  end as raw_text
+from orders
+"""
+COERCE_TIMESTAMP = f"""
+select o_orderkey, raw_text,
+  strftime(coalesce(try_strptime(raw_text, '%Y-%m-%dT%H:%M:%SZ'), try_strptime(raw_text, '%Y-%m-%d %H:%M:%S')),
+           '%Y-%m-%d %H:%M:%S') as parsed_text
+from ({TIME_TEXT}) t
+"""

@@ -1,0 +1,201 @@
+"""The batch job, in one Spark application.
+
+    landing ─► normalise ─► snapshot table ─► latest table ─► ranked reports ─┐
+                               └──────────► newest two runs ─► trend reports ─┼─► quality gate ─► marts
+
+Steps run in a fixed order and the first failure stops the job (exceptions
+propagate). Every step reads what the previous one wrote, so lineage is cut at
+each table and a lost executor only repeats the current step. Only small things
+reach the driver: two run stamps, and one row per quality check.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+
+from tidemark import schemas as S
+from tidemark.operators import marts, quality, reports, trends
+from tidemark.operators.normalize import NORMALIZERS
+from tidemark.sources import landing, reports_io, snapshots
+
+FEEDS = ("markets", "protocols", "stablecoins")
+
+RANKED = {
+    # report name: (feed, builder, order, score column)
+    "token_liquidity_risk_top50": ("markets", reports.token_liquidity_risk, reports.TOKEN_RISK_ORDER,
+                                   "liquidity_risk_score"),
+    "defi_protocol_risk_top50": ("protocols", reports.defi_protocol_risk, reports.PROTOCOL_RISK_ORDER,
+                                 "protocol_risk_score"),
+    "stablecoin_depeg_risk_top50": ("stablecoins", reports.stablecoin_depeg_risk, reports.STABLECOIN_RISK_ORDER,
+                                    "depeg_risk_score"),
+}
+TRENDS = {
+    "token_liquidity_risk_trends": ("markets", trends.token_liquidity_risk_trends, trends.TOKEN_TREND_ORDER),
+    "defi_protocol_risk_trends": ("protocols", trends.defi_protocol_risk_trends, trends.PROTOCOL_TREND_ORDER),
+}
+
+
+@dataclass(frozen=True)
+class Layout:
+    """Folder layout under one root (a shared file system path or URI)."""
+
+    root: str
+
+    def raw(self, feed: str) -> str:
+        return f"{self.root}/raw/{feed}"
+
+    def latest(self, feed: str) -> str:
+        return f"{self.root}/processed/{feed}_latest"
+
+    def snapshots(self, feed: str) -> str:
+        return f"{self.root}/processed_snapshots/{feed}"
+
+    def report(self, name: str) -> str:
+        return f"{self.root}/reports/{name}"
+
+    def mart(self, name: str) -> str:
+        return f"{self.root}/marts/{name}"
+
+
+def normalize_feed(spark: SparkSession, layout: Layout, feed: str, runs: str = "latest") -> None:
+    """Normalise landed runs of ``feed`` into the snapshot table, then refresh the
+    latest table from the newest snapshot partition.
+
+    ``runs="latest"``: only the newest landed run (the regular schedule);
+    ``runs="all"``: every landed run (backfill; idempotent per run).
+    """
+    landed = landing.read_landed(spark, layout.raw(feed), feed)
+    if runs == "latest":
+        landed = landing.newest_run(landed)
+    elif runs != "all":
+        raise ValueError("runs must be 'latest' or 'all'")
+    landing.require_rows(landed.select(S.STAMP), f"landed {feed} records")
+    snapshots.write_snapshots(NORMALIZERS[feed](landed), layout.snapshots(feed))
+    table = snapshots.read_snapshots(spark, layout.snapshots(feed), S.FEEDS[feed]["typed"])
+    newest = snapshots.newest_stamps(table, 1)[0]
+    latest = snapshots.pick_snapshot(table, newest).drop(*S.SNAPSHOT_PARTITIONS)
+    snapshots.write_latest(latest, layout.latest(feed))
+
+
+def read_latest(spark: SparkSession, layout: Layout, feed: str) -> DataFrame:
+    return spark.read.schema(S.FEEDS[feed]["typed"]).parquet(layout.latest(feed))
+
+
+def ranked_reports(spark: SparkSession, layout: Layout) -> None:
+    for name, (feed, build, order, _) in RANKED.items():
+        reports_io.write_report(build(read_latest(spark, layout, feed)), layout.report(name),
+                                order=list(_order_cols(order)), single_file=True)
+
+
+def trend_reports(spark: SparkSession, layout: Layout, skip_if_single: bool = False) -> list[str]:
+    """Write both trend reports; returns the names written. With fewer than two
+    runs this raises, unless ``skip_if_single``."""
+    written = []
+    for name, (feed, build, order) in TRENDS.items():
+        table = snapshots.read_snapshots(spark, layout.snapshots(feed), S.FEEDS[feed]["typed"])
+        try:
+            previous_ts, latest_ts = snapshots.newest_stamps(table, 2)
+        except ValueError:
+            if skip_if_single:
+                continue
+            raise
+        latest = snapshots.pick_snapshot(table, latest_ts)
+        previous = snapshots.pick_snapshot(table, previous_ts)
+        reports_io.write_report(build(latest, previous), layout.report(name), order=list(_order_cols(order)))
+        written.append(name)
+    return written
+
+
+def quality_targets(layout: Layout, trend_names: list[str]):
+    tables = [quality.TableTarget(feed, layout.latest(feed)) for feed in FEEDS]
+    score_cols = {name: spec[3] for name, spec in RANKED.items()}
+    score_cols.update({name: "risk_score_change" for name in trend_names})
+    return tables, [quality.ReportTarget(n, layout.report(n), c) for n, c in score_cols.items()]
+
+
+def build_marts(spark: SparkSession, layout: Layout, trend_names: list[str]) -> None:
+    loaded = {name: read_report(spark, layout, name) for name in list(RANKED) + trend_names}
+    kpi = marts.kpi_row(loaded["token_liquidity_risk_top50"], loaded["defi_protocol_risk_top50"],
+                        loaded["stablecoin_depeg_risk_top50"])
+    kpi.write.mode("overwrite").parquet(layout.mart("kpis"))
+    charts = {"token_risk": "token_liquidity_risk_top50", "protocol_risk": "defi_protocol_risk_top50",
+              "stablecoin_risk": "stablecoin_depeg_risk_top50", "token_trends": "token_liquidity_risk_trends",
+              "protocol_trends": "defi_protocol_risk_trends"}
+    for chart, report in charts.items():
+        if report in loaded:
+            marts.chart_table(loaded[report], chart).coalesce(1).write.mode("overwrite") \
+                .parquet(layout.mart(f"chart_{chart}"))
+
+
+def run_pipeline(
+    spark: SparkSession,
+    layout: Layout,
+    runs: str = "latest",
+    skip_trends_if_single: bool = False,
+    with_marts: bool = True,
+) -> DataFrame:
+    """Run every step; returns the quality results (one row per output)."""
+    for feed in FEEDS:
+        normalize_feed(spark, layout, feed, runs)
+    ranked_reports(spark, layout)
+    written = trend_reports(spark, layout, skip_trends_if_single)
+    tables, report_targets = quality_targets(layout, written)
+    results = quality.quality_suite(spark, tables, report_targets)
+    quality.assert_passed(results)
+    if with_marts:
+        build_marts(spark, layout, written)
+    return results
+
+
+# --- helpers -------------------------------------------------------------------
+
+def _order_cols(order):
+    from tidemark.operators.ranking import order_columns
+
+    return order_columns(order)
+
+
+REPORT_SCHEMAS: dict[str, str] = {
+    "token_liquidity_risk_top50": (
+        "market_cap_rank bigint, id string, symbol string, name string, current_price double, "
+        "market_cap double, total_volume double, volume_to_market_cap_ratio double, "
+        "price_change_percentage_24h double, price_change_percentage_7d double, "
+        "circulating_supply_ratio double, liquidity_risk_score int"),
+    "defi_protocol_risk_top50": (
+        "name string, symbol string, chain string, category string, tvl double, change_1d double, "
+        "change_7d double, audits double, tvl_to_mcap_ratio double, protocol_risk_score int, url string"),
+    "stablecoin_depeg_risk_top50": (
+        "name string, symbol string, pegMechanism string, price double, absolute_depeg double, "
+        "circulating_usd double, supply_change_1d_pct double, supply_change_7d_pct double, "
+        "chain_count int, depeg_risk_score int"),
+    "token_liquidity_risk_trends": (
+        "symbol_latest string, name_latest string, liquidity_risk_score_previous int, "
+        "liquidity_risk_score_latest int, risk_score_change int, market_cap_change_pct double, "
+        "volume_change_pct double, volume_to_market_cap_ratio_previous double, "
+        "volume_to_market_cap_ratio_latest double, ingested_at_utc_previous string, ingested_at_utc_latest string"),
+    "defi_protocol_risk_trends": (
+        "name_latest string, symbol_latest string, chain_latest string, category_latest string, "
+        "protocol_risk_score_previous int, protocol_risk_score_latest int, risk_score_change int, "
+        "tvl_previous double, tvl_latest double, tvl_change_pct double, change_1d_latest double, "
+        "change_7d_latest double, audits_latest double, ingested_at_utc_previous string, "
+        "ingested_at_utc_latest string"),
+}
+
+
+def read_report(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
+    """D7: a written report with its schema; raises ReportMissing when absent."""
+    return reports_io.read_report(spark, layout.report(name), REPORT_SCHEMAS[name])
+
+
+def land_fixture_feeds(spark: SparkSession, sf_dir: str, layout: Layout) -> None:
+    """Land raw records derived from the test tables (every run of every feed)."""
+    from pyspark.sql import functions as F
+
+    from tidemark.plans import fixtures as fx
+
+    for feed in FEEDS:
+        source, endpoint = fx.ENDPOINTS[feed]
+        raw = fx.RAW_BUILDERS[feed](spark, sf_dir)
+        landing.land_records(raw, layout.raw(feed), source, endpoint, F.col(S.STAMP))

@@ -26,7 +26,7 @@ def write_report(df: DataFrame, path: str, order: list[Column] | None = None,
     out.write.mode("overwrite").option("header", True).csv(path)
 
 
-def read_report(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def read_report(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
     """Read a report back. ``schema=None`` takes column names from the header and
     reads every column as text (used to check what a file really contains)."""
     reader = spark.read.option("header", True).option("mode", "FAILFAST")
