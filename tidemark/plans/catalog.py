@@ -397,3 +397,219 @@ def q_nested_list_length(spark: SparkSession, sf_dir: str) -> DataFrame:
             .when(k % 4 == 2, F.lit('{"a": 1}'))
             .otherwise(F.lit('"[1, 2]"')))
     return base.select("k", json_list_length(F.parse_json(text)).cast("int").alias("chain_count"))
+
+
+# --- landing and normalisation (S1-S7, P1-P3, R6-R8) ---------------------------------
+
+def _land(spark: SparkSession, sf_dir: str, feed: str, root: str) -> None:
+    from pyspark.sql import functions as F
+
+    from tidemark import schemas as S
+    from tidemark.sources.landing import land_records
+
+    source, endpoint = fx.ENDPOINTS[feed]
+    land_records(fx.RAW_BUILDERS[feed](spark, sf_dir), root, source, endpoint, F.col(S.STAMP))
+
+
+def _landed(spark: SparkSession, sf_dir: str, feed: str) -> DataFrame:
+    from tidemark.sources.landing import read_landed
+
+    root = _scratch(spark, f"landing-{feed}")
+    _land(spark, sf_dir, feed, root)
+    return read_landed(spark, root, feed)
+
+
+@register("normalize_markets", "R6 S1 S5 S6 P1 P2 C1 C2", sql.NORMALIZE_MARKETS)
+def q_normalize_markets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from tidemark.operators.normalize import normalize_markets
+
+    n = normalize_markets(_landed(spark, sf_dir, "markets"))
+    return n.select("id", "symbol", "name", "current_price", "market_cap", "market_cap_rank", "total_volume",
+                    "price_change_percentage_24h", "price_change_percentage_7d_in_currency",
+                    "circulating_supply", "total_supply", "ingested_at_utc",
+                    F.date_format("last_updated", "yyyy-MM-dd HH:mm:ss").alias("last_updated"), "source_file")
+
+
+@register("normalize_protocols", "R7 S1 S5 S6 P1 P2 C1", sql.NORMALIZE_PROTOCOLS)
+def q_normalize_protocols(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.operators.normalize import normalize_protocols
+
+    n = normalize_protocols(_landed(spark, sf_dir, "protocols"))
+    return n.select("id", "name", "symbol", "chain", "category", "tvl", "change_1d", "change_7d", "mcap",
+                    "audits", "url", "ingested_at_utc")
+
+
+@register("normalize_stablecoins", "R8 S1 S5 S7 P1-P3 N1 N2 C1", sql.NORMALIZE_STABLECOINS)
+def q_normalize_stablecoins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.operators.normalize import normalize_stablecoins
+
+    n = normalize_stablecoins(_landed(spark, sf_dir, "stablecoins"))
+    return n.select("id", "name", "symbol", "pegType", "pegMechanism", "price", "circulating_usd",
+                    "circulatingPrevDay_usd", "circulatingPrevWeek_usd", "circulatingPrevMonth_usd",
+                    "chain_count", "ingested_at_utc")
+
+
+@register("raw_manifest", "S1 S2 S3", sql.RAW_MANIFEST)
+def q_raw_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.sources.landing import manifest
+
+    parts = [manifest(_landed(spark, sf_dir, feed)) for feed in ("markets", "protocols", "stablecoins")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@register("latest_raw_selection", "S4 S5", sql.LATEST_RAW_SELECTION)
+def q_latest_raw_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.sources.landing import newest_run
+
+    return newest_run(_landed(spark, sf_dir, "markets")).select(
+        "id", "symbol", "ingested_at_utc", "source", "endpoint")
+
+
+# --- snapshot tables (S8-S12) ----------------------------------------------------------
+
+@register("snapshot_write_read", "S8 S9 S12", sql.SNAPSHOT_WRITE_READ)
+def q_snapshot_write_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from tidemark.sources import snapshots
+
+    markets = fx.fx_markets(spark, sf_dir)
+    root = _scratch(spark, "snapshots-markets")
+    snapshots.write_snapshots(markets, root)
+    table = snapshots.read_snapshots(spark, root, markets.schema)
+    return table.groupBy("ingestion_date", "snapshot_ts").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("market_cap_rank").cast("long").alias("rank_sum"))
+
+
+@register("snapshot_newest_two", "S10 S11", sql.SNAPSHOT_NEWEST_TWO)
+def q_snapshot_newest_two(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from tidemark.sources import snapshots
+
+    protocols = fx.fx_protocols(spark, sf_dir)
+    root = _scratch(spark, "snapshots-protocols")
+    snapshots.write_snapshots(protocols, root)
+    table = snapshots.read_snapshots(spark, root, protocols.schema)
+    previous_ts, latest_ts = snapshots.newest_stamps(table, 2)
+    both = snapshots.pick_snapshot(table, latest_ts).unionByName(snapshots.pick_snapshot(table, previous_ts))
+    return both.groupBy("snapshot_ts").agg(F.count(F.lit(1)).alias("rows"))
+
+
+# --- report files, quality, marts, job (S13-S15, Q1-Q4, D1-D7, L1) --------------------------
+
+def _all_reports(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    from tidemark.operators import trends
+
+    return {
+        "token_liquidity_risk_top50": reports.token_liquidity_risk(latest_markets(spark, sf_dir)),
+        "defi_protocol_risk_top50": reports.defi_protocol_risk(latest_protocols(spark, sf_dir)),
+        "stablecoin_depeg_risk_top50": reports.stablecoin_depeg_risk(latest_stablecoins(spark, sf_dir)),
+        "token_liquidity_risk_trends": trends.trends_from_history(
+            fx.fx_markets(spark, sf_dir), trends.token_liquidity_risk_trends),
+        "defi_protocol_risk_trends": trends.trends_from_history(
+            fx.fx_protocols(spark, sf_dir), trends.defi_protocol_risk_trends),
+    }
+
+
+@register("report_preview", "S13 S14 S15 D7", sql.REPORT_PREVIEW)
+def q_report_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.operators.ranking import order_columns
+    from tidemark.plans.pipeline import REPORT_SCHEMAS
+    from tidemark.sources import reports_io
+
+    path = _scratch(spark, "report-token")
+    name = "token_liquidity_risk_top50"
+    report = reports.token_liquidity_risk(latest_markets(spark, sf_dir))
+    reports_io.write_report(report, path, order=order_columns(reports.TOKEN_RISK_ORDER), single_file=True)
+    back = reports_io.read_report(spark, path, REPORT_SCHEMAS[name])
+    return reports_io.preview(back, reports.TOKEN_RISK_ORDER, 15)
+
+
+@register("quality_checks", "Q1 Q2 Q3 Q4 A1 A2 A3", sql.QUALITY_CHECKS)
+def q_quality_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from tidemark.operators import quality
+    from tidemark.operators.ranking import order_columns
+    from tidemark.sources import reports_io, snapshots
+
+    root = _scratch(spark, "quality")
+    tables = []
+    for feed, frame in (("markets", latest_markets(spark, sf_dir)), ("protocols", latest_protocols(spark, sf_dir)),
+                        ("stablecoins", latest_stablecoins(spark, sf_dir))):
+        snapshots.write_latest(frame, f"{root}/{feed}")
+        tables.append(quality.TableTarget(feed, f"{root}/{feed}"))
+    snapshots.write_latest(fx.fx_markets(spark, sf_dir).limit(0), f"{root}/empty_table")
+    tables.append(quality.TableTarget("empty_table", f"{root}/empty_table"))
+
+    score_cols = {"token_liquidity_risk_top50": "liquidity_risk_score",
+                  "defi_protocol_risk_top50": "protocol_risk_score",
+                  "stablecoin_depeg_risk_top50": "depeg_risk_score",
+                  "token_liquidity_risk_trends": "risk_score_change",
+                  "defi_protocol_risk_trends": "risk_score_change"}
+    targets = []
+    built = _all_reports(spark, sf_dir)
+    for name, frame in built.items():
+        reports_io.write_report(frame, f"{root}/{name}")
+        targets.append(quality.ReportTarget(name, f"{root}/{name}", score_cols[name]))
+    token = built["token_liquidity_risk_top50"]
+    reports_io.write_report(token.drop("liquidity_risk_score"), f"{root}/no_score_column")
+    reports_io.write_report(token.withColumn("liquidity_risk_score", F.lit(None).cast("int")),
+                            f"{root}/null_scores", order=order_columns(reports.TOKEN_RISK_ORDER))
+    targets += [quality.ReportTarget("missing_report", f"{root}/never_written", "liquidity_risk_score"),
+                quality.ReportTarget("no_score_column", f"{root}/no_score_column", "liquidity_risk_score"),
+                quality.ReportTarget("null_scores", f"{root}/null_scores", "liquidity_risk_score")]
+    return quality.quality_suite(spark, tables, targets).select("check", "target", "rows", "passed")
+
+
+@register("dashboard_kpis", "D1 O8 A2", sql.DASHBOARD_KPIS)
+def q_dashboard_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.operators.marts import kpi_row
+
+    return kpi_row(reports.token_liquidity_risk(latest_markets(spark, sf_dir)),
+                   reports.defi_protocol_risk(latest_protocols(spark, sf_dir)),
+                   reports.stablecoin_depeg_risk(latest_stablecoins(spark, sf_dir)))
+
+
+def _chart_builder(chart: str, report: str) -> Builder:
+    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from tidemark.operators.marts import chart_table
+
+        return chart_table(_all_reports_one(spark, sf_dir, report), chart)
+    return build
+
+
+def _all_reports_one(spark: SparkSession, sf_dir: str, report: str) -> DataFrame:
+    from tidemark.operators import trends
+
+    if report == "token_liquidity_risk_top50":
+        return reports.token_liquidity_risk(latest_markets(spark, sf_dir))
+    if report == "defi_protocol_risk_top50":
+        return reports.defi_protocol_risk(latest_protocols(spark, sf_dir))
+    if report == "stablecoin_depeg_risk_top50":
+        return reports.stablecoin_depeg_risk(latest_stablecoins(spark, sf_dir))
+    if report == "token_liquidity_risk_trends":
+        return trends.trends_from_history(fx.fx_markets(spark, sf_dir), trends.token_liquidity_risk_trends)
+    return trends.trends_from_history(fx.fx_protocols(spark, sf_dir), trends.defi_protocol_risk_trends)
+
+
+for _chart, _report, _cover in [
+    ("token_risk", "token_liquidity_risk_top50", "D2 O5 O7"),
+    ("token_trends", "token_liquidity_risk_trends", "D3 O6 O7"),
+    ("protocol_risk", "defi_protocol_risk_top50", "D4 O5 O7"),
+    ("protocol_trends", "defi_protocol_risk_trends", "D5 O6 O7"),
+    ("stablecoin_risk", "stablecoin_depeg_risk_top50", "D6 O5 O7"),
+]:
+    register(f"chart_{_chart}", _cover, sql.CHARTS[f"chart_{_chart}"])(_chart_builder(_chart, _report))
+
+
+@register("pipeline_run", "L1 (all steps)", sql.PIPELINE_RUN)
+def q_pipeline_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.plans.pipeline import Layout, land_fixture_feeds, run_pipeline
+
+    layout = Layout(_scratch(spark, "pipeline"))
+    land_fixture_feeds(spark, sf_dir, layout)
+    return run_pipeline(spark, layout, runs="all").select("check", "target", "rows", "passed")
