@@ -1,0 +1,57 @@
+"""The batch job end to end in a temporary folder."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SF_SMALL
+from tidemark import schemas as S
+from tidemark.operators import quality
+from tidemark.plans import fixtures as fx
+from tidemark.plans.pipeline import Layout, land_fixture_feeds, read_report, run_pipeline
+from tidemark.sources import landing, reports_io
+
+
+def test_pipeline_backfill_and_outputs(spark, tmp_path):
+    layout = Layout(str(tmp_path / "job"))
+    land_fixture_feeds(spark, SF_SMALL, layout)
+    results = {r["target"]: r for r in run_pipeline(spark, layout, runs="all").collect()}
+    assert all(r["passed"] for r in results.values())
+    assert results["token_liquidity_risk_top50"]["rows"] == 50
+    token = read_report(spark, layout, "token_liquidity_risk_top50")
+    assert token.columns[:3] == ["market_cap_rank", "id", "symbol"]
+    kpi = spark.read.parquet(layout.mart("kpis")).first()
+    assert (kpi["tracked_tokens"], kpi["tracked_protocols"]) == (50, 50)
+    chart = spark.read.parquet(layout.mart("chart_token_risk")).collect()
+    assert len(chart) == 20
+    trend = read_report(spark, layout, "defi_protocol_risk_trends")
+    assert trend.count() == results["defi_protocol_risk_trends"]["rows"] > 0
+
+
+def test_pipeline_latest_only_single_run(spark, tmp_path):
+    layout = Layout(str(tmp_path / "job"))
+    stables = fx.stablecoins_raw(spark, SF_SMALL)
+    for feed in ("markets", "protocols"):
+        raw = fx.RAW_BUILDERS[feed](spark, SF_SMALL)
+        newest = raw.where(F.col(S.STAMP) == raw.select(F.max(S.STAMP)).scalar())
+        landing.land_records(newest, layout.raw(feed), *fx.ENDPOINTS[feed], F.col(S.STAMP))
+    landing.land_records(stables, layout.raw("stablecoins"), *fx.ENDPOINTS["stablecoins"], F.col(S.STAMP))
+    with pytest.raises(ValueError, match="at least 2 snapshots"):
+        run_pipeline(spark, layout)
+    results = run_pipeline(spark, layout, skip_trends_if_single=True).collect()
+    assert {r["target"] for r in results} == {"markets", "protocols", "stablecoins", "token_liquidity_risk_top50",
+                                              "defi_protocol_risk_top50", "stablecoin_depeg_risk_top50"}
+
+
+def test_quality_failures_are_all_reported(spark, tmp_path):
+    path = str(tmp_path / "rep")
+    reports_io.write_report(spark.createDataFrame([(1, None)], "a int, liquidity_risk_score int"), path)
+    spark.range(0).write.parquet(str(tmp_path / "empty"))
+    res = quality.quality_suite(
+        spark, [quality.TableTarget("empty", str(tmp_path / "empty")),
+                quality.TableTarget("gone", str(tmp_path / "gone"))],
+        [quality.ReportTarget("nulls", path, "liquidity_risk_score"),
+         quality.ReportTarget("noscore", path, "protocol_risk_score")])
+    with pytest.raises(quality.QualityCheckFailed) as err:
+        quality.assert_passed(res)
+    for word in ("empty", "gone", "nulls", "noscore"):
+        assert word in str(err.value)
