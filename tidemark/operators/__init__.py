@@ -1,0 +1,2 @@
+"""DataFrame → DataFrame operators: normalisers, reports, snapshot comparison,
+quality checks and dashboard marts."""

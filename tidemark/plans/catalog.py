@@ -613,3 +613,16 @@ def q_pipeline_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     layout = Layout(_scratch(spark, "pipeline"))
     land_fixture_feeds(spark, sf_dir, layout)
     return run_pipeline(spark, layout, runs="all").select("check", "target", "rows", "passed")
+
+
+@register("stream_normalize_protocols", "R7 via Structured Streaming (AvailableNow)", sql.NORMALIZE_PROTOCOLS)
+def q_stream_normalize_protocols(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark import schemas as S
+    from tidemark.streaming.incremental import catch_up
+
+    root = _scratch(spark, "stream-protocols")
+    _land(spark, sf_dir, "protocols", f"{root}/raw")
+    catch_up(spark, f"{root}/raw", f"{root}/snapshots", f"{root}/checkpoint", "protocols")
+    table = spark.read.schema(S.snapshot_schema(S.PROTOCOLS)).parquet(f"{root}/snapshots")
+    return table.select("id", "name", "symbol", "chain", "category", "tvl", "change_1d", "change_7d", "mcap",
+                        "audits", "url", "ingested_at_utc")

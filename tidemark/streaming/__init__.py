@@ -1,0 +1 @@
+"""Structured Streaming: incremental normalisation of newly landed raw runs."""
