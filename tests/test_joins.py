@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tidemark.operators.joins import null_safe_join, salt_count
+from tidemark.operators.joins import grid_size, null_safe_join
 from tidemark.operators.trends import compare_snapshots
 
 
@@ -32,16 +32,33 @@ def test_drop_mode(spark):
 
 def test_salted_null_group_is_exact(spark):
     left, right = _frames(spark, [None] * 40 + [1.0], [None] * 30 + [1.0])
-    out = null_safe_join(left, right, "id", pairs_per_task=50)  # forces 24 salts
+    out = null_safe_join(left, right, "id", grid=5)
     pairs = out.where(F.col("id").isNull()).select("lv", "rv")
     assert pairs.count() == 1200
     assert pairs.distinct().count() == 1200
 
 
-def test_salt_count_bounds():
-    assert salt_count(0, 10) == 1
-    assert salt_count(10, 10, pairs_per_task=10) == 10
-    assert salt_count(10**6, 10**6) == 4096
+def test_grid_follows_shuffle_partitions(spark):
+    assert grid_size(spark.range(1)) == 3  # 8 shuffle partitions in tests
+
+
+def test_null_group_spreads_over_cells(spark):
+    # Force a shuffled join so the spread over tasks is visible on tiny data.
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    saved = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        left, right = _frames(spark, [None] * 200, [None] * 200)
+        out = null_safe_join(left, right, "id", grid=4)
+        per_task = out.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    finally:
+        for k, v in saved.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert sum(r["count"] for r in per_task) == 40000
+    assert len(per_task) > 1
+    assert max(r["count"] for r in per_task) < 40000 / 2
 
 
 def test_compare_snapshots_suffixes(spark):

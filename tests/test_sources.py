@@ -72,6 +72,10 @@ def test_landing_replaces_same_stamp(spark, tmp_path):
     assert newest.count() == 2
     plan = newest._jdf.queryExecution().executedPlan().toString()
     assert f"PartitionFilters: [isnotnull({S.STAMP}" in plan
+    listed = landing.read_newest_landed(spark, root, "protocols")
+    assert listed.count() == 2
+    listed_plan = listed._jdf.queryExecution().executedPlan().toString()
+    assert "binaryFile" in listed_plan and f"PartitionFilters: [isnotnull({S.STAMP}" in listed_plan
     prot = normalize_protocols(newest).collect()
     assert sorted((r["id"], r["tvl"]) for r in prot if r["tvl"] is not None) == [(None, 10.0)]
 

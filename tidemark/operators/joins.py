@@ -1,15 +1,19 @@
-"""Equi-join where NULL keys match each other (pandas ``merge`` rule), built to
-survive a hot key.
+"""Equi-join where NULL keys match each other (the pandas ``merge`` rule), built
+to survive a hot key.
 
-Non-NULL keys go through an ordinary equi-join: Spark picks broadcast or
-sort-merge by size, and AQE's skew-join splits a partition that holds a hot key
-at run time. NULL keys all land on one key — a hot group by construction, whose
-result is every (left, right) pair of the group. That group is joined apart, on a
-salt: the larger side is spread over ``S`` salts by a hash of the row (not a
-random number, so a retried task reproduces it), the smaller side is repeated
-once per salt, and ``S`` is sized from the two group counts so each task gets a
-bounded share of the pairs. Every pair is produced exactly once; nothing is
-dropped.
+NULL keys all fall on one key — a hot group by construction, whose result is
+every (left, right) pair of the group. That group is spread over a grid of
+``g × g`` cells inside the same join: a left NULL-key row goes to grid row
+``hash(row) % g`` and is repeated across the ``g`` columns; a right NULL-key row
+goes to column ``hash(row) % g`` and is repeated across the ``g`` rows. Each pair
+meets in exactly one cell, so every pair is produced once and each task holds
+about 1/g² of the group's pairs. Rows with a non-NULL key get cell (0, 0) and are
+never repeated. The salt is a hash of the row, not a random number, so a retried
+task reproduces it.
+
+It stays one lazy join: no count job, no driver round trip. Non-NULL hot keys
+are split by AQE's skew-join at run time (sort-merge joins), and a small side is
+broadcast by size.
 """
 
 from __future__ import annotations
@@ -19,28 +23,26 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-PAIRS_PER_TASK = 2_000_000
-MAX_SALTS = 4096
-
-
-def null_group_sizes(left: DataFrame, right: DataFrame, key: str) -> tuple[int, int]:
-    """Row counts of the NULL-key group on each side, in one small job that reads
-    the key column only."""
-    tagged = (left.where(F.col(key).isNull()).select(F.lit(0).alias("_side"))
-              .unionByName(right.where(F.col(key).isNull()).select(F.lit(1).alias("_side"))))
-    counts = {r["_side"]: r["n"] for r in tagged.groupBy("_side").agg(F.count(F.lit(1)).alias("n")).collect()}
-    return counts.get(0, 0), counts.get(1, 0)
+MAX_GRID = 64
 
 
-def salt_count(m: int, n: int, pairs_per_task: int = PAIRS_PER_TASK, max_salts: int = MAX_SALTS) -> int:
-    """Salts so that each task joins about ``pairs_per_task`` of the m × n pairs."""
-    return int(min(max_salts, max(1, math.ceil(m * n / pairs_per_task))))
+def grid_size(df: DataFrame) -> int:
+    """g with g² ≈ the session's shuffle partitions (at least 2, at most 64)."""
+    try:
+        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    except (TypeError, ValueError):
+        parts = 200
+    return int(min(MAX_GRID, max(2, math.ceil(math.sqrt(parts)))))
 
 
-def _salted_pairs(big: DataFrame, small: DataFrame, salts: int) -> DataFrame:
-    big_salted = big.withColumn("_salt", F.pmod(F.xxhash64(*big.columns), F.lit(salts)).cast("int"))
-    small_repeated = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return big_salted.join(small_repeated, "_salt").drop("_salt")
+def _salted(df: DataFrame, key: str, spread: str, repeat: str, g: int) -> DataFrame:
+    """Add cell coordinates: ``spread`` = hash bucket, ``repeat`` = every bucket
+    (NULL-key rows only); (0, 0) for rows with a key."""
+    is_null = F.col(key).isNull()
+    bucket = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(g)).cast("int")
+    every = F.sequence(F.lit(0), F.lit(g - 1))
+    return (df.withColumn(spread, F.when(is_null, bucket).otherwise(F.lit(0)))
+              .withColumn(repeat, F.explode(F.when(is_null, every).otherwise(F.array(F.lit(0))))))
 
 
 def null_safe_join(
@@ -48,25 +50,23 @@ def null_safe_join(
     right: DataFrame,
     key: str,
     null_keys: str = "match",
-    pairs_per_task: int = PAIRS_PER_TASK,
+    grid: int | None = None,
 ) -> DataFrame:
     """Inner join on ``key`` with one output ``key`` column; duplicates multiply.
 
-    ``null_keys``: ``"match"`` (NULL = NULL, the pandas rule) or ``"drop"``.
+    ``null_keys``: ``"match"`` (NULL = NULL) or ``"drop"`` (NULL keys never match).
     """
     if null_keys not in ("match", "drop"):
         raise ValueError("null_keys must be 'match' or 'drop'")
-    k = F.col(key)
-    matched = left.where(k.isNotNull()).join(right.where(k.isNotNull()), on=key, how="inner")
     if null_keys == "drop":
-        return matched
-    m, n = null_group_sizes(left, right, key)
-    if m == 0 or n == 0:
-        return matched
-    key_type = left.schema[key].dataType
-    l_null = left.where(k.isNull()).drop(key)
-    r_null = right.where(k.isNull()).drop(key)
-    salts = salt_count(m, n, pairs_per_task)
-    pairs = _salted_pairs(l_null, r_null, salts) if m >= n else _salted_pairs(r_null, l_null, salts)
-    pairs = pairs.withColumn(key, F.lit(None).cast(key_type))
-    return matched.unionByName(pairs.select(*matched.columns))
+        return left.join(right, on=key, how="inner")
+    g = grid or grid_size(left)
+    rkey = "_tm_right_key"
+    l = _salted(left, key, "_tm_r", "_tm_c", g)
+    r = _salted(right.withColumnRenamed(key, rkey), rkey, "_tm_c2", "_tm_r2", g)
+    cond = (F.col(key).eqNullSafe(F.col(rkey)) & (F.col("_tm_r") == F.col("_tm_r2"))
+            & (F.col("_tm_c") == F.col("_tm_c2")))
+    out = l.join(r, cond, "inner")
+    right_cols = [c for c in right.columns if c != key]
+    left_cols = [c for c in left.columns if c != key]
+    return out.select(key, *left_cols, *right_cols)

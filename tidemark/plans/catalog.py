@@ -411,12 +411,16 @@ def _land(spark: SparkSession, sf_dir: str, feed: str, root: str) -> None:
     land_records(fx.RAW_BUILDERS[feed](spark, sf_dir), root, source, endpoint, F.col(S.STAMP))
 
 
+def _landing_root(spark: SparkSession, sf_dir: str, feed: str) -> str:
+    root = _scratch(spark, f"landing-{feed}")
+    _land(spark, sf_dir, feed, root)
+    return root
+
+
 def _landed(spark: SparkSession, sf_dir: str, feed: str) -> DataFrame:
     from tidemark.sources.landing import read_landed
 
-    root = _scratch(spark, f"landing-{feed}")
-    _land(spark, sf_dir, feed, root)
-    return read_landed(spark, root, feed)
+    return read_landed(spark, _landing_root(spark, sf_dir, feed), feed)
 
 
 @register("normalize_markets", "R6 S1 S5 S6 P1 P2 C1 C2", sql.NORMALIZE_MARKETS)
@@ -461,9 +465,10 @@ def q_raw_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("latest_raw_selection", "S4 S5", sql.LATEST_RAW_SELECTION)
 def q_latest_raw_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tidemark.sources.landing import newest_run
+    from tidemark.sources.landing import read_newest_landed
 
-    return newest_run(_landed(spark, sf_dir, "markets")).select(
+    root = _landing_root(spark, sf_dir, "markets")
+    return read_newest_landed(spark, root, "markets").select(
         "id", "symbol", "ingested_at_utc", "source", "endpoint")
 
 

@@ -58,6 +58,9 @@ class Layout:
     def mart(self, name: str) -> str:
         return f"{self.root}/marts/{name}"
 
+    def staging(self, name: str) -> str:
+        return f"{self.root}/_staging/{name}"
+
 
 def normalize_feed(spark: SparkSession, layout: Layout, feed: str, runs: str = "latest") -> None:
     """Normalise landed runs of ``feed`` into the snapshot table, then refresh the
@@ -66,15 +69,16 @@ def normalize_feed(spark: SparkSession, layout: Layout, feed: str, runs: str = "
     ``runs="latest"``: only the newest landed run (the regular schedule);
     ``runs="all"``: every landed run (backfill; idempotent per run).
     """
-    landed = landing.read_landed(spark, layout.raw(feed), feed)
     if runs == "latest":
-        landed = landing.newest_run(landed)
-    elif runs != "all":
+        landed = landing.read_newest_landed(spark, layout.raw(feed), feed)
+    elif runs == "all":
+        landed = landing.read_landed(spark, layout.raw(feed), feed)
+    else:
         raise ValueError("runs must be 'latest' or 'all'")
     landing.require_rows(landed.select(S.STAMP), f"landed {feed} records")
     snapshots.write_snapshots(NORMALIZERS[feed](landed), layout.snapshots(feed))
     table = snapshots.read_snapshots(spark, layout.snapshots(feed), S.FEEDS[feed]["typed"])
-    newest = snapshots.newest_stamps(table, 1)[0]
+    newest = snapshots.newest_stamps(snapshots.stamps_at(spark, layout.snapshots(feed)), 1)[0]
     latest = snapshots.pick_snapshot(table, newest).drop(*S.SNAPSHOT_PARTITIONS)
     snapshots.write_latest(latest, layout.latest(feed))
 
@@ -96,14 +100,15 @@ def trend_reports(spark: SparkSession, layout: Layout, skip_if_single: bool = Fa
     for name, (feed, build, order) in TRENDS.items():
         table = snapshots.read_snapshots(spark, layout.snapshots(feed), S.FEEDS[feed]["typed"])
         try:
-            previous_ts, latest_ts = snapshots.newest_stamps(table, 2)
+            previous_ts, latest_ts = snapshots.newest_stamps(snapshots.stamps_at(spark, layout.snapshots(feed)), 2)
         except ValueError:
             if skip_if_single:
                 continue
             raise
         latest = snapshots.pick_snapshot(table, latest_ts)
         previous = snapshots.pick_snapshot(table, previous_ts)
-        reports_io.write_report(build(latest, previous), layout.report(name), order=list(_order_cols(order)))
+        reports_io.write_report(build(latest, previous), layout.report(name), order=list(_order_cols(order)),
+                                stage=layout.staging(name))
         written.append(name)
     return written
 

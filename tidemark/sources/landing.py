@@ -54,6 +54,24 @@ def manifest(landed: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("record_count")))
 
 
+def partition_values(spark: SparkSession, root: str, column: str) -> DataFrame:
+    """Distinct values of a partition column of the folder tree at ``root``,
+    from the file listing alone: the binary-file source reads no file content
+    unless asked for it, so no raw byte is read."""
+    return spark.read.format("binaryFile").load(root).select(column).distinct()
+
+
+def landed_newest_stamp(spark: SparkSession, root: str) -> Column:
+    """Newest landed run stamp as a scalar subquery over the file listing."""
+    return partition_values(spark, root, S.STAMP).select(F.max(S.STAMP)).scalar()
+
+
+def read_newest_landed(spark: SparkSession, root: str, feed: str) -> DataFrame:
+    """Records of the newest landed run. The stamp comes from the listing; the
+    scan is pruned to that run's partition at run time."""
+    return read_landed(spark, root, feed).where(F.col(S.STAMP) == landed_newest_stamp(spark, root))
+
+
 def newest_stamp(df: DataFrame, stamp: str = S.STAMP) -> Column:
     """The newest run stamp of ``df`` as a scalar subquery (stamps sort as time)."""
     return df.select(F.max(stamp)).scalar()

@@ -19,7 +19,17 @@ class ReportMissing(FileNotFoundError):
 
 
 def write_report(df: DataFrame, path: str, order: list[Column] | None = None,
-                 single_file: bool = False) -> None:
+                 single_file: bool = False, stage: str | None = None) -> None:
+    """Write ``df`` as CSV, globally ordered by ``order`` when given.
+
+    A global sort samples its input to choose ranges, which would compute ``df``
+    twice; with ``stage`` (a folder in the shared file system) ``df`` is written
+    once as parquet and the sort reads that instead — it also cuts the lineage,
+    so a lost executor during the sort does not repeat the upstream join.
+    """
+    if order and stage and not single_file:
+        df.write.mode("overwrite").parquet(stage)
+        df = df.sparkSession.read.parquet(stage)
     out = df.orderBy(*order) if order else df
     if single_file:
         out = out.coalesce(1)

@@ -51,10 +51,19 @@ def snapshot_stamps(snapshots: DataFrame) -> DataFrame:
     return snapshots.select("snapshot_ts").distinct()
 
 
+def stamps_at(spark: SparkSession, root: str) -> DataFrame:
+    """Distinct run stamps of the snapshot table at ``root`` from the file
+    listing only (no file is opened)."""
+    return spark.read.format("binaryFile").load(root).select("snapshot_ts").distinct()
+
+
 def newest_stamps(snapshots: DataFrame, n: int = 2) -> list[str]:
     """The ``n`` newest run stamps, oldest first. At most ``n`` strings reach the
-    driver. Raises when fewer than ``n`` runs exist."""
-    rows = (snapshot_stamps(snapshots).where(F.col("snapshot_ts").isNotNull())
+    driver. Raises when fewer than ``n`` runs exist.
+
+    ``snapshots`` may be the table itself (reads partition values) or
+    ``stamps_at(spark, root)`` (listing only)."""
+    rows = (snapshots.select("snapshot_ts").distinct().where(F.col("snapshot_ts").isNotNull())
             .orderBy(F.desc("snapshot_ts")).limit(n).collect())
     if len(rows) < n:
         raise ValueError(f"need at least {n} snapshots to compare, found {len(rows)}; "
