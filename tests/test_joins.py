@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tidemark.operators.joins import grid_size, null_safe_join
+from tidemark.operators.joins import detect_hot_keys, grid_size, null_safe_join
 from tidemark.operators.trends import compare_snapshots
 
 
@@ -68,3 +68,19 @@ def test_compare_snapshots_suffixes(spark):
     assert sorted(out.columns) == sorted(["id", "name_latest", "tvl_latest", "extra", "name_previous", "tvl_previous"])
     row = out.first()
     assert (row["name_latest"], row["name_previous"], row["tvl_latest"], row["tvl_previous"]) == ("a", "b", 10.0, 5.0)
+
+
+def test_hot_keys_are_spread_and_exact(spark):
+    left, right = _frames(spark, [7.0] * 300 + [float(i) for i in range(300)] + [None] * 3,
+                          [7.0] * 5 + [float(i) for i in range(0, 300, 2)] + [None])
+    assert detect_hot_keys(left, "id", min_share=0.1, fraction=1.0) == [7.0]
+    plain = null_safe_join(left, right, "id")
+    salted = null_safe_join(left, right, "id", hot_keys="auto", grid=4)
+    want = 301 * 5 + 150 + 3   # key 7 (300 repeats + 1 from the range) × 5, 150 even keys, 3 × 1 NULL pairs
+    assert plain.count() == salted.count() == want
+    assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
+
+
+def test_drop_mode_with_hot_keys(spark):
+    left, right = _frames(spark, [1.0, 1.0, None], [1.0, None])
+    assert null_safe_join(left, right, "id", null_keys="drop", hot_keys=[1.0], grid=3).count() == 2

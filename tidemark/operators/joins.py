@@ -11,9 +11,12 @@ about 1/g² of the group's pairs. Rows with a non-NULL key get cell (0, 0) and a
 never repeated. The salt is a hash of the row, not a random number, so a retried
 task reproduces it.
 
-It stays one lazy join: no count job, no driver round trip. Non-NULL hot keys
-are split by AQE's skew-join at run time (sort-merge joins), and a small side is
-broadcast by size.
+It stays one lazy join: no count job, no driver round trip. Non-NULL keys that
+hold a large share of the rows can be put on the same grid (``hot_keys``):
+``detect_hot_keys`` finds them in a seeded sample, and the list is bounded by
+construction (at most ``1 / min_share`` keys). Sampling only decides the spread,
+never the result, so a missed hot key still joins correctly (AQE's skew-join
+splits it at run time) and a falsely flagged key only costs replication.
 """
 
 from __future__ import annotations
@@ -35,10 +38,23 @@ def grid_size(df: DataFrame) -> int:
     return int(min(MAX_GRID, max(2, math.ceil(math.sqrt(parts)))))
 
 
-def _salted(df: DataFrame, key: str, spread: str, repeat: str, g: int) -> DataFrame:
+def detect_hot_keys(df: DataFrame, key: str, min_share: float = 0.01, fraction: float = 0.01,
+                    seed: int = 17) -> list:
+    """Non-NULL keys holding at least ``min_share`` of a seeded sample of ``df``.
+    At most ``1 / min_share`` keys can qualify, so the list is bounded."""
+    sample = df.select(key).where(F.col(key).isNotNull()).sample(fraction=fraction, seed=seed)
+    counts = sample.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    total = sample.agg(F.count(F.lit(1)).alias("t"))
+    hot = counts.where(F.col("n") >= total.scalar() * F.lit(min_share)).where(F.col("n") >= 2)
+    return [r[0] for r in hot.select(key).limit(int(1 / min_share)).collect()]
+
+
+def _salted(df: DataFrame, key: str, spread: str, repeat: str, g: int, hot: list) -> DataFrame:
     """Add cell coordinates: ``spread`` = hash bucket, ``repeat`` = every bucket
-    (NULL-key rows only); (0, 0) for rows with a key."""
+    (NULL-key and hot-key rows); (0, 0) for every other row."""
     is_null = F.col(key).isNull()
+    if hot:
+        is_null = is_null | F.col(key).isin(hot)
     bucket = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(g)).cast("int")
     every = F.sequence(F.lit(0), F.lit(g - 1))
     return (df.withColumn(spread, F.when(is_null, bucket).otherwise(F.lit(0)))
@@ -51,19 +67,27 @@ def null_safe_join(
     key: str,
     null_keys: str = "match",
     grid: int | None = None,
+    hot_keys: list | str | None = None,
 ) -> DataFrame:
     """Inner join on ``key`` with one output ``key`` column; duplicates multiply.
 
     ``null_keys``: ``"match"`` (NULL = NULL) or ``"drop"`` (NULL keys never match).
+    ``hot_keys``: key values to spread like the NULL group, or ``"auto"`` to
+    detect them on the left side (one sampled job).
     """
     if null_keys not in ("match", "drop"):
         raise ValueError("null_keys must be 'match' or 'drop'")
+    if hot_keys == "auto":
+        hot_keys = detect_hot_keys(left, key)
+    hot = list(hot_keys or [])
     if null_keys == "drop":
-        return left.join(right, on=key, how="inner")
+        left, right = left.where(F.col(key).isNotNull()), right.where(F.col(key).isNotNull())
+        if not hot:
+            return left.join(right, on=key, how="inner")
     g = grid or grid_size(left)
     rkey = "_tm_right_key"
-    l = _salted(left, key, "_tm_r", "_tm_c", g)
-    r = _salted(right.withColumnRenamed(key, rkey), rkey, "_tm_c2", "_tm_r2", g)
+    l = _salted(left, key, "_tm_r", "_tm_c", g, hot)
+    r = _salted(right.withColumnRenamed(key, rkey), rkey, "_tm_c2", "_tm_r2", g, hot)
     cond = (F.col(key).eqNullSafe(F.col(rkey)) & (F.col("_tm_r") == F.col("_tm_r2"))
             & (F.col("_tm_c") == F.col("_tm_c2")))
     out = l.join(r, cond, "inner")

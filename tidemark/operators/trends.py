@@ -56,17 +56,20 @@ def score_protocol_snapshot(protocols: DataFrame) -> DataFrame:
 
 
 def compare_snapshots(latest: DataFrame, previous: DataFrame, key: str = "id",
-                      suffixes: tuple[str, str] = SUFFIXES, null_keys: str = "match") -> DataFrame:
+                      suffixes: tuple[str, str] = SUFFIXES, null_keys: str = "match",
+                      hot_keys: list | str | None = None) -> DataFrame:
     """Join two runs on ``key``; columns present in both get the suffixes."""
     overlap = (set(latest.columns) & set(previous.columns)) - {key}
     l = latest.select(*[F.col(c).alias(c + suffixes[0]) if c in overlap else F.col(c) for c in latest.columns])
     p = previous.select(*[F.col(c).alias(c + suffixes[1]) if c in overlap else F.col(c) for c in previous.columns])
-    return null_safe_join(l, p, key, null_keys=null_keys)
+    return null_safe_join(l, p, key, null_keys=null_keys, hot_keys=hot_keys)
 
 
-def token_liquidity_risk_trends(latest: DataFrame, previous: DataFrame, null_keys: str = "match") -> DataFrame:
+def token_liquidity_risk_trends(latest: DataFrame, previous: DataFrame, null_keys: str = "match",
+                                hot_keys: list | str | None = None) -> DataFrame:
     """R4 from two market runs (raw normalised rows)."""
-    t = compare_snapshots(score_token_snapshot(latest), score_token_snapshot(previous), null_keys=null_keys)
+    t = compare_snapshots(score_token_snapshot(latest), score_token_snapshot(previous), null_keys=null_keys,
+                          hot_keys=hot_keys)
     t = t.withColumns({
         "risk_score_change": F.col("liquidity_risk_score_latest") - F.col("liquidity_risk_score_previous"),
         "market_cap_change_pct": pct_change_ieee("market_cap_latest", "market_cap_previous"),
@@ -75,9 +78,11 @@ def token_liquidity_risk_trends(latest: DataFrame, previous: DataFrame, null_key
     return t.select(*TOKEN_TREND_COLUMNS)
 
 
-def defi_protocol_risk_trends(latest: DataFrame, previous: DataFrame, null_keys: str = "match") -> DataFrame:
+def defi_protocol_risk_trends(latest: DataFrame, previous: DataFrame, null_keys: str = "match",
+                              hot_keys: list | str | None = None) -> DataFrame:
     """R5 from two protocol runs."""
-    t = compare_snapshots(score_protocol_snapshot(latest), score_protocol_snapshot(previous), null_keys=null_keys)
+    t = compare_snapshots(score_protocol_snapshot(latest), score_protocol_snapshot(previous), null_keys=null_keys,
+                          hot_keys=hot_keys)
     t = t.withColumns({
         "risk_score_change": F.col("protocol_risk_score_latest") - F.col("protocol_risk_score_previous"),
         "tvl_change_pct": guarded_pct_change("tvl_latest", "tvl_previous"),

@@ -107,7 +107,8 @@ def trend_reports(spark: SparkSession, layout: Layout, skip_if_single: bool = Fa
             raise
         latest = snapshots.pick_snapshot(table, latest_ts)
         previous = snapshots.pick_snapshot(table, previous_ts)
-        reports_io.write_report(build(latest, previous), layout.report(name), order=list(_order_cols(order)),
+        reports_io.write_report(build(latest, previous, hot_keys="auto"), layout.report(name),
+                                order=list(_order_cols(order)),
                                 stage=layout.staging(name))
         written.append(name)
     return written
