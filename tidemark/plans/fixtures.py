@@ -127,11 +127,11 @@ def fx_stablecoins(spark: SparkSession, sf_dir: str, keep_key: bool = False) ->
 # --- raw records for the landing round trip ---------------------------------
 
 def _json_number(x: Column, quoted: Column) -> Column:
-    """A number as VARIANT: quoted text on ``quoted`` rows, a JSON number otherwise."""
-    text = x.cast("string")
-    return F.parse_json(F.when(x.isNull(), F.lit("null"))
-                        .when(quoted, F.concat(F.lit('"'), text, F.lit('"')))
-                        .otherwise(text))
+    """A number as VARIANT: its text (a JSON string) on ``quoted`` rows, a JSON
+    number otherwise. Built by casts, without parsing JSON text."""
+    return (F.when(x.isNull(), F.lit(None).cast("variant"))
+            .when(quoted, x.cast("string").cast("variant"))
+            .otherwise(x.cast("variant")))
 
 
 def markets_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,7 +155,7 @@ def protocols_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     fx = fx_protocols(spark, sf_dir, keep_key=True)
     even = F.col("k") % 2 == 0
     # A non-numeric id text coerces to NULL, like the adapter's NULL ids.
-    raw_id = F.when(F.col("id").isNull(), F.parse_json(F.concat(F.lit('"parent#'), _s(F.col("k")), F.lit('"')))) \
+    raw_id = F.when(F.col("id").isNull(), F.concat(F.lit("parent#"), _s(F.col("k"))).cast("variant")) \
         .otherwise(_json_number(F.col("id"), even))
     return fx.select(
         raw_id.alias("id"), "name", "symbol", "url", "chain", "category",
@@ -170,11 +170,11 @@ def stablecoins_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def pegged(c: str) -> Column:
         return F.when(F.col(c).isNull(), F.lit(None).cast("variant")) \
-            .otherwise(F.parse_json(F.concat(F.lit('{"peggedUSD": '), _s(F.col(c)), F.lit("}"))))
+            .otherwise(F.to_variant_object(F.struct(F.col(c).alias("peggedUSD"))))
 
-    chains = F.when(F.col("chain_count").isNull(), F.lit(None).cast("variant")).otherwise(
-        F.parse_json(F.to_json(F.transform(F.array_repeat(F.lit(0), F.coalesce(F.col("chain_count"), F.lit(0))),
-                                           lambda x, i: F.concat(F.lit("chain"), _s(i))))))
+    names = F.transform(F.array_repeat(F.lit(0), F.coalesce(F.col("chain_count"), F.lit(0))),
+                        lambda x, i: F.concat(F.lit("chain"), _s(i)))
+    chains = F.when(F.col("chain_count").isNull(), F.lit(None).cast("variant")).otherwise(names.cast("variant"))
     return fx.select(
         _json_number(F.col("id"), even).alias("id"), "name", "symbol", "pegType", "pegMechanism",
         _json_number(F.col("price"), even).alias("price"),
