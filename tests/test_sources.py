@@ -121,3 +121,23 @@ def test_report_round_trip(spark, tmp_path):
         ("a", 1.5, None, float("inf"), -0.0), ("b", None, None, 2.0, 0.1 + 0.2)]
     with pytest.raises(reports_io.ReportMissing):
         reports_io.read_report(spark, str(tmp_path / "nope"))
+
+
+def test_run_sizes_from_listing(spark, tmp_path):
+    root = str(tmp_path / "snap")
+    df = spark.createDataFrame([("a", 1.0, "20240101T000000Z"), ("b", 2.0, "20240102T000000Z")],
+                               f"id string, v double, {S.STAMP} string")
+    snapshots.write_snapshots(df, root)
+    runs = snapshots.newest_runs_with_size(spark, root, 2)
+    assert [r[0] for r in runs] == ["20240101T000000Z", "20240102T000000Z"]
+    assert all(b > 0 for _, b in runs)
+    plan = snapshots.run_sizes_at(spark, root)._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<length:bigint>" in plan
+
+
+def test_sized_conf():
+    from tidemark.session import sized_conf
+
+    conf = sized_conf(10 * 1024 ** 4, 8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 81920
+    assert int(sized_conf(10, 8)["spark.sql.shuffle.partitions"]) == 16

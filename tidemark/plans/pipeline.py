@@ -22,6 +22,10 @@ from tidemark.sources import landing, reports_io, snapshots
 
 FEEDS = ("markets", "protocols", "stablecoins")
 
+# Runs smaller than this on disk skip hot-key sampling in the trend join (the
+# NULL-key group is always spread; AQE still splits any skewed partition).
+HOT_KEY_SAMPLING_BYTES = 256 * 1024 * 1024
+
 RANKED = {
     # report name: (feed, builder, order, score column)
     "token_liquidity_risk_top50": ("markets", reports.token_liquidity_risk, reports.TOKEN_RISK_ORDER,
@@ -100,14 +104,17 @@ def trend_reports(spark: SparkSession, layout: Layout, skip_if_single: bool = Fa
     for name, (feed, build, order) in TRENDS.items():
         table = snapshots.read_snapshots(spark, layout.snapshots(feed), S.FEEDS[feed]["typed"])
         try:
-            previous_ts, latest_ts = snapshots.newest_stamps(snapshots.stamps_at(spark, layout.snapshots(feed)), 2)
+            (previous_ts, _), (latest_ts, latest_bytes) = snapshots.newest_runs_with_size(
+                spark, layout.snapshots(feed), 2)
         except ValueError:
             if skip_if_single:
                 continue
             raise
         latest = snapshots.pick_snapshot(table, latest_ts)
         previous = snapshots.pick_snapshot(table, previous_ts)
-        reports_io.write_report(build(latest, previous, hot_keys="auto"), layout.report(name),
+        # Only a large run can hold a key hot enough to matter; sample those.
+        hot = "auto" if latest_bytes >= HOT_KEY_SAMPLING_BYTES else None
+        reports_io.write_report(build(latest, previous, hot_keys=hot), layout.report(name),
                                 order=list(_order_cols(order)),
                                 stage=layout.staging(name))
         written.append(name)

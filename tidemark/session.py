@@ -51,6 +51,24 @@ def build_session(
     return spark
 
 
+def sized_conf(shuffle_bytes: int, total_cores: int, target_partition_bytes: int = 128 * 1024 * 1024) -> dict[str, str]:
+    """Settings sized so a shuffle partition stays near ``target_partition_bytes``
+    (fits in executor memory without much spilling).
+
+    ``shuffle_bytes`` is the expected size of the largest shuffle — after column
+    pruning and partial aggregation, usually far below the raw input. At least 2
+    partitions per core; AQE coalesces what turns out smaller and splits skewed
+    partitions above 4× the target. E.g. a 10 TiB shuffle on 1000 executors × 8
+    cores → 81,920 partitions."""
+    partitions = max(2 * total_cores, -(-shuffle_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+    }
+
+
 def shared_root(spark: SparkSession) -> str:
     """The cluster's shared scratch folder: ``spark.checkpoint.dir``.
 

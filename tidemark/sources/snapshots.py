@@ -57,6 +57,24 @@ def stamps_at(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.format("binaryFile").load(root).select("snapshot_ts").distinct()
 
 
+def run_sizes_at(spark: SparkSession, root: str) -> DataFrame:
+    """Bytes on disk per run (``snapshot_ts``, ``bytes``) from the file listing.
+    Compressed size: a lower bound of the in-memory size, useful to tell small
+    runs from large ones without reading them."""
+    return (spark.read.format("binaryFile").load(root)
+            .groupBy("snapshot_ts").agg(F.sum("length").alias("bytes")))
+
+
+def newest_runs_with_size(spark: SparkSession, root: str, n: int = 2) -> list[tuple[str, int]]:
+    """(stamp, bytes) of the ``n`` newest runs, oldest first; raises when fewer exist."""
+    rows = (run_sizes_at(spark, root).where(F.col("snapshot_ts").isNotNull())
+            .orderBy(F.desc("snapshot_ts")).limit(n).collect())
+    if len(rows) < n:
+        raise ValueError(f"need at least {n} snapshots to compare, found {len(rows)}; "
+                         "run the pipeline again")
+    return [(r["snapshot_ts"], int(r["bytes"])) for r in reversed(rows)]
+
+
 def newest_stamps(snapshots: DataFrame, n: int = 2) -> list[str]:
     """The ``n`` newest run stamps, oldest first. At most ``n`` strings reach the
     driver. Raises when fewer than ``n`` runs exist.
