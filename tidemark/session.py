@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -89,11 +88,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/tidemark/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for code that touches the local file system."""
-    return path[5:] if path.startswith("file:") else path
-
-
 def ensure_session_tz(spark: SparkSession) -> None:
+    """Run stamps and timestamps are UTC instants."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    os.environ.setdefault("TZ", "UTC")
