@@ -55,3 +55,10 @@ def test_quality_failures_are_all_reported(spark, tmp_path):
         quality.assert_passed(res)
     for word in ("empty", "gone", "nulls", "noscore"):
         assert word in str(err.value)
+
+
+def test_missing_landing_is_reported(spark, tmp_path):
+    from tidemark.plans.pipeline import normalize_feed
+
+    with pytest.raises(FileNotFoundError, match="no raw files found"):
+        normalize_feed(spark, Layout(str(tmp_path / "nothing")), "markets")

@@ -97,3 +97,21 @@ def test_golden_protocol_and_stablecoin_rows(spark):
         "circulatingPrevWeek_usd double, chain_count int, want int")
     for r in reports.score_stablecoins(stables).collect():
         assert r["depeg_risk_score"] == r["want"], r["symbol"]
+
+
+def test_sql_rendering_matches_columns(spark):
+    import random
+
+    rng = random.Random(3)
+    edges = [-40.0, -20.0, -10.0, -5.0, 0.0, 0.005, 0.01, 0.02, 0.03, 0.05, 0.25, 1.0, 1e6, 1e7]
+    pool = edges + [math.nextafter(e, math.inf) for e in edges] + [math.nextafter(e, -math.inf) for e in edges]
+    cols = ["volume_to_market_cap_ratio", "price_change_percentage_24h", "price_change_percentage_7d_in_currency",
+            "circulating_supply_ratio", "tvl", "change_1d", "change_7d", "audits", "absolute_depeg", "price",
+            "supply_change_1d", "supply_change_7d", "chain_count"]
+    rows = [tuple(rng.choice(pool + [None]) for _ in cols) for _ in range(400)]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in cols))
+    df.createOrReplaceTempView("score_inputs")
+    for card in (sc.LIQUIDITY_CARD, sc.PROTOCOL_CARD, sc.DEPEG_CARD):
+        via_sql = spark.sql(f"select {card.sql()} as s from score_inputs").collect()
+        via_cols = df.select(card.column().alias("s")).collect()
+        assert via_sql == via_cols, card.name

@@ -24,6 +24,14 @@ class Rule:
     bound: float | None
     points: int
 
+    def sql_predicate(self, x: str) -> str:
+        b = repr(self.bound)
+        if self.op == "null":
+            return f"{x} is null"
+        if self.op == "null_or_<=":
+            return f"({x} is null or {x} <= {b})"
+        return f"{x} {self.op} {b}"
+
     def predicate(self, x: Column) -> Column:
         b = F.lit(self.bound) if self.bound is not None else None
         if self.op == "null":
@@ -58,6 +66,11 @@ class Band:
     def max_points(self) -> int:
         return max(r.points for r in self.rules)
 
+    def sql(self) -> str:
+        """The band as a SQL CASE expression (Spark SQL and DuckDB)."""
+        whens = " ".join(f"when {r.sql_predicate(self.metric)} then {r.points}" for r in self.rules)
+        return f"case {whens} else 0 end"
+
 
 @dataclass(frozen=True)
 class ScoreCard:
@@ -76,6 +89,10 @@ class ScoreCard:
             cols = {**{b.name: b.column() for b in self.bands}, **cols}
         return df.withColumns(cols)
 
+    def sql(self) -> str:
+        """The composite score as a SQL expression."""
+        return " + ".join(f"({b.sql()})" for b in self.bands)
+
     def band(self, name: str) -> Band:
         for b in self.bands:
             if b.name == name:
@@ -140,6 +157,9 @@ class PriceGuardedBand(Band):
     def max_points(self) -> int:
         return max(super().max_points(), self.guard_points)
 
+    def sql(self) -> str:
+        return f"case when {self.guard} is null then {self.guard_points} else {super().sql()} end"
+
 
 DEPEG_GUARDED_BAND = PriceGuardedBand(
     DEPEG_BAND.name, DEPEG_BAND.metric, DEPEG_BAND.rules, "price", MISSING_PRICE_POINTS)

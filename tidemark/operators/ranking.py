@@ -24,6 +24,11 @@ def report_order(desc_keys: Sequence[str], tie_breakers: Sequence[str]) -> Order
     return tuple((k, "desc") for k in desc_keys) + tuple((k, "asc") for k in tie_breakers)
 
 
+def order_sql(order: Order) -> str:
+    """The order as a SQL ORDER BY list (NULLs last throughout)."""
+    return ", ".join(f"{c} {d} nulls last" for c, d in order)
+
+
 def order_columns(order: Order) -> list[Column]:
     return [F.desc_nulls_last(c) if d == "desc" else F.asc_nulls_last(c) for c, d in order]
 

@@ -5,6 +5,11 @@ which ``round_half_away`` reproduces); percent changes spell out IEEE results.
 
 from __future__ import annotations
 
+from tidemark.functions import scorecard as sc
+from tidemark.operators import trends
+from tidemark.operators.ranking import order_sql
+from tidemark.operators.reports import PROTOCOL_RISK_ORDER, STABLECOIN_RISK_ORDER, TOKEN_RISK_ORDER
+
 FX_MARKETS = """
 select concat('c', k) as id, concat('s', k % 500) as symbol, concat('Token ', k) as name,
   mn / 100 as current_price,
@@ -71,22 +76,22 @@ select *,
 from {src}
 """
 
-B_VOLUME = """case when volume_to_market_cap_ratio is null then 25 when volume_to_market_cap_ratio < 0.01 then 25
-  when volume_to_market_cap_ratio < 0.03 then 15 when volume_to_market_cap_ratio < 0.05 then 8 else 0 end"""
-B_PRICE_24H = """case when price_change_percentage_24h <= -10 then 20 when price_change_percentage_24h <= -5 then 10 else 0 end"""
-B_PRICE_7D = """case when price_change_percentage_7d_in_currency <= -20 then 20
-  when price_change_percentage_7d_in_currency <= -10 then 10 else 0 end"""
-B_CIRC = """case when circulating_supply_ratio is null then 10 when circulating_supply_ratio < 0.25 then 10 else 0 end"""
-LIQUIDITY_SCORE = f"({B_VOLUME}) + ({B_PRICE_24H}) + ({B_PRICE_7D}) + ({B_CIRC})"
+# Bands and scores rendered from the scorecard data (the thresholds themselves
+# are checked independently by the edge tests).
+B_VOLUME = sc.VOLUME_RATIO_BAND.sql()
+B_PRICE_24H = sc.PRICE_24H_BAND.sql()
+B_PRICE_7D = sc.PRICE_7D_BAND.sql()
+B_CIRC = sc.CIRCULATING_BAND.sql()
+LIQUIDITY_SCORE = sc.LIQUIDITY_CARD.sql()
 
 PROTOCOL_METRICS = """
 select *, case when mcap > 0 then tvl / mcap else null end as tvl_to_mcap_ratio from {src}
 """
-B_TVL = """case when tvl is null or tvl <= 0 then 25 when tvl < 1000000 then 20 when tvl < 10000000 then 10 else 0 end"""
-B_TVL_1D = """case when change_1d <= -20 then 25 when change_1d <= -10 then 15 when change_1d <= -5 then 8 else 0 end"""
-B_TVL_7D = """case when change_7d <= -40 then 25 when change_7d <= -20 then 15 when change_7d <= -10 then 8 else 0 end"""
-B_AUDITS = """case when audits is null then 10 when audits = 0 then 10 else 0 end"""
-PROTOCOL_SCORE = f"({B_TVL}) + ({B_TVL_1D}) + ({B_TVL_7D}) + ({B_AUDITS})"
+B_TVL = sc.TVL_BAND.sql()
+B_TVL_1D = sc.TVL_1D_BAND.sql()
+B_TVL_7D = sc.TVL_7D_BAND.sql()
+B_AUDITS = sc.AUDITS_BAND.sql()
+PROTOCOL_SCORE = sc.PROTOCOL_CARD.sql()
 
 STABLE_METRICS = """
 select *, abs(price - 1.0) as absolute_depeg,
@@ -96,14 +101,11 @@ select *, abs(price - 1.0) as absolute_depeg,
        else null end as supply_change_7d
 from {src}
 """
-B_DEPEG = """case when price is null then 30 when absolute_depeg >= 0.05 then 40 when absolute_depeg >= 0.02 then 25
-  when absolute_depeg >= 0.01 then 15 when absolute_depeg >= 0.005 then 8 else 0 end"""
-B_SUPPLY_1D = """case when supply_change_1d <= -0.20 then 20 when supply_change_1d <= -0.10 then 12
-  when supply_change_1d <= -0.05 then 6 else 0 end"""
-B_SUPPLY_7D = """case when supply_change_7d <= -0.40 then 20 when supply_change_7d <= -0.20 then 12
-  when supply_change_7d <= -0.10 then 6 else 0 end"""
-B_CHAINS = """case when chain_count is null then 5 when chain_count = 1 then 5 else 0 end"""
-DEPEG_SCORE = f"({B_DEPEG}) + ({B_SUPPLY_1D}) + ({B_SUPPLY_7D}) + ({B_CHAINS})"
+B_DEPEG = sc.DEPEG_GUARDED_BAND.sql()
+B_SUPPLY_1D = sc.SUPPLY_1D_BAND.sql()
+B_SUPPLY_7D = sc.SUPPLY_7D_BAND.sql()
+B_CHAINS = sc.CHAINS_BAND.sql()
+DEPEG_SCORE = sc.DEPEG_CARD.sql()
 
 
 def with_adapters(body: str) -> str:
@@ -123,10 +125,7 @@ token_report as (
     liquidity_risk_score
   from token_scored where market_cap is not null)
 """.format(score=LIQUIDITY_SCORE, metrics=TOKEN_METRICS.format(src="latest_markets"))
-TOKEN_ORDER = """liquidity_risk_score desc nulls last, market_cap desc nulls last, id asc nulls last,
-  market_cap_rank asc nulls last, symbol asc nulls last, name asc nulls last, current_price asc nulls last,
-  total_volume asc nulls last, volume_to_market_cap_ratio asc nulls last, price_change_percentage_24h asc nulls last,
-  price_change_percentage_7d asc nulls last, circulating_supply_ratio asc nulls last"""
+TOKEN_ORDER = order_sql(TOKEN_RISK_ORDER)
 
 PROTOCOL_REPORT_ROWS = """
 protocol_scored as (select *, {score} as protocol_risk_score from ({metrics}) m),
@@ -136,9 +135,7 @@ protocol_report as (
     protocol_risk_score, url
   from protocol_scored where tvl is not null)
 """.format(score=PROTOCOL_SCORE, metrics=PROTOCOL_METRICS.format(src="latest_protocols"))
-PROTOCOL_ORDER = """protocol_risk_score desc nulls last, tvl desc nulls last, name asc nulls last,
-  symbol asc nulls last, chain asc nulls last, category asc nulls last, change_1d asc nulls last,
-  change_7d asc nulls last, audits asc nulls last, tvl_to_mcap_ratio asc nulls last, url asc nulls last"""
+PROTOCOL_ORDER = order_sql(PROTOCOL_RISK_ORDER)
 
 STABLE_REPORT_ROWS = """
 stable_scored as (select *, {score} as depeg_risk_score
@@ -152,9 +149,7 @@ stable_report as (
   from stable_scored where circulating_usd is not null)
 """.format(score=DEPEG_SCORE,
            metrics=STABLE_METRICS.format(src="(select * from latest_stablecoins where pegType = 'peggedUSD')"))
-STABLE_ORDER = """depeg_risk_score desc nulls last, circulating_usd desc nulls last, name asc nulls last,
-  symbol asc nulls last, pegMechanism asc nulls last, price asc nulls last, absolute_depeg asc nulls last,
-  supply_change_1d_pct asc nulls last, supply_change_7d_pct asc nulls last, chain_count asc nulls last"""
+STABLE_ORDER = order_sql(STABLECOIN_RISK_ORDER)
 
 
 # --- trends ------------------------------------------------------------------
@@ -195,11 +190,7 @@ token_trends as (
 TOKEN_TREND_SELECT = """symbol_latest, name_latest, liquidity_risk_score_previous, liquidity_risk_score_latest,
   risk_score_change, market_cap_change_pct, volume_change_pct, volume_to_market_cap_ratio_previous,
   volume_to_market_cap_ratio_latest, ingested_at_utc_previous, ingested_at_utc_latest"""
-TOKEN_TREND_ORDER = """risk_score_change desc nulls last, liquidity_risk_score_latest desc nulls last,
-  symbol_latest asc nulls last, name_latest asc nulls last, liquidity_risk_score_previous asc nulls last,
-  market_cap_change_pct asc nulls last, volume_change_pct asc nulls last,
-  volume_to_market_cap_ratio_previous asc nulls last, volume_to_market_cap_ratio_latest asc nulls last,
-  ingested_at_utc_previous asc nulls last, ingested_at_utc_latest asc nulls last"""
+TOKEN_TREND_ORDER = order_sql(trends.TOKEN_TREND_ORDER)
 
 PROTOCOL_TRENDS = """
 pro_scored as (
@@ -223,12 +214,7 @@ protocol_trends as (
 PROTOCOL_TREND_SELECT = """name_latest, symbol_latest, chain_latest, category_latest, protocol_risk_score_previous,
   protocol_risk_score_latest, risk_score_change, tvl_previous, tvl_latest, tvl_change_pct, change_1d_latest,
   change_7d_latest, audits_latest, ingested_at_utc_previous, ingested_at_utc_latest"""
-PROTOCOL_TREND_ORDER = """risk_score_change desc nulls last, protocol_risk_score_latest desc nulls last,
-  name_latest asc nulls last, symbol_latest asc nulls last, chain_latest asc nulls last,
-  category_latest asc nulls last, protocol_risk_score_previous asc nulls last, tvl_previous asc nulls last,
-  tvl_latest asc nulls last, tvl_change_pct asc nulls last, change_1d_latest asc nulls last,
-  change_7d_latest asc nulls last, audits_latest asc nulls last, ingested_at_utc_previous asc nulls last,
-  ingested_at_utc_latest asc nulls last"""
+PROTOCOL_TREND_ORDER = order_sql(trends.PROTOCOL_TREND_ORDER)
 
 ALL_REPORTS = ",\n".join([TOKEN_REPORT_ROWS.strip(), PROTOCOL_REPORT_ROWS.strip(), STABLE_REPORT_ROWS.strip(),
                           TOKEN_TRENDS.strip(), PROTOCOL_TRENDS.strip()]) + ",\n" + """

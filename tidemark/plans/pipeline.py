@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark import schemas as S
@@ -73,12 +74,17 @@ def normalize_feed(spark: SparkSession, layout: Layout, feed: str, runs: str = "
     ``runs="latest"``: only the newest landed run (the regular schedule);
     ``runs="all"``: every landed run (backfill; idempotent per run).
     """
-    if runs == "latest":
-        landed = landing.read_newest_landed(spark, layout.raw(feed), feed)
-    elif runs == "all":
-        landed = landing.read_landed(spark, layout.raw(feed), feed)
-    else:
+    if runs not in ("latest", "all"):
         raise ValueError("runs must be 'latest' or 'all'")
+    try:
+        if runs == "latest":
+            landed = landing.read_newest_landed(spark, layout.raw(feed), feed)
+        else:
+            landed = landing.read_landed(spark, layout.raw(feed), feed)
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
+            raise FileNotFoundError(f"no raw files found in {layout.raw(feed)}") from exc
+        raise
     landing.require_rows(landed.select(S.STAMP), f"landed {feed} records")
     snapshots.write_snapshots(NORMALIZERS[feed](landed), layout.snapshots(feed))
     table = snapshots.read_snapshots(spark, layout.snapshots(feed), S.FEEDS[feed]["typed"])
