@@ -62,3 +62,12 @@ def test_missing_landing_is_reported(spark, tmp_path):
 
     with pytest.raises(FileNotFoundError, match="no raw files found"):
         normalize_feed(spark, Layout(str(tmp_path / "nothing")), "markets")
+
+
+def test_cli_run(spark, tmp_path):
+    from tidemark import cli
+
+    layout = Layout(str(tmp_path / "job"))
+    land_fixture_feeds(spark, SF_SMALL, layout)
+    assert cli.main(["run", "--root", layout.root, "--runs", "all", "--no-marts"]) == 0
+    assert read_report(spark, layout, "stablecoin_depeg_risk_top50").count() == 50

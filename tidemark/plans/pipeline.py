@@ -135,7 +135,11 @@ def quality_targets(layout: Layout, trend_names: list[str]):
 
 
 def build_marts(spark: SparkSession, layout: Layout, trend_names: list[str]) -> None:
+    """D1-D7 from the written reports. The ranked reports (≤ 50 rows each) feed
+    both the KPI row and a chart, so they are cached; trend reports are read once."""
     loaded = {name: read_report(spark, layout, name) for name in list(RANKED) + trend_names}
+    for name in RANKED:
+        loaded[name] = loaded[name].cache()
     kpi = marts.kpi_row(loaded["token_liquidity_risk_top50"], loaded["defi_protocol_risk_top50"],
                         loaded["stablecoin_depeg_risk_top50"])
     kpi.write.mode("overwrite").parquet(layout.mart("kpis"))
@@ -146,6 +150,8 @@ def build_marts(spark: SparkSession, layout: Layout, trend_names: list[str]) ->
         if report in loaded:
             marts.chart_table(loaded[report], chart).coalesce(1).write.mode("overwrite") \
                 .parquet(layout.mart(f"chart_{chart}"))
+    for name in RANKED:
+        loaded[name].unpersist()
 
 
 def run_pipeline(
