@@ -26,6 +26,14 @@ def test_pipeline_backfill_and_outputs(spark, tmp_path):
     trend = read_report(spark, layout, "defi_protocol_risk_trends")
     assert trend.count() == results["defi_protocol_risk_trends"]["rows"] > 0
 
+    from tidemark.functions.scorecard import PROTOCOL_CARD
+    from tidemark.plans.pipeline import register_views
+
+    views = register_views(spark, layout)
+    assert {"markets_latest", "protocols_snapshots", "token_liquidity_risk_top50"} <= set(views)
+    top = spark.sql(f"select max({PROTOCOL_CARD.sql()}) as m from protocols_latest").first()["m"]
+    assert top == spark.sql("select max(protocol_risk_score) as m from defi_protocol_risk_top50").first()["m"]
+
 
 def test_pipeline_latest_only_single_run(spark, tmp_path):
     layout = Layout(str(tmp_path / "job"))

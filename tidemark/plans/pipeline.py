@@ -174,6 +174,29 @@ def run_pipeline(
     return results
 
 
+def register_views(spark: SparkSession, layout: Layout) -> list[str]:
+    """Expose the job's outputs to SQL as temp views: ``<feed>_latest``,
+    ``<feed>_snapshots`` and one view per written report. Together with
+    ``ScoreCard.sql()`` this lets ad-hoc SQL run over the same tables."""
+    names = []
+    for feed in FEEDS:
+        for view, reader in ((f"{feed}_latest", lambda f=feed: read_latest(spark, layout, f)),
+                             (f"{feed}_snapshots", lambda f=feed: snapshots.read_snapshots(
+                                 spark, layout.snapshots(f), S.FEEDS[f]["typed"]))):
+            try:
+                reader().createOrReplaceTempView(view)
+                names.append(view)
+            except AnalysisException:
+                continue
+    for name in REPORT_SCHEMAS:
+        try:
+            read_report(spark, layout, name).createOrReplaceTempView(name)
+            names.append(name)
+        except FileNotFoundError:
+            continue
+    return names
+
+
 # --- helpers -------------------------------------------------------------------
 
 def _order_cols(order):
