@@ -1,13 +1,13 @@
 """Output checks before publishing.
 
-Every target becomes one small aggregate (row count, and for reports the count of
-non-NULL scores); all aggregates are unioned and computed in a single job. A
-missing path is caught when its plan is built and becomes a failed row. The
+All present targets are counted by one aggregation over their tagged union (row
+count, and for reports the count of non-NULL scores). A missing path or a missing
+score column is caught when the plan is built and becomes a failed row. The
 suite returns every result (not just the first failure); ``assert_passed``
 raises listing all failures.
 
-Parquet row counts come from file footers; report scores are counted as text
-(an empty CSV field is NULL).
+Table scans read no columns; report scores are counted as text (an empty CSV
+field is NULL).
 """
 
 from __future__ import annotations
@@ -45,65 +45,98 @@ class QualityCheckFailed(ValueError):
     pass
 
 
-def _missing(spark: SparkSession, check: str, name: str, message: str) -> DataFrame:
-    return spark.createDataFrame([(check, name, None, False, message)], RESULT_SCHEMA)
-
-
 def _is_missing(exc: AnalysisException) -> bool:
     text = str(exc)
     return "PATH_NOT_FOUND" in text or "Path does not exist" in text
 
 
-def table_check(spark: SparkSession, target: TableTarget) -> DataFrame:
-    """Q1 + Q2: the table exists and holds at least one row."""
+def _tagged(df: DataFrame, check: str, target: str, score: str | None) -> DataFrame:
+    """One row per input row: (check, target, real, score-present)."""
+    present = F.col(score).isNotNull() if score else F.lit(True)
+    return df.select(F.lit(check).alias("check"), F.lit(target).alias("target"),
+                     F.lit(1).alias("_real"), present.alias("_scored"))
+
+
+def _open_table(spark: SparkSession, target: TableTarget):
+    """(rows DataFrame, None) or (None, failure message)."""
     try:
-        df = spark.read.parquet(target.path)
+        return spark.read.parquet(target.path), None
     except AnalysisException as exc:
         if _is_missing(exc):
-            return _missing(spark, "table_not_empty", target.name, f"missing table: {target.path}")
+            return None, f"missing table: {target.path}"
         raise
-    rows = F.count(F.lit(1))
-    return df.agg(
-        F.lit("table_not_empty").alias("check"), F.lit(target.name).alias("target"),
-        rows.cast("long").alias("rows"), (rows > 0).alias("passed"),
-        F.when(rows == 0, F.lit(f"table is empty: {target.path}")).alias("message"))
-
-
-def frame_check(df: DataFrame, name: str, score_column: str) -> DataFrame:
-    """Q3 on a DataFrame: not empty, score column present, score not all NULL."""
-    spark = df.sparkSession
-    if score_column not in df.columns:
-        return _missing(spark, "report_valid", name, f"missing score column: {score_column}")
-    rows = F.count(F.lit(1))
-    scored = F.count(F.col(score_column))
-    return df.agg(
-        F.lit("report_valid").alias("check"), F.lit(name).alias("target"),
-        rows.cast("long").alias("rows"), ((rows > 0) & (scored > 0)).alias("passed"),
-        F.when(rows == 0, F.lit(f"report is empty: {name}"))
-         .when(scored == 0, F.lit(f"score column is entirely null: {score_column}")).alias("message"))
 
 
-def report_check(spark: SparkSession, target: ReportTarget) -> DataFrame:
-    """Q1 + Q3 on a report file (header row gives the column names)."""
+def _open_report(spark: SparkSession, target: ReportTarget):
     try:
         df = spark.read.option("header", True).csv(target.path)
         columns = df.columns
     except AnalysisException as exc:
         if _is_missing(exc):
-            return _missing(spark, "report_valid", target.name, f"missing report: {target.path}")
+            return None, f"missing report: {target.path}"
         raise
     if target.score_column not in columns:
-        return _missing(spark, "report_valid", target.name, f"missing score column: {target.score_column}")
-    return frame_check(df.select(target.score_column), target.name, target.score_column)
+        return None, f"missing score column: {target.score_column}"
+    return df.select(target.score_column), None
 
 
 def quality_suite(spark: SparkSession, tables: list[TableTarget], reports: list[ReportTarget]) -> DataFrame:
-    """Q4: all checks as one DataFrame (check, target, rows, passed, message)."""
-    parts = [table_check(spark, t) for t in tables] + [report_check(spark, r) for r in reports]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """Q1-Q4: all checks as one DataFrame (check, target, rows, passed, message).
+
+    Every present target contributes its rows (tagged) to one union, plus one
+    marker row so that an empty target still appears; a single ``groupBy`` then
+    counts rows and non-NULL scores for all targets in one job. Missing targets
+    become failed rows without touching data.
+    """
+    markers, failures, parts = [], [], []
+    for t in tables:
+        df, problem = _open_table(spark, t)
+        if problem:
+            failures.append(("table_not_empty", t.name, None, False, problem))
+        else:
+            markers.append(("table_not_empty", t.name))
+            parts.append(_tagged(df, "table_not_empty", t.name, None))
+    for r in reports:
+        df, problem = _open_report(spark, r)
+        if problem:
+            failures.append(("report_valid", r.name, None, False, problem))
+        else:
+            markers.append(("report_valid", r.name))
+            parts.append(_tagged(df, "report_valid", r.name, r.score_column))
+    failed = spark.createDataFrame(failures, RESULT_SCHEMA)
+    if not parts:
+        return failed
+    tagged = spark.createDataFrame([(c, t, 0, False) for c, t in markers],
+                                   "check string, target string, _real int, _scored boolean")
+    for p in parts:
+        tagged = tagged.unionByName(p)
+    rows = F.sum("_real").cast("long")
+    scored = F.count_if(F.col("_scored") & (F.col("_real") == 1))
+    is_report = F.col("check") == "report_valid"
+    counted = tagged.groupBy("check", "target").agg(rows.alias("rows"), scored.alias("_n_scored"))
+    checked = counted.select(
+        "check", "target", "rows",
+        ((F.col("rows") > 0) & (~is_report | (F.col("_n_scored") > 0))).alias("passed"),
+        F.when(F.col("rows") == 0, F.concat(F.when(is_report, F.lit("report is empty: "))
+                                            .otherwise(F.lit("table is empty: ")), F.col("target")))
+         .when(is_report & (F.col("_n_scored") == 0), F.lit("score column is entirely null"))
+         .alias("message"))
+    return checked.unionByName(failed)
+
+
+def frame_check(df: DataFrame, name: str, score_column: str) -> DataFrame:
+    """Q3 on a DataFrame already in hand."""
+    spark = df.sparkSession
+    if score_column not in df.columns:
+        return spark.createDataFrame([("report_valid", name, None, False,
+                                       f"missing score column: {score_column}")], RESULT_SCHEMA)
+    rows = F.count(F.lit(1))
+    scored = F.count(F.col(score_column))
+    return df.agg(
+        F.lit("report_valid").alias("check"), F.lit(name).alias("target"),
+        rows.cast("long").alias("rows"), ((rows > 0) & (scored > 0)).alias("passed"),
+        F.when(rows == 0, F.lit(f"report is empty: {name}"))
+         .when(scored == 0, F.lit(f"score column is entirely null: {score_column}")).alias("message"))
 
 
 def assert_passed(results: DataFrame) -> list:
