@@ -141,3 +141,12 @@ def test_sized_conf():
     conf = sized_conf(10 * 1024 ** 4, 8000)
     assert int(conf["spark.sql.shuffle.partitions"]) == 81920
     assert int(sized_conf(10, 8)["spark.sql.shuffle.partitions"]) == 16
+
+
+def test_staged_sorted_report(spark, tmp_path):
+    df = spark.range(1000).select((F.col("id") % 97).alias("k"), F.col("id"))
+    path, stage = str(tmp_path / "rep"), str(tmp_path / "stage")
+    reports_io.write_report(df, path, order=[F.desc("k"), F.asc("id")], stage=stage)
+    back = reports_io.read_report(spark, path, "k long, id long")
+    assert back.count() == 1000
+    assert spark.read.parquet(stage).count() == 1000

@@ -26,6 +26,9 @@ FEEDS = ("markets", "protocols", "stablecoins")
 # Runs smaller than this on disk skip hot-key sampling in the trend join (the
 # NULL-key group is always spread; AQE still splits any skewed partition).
 HOT_KEY_SAMPLING_BYTES = 256 * 1024 * 1024
+# Trend inputs larger than this are joined once into a staging table before the
+# report's global sort (whose range sampling would otherwise re-run the join).
+STAGING_BYTES = 256 * 1024 * 1024
 
 RANKED = {
     # report name: (feed, builder, order, score column)
@@ -110,7 +113,7 @@ def trend_reports(spark: SparkSession, layout: Layout, skip_if_single: bool = Fa
     for name, (feed, build, order) in TRENDS.items():
         table = snapshots.read_snapshots(spark, layout.snapshots(feed), S.FEEDS[feed]["typed"])
         try:
-            (previous_ts, _), (latest_ts, latest_bytes) = snapshots.newest_runs_with_size(
+            (previous_ts, previous_bytes), (latest_ts, latest_bytes) = snapshots.newest_runs_with_size(
                 spark, layout.snapshots(feed), 2)
         except ValueError:
             if skip_if_single:
@@ -120,9 +123,9 @@ def trend_reports(spark: SparkSession, layout: Layout, skip_if_single: bool = Fa
         previous = snapshots.pick_snapshot(table, previous_ts)
         # Only a large run can hold a key hot enough to matter; sample those.
         hot = "auto" if latest_bytes >= HOT_KEY_SAMPLING_BYTES else None
+        stage = layout.staging(name) if latest_bytes + previous_bytes >= STAGING_BYTES else None
         reports_io.write_report(build(latest, previous, hot_keys=hot), layout.report(name),
-                                order=list(_order_cols(order)),
-                                stage=layout.staging(name))
+                                order=list(_order_cols(order)), stage=stage)
         written.append(name)
     return written
 
