@@ -150,3 +150,15 @@ def test_staged_sorted_report(spark, tmp_path):
     back = reports_io.read_report(spark, path, "k long, id long")
     assert back.count() == 1000
     assert spark.read.parquet(stage).count() == 1000
+
+
+def test_backfill_write_rebalances(spark, tmp_path):
+    root = str(tmp_path / "snap")
+    df = spark.range(4000).select(F.col("id").cast("string").alias("id"),
+                                  F.concat(F.lit("2024010"), (F.col("id") % 3 + 1).cast("string"),
+                                           F.lit("T000000Z")).alias(S.STAMP)).repartition(8)
+    snapshots.write_snapshots(df, root, many_runs=True)
+    table = snapshots.read_snapshots(spark, root, df.schema)
+    assert table.count() == 4000
+    files = spark.read.format("binaryFile").load(root).groupBy("snapshot_ts").count().collect()
+    assert len(files) == 3 and all(r["count"] < 8 for r in files)

@@ -89,7 +89,7 @@ def normalize_feed(spark: SparkSession, layout: Layout, feed: str, runs: str = "
             raise FileNotFoundError(f"no raw files found in {layout.raw(feed)}") from exc
         raise
     landing.require_rows(landed.select(S.STAMP), f"landed {feed} records")
-    snapshots.write_snapshots(NORMALIZERS[feed](landed), layout.snapshots(feed))
+    snapshots.write_snapshots(NORMALIZERS[feed](landed), layout.snapshots(feed), many_runs=(runs == "all"))
     table = snapshots.read_snapshots(spark, layout.snapshots(feed), S.FEEDS[feed]["typed"])
     newest = snapshots.newest_stamps(snapshots.stamps_at(spark, layout.snapshots(feed)), 1)[0]
     latest = snapshots.pick_snapshot(table, newest).drop(*S.SNAPSHOT_PARTITIONS)

@@ -32,9 +32,18 @@ def with_snapshot_partitions(df: DataFrame, stamp: str = S.STAMP) -> DataFrame:
     return df.withColumns({"ingestion_date": stamp_date(checked), "snapshot_ts": format_stamp(checked)})
 
 
-def write_snapshots(df: DataFrame, root: str, stamp: str = S.STAMP) -> None:
-    """Write the rows of one or more runs into the snapshot table at ``root``."""
-    (with_snapshot_partitions(df, stamp)
+def write_snapshots(df: DataFrame, root: str, stamp: str = S.STAMP, many_runs: bool = False) -> None:
+    """Write the rows of one or more runs into the snapshot table at ``root``.
+
+    One run: tasks write straight to its partition (no shuffle). ``many_runs``
+    (backfill): a ``rebalance`` hint on the partition columns lets AQE give each
+    run files of the advisory size — a run holding a third of the rows is split,
+    small runs are merged — instead of every task writing a small file per run.
+    """
+    out = with_snapshot_partitions(df, stamp)
+    if many_runs:
+        out = out.hint("rebalance", *S.SNAPSHOT_PARTITIONS)
+    (out
      .write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy(*S.SNAPSHOT_PARTITIONS)
