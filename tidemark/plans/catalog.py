@@ -82,7 +82,7 @@ def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- metrics (E1-E8) ------------------------------------------------------------
 
 @register("ratio_volume_mcap", "E1",
-          sql.with_adapters("x as (select 1) select id, ingested_at_utc, case when market_cap > 0 then "
+          sql.with_adapters("select id, ingested_at_utc, case when market_cap > 0 then "
                             "total_volume / market_cap end as volume_to_market_cap_ratio from fx_markets"))
 def q_ratio_volume_mcap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.token_metrics(fx.fx_markets(spark, sf_dir)).select(
@@ -90,7 +90,7 @@ def q_ratio_volume_mcap(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("ratio_circulating", "E2",
-          sql.with_adapters("x as (select 1) select id, ingested_at_utc, case when circulating_supply > 0 and "
+          sql.with_adapters("select id, ingested_at_utc, case when circulating_supply > 0 and "
                             "total_supply > 0 then circulating_supply / total_supply end as circulating_supply_ratio "
                             "from fx_markets"))
 def q_ratio_circulating(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,7 +99,7 @@ def q_ratio_circulating(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("ratio_tvl_mcap", "E3",
-          sql.with_adapters("x as (select 1) select name, ingested_at_utc, case when mcap > 0 then tvl / mcap end "
+          sql.with_adapters("select name, ingested_at_utc, case when mcap > 0 then tvl / mcap end "
                             "as tvl_to_mcap_ratio from fx_protocols"))
 def q_ratio_tvl_mcap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.protocol_metrics(fx.fx_protocols(spark, sf_dir)).select(
@@ -107,7 +107,7 @@ def q_ratio_tvl_mcap(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("peg_distance", "E4",
-          sql.with_adapters("x as (select 1) select name, abs(price - 1.0) as absolute_depeg from fx_stablecoins"))
+          sql.with_adapters("select name, abs(price - 1.0) as absolute_depeg from fx_stablecoins"))
 def q_peg_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.stablecoin_metrics(fx.fx_stablecoins(spark, sf_dir)).select("name", "absolute_depeg")
 
@@ -129,7 +129,7 @@ def q_supply_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("rounding", "E8",
-          sql.with_adapters("x as (select 1) select name, ingested_at_utc, round(tvl, 2) as tvl_2, "
+          sql.with_adapters("select name, ingested_at_utc, round(tvl, 2) as tvl_2, "
                             "round(change_1d / 7, 4) as change_1d_4, round(change_7d / 300000, 6) as change_7d_6, "
                             "round(mcap / 3, 2) as mcap_2, round(-change_1d / 1000, 2) as small_2 from fx_protocols"))
 def q_rounding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -222,13 +222,13 @@ for _name, _card, _keys, _bands, _total, _score_sql in [
 # --- filters (P6, P7) -------------------------------------------------------------
 
 @register("filter_pegged_usd", "P6",
-          sql.with_adapters("x as (select 1) select name, pegType from fx_stablecoins where pegType = 'peggedUSD'"))
+          sql.with_adapters("select name, pegType from fx_stablecoins where pegType = 'peggedUSD'"))
 def q_filter_pegged_usd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.pegged_usd_only(fx.fx_stablecoins(spark, sf_dir)).select("name", "pegType")
 
 
 @register("filter_not_null", "P7",
-          sql.with_adapters("x as (select 1) select id, ingested_at_utc, market_cap from fx_markets "
+          sql.with_adapters("select id, ingested_at_utc, market_cap from fx_markets "
                             "where market_cap is not null"))
 def q_filter_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import functions as F
@@ -257,7 +257,7 @@ def q_join_snapshots_null_safe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("token_liquidity_risk_trends", "R4 J1 E9 E10 P9 S10 S11",
-          sql.with_adapters(sql.TOKEN_TRENDS + f", x as (select 1) select {sql.TOKEN_TREND_SELECT} from token_trends"))
+          sql.with_adapters(sql.TOKEN_TRENDS + f" select {sql.TOKEN_TREND_SELECT} from token_trends"))
 def q_token_liquidity_risk_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.operators import trends
 
@@ -265,7 +265,7 @@ def q_token_liquidity_risk_trends(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 @register("defi_protocol_risk_trends", "R5 J1 E9 E11 P9 S10 S11",
-          sql.with_adapters(sql.PROTOCOL_TRENDS + f", x as (select 1) select {sql.PROTOCOL_TREND_SELECT} "
+          sql.with_adapters(sql.PROTOCOL_TRENDS + f" select {sql.PROTOCOL_TREND_SELECT} "
                             "from protocol_trends"))
 def q_defi_protocol_risk_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.operators import trends
@@ -274,7 +274,7 @@ def q_defi_protocol_risk_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("pct_change_unguarded", "E10",
-          sql.with_adapters(sql.TOKEN_TRENDS + ", x as (select 1) select id, market_cap_change_pct, "
+          sql.with_adapters(sql.TOKEN_TRENDS + " select id, market_cap_change_pct, "
                             "volume_change_pct from token_trends"))
 def q_pct_change_unguarded(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.functions.arith import pct_change_ieee
@@ -290,7 +290,7 @@ def q_pct_change_unguarded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("pct_change_guarded", "E11",
-          sql.with_adapters(sql.PROTOCOL_TRENDS + ", x as (select 1) select name_latest, name_previous, "
+          sql.with_adapters(sql.PROTOCOL_TRENDS + " select name_latest, name_previous, "
                             "tvl_change_pct from protocol_trends"))
 def q_pct_change_guarded(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.functions.arith import guarded_pct_change
@@ -354,7 +354,7 @@ def q_coerce_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("stamp_partition_date", "C3 C4 S3",
-          sql.with_adapters("x as (select 1) select distinct ingested_at_utc, "
+          sql.with_adapters("select distinct ingested_at_utc, "
                             "strftime(strptime(ingested_at_utc, '%Y%m%dT%H%M%SZ'), '%Y-%m-%d') as ingestion_date, "
                             "strftime(strptime(ingested_at_utc, '%Y%m%dT%H%M%SZ'), '%Y%m%dT%H%M%SZ') as snapshot_ts "
                             "from fx_markets"))
@@ -505,18 +505,29 @@ def q_snapshot_newest_two(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- report files, quality, marts, job (S13-S15, Q1-Q4, D1-D7, L1) --------------------------
 
-def _all_reports(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+REPORT_NAMES = ["token_liquidity_risk_top50", "defi_protocol_risk_top50", "stablecoin_depeg_risk_top50",
+                "token_liquidity_risk_trends", "defi_protocol_risk_trends"]
+
+
+def _report(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the five reports, built from the test-table feeds."""
     from tidemark.operators import trends
 
-    return {
-        "token_liquidity_risk_top50": reports.token_liquidity_risk(latest_markets(spark, sf_dir)),
-        "defi_protocol_risk_top50": reports.defi_protocol_risk(latest_protocols(spark, sf_dir)),
-        "stablecoin_depeg_risk_top50": reports.stablecoin_depeg_risk(latest_stablecoins(spark, sf_dir)),
-        "token_liquidity_risk_trends": trends.trends_from_history(
-            fx.fx_markets(spark, sf_dir), trends.token_liquidity_risk_trends),
-        "defi_protocol_risk_trends": trends.trends_from_history(
-            fx.fx_protocols(spark, sf_dir), trends.defi_protocol_risk_trends),
-    }
+    if name == "token_liquidity_risk_top50":
+        return reports.token_liquidity_risk(latest_markets(spark, sf_dir))
+    if name == "defi_protocol_risk_top50":
+        return reports.defi_protocol_risk(latest_protocols(spark, sf_dir))
+    if name == "stablecoin_depeg_risk_top50":
+        return reports.stablecoin_depeg_risk(latest_stablecoins(spark, sf_dir))
+    if name == "token_liquidity_risk_trends":
+        return trends.trends_from_history(fx.fx_markets(spark, sf_dir), trends.token_liquidity_risk_trends)
+    if name == "defi_protocol_risk_trends":
+        return trends.trends_from_history(fx.fx_protocols(spark, sf_dir), trends.defi_protocol_risk_trends)
+    raise KeyError(name)
+
+
+def _all_reports(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return {name: _report(spark, sf_dir, name) for name in REPORT_NAMES}
 
 
 @register("report_preview", "S13 S14 S15 D7", sql.REPORT_PREVIEW)
@@ -583,32 +594,18 @@ def _chart_builder(chart: str, report: str) -> Builder:
     def build(spark: SparkSession, sf_dir: str) -> DataFrame:
         from tidemark.operators.marts import chart_table
 
-        return chart_table(_all_reports_one(spark, sf_dir, report), chart)
+        return chart_table(_report(spark, sf_dir, report), chart)
     return build
 
 
-def _all_reports_one(spark: SparkSession, sf_dir: str, report: str) -> DataFrame:
-    from tidemark.operators import trends
-
-    if report == "token_liquidity_risk_top50":
-        return reports.token_liquidity_risk(latest_markets(spark, sf_dir))
-    if report == "defi_protocol_risk_top50":
-        return reports.defi_protocol_risk(latest_protocols(spark, sf_dir))
-    if report == "stablecoin_depeg_risk_top50":
-        return reports.stablecoin_depeg_risk(latest_stablecoins(spark, sf_dir))
-    if report == "token_liquidity_risk_trends":
-        return trends.trends_from_history(fx.fx_markets(spark, sf_dir), trends.token_liquidity_risk_trends)
-    return trends.trends_from_history(fx.fx_protocols(spark, sf_dir), trends.defi_protocol_risk_trends)
-
-
-for _chart, _report, _cover in [
+for _chart, _report_name, _cover in [
     ("token_risk", "token_liquidity_risk_top50", "D2 O5 O7"),
     ("token_trends", "token_liquidity_risk_trends", "D3 O6 O7"),
     ("protocol_risk", "defi_protocol_risk_top50", "D4 O5 O7"),
     ("protocol_trends", "defi_protocol_risk_trends", "D5 O6 O7"),
     ("stablecoin_risk", "stablecoin_depeg_risk_top50", "D6 O5 O7"),
 ]:
-    register(f"chart_{_chart}", _cover, sql.CHARTS[f"chart_{_chart}"])(_chart_builder(_chart, _report))
+    register(f"chart_{_chart}", _cover, sql.CHARTS[f"chart_{_chart}"])(_chart_builder(_chart, _report_name))
 
 
 @register("pipeline_run", "L1 (all steps)", sql.PIPELINE_RUN)

@@ -108,8 +108,14 @@ B_CHAINS = sc.CHAINS_BAND.sql()
 DEPEG_SCORE = sc.DEPEG_CARD.sql()
 
 
+def _join(ctes: str, body: str) -> str:
+    """Append ``body`` (more CTEs, or the final select) to a CTE list."""
+    body = body.strip()
+    return f"{ctes} {body}" if body.lower().startswith("select") else f"{ctes}, {body}"
+
+
 def with_adapters(body: str) -> str:
-    return f"with {ADAPTERS}, {body}"
+    return "with " + _join(ADAPTERS, body)
 
 
 # --- ranked reports ----------------------------------------------------------
@@ -225,7 +231,7 @@ stable_top as (select * from stable_report order by {s} limit 50)
 
 
 def with_reports(body: str) -> str:
-    return with_adapters(ALL_REPORTS + ", " + body)
+    return with_adapters(_join(ALL_REPORTS.rstrip().rstrip(","), body))
 
 
 # --- coercion fixtures ----------------------------------------------------------
@@ -281,8 +287,7 @@ from ({TIME_TEXT}) t
 
 # --- landing, normalisation, snapshots, quality, marts ----------------------------
 
-NORMALIZE_MARKETS = with_adapters("""x as (select 1)
-select id, symbol, name, current_price, market_cap, market_cap_rank, total_volume, price_change_percentage_24h,
+NORMALIZE_MARKETS = with_adapters("""select id, symbol, name, current_price, market_cap, market_cap_rank, total_volume, price_change_percentage_24h,
   price_change_percentage_7d_in_currency, circulating_supply, total_supply, ingested_at_utc,
   case when k % 25 = 0 then null
        else concat(substr(ingested_at_utc, 1, 4), '-', lpad(cast(k % 12 + 1 as varchar), 2, '0'), '-15 10:20:30')
@@ -290,17 +295,14 @@ select id, symbol, name, current_price, market_cap, market_cap_rank, total_volum
   'coingecko' as source_file
 from fx_markets""")
 
-NORMALIZE_PROTOCOLS = with_adapters("""x as (select 1)
-select id, name, symbol, chain, category, tvl, change_1d, change_7d, mcap, audits, url, ingested_at_utc
+NORMALIZE_PROTOCOLS = with_adapters("""select id, name, symbol, chain, category, tvl, change_1d, change_7d, mcap, audits, url, ingested_at_utc
 from fx_protocols""")
 
-NORMALIZE_STABLECOINS = with_adapters("""x as (select 1)
-select id, name, symbol, pegType, pegMechanism, price, circulating_usd, circulatingPrevDay_usd,
+NORMALIZE_STABLECOINS = with_adapters("""select id, name, symbol, pegType, pegMechanism, price, circulating_usd, circulatingPrevDay_usd,
   circulatingPrevWeek_usd, cast(null as double) as circulatingPrevMonth_usd, chain_count, ingested_at_utc
 from fx_stablecoins""")
 
-RAW_MANIFEST = with_adapters("""x as (select 1)
-select 'coingecko' as source, 'markets' as endpoint, ingested_at_utc, count(*) as record_count
+RAW_MANIFEST = with_adapters("""select 'coingecko' as source, 'markets' as endpoint, ingested_at_utc, count(*) as record_count
   from fx_markets group by ingested_at_utc
 union all
 select 'defillama' as source, 'protocols' as endpoint, ingested_at_utc, count(*) as record_count
@@ -309,20 +311,17 @@ union all
 select 'defillama' as source, 'stablecoins' as endpoint, ingested_at_utc, count(*) as record_count
   from fx_stablecoins group by ingested_at_utc""")
 
-LATEST_RAW_SELECTION = with_adapters("""x as (select 1)
-select id, symbol, ingested_at_utc, 'coingecko' as source, 'markets' as endpoint from latest_markets""")
+LATEST_RAW_SELECTION = with_adapters("""select id, symbol, ingested_at_utc, 'coingecko' as source, 'markets' as endpoint from latest_markets""")
 
-SNAPSHOT_WRITE_READ = with_adapters("""x as (select 1)
-select strftime(strptime(ingested_at_utc, '%Y%m%dT%H%M%SZ'), '%Y-%m-%d') as ingestion_date,
+SNAPSHOT_WRITE_READ = with_adapters("""select strftime(strptime(ingested_at_utc, '%Y%m%dT%H%M%SZ'), '%Y-%m-%d') as ingestion_date,
   ingested_at_utc as snapshot_ts, count(*) as rows, cast(sum(market_cap_rank) as bigint) as rank_sum
 from fx_markets group by ingested_at_utc""")
 
-SNAPSHOT_NEWEST_TWO = with_adapters("""x as (select 1)
-select ingested_at_utc as snapshot_ts, count(*) as rows from fx_protocols
+SNAPSHOT_NEWEST_TWO = with_adapters("""select ingested_at_utc as snapshot_ts, count(*) as rows from fx_protocols
 where ingested_at_utc in (select distinct ingested_at_utc from fx_protocols order by 1 desc limit 2)
 group by ingested_at_utc""")
 
-REPORT_PREVIEW = with_reports(f"x as (select 1) select * from token_report order by {TOKEN_ORDER} limit 15")
+REPORT_PREVIEW = with_reports(f"select * from token_report order by {TOKEN_ORDER} limit 15")
 
 
 def _check_row(check: str, target: str, rows: str, passed: str) -> str:
@@ -342,16 +341,15 @@ _OUTPUT_ROWS = [
     _check_row("report_valid", "token_liquidity_risk_trends", "(select count(*) from token_trends)", "true"),
     _check_row("report_valid", "defi_protocol_risk_trends", "(select count(*) from protocol_trends)", "true"),
 ]
-PIPELINE_RUN = with_reports("x as (select 1) " + "\nunion all\n".join(_OUTPUT_ROWS))
-QUALITY_CHECKS = with_reports("x as (select 1) " + "\nunion all\n".join(_OUTPUT_ROWS + [
+PIPELINE_RUN = with_reports("" + "\nunion all\n".join(_OUTPUT_ROWS))
+QUALITY_CHECKS = with_reports("" + "\nunion all\n".join(_OUTPUT_ROWS + [
     _check_row("table_not_empty", "empty_table", "0", "false"),
     _check_row("report_valid", "missing_report", "null", "false"),
     _check_row("report_valid", "no_score_column", "null", "false"),
     _check_row("report_valid", "null_scores", "(select count(*) from token_top)", "false"),
 ]))
 
-DASHBOARD_KPIS = with_reports(f"""x as (select 1)
-select (select count(*) from token_top) as tracked_tokens,
+DASHBOARD_KPIS = with_reports(f"""select (select count(*) from token_top) as tracked_tokens,
   (select count(*) from protocol_top) as tracked_protocols,
   (select count(*) from stable_top) as tracked_stablecoins,
   (select symbol from stable_top order by {STABLE_ORDER} limit 1) as top_stablecoin_symbol,
@@ -359,20 +357,20 @@ select (select count(*) from token_top) as tracked_tokens,
 
 CHARTS = {
     "chart_token_risk": with_reports(
-        "x as (select 1) select symbol, liquidity_risk_score, name, market_cap, total_volume, "
+        "select symbol, liquidity_risk_score, name, market_cap, total_volume, "
         f"volume_to_market_cap_ratio from token_top order by {TOKEN_ORDER} limit 20"),
     "chart_token_trends": with_reports(
-        "x as (select 1) select symbol_latest, risk_score_change, name_latest, liquidity_risk_score_previous, "
+        "select symbol_latest, risk_score_change, name_latest, liquidity_risk_score_previous, "
         "liquidity_risk_score_latest, market_cap_change_pct, volume_change_pct "
         f"from token_trends order by {TOKEN_TREND_ORDER} limit 20"),
     "chart_protocol_risk": with_reports(
-        "x as (select 1) select name, protocol_risk_score, chain, category, tvl, change_1d, change_7d "
+        "select name, protocol_risk_score, chain, category, tvl, change_1d, change_7d "
         f"from protocol_top order by {PROTOCOL_ORDER} limit 20"),
     "chart_protocol_trends": with_reports(
-        "x as (select 1) select name_latest, risk_score_change, chain_latest, category_latest, "
+        "select name_latest, risk_score_change, chain_latest, category_latest, "
         "protocol_risk_score_previous, protocol_risk_score_latest, tvl_previous, tvl_latest, tvl_change_pct "
         f"from protocol_trends order by {PROTOCOL_TREND_ORDER} limit 20"),
     "chart_stablecoin_risk": with_reports(
-        "x as (select 1) select symbol, depeg_risk_score, name, price, absolute_depeg, circulating_usd, "
+        "select symbol, depeg_risk_score, name, price, absolute_depeg, circulating_usd, "
         f"supply_change_1d_pct, supply_change_7d_pct from stable_top order by {STABLE_ORDER} limit 20"),
 }
