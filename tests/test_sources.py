@@ -162,3 +162,28 @@ def test_backfill_write_rebalances(spark, tmp_path):
     assert table.count() == 4000
     files = spark.read.format("binaryFile").load(root).groupBy("snapshot_ts").count().collect()
     assert len(files) == 3 and all(r["count"] < 8 for r in files)
+
+
+def test_read_runs_by_path(spark, tmp_path):
+    root = str(tmp_path / "snap")
+    df = spark.createDataFrame([("a", 1.0, "20240101T000000Z"), ("b", 2.0, "20240102T120000Z"),
+                                ("c", 3.0, "20240103T000000Z")], f"id string, v double, {S.STAMP} string")
+    snapshots.write_snapshots(df, root)
+    two = snapshots.read_runs(spark, root, df.schema, ["20240102T120000Z", "20240103T000000Z"])
+    assert sorted((r["id"], r["snapshot_ts"], r["ingestion_date"]) for r in two.collect()) == [
+        ("b", "20240102T120000Z", "2024-01-02"), ("c", "20240103T000000Z", "2024-01-03")]
+    plan = two._jdf.queryExecution().executedPlan().toString()
+    assert "InMemoryFileIndex(2 paths)" in plan
+
+
+def test_read_landed_run(spark, tmp_path):
+    root = str(tmp_path / "raw")
+    recs = spark.createDataFrame([("p1", "10"), ("p2", "x")], "id string, tvl string")
+    landing.land_records(recs, root, "s", "e", "20240101T000000Z")
+    landing.land_records(recs.limit(1), root, "s", "e", "20240102T000000Z")
+    stamp = landing.newest_landed_stamp_value(spark, root)
+    run = landing.read_landed_run(spark, root, "protocols", stamp)
+    assert stamp == "20240102T000000Z" and run.count() == 1
+    assert run.first()[S.STAMP] == stamp
+    with pytest.raises(Exception):
+        landing.newest_landed_stamp_value(spark, str(tmp_path / "none"))

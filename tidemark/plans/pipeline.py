@@ -81,7 +81,8 @@ def normalize_feed(spark: SparkSession, layout: Layout, feed: str, runs: str = "
         raise ValueError("runs must be 'latest' or 'all'")
     try:
         if runs == "latest":
-            landed = landing.read_newest_landed(spark, layout.raw(feed), feed)
+            stamp = landing.newest_landed_stamp_value(spark, layout.raw(feed))
+            landed = landing.read_landed_run(spark, layout.raw(feed), feed, stamp)
         else:
             landed = landing.read_landed(spark, layout.raw(feed), feed)
     except AnalysisException as exc:
@@ -90,9 +91,9 @@ def normalize_feed(spark: SparkSession, layout: Layout, feed: str, runs: str = "
         raise
     landing.require_rows(landed.select(S.STAMP), f"landed {feed} records")
     snapshots.write_snapshots(NORMALIZERS[feed](landed), layout.snapshots(feed), many_runs=(runs == "all"))
-    table = snapshots.read_snapshots(spark, layout.snapshots(feed), S.FEEDS[feed]["typed"])
     newest = snapshots.newest_stamps(snapshots.stamps_at(spark, layout.snapshots(feed)), 1)[0]
-    latest = snapshots.pick_snapshot(table, newest).drop(*S.SNAPSHOT_PARTITIONS)
+    latest = snapshots.read_runs(spark, layout.snapshots(feed), S.FEEDS[feed]["typed"], [newest]) \
+        .drop(*S.SNAPSHOT_PARTITIONS)
     snapshots.write_latest(latest, layout.latest(feed))
 
 
@@ -111,7 +112,6 @@ def trend_reports(spark: SparkSession, layout: Layout, skip_if_single: bool = Fa
     runs this raises, unless ``skip_if_single``."""
     written = []
     for name, (feed, build, order) in TRENDS.items():
-        table = snapshots.read_snapshots(spark, layout.snapshots(feed), S.FEEDS[feed]["typed"])
         try:
             (previous_ts, previous_bytes), (latest_ts, latest_bytes) = snapshots.newest_runs_with_size(
                 spark, layout.snapshots(feed), 2)
@@ -119,8 +119,9 @@ def trend_reports(spark: SparkSession, layout: Layout, skip_if_single: bool = Fa
             if skip_if_single:
                 continue
             raise
-        latest = snapshots.pick_snapshot(table, latest_ts)
-        previous = snapshots.pick_snapshot(table, previous_ts)
+        both = snapshots.read_runs(spark, layout.snapshots(feed), S.FEEDS[feed]["typed"], [previous_ts, latest_ts])
+        latest = snapshots.pick_snapshot(both, latest_ts)
+        previous = snapshots.pick_snapshot(both, previous_ts)
         # Only a large run can hold a key hot enough to matter; sample those.
         hot = "auto" if latest_bytes >= HOT_KEY_SAMPLING_BYTES else None
         stage = layout.staging(name) if latest_bytes + previous_bytes >= STAGING_BYTES else None

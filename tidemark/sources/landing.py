@@ -61,6 +61,21 @@ def partition_values(spark: SparkSession, root: str, column: str) -> DataFrame:
     return spark.read.format("binaryFile").load(root).select(column).distinct()
 
 
+def newest_landed_stamp_value(spark: SparkSession, root: str) -> str:
+    """The newest landed run stamp (one string to the driver), from the listing."""
+    stamp = partition_values(spark, root, S.STAMP).select(F.max(S.STAMP)).first()[0]
+    if stamp is None:
+        raise FileNotFoundError(f"no raw files found in {root}")
+    return stamp
+
+
+def read_landed_run(spark: SparkSession, root: str, feed: str, stamp: str) -> DataFrame:
+    """One landed run, read by its partition folder (only that folder is listed)."""
+    schema = S.landed_schema(S.FEEDS[feed]["raw"])
+    return (spark.read.schema(schema).option("mode", "FAILFAST").option("basePath", root)
+            .json(f"{root}/{S.STAMP}={stamp}"))
+
+
 def landed_newest_stamp(spark: SparkSession, root: str) -> Column:
     """Newest landed run stamp as a scalar subquery over the file listing."""
     return partition_values(spark, root, S.STAMP).select(F.max(S.STAMP)).scalar()

@@ -55,6 +55,18 @@ def read_snapshots(spark: SparkSession, root: str, schema: T.StructType) -> Data
     return spark.read.schema(S.snapshot_schema(schema)).parquet(root)
 
 
+def run_path(root: str, stamp: str) -> str:
+    """Partition folder of one run (stamps are ``yyyyMMdd'T'HHmmss'Z'``)."""
+    return f"{root}/ingestion_date={stamp[0:4]}-{stamp[4:6]}-{stamp[6:8]}/snapshot_ts={stamp}"
+
+
+def read_runs(spark: SparkSession, root: str, schema: T.StructType, stamps: list[str]) -> DataFrame:
+    """Only the given runs, read by their partition folders: the driver lists
+    those folders instead of the whole table (which may hold years of runs)."""
+    return (spark.read.schema(S.snapshot_schema(schema)).option("basePath", root)
+            .parquet(*[run_path(root, s) for s in stamps]))
+
+
 def snapshot_stamps(snapshots: DataFrame) -> DataFrame:
     """Distinct run stamps; reads the partition column only."""
     return snapshots.select("snapshot_ts").distinct()
