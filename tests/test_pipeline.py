@@ -79,3 +79,20 @@ def test_cli_run(spark, tmp_path):
     land_fixture_feeds(spark, SF_SMALL, layout)
     assert cli.main(["run", "--root", layout.root, "--runs", "all", "--no-marts"]) == 0
     assert read_report(spark, layout, "stablecoin_depeg_risk_top50").count() == 50
+
+
+def test_latest_table_is_the_run_just_processed(spark, tmp_path):
+    from tidemark.plans.pipeline import normalize_feed, read_latest
+
+    layout = Layout(str(tmp_path / "job"))
+    raw = fx.protocols_raw(spark, SF_SMALL)
+    stamps = sorted(r[0] for r in raw.select(S.STAMP).distinct().collect())
+    landing.land_records(raw, layout.raw("protocols"), *fx.ENDPOINTS["protocols"], F.col(S.STAMP))
+    normalize_feed(spark, layout, "protocols", runs="all")
+    assert {r[0] for r in read_latest(spark, layout, "protocols").select(S.STAMP).distinct().collect()} == {stamps[-1]}
+    # Re-land an older run under a new, newest stamp: the latest table follows the processed run.
+    newer = "29990101T000000Z"
+    landing.land_records(raw.where(F.col(S.STAMP) == stamps[0]).drop(S.STAMP), layout.raw("protocols"),
+                         *fx.ENDPOINTS["protocols"], newer)
+    normalize_feed(spark, layout, "protocols")
+    assert {r[0] for r in read_latest(spark, layout, "protocols").select(S.STAMP).distinct().collect()} == {newer}

@@ -91,7 +91,8 @@ def normalize_feed(spark: SparkSession, layout: Layout, feed: str, runs: str = "
         raise
     landing.require_rows(landed.select(S.STAMP), f"landed {feed} records")
     snapshots.write_snapshots(NORMALIZERS[feed](landed), layout.snapshots(feed), many_runs=(runs == "all"))
-    newest = snapshots.newest_stamps(snapshots.stamps_at(spark, layout.snapshots(feed)), 1)[0]
+    # The latest table is the run just processed (with a backfill: the newest run).
+    newest = stamp if runs == "latest" else snapshots.newest_stamps(snapshots.stamps_at(spark, layout.snapshots(feed)), 1)[0]
     latest = snapshots.read_runs(spark, layout.snapshots(feed), S.FEEDS[feed]["typed"], [newest]) \
         .drop(*S.SNAPSHOT_PARTITIONS)
     snapshots.write_latest(latest, layout.latest(feed))
