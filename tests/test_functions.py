@@ -17,7 +17,8 @@ NUMBERS = [("12.5", 12.5), (" 5 ", 5.0), ("1e3", 1000.0), ("+7", 7.0), (".5", 0.
            ("-3.25E-2", -0.0325), ("007", 7.0), ("123456789012345678901234567890", 1.2345678901234568e29),
            ("", None), ("abc", None), ("parent#1", None), ("5d", None), ("5f", None), ("0x10", None),
            ("1_000", None), ("1,000", None), ("NaN", None), ("nan", None), (None, None), ("true", None),
-           ("inf", math.inf), ("Infinity", math.inf), ("-inf", -math.inf), (" -INFINITY ", -math.inf)]
+           ("inf", math.inf), ("Infinity", math.inf), ("-inf", -math.inf), (" -INFINITY ", -math.inf),
+           ("\u0660", None), ("\u0663.5", None), ("\u20035", None)]  # non-ASCII digits / space: not numbers
 
 
 def test_to_number(spark):
