@@ -89,3 +89,35 @@ NORMALIZERS = {
     "protocols": normalize_protocols,
     "stablecoins": normalize_stablecoins,
 }
+
+
+def conform(df: DataFrame, feed: str) -> DataFrame:
+    """Map an already processed table (e.g. parquet written by pandas) onto the
+    feed's fixed schema: missing columns become typed NULLs, integral or text
+    numbers are coerced like raw values, epoch-nanosecond timestamps (how such
+    files store them) become TIMESTAMP, extra columns are dropped."""
+    target = S.FEEDS[feed]["typed"]
+    cols = []
+    for field in target.fields:
+        name, want = field.name, field.dataType
+        if name not in df.columns:
+            cols.append(F.lit(None).cast(want).alias(name))
+            continue
+        have = df.schema[name].dataType
+        c = F.col(name)
+        if isinstance(want, T.TimestampType) and isinstance(have, (T.LongType, T.IntegerType)):
+            out = F.timestamp_micros(F.floor(c / 1000))
+        elif isinstance(want, T.TimestampType) and isinstance(have, T.StringType):
+            out = to_timestamp_loose(c)
+        elif isinstance(want, T.LongType):
+            out = to_whole_number(c, "bigint")
+        elif isinstance(want, T.IntegerType):
+            out = to_whole_number(c, "int")
+        elif isinstance(want, T.DoubleType):
+            out = c if isinstance(have, T.DoubleType) else to_number(c)
+        elif isinstance(want, T.StringType) and not isinstance(have, T.StringType):
+            out = c.cast("string")
+        else:
+            out = c.try_cast(want)
+        cols.append(out.cast(want).alias(name))
+    return df.select(*cols)

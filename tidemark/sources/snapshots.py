@@ -67,6 +67,17 @@ def read_runs(spark: SparkSession, root: str, schema: T.StructType, stamps: list
             .parquet(*[run_path(root, s) for s in stamps]))
 
 
+def read_processed(spark: SparkSession, path: str, feed: str) -> DataFrame:
+    """A processed table written by another tool (a latest file, or a folder of
+    per-run files such as ``ingestion_date=YYYY-MM-DD/<feed>_<stamp>.parquet``),
+    conformed to the feed's schema. Files from pandas store timestamps as
+    nanoseconds, which Spark reads only as integers — the reader is told so."""
+    from tidemark.operators.normalize import conform
+
+    spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
+    return conform(spark.read.parquet(path), feed)
+
+
 def snapshot_stamps(snapshots: DataFrame) -> DataFrame:
     """Distinct run stamps; reads the partition column only."""
     return snapshots.select("snapshot_ts").distinct()
