@@ -38,3 +38,16 @@ def test_pandas_tables(spark, tmp_path):
         history, trends.token_liquidity_risk_trends).collect()}
     assert rows["L"]["market_cap_change_pct"] == -100.0
     assert rows["B"]["risk_score_change"] == 0
+
+
+def test_pandas_written_report(spark, tmp_path):
+    from tidemark.sources.reports_io import read_report
+
+    path = tmp_path / "trend"
+    path.mkdir()
+    pd.DataFrame({"name": ["a", "b", "c", "d"], "pct": [float("inf"), float("-inf"), None, 12.5]}).to_csv(
+        path / "report.csv", index=False)
+    (path / "spark.csv").write_text("name,pct\ne,Infinity\nf,-Infinity\n")
+    back = {r["name"]: r["pct"] for r in read_report(spark, str(path), "name string, pct double").collect()}
+    assert back == {"a": float("inf"), "b": float("-inf"), "c": None, "d": 12.5,
+                    "e": float("inf"), "f": float("-inf")}

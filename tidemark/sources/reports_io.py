@@ -39,7 +39,10 @@ def write_report(df: DataFrame, path: str, order: list[Column] | None = None,
 def read_report(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
     """Read a report back. ``schema=None`` takes column names from the header and
     reads every column as text (used to check what a file really contains)."""
-    reader = spark.read.option("header", True).option("mode", "FAILFAST")
+    # pandas writes infinities as "inf"/"-inf", Spark as "Infinity"/"-Infinity":
+    # the first pair is named here, the second is understood by the number parser.
+    reader = (spark.read.option("header", True).option("mode", "FAILFAST")
+              .option("positiveInf", "inf").option("negativeInf", "-inf"))
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", False)
     try:
         df = reader.csv(path)
