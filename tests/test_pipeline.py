@@ -96,3 +96,39 @@ def test_latest_table_is_the_run_just_processed(spark, tmp_path):
                          *fx.ENDPOINTS["protocols"], newer)
     normalize_feed(spark, layout, "protocols")
     assert {r[0] for r in read_latest(spark, layout, "protocols").select(S.STAMP).distinct().collect()} == {newer}
+
+
+def test_trend_file_is_globally_sorted(spark, tmp_path):
+    import csv
+    import glob
+    import math
+
+    from tidemark.operators.trends import PROTOCOL_TREND_ORDER
+
+    layout = Layout(str(tmp_path / "job"))
+    land_fixture_feeds(spark, SF_SMALL, layout)
+    run_pipeline(spark, layout, runs="all", with_marts=False)
+    rows = []
+    for part in sorted(glob.glob(f"{layout.report('defi_protocol_risk_trends')}/part-*.csv")):
+        with open(part, newline="") as fh:
+            rows.extend(csv.DictReader(fh))
+    assert len(rows) > 100
+
+    def key(r):
+        out = []
+        for col, direction in PROTOCOL_TREND_ORDER:
+            v = r[col]
+            if v == "":
+                out.append((1, 0))           # NULLs last in both directions
+                continue
+            try:
+                x = float(v)
+            except ValueError:
+                out.append((0, v))
+                continue
+            out.append((0, -x if direction == "desc" else x))
+        return out
+
+    keys = [key(r) for r in rows]
+    assert keys == sorted(keys)
+    assert not any(math.isnan(float(r["tvl_change_pct"])) for r in rows if r["tvl_change_pct"])
