@@ -72,14 +72,22 @@ def shared_root(spark: SparkSession) -> str:
     """The cluster's shared scratch folder: ``spark.checkpoint.dir``.
 
     Read from the session. Only when the setting is absent (local tests) a folder
-    is created and registered as the checkpoint directory.
+    is created and registered as the checkpoint directory. Works without a
+    SparkContext handle (Spark Connect) by reading the setting from the conf.
     """
-    sc = spark.sparkContext
-    root = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    root = None
+    try:
+        root = spark.sparkContext.getCheckpointDir()
+    except Exception:  # no SparkContext handle (Spark Connect)
+        root = None
+    root = root or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = tempfile.mkdtemp(prefix="tidemark-ckpt-")
-        sc.setCheckpointDir(root)
-        root = sc.getCheckpointDir() or root
+        try:
+            spark.sparkContext.setCheckpointDir(root)
+            root = spark.sparkContext.getCheckpointDir() or root
+        except Exception:
+            pass
     return root.rstrip("/")
 
 
