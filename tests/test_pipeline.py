@@ -132,3 +132,17 @@ def test_trend_file_is_globally_sorted(spark, tmp_path):
     keys = [key(r) for r in rows]
     assert keys == sorted(keys)
     assert not any(math.isnan(float(r["tvl_change_pct"])) for r in rows if r["tvl_change_pct"])
+
+
+def test_together_runs_all_and_raises_first_failure(spark):
+    from tidemark.plans.pipeline import together
+
+    assert together([lambda: spark.range(10).count(), lambda: spark.range(5).count()]) == [10, 5]
+    ran = []
+
+    def boom():
+        raise ValueError("step failed")
+
+    with pytest.raises(ValueError, match="step failed"):
+        together([boom, lambda: ran.append(spark.range(3).count())])
+    assert ran == [3]   # the other action still completed

@@ -3,14 +3,16 @@
     landing ─► normalise ─► snapshot table ─► latest table ─► ranked reports ─┐
                                └──────────► newest two runs ─► trend reports ─┼─► quality gate ─► marts
 
-Steps run in a fixed order and the first failure stops the job (exceptions
-propagate). Every step reads what the previous one wrote, so lineage is cut at
+Steps run in a fixed order and a failure stops the job (exceptions propagate);
+independent outputs within a step run as concurrent Spark jobs. Every step reads what the previous one wrote, so lineage is cut at
 each table and a lost executor only repeats the current step. Only small things
 reach the driver: two run stamps, and one row per quality check.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -98,38 +100,59 @@ def normalize_feed(spark: SparkSession, layout: Layout, feed: str, runs: str = "
     snapshots.write_latest(latest, layout.latest(feed))
 
 
+def together(actions: list[Callable[[], object]]) -> list:
+    """Run independent Spark actions concurrently from threads (one session,
+    concurrent jobs). Each action is a small job that would leave most cores
+    idle on its own. Results come back in order; the first failure is raised
+    after all have finished."""
+    if len(actions) <= 1:
+        return [a() for a in actions]
+    with ThreadPoolExecutor(max_workers=len(actions)) as pool:
+        futures = [pool.submit(a) for a in actions]
+        errors = [f.exception() for f in futures]
+    for e in errors:
+        if e is not None:
+            raise e
+    return [f.result() for f in futures]
+
+
 def read_latest(spark: SparkSession, layout: Layout, feed: str) -> DataFrame:
     return spark.read.schema(S.FEEDS[feed]["typed"]).parquet(layout.latest(feed))
 
 
 def ranked_reports(spark: SparkSession, layout: Layout) -> None:
-    for name, (feed, build, order, _) in RANKED.items():
-        reports_io.write_report(build(read_latest(spark, layout, feed)), layout.report(name),
-                                order=list(_order_cols(order)), single_file=True)
+    def one(name: str, feed: str, build, order) -> Callable[[], None]:
+        return lambda: reports_io.write_report(build(read_latest(spark, layout, feed)), layout.report(name),
+                                               order=list(_order_cols(order)), single_file=True)
+    together([one(name, feed, build, order) for name, (feed, build, order, _) in RANKED.items()])
 
 
 def trend_reports(spark: SparkSession, layout: Layout, skip_if_single: bool = False) -> list[str]:
     """Write both trend reports; returns the names written. With fewer than two
     runs this raises, unless ``skip_if_single``."""
-    written = []
-    for name, (feed, build, order) in TRENDS.items():
-        try:
-            (previous_ts, previous_bytes), (latest_ts, latest_bytes) = snapshots.newest_runs_with_size(
-                spark, layout.snapshots(feed), 2)
-        except ValueError:
-            if skip_if_single:
-                continue
-            raise
-        both = snapshots.read_runs(spark, layout.snapshots(feed), S.FEEDS[feed]["typed"], [previous_ts, latest_ts])
-        latest = snapshots.pick_snapshot(both, latest_ts)
-        previous = snapshots.pick_snapshot(both, previous_ts)
-        # Only a large run can hold a key hot enough to matter; sample those.
-        hot = "auto" if latest_bytes >= HOT_KEY_SAMPLING_BYTES else None
-        stage = layout.staging(name) if latest_bytes + previous_bytes >= STAGING_BYTES else None
-        reports_io.write_report(build(latest, previous, hot_keys=hot), layout.report(name),
-                                order=list(_order_cols(order)), stage=stage)
-        written.append(name)
-    return written
+    def one(name: str, feed: str, build, order) -> Callable[[], str | None]:
+        def run() -> str | None:
+            try:
+                (previous_ts, previous_bytes), (latest_ts, latest_bytes) = snapshots.newest_runs_with_size(
+                    spark, layout.snapshots(feed), 2)
+            except ValueError:
+                if skip_if_single:
+                    return None
+                raise
+            both = snapshots.read_runs(spark, layout.snapshots(feed), S.FEEDS[feed]["typed"],
+                                       [previous_ts, latest_ts])
+            latest = snapshots.pick_snapshot(both, latest_ts)
+            previous = snapshots.pick_snapshot(both, previous_ts)
+            # Only a large run can hold a key hot enough to matter; sample those.
+            hot = "auto" if latest_bytes >= HOT_KEY_SAMPLING_BYTES else None
+            stage = layout.staging(name) if latest_bytes + previous_bytes >= STAGING_BYTES else None
+            reports_io.write_report(build(latest, previous, hot_keys=hot), layout.report(name),
+                                    order=list(_order_cols(order)), stage=stage)
+            return name
+        return run
+
+    done = together([one(name, feed, build, order) for name, (feed, build, order) in TRENDS.items()])
+    return [name for name in done if name is not None]
 
 
 def quality_targets(layout: Layout, trend_names: list[str]):
@@ -147,16 +170,19 @@ def build_marts(spark: SparkSession, layout: Layout, trend_names: list[str]) ->
         loaded[name] = loaded[name].cache()
     kpi = marts.kpi_row(loaded["token_liquidity_risk_top50"], loaded["defi_protocol_risk_top50"],
                         loaded["stablecoin_depeg_risk_top50"])
-    kpi.write.mode("overwrite").parquet(layout.mart("kpis"))
+    actions = [lambda: kpi.write.mode("overwrite").parquet(layout.mart("kpis"))]
     charts = {"token_risk": "token_liquidity_risk_top50", "protocol_risk": "defi_protocol_risk_top50",
               "stablecoin_risk": "stablecoin_depeg_risk_top50", "token_trends": "token_liquidity_risk_trends",
               "protocol_trends": "defi_protocol_risk_trends"}
     for chart, report in charts.items():
         if report in loaded:
-            marts.chart_table(loaded[report], chart).coalesce(1).write.mode("overwrite") \
-                .parquet(layout.mart(f"chart_{chart}"))
-    for name in RANKED:
-        loaded[name].unpersist()
+            table = marts.chart_table(loaded[report], chart).coalesce(1)
+            actions.append(lambda t=table, c=chart: t.write.mode("overwrite").parquet(layout.mart(f"chart_{c}")))
+    try:
+        together(actions)
+    finally:
+        for name in RANKED:
+            loaded[name].unpersist()
 
 
 def run_pipeline(
@@ -166,9 +192,11 @@ def run_pipeline(
     skip_trends_if_single: bool = False,
     with_marts: bool = True,
 ) -> DataFrame:
-    """Run every step; returns the quality results (one row per output)."""
-    for feed in FEEDS:
-        normalize_feed(spark, layout, feed, runs)
+    """Run every step; returns the quality results (one row per output).
+
+    Steps run in order; the independent outputs inside a step (three feeds,
+    three ranked reports, two trends, the marts) run as concurrent jobs."""
+    together([lambda f=feed: normalize_feed(spark, layout, f, runs) for feed in FEEDS])
     ranked_reports(spark, layout)
     written = trend_reports(spark, layout, skip_trends_if_single)
     tables, report_targets = quality_targets(layout, written)
@@ -248,7 +276,9 @@ def land_fixture_feeds(spark: SparkSession, sf_dir: str, layout: Layout) -> None
 
     from tidemark.plans import fixtures as fx
 
-    for feed in FEEDS:
+    def land(feed: str) -> None:
         source, endpoint = fx.ENDPOINTS[feed]
         raw = fx.RAW_BUILDERS[feed](spark, sf_dir)
         landing.land_records(raw, layout.raw(feed), source, endpoint, F.col(S.STAMP))
+
+    together([lambda f=feed: land(f) for feed in FEEDS])
