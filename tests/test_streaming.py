@@ -24,3 +24,15 @@ def test_catch_up_processes_new_runs_once(spark, tmp_path):
     table = spark.read.schema(S.snapshot_schema(S.PROTOCOLS)).parquet(out)
     assert table.count() == records.count()
     assert table.select("name", "snapshot_ts").distinct().count() == records.count()
+
+
+def test_cli_catch_up(spark, tmp_path):
+    from tidemark import cli
+    from tidemark.plans.pipeline import Layout
+
+    layout = Layout(str(tmp_path / "job"))
+    records = fx.stablecoins_raw(spark, SF_SMALL)
+    landing.land_records(records, layout.raw("stablecoins"), "defillama", "stablecoins", F.col(S.STAMP))
+    assert cli.main(["catch-up", "--root", layout.root, "--feed", "stablecoins"]) == 0
+    out = spark.read.schema(S.snapshot_schema(S.STABLECOINS)).parquet(f"{layout.root}/stream_snapshots/stablecoins")
+    assert out.count() == records.count()
