@@ -17,6 +17,11 @@ DEFAULT_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.sql.parquet.filterPushdown": "true",
+    # Static size estimates come from file sizes; compressed columnar and JSON
+    # files expand in memory, so estimates are scaled up before the planner
+    # compares them with the broadcast threshold (runtime AQE decisions use
+    # measured shuffle sizes instead).
+    "spark.sql.sources.fileCompressionFactor": "4.0",
     "spark.ui.enabled": "false",
 }
 
