@@ -51,3 +51,17 @@ def test_pandas_written_report(spark, tmp_path):
     back = {r["name"]: r["pct"] for r in read_report(spark, str(path), "name string, pct double").collect()}
     assert back == {"a": float("inf"), "b": float("-inf"), "c": None, "d": 12.5,
                     "e": float("inf"), "f": float("-inf")}
+
+
+def test_pandas_protocols_with_lists(spark, tmp_path):
+    pd.DataFrame({
+        "id": [1.0, None], "name": ["A", "B"], "tvl": [0.0, 5e6], "change_1d": [-30.0, 0.0],
+        "change_7d": [-50.0, 0.0], "audits": [2.0, None], "listedAt": [1700000000, 1700000001],
+        "forkedFrom": [["Uniswap V2"], []], "ingested_at_utc": ["20240101T000000Z"] * 2,
+    }).to_parquet(tmp_path / "protocols_latest.parquet", index=False)
+    df = read_processed(spark, str(tmp_path / "protocols_latest.parquet"), "protocols")
+    rows = {r["name"]: r for r in df.collect()}
+    assert rows["A"]["forkedFrom"] == '["Uniswap V2"]' and rows["B"]["forkedFrom"] == "[]"
+    assert rows["A"]["listedAt"] == 1700000000 and rows["B"]["id"] is None
+    scores = {r["name"]: r["protocol_risk_score"] for r in reports.defi_protocol_risk(df).collect()}
+    assert scores == {"A": 75, "B": 20}

@@ -115,6 +115,8 @@ def conform(df: DataFrame, feed: str) -> DataFrame:
             out = to_whole_number(c, "int")
         elif isinstance(want, T.DoubleType):
             out = c if isinstance(have, T.DoubleType) else to_number(c)
+        elif isinstance(want, T.StringType) and isinstance(have, (T.ArrayType, T.StructType, T.MapType)):
+            out = F.to_json(c)          # nested values are kept as JSON text, as in the landing
         elif isinstance(want, T.StringType) and not isinstance(have, T.StringType):
             out = c.cast("string")
         else:
