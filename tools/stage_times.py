@@ -1,7 +1,7 @@
 """Summarise stage times from a Spark event log (no UI, no server).
 
-    BENCH_EVENT_LOG_DIR=$(mktemp -d /tmp/run-XXXXXX) python bench.py
-    python tools/stage_times.py $BENCH_EVENT_LOG_DIR [top]
+    export BENCH_EVENT_LOG_DIR=$(mktemp -d /tmp/run-XXXXXX)
+    python bench.py && python tools/stage_times.py $BENCH_EVENT_LOG_DIR [top]
 
 Reads every event log under the folder (plain or zstd-compressed, rolling or
 single file) and prints the slowest stages: wall time, summed task run time,
