@@ -34,9 +34,9 @@ def build_session(
 ) -> SparkSession:
     """Create (or reuse) a session with the settings above.
 
-    ``master`` is left to spark-submit when ``None``. On a cluster size
-    ``shuffle_partitions`` so a shuffle partition holds roughly 128-256 MB; AQE
-    coalesces what turns out smaller.
+    ``master`` is left to spark-submit when ``None``. On a cluster pass
+    ``extra=sized_conf(shuffle_bytes, cores)`` so a shuffle partition holds about
+    128 MB; AQE coalesces what turns out smaller.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
