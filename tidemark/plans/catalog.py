@@ -457,9 +457,12 @@ def q_normalize_stablecoins(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("raw_manifest", "S1 S2 S3", sql.RAW_MANIFEST)
 def q_raw_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tidemark.sources.landing import manifest
+    from tidemark.plans.pipeline import together
+    from tidemark.sources.landing import manifest, read_landed
 
-    parts = [manifest(_landed(spark, sf_dir, feed)) for feed in ("markets", "protocols", "stablecoins")]
+    feeds = ("markets", "protocols", "stablecoins")
+    roots = together([lambda f=feed: _landing_root(spark, sf_dir, f) for feed in feeds])
+    parts = [manifest(read_landed(spark, root, feed)) for feed, root in zip(feeds, roots)]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
@@ -552,13 +555,15 @@ def q_quality_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.operators.ranking import order_columns
     from tidemark.sources import reports_io, snapshots
 
+    from tidemark.plans.pipeline import together
+
     root = _scratch(spark, "quality")
-    tables = []
+    writes, tables = [], []
     for feed, frame in (("markets", latest_markets(spark, sf_dir)), ("protocols", latest_protocols(spark, sf_dir)),
                         ("stablecoins", latest_stablecoins(spark, sf_dir))):
-        snapshots.write_latest(frame, f"{root}/{feed}")
+        writes.append(lambda fr=frame, f=feed: snapshots.write_latest(fr, f"{root}/{f}"))
         tables.append(quality.TableTarget(feed, f"{root}/{feed}"))
-    snapshots.write_latest(fx.fx_markets(spark, sf_dir).limit(0), f"{root}/empty_table")
+    writes.append(lambda: snapshots.write_latest(fx.fx_markets(spark, sf_dir).limit(0), f"{root}/empty_table"))
     tables.append(quality.TableTarget("empty_table", f"{root}/empty_table"))
 
     score_cols = {"token_liquidity_risk_top50": "liquidity_risk_score",
@@ -569,12 +574,14 @@ def q_quality_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     targets = []
     built = _all_reports(spark, sf_dir)
     for name, frame in built.items():
-        reports_io.write_report(frame, f"{root}/{name}")
+        writes.append(lambda fr=frame, n=name: reports_io.write_report(fr, f"{root}/{n}"))
         targets.append(quality.ReportTarget(name, f"{root}/{name}", score_cols[name]))
     token = built["token_liquidity_risk_top50"]
-    reports_io.write_report(token.drop("liquidity_risk_score"), f"{root}/no_score_column")
-    reports_io.write_report(token.withColumn("liquidity_risk_score", F.lit(None).cast("int")),
-                            f"{root}/null_scores", order=order_columns(reports.TOKEN_RISK_ORDER))
+    writes.append(lambda: reports_io.write_report(token.drop("liquidity_risk_score"), f"{root}/no_score_column"))
+    writes.append(lambda: reports_io.write_report(
+        token.withColumn("liquidity_risk_score", F.lit(None).cast("int")),
+        f"{root}/null_scores", order=order_columns(reports.TOKEN_RISK_ORDER)))
+    together(writes)
     targets += [quality.ReportTarget("missing_report", f"{root}/never_written", "liquidity_risk_score"),
                 quality.ReportTarget("no_score_column", f"{root}/no_score_column", "liquidity_risk_score"),
                 quality.ReportTarget("null_scores", f"{root}/null_scores", "liquidity_risk_score")]
