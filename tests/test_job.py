@@ -7,14 +7,14 @@ from conftest import SF_SMALL
 from tidemark import schemas as S
 from tidemark.operators import quality
 from tidemark.plans import fixtures as fx
-from tidemark.plans.pipeline import Layout, land_fixture_feeds, read_report, run_pipeline
+from tidemark.plans.job import Layout, land_fixture_feeds, read_report, run_job
 from tidemark.sources import landing, reports_io
 
 
-def test_pipeline_backfill_and_outputs(spark, tmp_path):
+def test_job_backfill_and_outputs(spark, tmp_path):
     layout = Layout(str(tmp_path / "job"))
     land_fixture_feeds(spark, SF_SMALL, layout)
-    results = {r["target"]: r for r in run_pipeline(spark, layout, runs="all").collect()}
+    results = {r["target"]: r for r in run_job(spark, layout, runs="all").collect()}
     assert all(r["passed"] for r in results.values())
     assert results["token_liquidity_risk_top50"]["rows"] == 50
     token = read_report(spark, layout, "token_liquidity_risk_top50")
@@ -27,7 +27,7 @@ def test_pipeline_backfill_and_outputs(spark, tmp_path):
     assert trend.count() == results["defi_protocol_risk_trends"]["rows"] > 0
 
     from tidemark.functions.scorecard import PROTOCOL_CARD
-    from tidemark.plans.pipeline import register_views
+    from tidemark.plans.job import register_views
 
     views = register_views(spark, layout)
     assert {"markets_latest", "protocols_snapshots", "token_liquidity_risk_top50"} <= set(views)
@@ -35,7 +35,7 @@ def test_pipeline_backfill_and_outputs(spark, tmp_path):
     assert top == spark.sql("select max(protocol_risk_score) as m from defi_protocol_risk_top50").first()["m"]
 
 
-def test_pipeline_latest_only_single_run(spark, tmp_path):
+def test_job_latest_only_single_run(spark, tmp_path):
     layout = Layout(str(tmp_path / "job"))
     stables = fx.stablecoins_raw(spark, SF_SMALL)
     for feed in ("markets", "protocols"):
@@ -44,8 +44,8 @@ def test_pipeline_latest_only_single_run(spark, tmp_path):
         landing.land_records(newest, layout.raw(feed), *fx.ENDPOINTS[feed], F.col(S.STAMP))
     landing.land_records(stables, layout.raw("stablecoins"), *fx.ENDPOINTS["stablecoins"], F.col(S.STAMP))
     with pytest.raises(ValueError, match="at least 2 snapshots"):
-        run_pipeline(spark, layout)
-    results = run_pipeline(spark, layout, skip_trends_if_single=True).collect()
+        run_job(spark, layout)
+    results = run_job(spark, layout, skip_trends_if_single=True).collect()
     assert {r["target"] for r in results} == {"markets", "protocols", "stablecoins", "token_liquidity_risk_top50",
                                               "defi_protocol_risk_top50", "stablecoin_depeg_risk_top50"}
 
@@ -66,7 +66,7 @@ def test_quality_failures_are_all_reported(spark, tmp_path):
 
 
 def test_missing_landing_is_reported(spark, tmp_path):
-    from tidemark.plans.pipeline import normalize_feed
+    from tidemark.plans.job import normalize_feed
 
     with pytest.raises(FileNotFoundError, match="no raw files found"):
         normalize_feed(spark, Layout(str(tmp_path / "nothing")), "markets")
@@ -82,7 +82,7 @@ def test_cli_run(spark, tmp_path):
 
 
 def test_latest_table_is_the_run_just_processed(spark, tmp_path):
-    from tidemark.plans.pipeline import normalize_feed, read_latest
+    from tidemark.plans.job import normalize_feed, read_latest
 
     layout = Layout(str(tmp_path / "job"))
     raw = fx.protocols_raw(spark, SF_SMALL)
@@ -107,7 +107,7 @@ def test_trend_file_is_globally_sorted(spark, tmp_path):
 
     layout = Layout(str(tmp_path / "job"))
     land_fixture_feeds(spark, SF_SMALL, layout)
-    run_pipeline(spark, layout, runs="all", with_marts=False)
+    run_job(spark, layout, runs="all", with_marts=False)
     rows = []
     for part in sorted(glob.glob(f"{layout.report('defi_protocol_risk_trends')}/part-*.csv")):
         with open(part, newline="") as fh:
@@ -135,7 +135,7 @@ def test_trend_file_is_globally_sorted(spark, tmp_path):
 
 
 def test_together_runs_all_and_raises_first_failure(spark):
-    from tidemark.plans.pipeline import together
+    from tidemark.plans.job import together
 
     assert together([lambda: spark.range(10).count(), lambda: spark.range(5).count()]) == [10, 5]
     ran = []
@@ -149,15 +149,15 @@ def test_together_runs_all_and_raises_first_failure(spark):
 
 
 def test_large_run_paths_give_the_same_reports(spark, tmp_path, monkeypatch):
-    from tidemark.plans import pipeline as P
+    from tidemark.plans import job as P
 
     plain, forced = Layout(str(tmp_path / "plain")), Layout(str(tmp_path / "forced"))
     for layout in (plain, forced):
         land_fixture_feeds(spark, SF_SMALL, layout)
-    run_pipeline(spark, plain, runs="all", with_marts=False)
+    run_job(spark, plain, runs="all", with_marts=False)
     monkeypatch.setattr(P, "HOT_KEY_SAMPLING_BYTES", 0)   # sample hot keys and stage every trend
     monkeypatch.setattr(P, "STAGING_BYTES", 0)
-    run_pipeline(spark, forced, runs="all", with_marts=False)
+    run_job(spark, forced, runs="all", with_marts=False)
     for name in ("token_liquidity_risk_trends", "defi_protocol_risk_trends"):
         a, b = read_report(spark, plain, name), read_report(spark, forced, name)
         assert a.count() == b.count() > 0

@@ -1,4 +1,4 @@
-"""Tables written by the pandas-based pipeline can be read and reported on."""
+"""Tables written by the pandas-based tools can be read and reported on."""
 
 import pandas as pd
 

@@ -28,7 +28,7 @@ def test_catch_up_processes_new_runs_once(spark, tmp_path):
 
 def test_cli_catch_up(spark, tmp_path):
     from tidemark import cli
-    from tidemark.plans.pipeline import Layout
+    from tidemark.plans.job import Layout
 
     layout = Layout(str(tmp_path / "job"))
     records = fx.stablecoins_raw(spark, SF_SMALL)

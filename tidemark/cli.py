@@ -26,13 +26,13 @@ def main(argv: list[str] | None = None) -> int:
     catch.add_argument("--feed", choices=["markets", "protocols", "stablecoins"], required=True)
     args = parser.parse_args(argv)
 
-    from tidemark.plans.pipeline import Layout, run_pipeline
+    from tidemark.plans.job import Layout, run_job
     from tidemark.session import build_session
 
     spark = build_session()
     layout = Layout(args.root.rstrip("/"))
     if args.command == "run":
-        results = run_pipeline(spark, layout, runs=args.runs, skip_trends_if_single=args.skip_trends_if_single,
+        results = run_job(spark, layout, runs=args.runs, skip_trends_if_single=args.skip_trends_if_single,
                                with_marts=not args.no_marts)
         for row in results.collect():
             print(f"{row['check']:16s} {row['target']:32s} rows={row['rows']} passed={row['passed']}")

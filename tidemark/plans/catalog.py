@@ -457,7 +457,7 @@ def q_normalize_stablecoins(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("raw_manifest", "S1 S2 S3", sql.RAW_MANIFEST)
 def q_raw_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tidemark.plans.pipeline import together
+    from tidemark.plans.job import together
     from tidemark.sources.landing import manifest, read_landed
 
     feeds = ("markets", "protocols", "stablecoins")
@@ -536,7 +536,7 @@ def _all_reports(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 @register("report_preview", "S13 S14 S15 D7", sql.REPORT_PREVIEW)
 def q_report_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.operators.ranking import order_columns
-    from tidemark.plans.pipeline import REPORT_SCHEMAS
+    from tidemark.plans.job import REPORT_SCHEMAS
     from tidemark.sources import reports_io
 
     path = _scratch(spark, "report-token")
@@ -555,7 +555,7 @@ def q_quality_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.operators.ranking import order_columns
     from tidemark.sources import reports_io, snapshots
 
-    from tidemark.plans.pipeline import together
+    from tidemark.plans.job import together
 
     root = _scratch(spark, "quality")
     writes, tables = [], []
@@ -615,13 +615,13 @@ for _chart, _report_name, _cover in [
     register(f"chart_{_chart}", _cover, sql.CHARTS[f"chart_{_chart}"])(_chart_builder(_chart, _report_name))
 
 
-@register("pipeline_run", "L1 (all steps)", sql.PIPELINE_RUN)
-def q_pipeline_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tidemark.plans.pipeline import Layout, land_fixture_feeds, run_pipeline
+@register("batch_job", "L1 (all steps)", sql.BATCH_JOB)
+def q_batch_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.plans.job import Layout, land_fixture_feeds, run_job
 
-    layout = Layout(_scratch(spark, "pipeline"))
+    layout = Layout(_scratch(spark, "batch-job"))
     land_fixture_feeds(spark, sf_dir, layout)
-    return run_pipeline(spark, layout, runs="all").select("check", "target", "rows", "passed")
+    return run_job(spark, layout, runs="all").select("check", "target", "rows", "passed")
 
 
 @register("stream_normalize_protocols", "R7 via Structured Streaming (AvailableNow)", sql.NORMALIZE_PROTOCOLS)

@@ -185,7 +185,7 @@ def build_marts(spark: SparkSession, layout: Layout, trend_names: list[str]) ->
             loaded[name].unpersist()
 
 
-def run_pipeline(
+def run_job(
     spark: SparkSession,
     layout: Layout,
     runs: str = "latest",

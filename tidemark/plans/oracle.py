@@ -341,7 +341,7 @@ _OUTPUT_ROWS = [
     _check_row("report_valid", "token_liquidity_risk_trends", "(select count(*) from token_trends)", "true"),
     _check_row("report_valid", "defi_protocol_risk_trends", "(select count(*) from protocol_trends)", "true"),
 ]
-PIPELINE_RUN = with_reports("" + "\nunion all\n".join(_OUTPUT_ROWS))
+BATCH_JOB = with_reports("" + "\nunion all\n".join(_OUTPUT_ROWS))
 QUALITY_CHECKS = with_reports("" + "\nunion all\n".join(_OUTPUT_ROWS + [
     _check_row("table_not_empty", "empty_table", "0", "false"),
     _check_row("report_valid", "missing_report", "null", "false"),

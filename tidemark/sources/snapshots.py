@@ -103,7 +103,7 @@ def newest_runs_with_size(spark: SparkSession, root: str, n: int = 2) -> list[tu
             .orderBy(F.desc("snapshot_ts")).limit(n).collect())
     if len(rows) < n:
         raise ValueError(f"need at least {n} snapshots to compare, found {len(rows)}; "
-                         "run the pipeline again")
+                         "run the job again")
     return [(r["snapshot_ts"], int(r["bytes"])) for r in reversed(rows)]
 
 
@@ -117,7 +117,7 @@ def newest_stamps(snapshots: DataFrame, n: int = 2) -> list[str]:
             .orderBy(F.desc("snapshot_ts")).limit(n).collect())
     if len(rows) < n:
         raise ValueError(f"need at least {n} snapshots to compare, found {len(rows)}; "
-                         "run the pipeline again")
+                         "run the job again")
     return [r[0] for r in reversed(rows)]
 
 
