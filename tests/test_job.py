@@ -32,6 +32,8 @@ def test_job_backfill_and_outputs(spark, tmp_path):
     views = register_views(spark, layout)
     assert {"markets_latest", "protocols_snapshots", "token_liquidity_risk_top50"} <= set(views)
     top = spark.sql(f"select max({PROTOCOL_CARD.sql()}) as m from protocols_latest").first()["m"]
+    assert top == spark.sql("select max(protocol_risk_score(tvl, change_1d, change_7d, audits)) as m "
+                            "from protocols_latest").first()["m"]
     assert top == spark.sql("select max(protocol_risk_score) as m from defi_protocol_risk_top50").first()["m"]
 
 

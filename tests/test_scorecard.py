@@ -115,3 +115,25 @@ def test_sql_rendering_matches_columns(spark):
         via_sql = spark.sql(f"select {card.sql()} as s from score_inputs").collect()
         via_cols = df.select(card.column().alias("s")).collect()
         assert via_sql == via_cols, card.name
+
+
+def test_sql_functions_match_columns(spark):
+    names = sc.register_sql_functions(spark)
+    assert {"liquidity_risk_score", "protocol_risk_score", "depeg_risk_score", "tvl_points"} <= set(names)
+    rows = [(-0.2, 0.009, None, 0.004, 1.0, 3.0), (0.0, 0.5, 2.0, 0.06, None, None), (None, None, 0.0, None, 0.97, 1.0)]
+    df = spark.createDataFrame(rows, "change double, ratio double, audits double, depeg double, price double, "
+                                     "chains double")
+    df.createOrReplaceTempView("fn_inputs")
+    got = spark.sql("""
+        select protocol_risk_score(ratio * 1e8, change * 100, change * 200, audits) as p,
+               depeg_risk_score(price, depeg, change, change, chains) as d,
+               tvl_points(ratio * 1e8) as t
+        from fn_inputs""").collect()
+    cols = df.selectExpr("ratio * 1e8 as tvl", "change * 100 as change_1d", "change * 200 as change_7d", "audits",
+                         "price", "depeg as absolute_depeg", "change as supply_change_1d",
+                         "change as supply_change_7d", "chains as chain_count")
+    want = cols.select(sc.PROTOCOL_CARD.column().alias("p"), sc.DEPEG_CARD.column().alias("d"),
+                       sc.TVL_BAND.column().alias("t")).collect()
+    assert got == want
+    plan = spark.sql("select tvl_points(ratio) from fn_inputs")._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan

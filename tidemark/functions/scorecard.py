@@ -172,3 +172,28 @@ DEPEG_CARD = ScoreCard("depeg_risk_score", (
     DEPEG_GUARDED_BAND, SUPPLY_1D_BAND, SUPPLY_7D_BAND, CHAINS_BAND))
 
 CARDS = {c.name: c for c in (LIQUIDITY_CARD, PROTOCOL_CARD, DEPEG_CARD)}
+
+
+def _params(band: Band) -> list[str]:
+    guard = getattr(band, "guard", None)
+    return ([guard] if guard else []) + [band.metric]
+
+
+def register_sql_functions(spark) -> list[str]:
+    """Register every band and the three scores as temporary SQL functions, e.g.
+    ``tvl_points(tvl)`` or ``protocol_risk_score(tvl, change_1d, change_7d, audits)``.
+
+    They are SQL-bodied functions: the analyzer inlines them as the same CASE
+    expressions the DataFrame API builds (no Python at run time)."""
+    names = []
+    bands = {b.name: b for card in CARDS.values() for b in card.bands}
+    for band in bands.values():
+        params = ", ".join(f"{p} DOUBLE" for p in _params(band))
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {band.name}({params}) RETURNS INT RETURN {band.sql()}")
+        names.append(band.name)
+    for card in CARDS.values():
+        ordered = list(dict.fromkeys(p for b in card.bands for p in _params(b)))
+        params = ", ".join(f"{p} DOUBLE" for p in ordered)
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {card.name}({params}) RETURNS INT RETURN {card.sql()}")
+        names.append(card.name)
+    return names

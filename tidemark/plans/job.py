@@ -209,8 +209,12 @@ def run_job(
 
 def register_views(spark: SparkSession, layout: Layout) -> list[str]:
     """Expose the job's outputs to SQL as temp views: ``<feed>_latest``,
-    ``<feed>_snapshots`` and one view per written report. Together with
-    ``ScoreCard.sql()`` this lets ad-hoc SQL run over the same tables."""
+    ``<feed>_snapshots`` and one view per written report; the bands and scores
+    are registered as SQL functions (``protocol_risk_score(tvl, ...)``), so
+    ad-hoc SQL runs over the same tables with the same rules."""
+    from tidemark.functions.scorecard import register_sql_functions
+
+    register_sql_functions(spark)
     names = []
     for feed in FEEDS:
         for view, reader in ((f"{feed}_latest", lambda f=feed: read_latest(spark, layout, f)),
