@@ -40,9 +40,13 @@ def _typed(df: DataFrame, name: str, target: T.DataType) -> Column:
     elif isinstance(target, T.TimestampType):
         out = to_timestamp_loose(raw)
     else:
-        out = raw if name not in df.columns or isinstance(df.schema[name].dataType, T.StringType) \
-            else F.to_json(raw) if isinstance(df.schema[name].dataType, (T.StructType, T.ArrayType, T.MapType, T.VariantType)) \
-            else raw.cast("string")
+        have = df.schema[name].dataType if name in df.columns else T.StringType()
+        if isinstance(have, T.StringType):
+            out = raw
+        elif isinstance(have, (T.StructType, T.ArrayType, T.MapType, T.VariantType)):
+            out = F.to_json(raw)            # nested values are kept as JSON text
+        else:
+            out = raw.cast("string")
     return out.cast(target).alias(name)
 
 
