@@ -165,3 +165,23 @@ def test_large_run_paths_give_the_same_reports(spark, tmp_path, monkeypatch):
         assert a.count() == b.count() > 0
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     assert spark.read.parquet(forced.staging("defi_protocol_risk_trends")).count() > 0
+
+
+def test_quality_on_empty_outputs(spark, tmp_path):
+    import os
+
+    from tidemark.sources import reports_io
+
+    reports_io.write_report(spark.createDataFrame([], "name string, liquidity_risk_score int"),
+                            str(tmp_path / "empty_report"), single_file=True)
+    spark.createDataFrame([], "a int").write.parquet(str(tmp_path / "empty_table"))
+    os.makedirs(tmp_path / "bare_table")
+    os.makedirs(tmp_path / "bare_report")
+    res = {r["target"]: r for r in quality.quality_suite(
+        spark, [quality.TableTarget("empty_table", str(tmp_path / "empty_table")),
+                quality.TableTarget("bare_table", str(tmp_path / "bare_table"))],
+        [quality.ReportTarget("empty_report", str(tmp_path / "empty_report"), "liquidity_risk_score"),
+         quality.ReportTarget("bare_report", str(tmp_path / "bare_report"), "liquidity_risk_score")]).collect()}
+    assert set(res) == {"empty_table", "bare_table", "empty_report", "bare_report"}
+    assert all(not r["passed"] and r["rows"] in (0, None) for r in res.values())
+    assert res["bare_table"]["rows"] == 0 and res["bare_report"]["rows"] == 0

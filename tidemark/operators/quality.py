@@ -50,6 +50,11 @@ def _is_missing(exc: AnalysisException) -> bool:
     return "PATH_NOT_FOUND" in text or "Path does not exist" in text
 
 
+def _is_without_files(exc: AnalysisException) -> bool:
+    """A folder that exists but holds no data file (nothing to infer a schema from)."""
+    return "UNABLE_TO_INFER_SCHEMA" in str(exc)
+
+
 def _tagged(df: DataFrame, check: str, target: str, score: str | None) -> DataFrame:
     """One row per input row: (check, target, real, score-present)."""
     present = F.col(score).isNotNull() if score else F.lit(True)
@@ -58,12 +63,14 @@ def _tagged(df: DataFrame, check: str, target: str, score: str | None) -> DataFr
 
 
 def _open_table(spark: SparkSession, target: TableTarget):
-    """(rows DataFrame, None) or (None, failure message)."""
+    """(rows DataFrame, None, None) or (None, failure message, row count)."""
     try:
-        return spark.read.parquet(target.path), None
+        return spark.read.parquet(target.path), None, None
     except AnalysisException as exc:
         if _is_missing(exc):
-            return None, f"missing table: {target.path}"
+            return None, f"missing table: {target.path}", None
+        if _is_without_files(exc):
+            return None, f"table is empty: {target.name}", 0
         raise
 
 
@@ -73,11 +80,13 @@ def _open_report(spark: SparkSession, target: ReportTarget):
         columns = df.columns
     except AnalysisException as exc:
         if _is_missing(exc):
-            return None, f"missing report: {target.path}"
+            return None, f"missing report: {target.path}", None
+        if _is_without_files(exc):
+            return None, f"report is empty: {target.name}", 0
         raise
     if target.score_column not in columns:
-        return None, f"missing score column: {target.score_column}"
-    return df.select(target.score_column), None
+        return None, f"missing score column: {target.score_column}", None
+    return df.select(target.score_column), None, None
 
 
 def quality_suite(spark: SparkSession, tables: list[TableTarget], reports: list[ReportTarget]) -> DataFrame:
@@ -90,16 +99,16 @@ def quality_suite(spark: SparkSession, tables: list[TableTarget], reports: list[
     """
     markers, failures, parts = [], [], []
     for t in tables:
-        df, problem = _open_table(spark, t)
+        df, problem, rows_seen = _open_table(spark, t)
         if problem:
-            failures.append(("table_not_empty", t.name, None, False, problem))
+            failures.append(("table_not_empty", t.name, rows_seen, False, problem))
         else:
             markers.append(("table_not_empty", t.name))
             parts.append(_tagged(df, "table_not_empty", t.name, None))
     for r in reports:
-        df, problem = _open_report(spark, r)
+        df, problem, rows_seen = _open_report(spark, r)
         if problem:
-            failures.append(("report_valid", r.name, None, False, problem))
+            failures.append(("report_valid", r.name, rows_seen, False, problem))
         else:
             markers.append(("report_valid", r.name))
             parts.append(_tagged(df, "report_valid", r.name, r.score_column))
