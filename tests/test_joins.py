@@ -84,3 +84,10 @@ def test_hot_keys_are_spread_and_exact(spark):
 def test_drop_mode_with_hot_keys(spark):
     left, right = _frames(spark, [1.0, 1.0, None], [1.0, None])
     assert null_safe_join(left, right, "id", null_keys="drop", hot_keys=[1.0], grid=3).count() == 2
+
+
+def test_hot_key_on_the_right_side_only(spark):
+    left, right = _frames(spark, [float(i) for i in range(200)], [5.0] * 300 + [float(i) for i in range(200)])
+    salted = null_safe_join(left, right, "id", hot_keys="auto", grid=3)
+    assert salted.count() == 301 + 199
+    assert detect_hot_keys(right, "id", min_share=0.1, fraction=1.0) == [5.0]

@@ -73,12 +73,12 @@ def null_safe_join(
 
     ``null_keys``: ``"match"`` (NULL = NULL) or ``"drop"`` (NULL keys never match).
     ``hot_keys``: key values to spread like the NULL group, or ``"auto"`` to
-    detect them on the left side (one sampled job).
+    detect them in a sample of each side (at most ``2 / min_share`` keys).
     """
     if null_keys not in ("match", "drop"):
         raise ValueError("null_keys must be 'match' or 'drop'")
     if hot_keys == "auto":
-        hot_keys = detect_hot_keys(left, key)
+        hot_keys = list(dict.fromkeys(detect_hot_keys(left, key) + detect_hot_keys(right, key)))
     hot = list(hot_keys or [])
     if null_keys == "drop":
         left, right = left.where(F.col(key).isNotNull()), right.where(F.col(key).isNotNull())
