@@ -16,7 +16,8 @@ from tidemark import schemas as S
 from tidemark.functions.arith import guarded_pct_change, pct_change_ieee, round_half_away
 from tidemark.operators.joins import null_safe_join
 from tidemark.operators.ranking import report_order
-from tidemark.operators.reports import score_protocols, score_tokens
+from tidemark.functions.scorecard import PROTOCOL_CARD
+from tidemark.operators.reports import score_tokens
 from tidemark.sources.snapshots import newest_two_in_plan
 
 SUFFIXES = ("_latest", "_previous")
@@ -50,7 +51,8 @@ def score_token_snapshot(markets: DataFrame) -> DataFrame:
 
 
 def score_protocol_snapshot(protocols: DataFrame) -> DataFrame:
-    return score_protocols(protocols).select(
+    """One run scored; needs only the card's inputs (no market cap)."""
+    return PROTOCOL_CARD.apply(protocols).select(
         "id", "name", "symbol", "chain", "category", "tvl", "change_1d", "change_7d", "audits",
         "protocol_risk_score", S.STAMP)
 
