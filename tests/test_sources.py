@@ -187,3 +187,8 @@ def test_read_landed_run(spark, tmp_path):
     assert run.first()[S.STAMP] == stamp
     with pytest.raises(Exception):
         landing.newest_landed_stamp_value(spark, str(tmp_path / "none"))
+
+
+def test_no_snapshot_table_yet(spark, tmp_path):
+    with pytest.raises(ValueError, match="found 0"):
+        snapshots.newest_runs_with_size(spark, str(tmp_path / "none"), 2)

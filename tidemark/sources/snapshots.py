@@ -98,9 +98,17 @@ def run_sizes_at(spark: SparkSession, root: str) -> DataFrame:
 
 
 def newest_runs_with_size(spark: SparkSession, root: str, n: int = 2) -> list[tuple[str, int]]:
-    """(stamp, bytes) of the ``n`` newest runs, oldest first; raises when fewer exist."""
-    rows = (run_sizes_at(spark, root).where(F.col("snapshot_ts").isNotNull())
-            .orderBy(F.desc("snapshot_ts")).limit(n).collect())
+    """(stamp, bytes) of the ``n`` newest runs, oldest first; raises ValueError when
+    fewer exist (also when the table folder does not exist yet)."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        rows = (run_sizes_at(spark, root).where(F.col("snapshot_ts").isNotNull())
+                .orderBy(F.desc("snapshot_ts")).limit(n).collect())
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" not in str(exc) and "Path does not exist" not in str(exc):
+            raise
+        rows = []
     if len(rows) < n:
         raise ValueError(f"need at least {n} snapshots to compare, found {len(rows)}; "
                          "run the job again")
