@@ -22,6 +22,9 @@ def write_report(df: DataFrame, path: str, order: list[Column] | None = None,
                  single_file: bool = False, stage: str | None = None) -> None:
     """Write ``df`` as CSV, globally ordered by ``order`` when given.
 
+    ``single_file`` funnels the report through one task: use it only for bounded
+    reports (the top-50 ranked reports), never for trends or unlimited output.
+
     A global sort samples its input to choose ranges, which would compute ``df``
     twice; with ``stage`` (a folder in the shared file system) ``df`` is written
     once as parquet and the sort reads that instead — it also cuts the lineage,
