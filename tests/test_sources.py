@@ -192,3 +192,16 @@ def test_read_landed_run(spark, tmp_path):
 def test_no_snapshot_table_yet(spark, tmp_path):
     with pytest.raises(ValueError, match="found 0"):
         snapshots.newest_runs_with_size(spark, str(tmp_path / "none"), 2)
+
+
+def test_normalisers_accept_typed_input(spark):
+    from conftest import SF_SMALL
+    from tidemark.plans import fixtures as fx
+
+    markets = fx.fx_markets(spark, SF_SMALL)
+    cols = [c for c in markets.columns]
+    again = normalize_markets(markets).select(*cols)
+    assert again.exceptAll(markets).count() == 0 and markets.exceptAll(again).count() == 0
+    protocols = fx.fx_protocols(spark, SF_SMALL)
+    back = normalize_protocols(protocols).select(*protocols.columns)
+    assert back.exceptAll(protocols).count() == 0
