@@ -205,3 +205,12 @@ def test_normalisers_accept_typed_input(spark):
     protocols = fx.fx_protocols(spark, SF_SMALL)
     back = normalize_protocols(protocols).select(*protocols.columns)
     assert back.exceptAll(protocols).count() == 0
+
+
+def test_big_integral_values_keep_precision(spark):
+    from tidemark.operators.normalize import conform
+
+    big = 2 ** 53 + 1
+    df = spark.createDataFrame([(big, big)], "market_cap_rank bigint, listedAt bigint")
+    assert normalize_markets(df).first()["market_cap_rank"] == big
+    assert conform(df, "protocols").first()["listedAt"] == big

@@ -29,9 +29,15 @@ def _field(df: DataFrame, name: str) -> Column:
     return F.lit(None).cast("string")
 
 
+_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
 def _typed(df: DataFrame, name: str, target: T.DataType) -> Column:
     raw = _field(df, name)
-    if isinstance(target, T.LongType):
+    have = df.schema[name].dataType if name in df.columns else T.StringType()
+    if isinstance(target, (T.LongType, T.IntegerType)) and isinstance(have, _INTEGRAL):
+        out = raw.try_cast(target)          # already whole numbers: no detour through text
+    elif isinstance(target, T.LongType):
         out = to_whole_number(raw, "bigint")
     elif isinstance(target, T.IntegerType):
         out = to_whole_number(raw, "int")
@@ -40,7 +46,6 @@ def _typed(df: DataFrame, name: str, target: T.DataType) -> Column:
     elif isinstance(target, T.TimestampType):
         out = to_timestamp_loose(raw)
     else:
-        have = df.schema[name].dataType if name in df.columns else T.StringType()
         if isinstance(have, T.StringType):
             out = raw
         elif isinstance(have, (T.StructType, T.ArrayType, T.MapType, T.VariantType)):
@@ -113,6 +118,8 @@ def conform(df: DataFrame, feed: str) -> DataFrame:
             out = F.timestamp_micros(F.floor(c / 1000))
         elif isinstance(want, T.TimestampType) and isinstance(have, T.StringType):
             out = to_timestamp_loose(c)
+        elif isinstance(want, (T.LongType, T.IntegerType)) and isinstance(have, _INTEGRAL):
+            out = c.try_cast(want)
         elif isinstance(want, T.LongType):
             out = to_whole_number(c, "bigint")
         elif isinstance(want, T.IntegerType):
