@@ -114,3 +114,10 @@ def test_round_matches_duckdb(spark):
     df = spark.createDataFrame([(i, float(v)) for i, v in enumerate(vals)], "i int, v double")
     got = df.orderBy("i").select(arith.round_half_away("v", 2), arith.round_half_away("v", 4)).collect()
     assert [tuple(r) for r in got] == rows
+
+
+def test_whole_number_exact_for_big_integers(spark):
+    big = 2 ** 53 + 1
+    got = _eval(spark, [str(big), f" {big} ", "+7", "9.0", "1e3", "99999999999999999999"],
+                lambda c: coerce.to_whole_number(c))
+    assert got == [big, big, 7, 9, 1000, None]

@@ -36,10 +36,18 @@ def to_number(c: Column | str) -> Column:
     )
 
 
+INTEGER_PATTERN = r"^\s*[+-]?\d+\s*$"
+
+
 def to_whole_number(c: Column | str, type_name: str = "bigint") -> Column:
-    """Text → integral type; NULL for non-numbers, fractions and out-of-range values."""
-    n = to_number(c)
-    return F.when(F.abs(n) < F.lit(2.0 ** 63), F.when(n == F.floor(n), n.try_cast(type_name)))
+    """Text → integral type; NULL for non-numbers, fractions and out-of-range values.
+    Integer literals are parsed as integers (exact beyond 2^53); other number text
+    goes through DOUBLE and must be integral."""
+    text = _col(c).cast("string")
+    n = to_number(text)
+    via_double = F.when(F.abs(n) < F.lit(2.0 ** 63), F.when(n == F.floor(n), n.try_cast(type_name)))
+    exact = F.btrim(text, F.lit(_SPACE)).try_cast(type_name)
+    return F.when(text.rlike(INTEGER_PATTERN), exact).otherwise(via_double)
 
 
 def to_timestamp_loose(c: Column | str) -> Column:
