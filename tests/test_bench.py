@@ -9,10 +9,10 @@ from pathlib import Path
 ROOT = Path(__file__).resolve().parents[1]
 
 
-def test_bench_prints_one_json_line():
+def test_bench_prints_one_json_line(tmp_path):
     env = dict(os.environ, BENCH_SF_DIR="/root/testdata/sf0.001", BENCH_CPUS="2", BENCH_REPEATS="1",
                BENCH_QUERIES="token_liquidity_risk_top50,stablecoin_depeg_risk_top50",
-               BENCH_DRIVER_MEMORY="2g")
+               BENCH_DRIVER_MEMORY="2g", BENCH_EVENT_LOG_DIR=f"file://{tmp_path}")
     out = subprocess.run([sys.executable, str(ROOT / "bench.py")], env=env, capture_output=True, text=True,
                          timeout=600, check=True)
     lines = [line for line in out.stdout.splitlines() if line.strip()]
@@ -21,3 +21,10 @@ def test_bench_prints_one_json_line():
     assert result["unit"] == "sec" and result["sf"] == 0.001
     assert set(result["queries"]) == {"token_liquidity_risk_top50", "stablecoin_depeg_risk_top50"}
     assert abs(result["value"] - sum(result["queries"].values())) < 1e-6
+
+    sys.path.insert(0, str(ROOT / "tools"))
+    import stage_times
+
+    stages = stage_times.stages(str(tmp_path))
+    assert stages and all(s["wall_ms"] >= 0 for s in stages)
+    assert any(s["what"].startswith("token_liquidity_risk_top50") for s in stages)
