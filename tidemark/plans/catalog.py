@@ -162,6 +162,7 @@ _BAND_QUERIES = {
     "band_supply_7d": ("depeg", "supply_7d_points", "stablecoins", ["name"], sql.B_SUPPLY_7D),
     "band_chains": ("depeg", "chains_points", "stablecoins", ["name"], sql.B_CHAINS),
 }
+_BAND_IDS = {"band_volume_ratio": "B1", "band_price_24h": "B2", "band_price_7d": "B3", "band_circulating": "B4", "band_tvl": "B5", "band_tvl_1d": "B6", "band_tvl_7d": "B7", "band_audits": "B8", "band_depeg": "B9", "band_supply_1d": "B10", "band_supply_7d": "B11", "band_chains": "B12"}
 _CARD_SPEC = {
     "liquidity": ("markets", reports.score_tokens, sql.TOKEN_METRICS, "fx_markets"),
     "protocol": ("protocols", reports.score_protocols, sql.PROTOCOL_METRICS, "fx_protocols"),
@@ -180,7 +181,7 @@ def _band_builder(card: str, band: str, keys: list[str]) -> Builder:
 
 for _name, (_card, _band, _feed, _keys, _sql_band) in _BAND_QUERIES.items():
     _metrics = _CARD_SPEC[_card][2].format(src=_CARD_SPEC[_card][3])
-    register(_name, f"band {_band}", sql.with_adapters(
+    register(_name, f"{_BAND_IDS[_name]} P4 ({_band})", sql.with_adapters(
         f"m as ({_metrics}) select {', '.join(_keys)}, {_sql_band} as {_band} from m"))(
         _band_builder(_card, _band, _keys))
 
@@ -198,6 +199,8 @@ def _score_builder(card: str, keys: list[str]) -> Builder:
     return build
 
 
+_SCORE_IDS = {"score_liquidity": "SC1 B1-B4", "score_protocol": "SC2 B5-B8", "score_depeg": "SC3 B9-B12"}
+
 for _name, _card, _keys, _bands, _total, _score_sql in [
     ("score_liquidity", "liquidity", ["id", "ingested_at_utc"],
      [("volume_ratio_points", sql.B_VOLUME), ("price_24h_points", sql.B_PRICE_24H),
@@ -214,7 +217,7 @@ for _name, _card, _keys, _bands, _total, _score_sql in [
 ]:
     _metrics = _CARD_SPEC[_card][2].format(src=_CARD_SPEC[_card][3])
     _band_sql = ", ".join(f"{s} as {n}" for n, s in _bands)
-    register(_name, f"{_total} with bands", sql.with_adapters(
+    register(_name, f"{_SCORE_IDS[_name]} ({_total} with bands)", sql.with_adapters(
         f"m as ({_metrics}) select {', '.join(_keys)}, {_band_sql}, {_score_sql} as {_total} from m"))(
         _score_builder(_card, _keys))
 
@@ -615,7 +618,7 @@ for _chart, _report_name, _cover in [
     register(f"chart_{_chart}", _cover, sql.CHARTS[f"chart_{_chart}"])(_chart_builder(_chart, _report_name))
 
 
-@register("batch_job", "L1 (all steps)", sql.BATCH_JOB)
+@register("batch_job", "L1 (all steps) O4 S8 S9 S13 Q1-Q4", sql.BATCH_JOB)
 def q_batch_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.plans.job import Layout, land_fixture_feeds, run_job
 
