@@ -28,3 +28,12 @@ def test_bench_prints_one_json_line(tmp_path):
     stages = stage_times.stages(str(tmp_path))
     assert stages and all(s["wall_ms"] >= 0 for s in stages)
     assert any(s["what"].startswith("token_liquidity_risk_top50") for s in stages)
+
+
+def test_modules_import_without_a_session():
+    code = ("import __spark_entry__ as e, tidemark.cli, tidemark.plans.job, tidemark.streaming.incremental; "
+            "print(len(e.queries()), len(e.oracle_sql()))")
+    out = subprocess.run([sys.executable, "-c", code], cwd="/tmp", env=dict(os.environ, PYTHONPATH=str(ROOT)),
+                         capture_output=True, text=True, timeout=120, check=True)
+    n_queries, n_oracles = map(int, out.stdout.split())
+    assert n_queries == n_oracles > 50
