@@ -97,8 +97,12 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, never-reused folder under the shared root for one job's outputs."""
-    return f"{shared_root(spark)}/tidemark/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, never-reused folder under the shared root for one job's outputs,
+    grouped by UTC day so old scratch can be expired per day folder."""
+    import datetime as _dt
+
+    day = _dt.datetime.now(_dt.timezone.utc).strftime("%Y-%m-%d")
+    return f"{shared_root(spark)}/tidemark/{day}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def ensure_session_tz(spark: SparkSession) -> None:
