@@ -121,3 +121,11 @@ def test_whole_number_exact_for_big_integers(spark):
     got = _eval(spark, [str(big), f" {big} ", "+7", "9.0", "1e3", "99999999999999999999"],
                 lambda c: coerce.to_whole_number(c))
     assert got == [big, big, 7, 9, 1000, None]
+
+
+def test_run_stamp_literal():
+    import datetime as dt
+
+    moment = dt.datetime(2026, 7, 9, 15, 42, 36, tzinfo=dt.timezone(dt.timedelta(hours=2)))
+    assert coerce.run_stamp_literal(moment) == "20260709T134236Z"     # always rendered in UTC
+    assert len(coerce.run_stamp_literal()) == 16
