@@ -4,12 +4,45 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import simhash
-from tidemark.llm.storage import table
+from tidemark.llm import decontam, packing, secret_scan, simhash, toxicity
+from tidemark.llm.storage import importable, table
 
 Builder = Callable[[SparkSession, str], DataFrame]
+#: The tokenizer that packing counts tokens with.
+PACKING_TOKENIZER = "word_bpe_49k.json"
+
+
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: counts by kind, a digest of the base spans, and all spans."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secret_scan.find_secrets(docs, secret_scan.train_markov(docs))
+    kinds = F.transform("base_spans", lambda s: s["kind"])
+    counts = [F.size(F.filter(kinds, secret_scan.equals(k))).cast("long").alias(f"n_{kind}")
+              for k, kind in enumerate(secret_scan.KINDS[:3])]
+    return found.select("doc_id", *counts, F.sha2(secret_scan.span_text(F.col("base_spans")), 256).alias("base_sha256"),
+                        secret_scan.span_text(F.col("spans")).alias("spans"))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity score, learned from the labels outside the held-out rows."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.learn_toxicity(docs, table(spark, sf_dir, "labels"))
+    held_out = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2, F.lit(False))
+    return toxicity.score_documents(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 4096 tokens, a row for each piece."""
+    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(PACKING_TOKENIZER))
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark item that leaked into a document: a row for each document and item."""
+    return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,8 +50,21 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_classes(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
-QUERIES: dict[str, Builder] = {
+def _with_workers(build: Builder) -> Builder:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        importable(spark)
+        return build(spark, sf_dir)
+    return run
+
+
+_BUILDERS: dict[str, Builder] = {
+    "op3_secret_scan": op3_secret_scan,
+    "op4_toxicity": op4_toxicity,
+    "op6_best_fit_packing": op6_best_fit_packing,
+    "op8_decontamination": op8_decontamination,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 
+QUERIES: dict[str, Builder] = {name: _with_workers(build) for name, build in _BUILDERS.items()}
+
 ORACLE_SQL: dict[str, str] = {}
