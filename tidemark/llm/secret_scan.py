@@ -207,7 +207,7 @@ def redact_secrets(docs: DataFrame, models: MarkovModels, text_col: str = "text"
     Rows, order of columns and null texts stay; a text without secrets stays as it is.
     """
     df = _fixed(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"),
-                            F.col(text_col).alias("__text")), __now=_clean(F.col(text_col)))
+                            F.col(text_col).alias("__text")), __now=_clean(F.col("__text")))
     steps = [(p, lambda piece, kind=kind: _counts_base(kind, piece)) for kind, p in BASE]
     for pattern, counts in [*steps, (MARKOV_PIECES, lambda piece: _is_random(piece, models))]:
         df = _fixed(df, __p=_pieces(F.col("__now"), pattern))
