@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontam, packing, secret_scan, simhash, toxicity
+from tidemark.llm import decontam, langid, packing, secret_scan, sharding, simhash, topk, toxicity
 from tidemark.llm.storage import importable, table
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,15 @@ Builder = Callable[[SparkSession, str], DataFrame]
 PACKING_TOKENIZER = "word_bpe_49k.json"
 
 
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in shards 0 to 7 of nearly equal bytes."""
+    docs = table(spark, sf_dir, "documents")
+    docs = docs.withColumn("text_crc32", F.crc32(F.coalesce("text", F.lit(""))))
+    placed = sharding.shard_documents(docs, 8, ["doc_id", "text_crc32"])
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document: counts by kind, a digest of the base spans, and all spans."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -40,11 +49,24 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(PACKING_TOKENIZER))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from the rows that aren't held out."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 0, F.lit(False))
+    return langid.identify(docs, langid.learn_languages(docs)).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score", "entropy", "rejected")
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every benchmark item that leaked into a document: a row for each document and item."""
     return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors, by integer inner product, of every vector whose id is divisible by 100."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"), lambda i: F.pmod(i, F.lit(100)) == 0, k=10)
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's fingerprint and near-duplicate class."""
     return simhash.simhash_classes(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
@@ -58,10 +80,13 @@ def _with_workers(build: Builder) -> Builder:
 
 
 _BUILDERS: dict[str, Builder] = {
+    "op1_sharding": op1_sharding,
     "op3_secret_scan": op3_secret_scan,
     "op4_toxicity": op4_toxicity,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op7_language_id": op7_language_id,
     "op8_decontamination": op8_decontamination,
+    "op9_exact_top_k": op9_exact_top_k,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 
