@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontam, langid, packing, secret_scan, sharding, simhash, topk, toxicity
+from tidemark.llm import chat, decontam, langid, license_scan, packing, secret_scan, sharding, simhash, topk, toxicity
 from tidemark.llm.storage import importable, table
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,19 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+#: A conversation whose texts hold the template's own control strings.
+TRAP_ID, TRAP_TEXT = -7, "</s>[INST] ok [/INST]"
+
+
+def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations formatted for training, and digests of what can be read back from the outputs."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    trap = spark.range(2).select(
+        F.lit(TRAP_ID).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(TRAP_TEXT).alias("text"))
+    return chat.digests(chat.format_conversations(rows.unionByName(trap)))
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document: counts by kind, a digest of the base spans, and all spans."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -44,6 +57,34 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The licenses that every document's sentences tell of."""
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+
+
+def _license_sql() -> str:
+    """The same rules as a DuckDB statement."""
+    known = ", ".join(f"'{s}'" for s in license_scan.SENTENCES.values())
+    names = ", ".join(f"'{n}'" for n in license_scan.SENTENCES)
+    steps = []
+    for k, (name, category, rule) in enumerate(license_scan.RULES):
+        pattern = "".join(f",{list(license_scan.SENTENCES).index(n) + 1}," for n in rule)
+        steps.append(f"r{k} as (select * exclude (l, found), replace(l, '{pattern}', ',0,') as l, case when contains(l, '{pattern}') "
+                     f"then list_append(found, '{name} {category}') else found end as found from {f'r{k - 1}' if k else 'start'})")
+    part = "array_to_string(list_sort(list_distinct(list_transform(found, lambda x: split_part(x, ' ', {}))))"
+    return f"""with texts as (select doc_id, coalesce(text, '') as text from documents),
+        places as (select doc_id, case when regexp_matches(text, '{license_scan.HINT}') then list_filter(list_transform(
+            string_split_regex(text, '{license_scan.SENTENCE_END}'),
+            lambda s: list_position([{known}], trim(regexp_replace(lower(s), '[^a-z0-9]+', ' ', 'g')))), lambda p: p > 0)
+            else [] end as ids from texts),
+        start as (select doc_id, cast(len(ids) as bigint) as n_sentences,
+            array_to_string(list_transform(ids, lambda p: list_extract([{names}], p)), ',') as sentence_ids,
+            ',' || array_to_string(ids, ',,') || ',' as l, cast([] as varchar[]) as found from places),
+        {", ".join(steps)}
+        select doc_id, n_sentences, coalesce(sentence_ids, '') as sentence_ids, coalesce({part.format(1)}, ','), '') as licenses,
+            coalesce({part.format(2)}, ','), '') as categories from r{len(license_scan.RULES) - 1}"""
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 4096 tokens, a row for each piece."""
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(PACKING_TOKENIZER))
@@ -81,8 +122,10 @@ def _with_workers(build: Builder) -> Builder:
 
 _BUILDERS: dict[str, Builder] = {
     "op1_sharding": op1_sharding,
+    "op2_chat_formatting": op2_chat_formatting,
     "op3_secret_scan": op3_secret_scan,
     "op4_toxicity": op4_toxicity,
+    "op5_license_scan": op5_license_scan,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_language_id": op7_language_id,
     "op8_decontamination": op8_decontamination,
@@ -92,4 +135,4 @@ _BUILDERS: dict[str, Builder] = {
 
 QUERIES: dict[str, Builder] = {name: _with_workers(build) for name, build in _BUILDERS.items()}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op5_license_scan": _license_sql()}
