@@ -36,7 +36,7 @@ ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-
 #: Rows that the models are trained from; a run must reach the ratio in total and a part of it per character.
 SAMPLE_ROWS, LEAST_RATIO, LEAST_RATIO_PER_CHAR = 4_000, 10.0, 0.5
 #: Pseudo-counts: random strings are uniform over letters and digits until samples say otherwise.
-RANDOM_PRIOR, ORDINARY_PRIOR = 10.0, 0.5
+RANDOM_PRIOR, PAIR_PRIOR, SINGLE_PRIOR = 10.0, 5.0, 0.5
 #: Pieces whose lengths are added up at a time.
 PIECES = 128
 
@@ -110,12 +110,17 @@ def _runs(text: Column, least: int) -> Column:
     return F.regexp_extract_all(text, F.lit(RUN_CLASS + "{%d,}" % least), F.lit(0))
 
 
+def _is_ordinary(run: Column) -> Column:
+    return (F.length(run) < RUN_CHARS) | ~run.rlike("[0-9]")
+
+
 def train_markov(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  sample_rows: int = SAMPLE_ROWS) -> MarkovModels:
     """Train from at most ``sample_rows`` ids, chosen by a hash of the id.
 
-    Runs that the fixed patterns match (for assignments, their values) are the random samples,
-    all other runs of four or more characters the ordinary ones. Without samples the priors hold.
+    Runs that the fixed patterns match (for assignments, their values) are the random samples.
+    Other runs of four or more characters are ordinary, but for long ones with digits, which may
+    be either. Without samples the priors hold.
     """
     ids = docs.select(F.col(id_col).alias("__id")).where("__id is not null").distinct() \
         .orderBy(F.xxhash64("__id"), "__id").limit(sample_rows)
@@ -127,7 +132,7 @@ def train_markov(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rest = F.regexp_replace(F.regexp_replace("text", ASSIGN, " "), "|".join(p for _, p in BASE[1:]), " ")
     samples = text.select(F.explode(F.concat(
         F.transform(known, lambda v: F.struct(F.lit(1).alias("random"), v.alias("run"))),
-        F.transform(_runs(rest, 4), lambda v: F.struct(F.lit(0).alias("random"), v.alias("run"))))).alias("s"))
+        F.transform(F.filter(_runs(rest, 4), _is_ordinary), lambda v: F.struct(F.lit(0).alias("random"), v.alias("run"))))).alias("s"))
     codes = samples.groupBy("s.random", "s.run").agg(F.count(F.lit(1)).alias("n")).select(
         "random", "n", F.concat(F.array(F.lit(0)), _codes(F.col("run"))).alias("codes"))
     steps = codes.select("random", "n", F.explode(F.zip_with(
@@ -136,13 +141,17 @@ def train_markov(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     counted = {(r.random, r.step): r.n for r in steps.groupBy("random", "step").agg(F.sum("n").alias("n")).collect()}
     size = len(ALPHABET) + 1
     alnum = sum(c.isalnum() for c in ALPHABET)
+    even = [0.98 / alnum if c.isalnum() else 0.02 / (size - 1 - alnum) for c in ALPHABET]
+    # Pairs never seen fall back on single characters, and those of random strings on an even share.
+    single = [[sum(counted.get((k, a * 100 + b), 0) for a in range(size)) for b in range(1, size)] for k in (0, 1)]
+    ordinary_one = [(n + SINGLE_PRIOR) / (sum(single[0]) + SINGLE_PRIOR * (size - 1)) for n in single[0]]
+    random_one = [(n + RANDOM_PRIOR * e * alnum) / (sum(single[1]) + RANDOM_PRIOR * alnum) for n, e in zip(single[1], even)]
     ratios = [0.0] * (size * size)
     for a in range(size):
         seen = [sum(counted.get((k, a * 100 + b), 0) for b in range(1, size)) for k in (0, 1)]
         for b in range(1, size):
-            prior = (0.98 / alnum if ALPHABET[b - 1].isalnum() else 0.02 / (size - 1 - alnum)) * alnum
-            random = (counted.get((1, a * 100 + b), 0) + RANDOM_PRIOR * prior) / (seen[1] + RANDOM_PRIOR * alnum)
-            ordinary = (counted.get((0, a * 100 + b), 0) + ORDINARY_PRIOR) / (seen[0] + ORDINARY_PRIOR * (size - 1))
+            random = (counted.get((1, a * 100 + b), 0) + RANDOM_PRIOR * alnum * random_one[b - 1]) / (seen[1] + RANDOM_PRIOR * alnum)
+            ordinary = (counted.get((0, a * 100 + b), 0) + PAIR_PRIOR * ordinary_one[b - 1]) / (seen[0] + PAIR_PRIOR)
             ratios[a * size + b] = math.log(random / ordinary)
     return MarkovModels(tuple(ratios))
 

@@ -47,6 +47,7 @@ class Block:
     low: np.ndarray
     high: np.ndarray
     above: np.ndarray  # candidates at or above high
+    bins: int
 
 
 def _scored(batches: Iterator[pa.RecordBatch], block: Block) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -60,10 +61,10 @@ def _scored(batches: Iterator[pa.RecordBatch], block: Block) -> Iterator[tuple[n
         flat = lists.flatten().to_numpy(zero_copy_only=False)
         ids = b.column(0).to_numpy(zero_copy_only=False)
         if (lengths == dim).all():
-            vectors = flat.reshape(-1, dim)
+            vectors = flat.reshape(len(ids), dim)
         else:
-            vectors = flat[np.repeat(lengths == dim, lengths)].reshape(-1, dim)
             ids = ids[lengths == dim]
+            vectors = flat[np.repeat(lengths == dim, lengths)].reshape(len(ids), dim)
         for k in range(0, len(ids), step):
             own = vectors[k:k + step]
             if top * int(np.abs(own).max(initial=0)) * dim < EXACT:
@@ -77,13 +78,13 @@ def _scored(batches: Iterator[pa.RecordBatch], block: Block) -> Iterator[tuple[n
 def _counted(batches: Iterator[pa.RecordBatch], block: Block, k: int) -> Iterator[pa.RecordBatch]:
     """This task's counts (query, bin, n) for the bins that can hold a kth score."""
     n = len(block.ids)
-    width = np.maximum(1, -(-(block.high - block.low) // BINS))
-    counts = np.zeros(n * BINS, dtype=np.int64)
+    width = np.maximum(1, -(-(block.high - block.low) // block.bins))
+    counts = np.zeros(n * block.bins, dtype=np.int64)
     for ids, scores in _scored(batches, block):
         inside = (scores >= block.low[:, None]) & (scores < block.high[:, None]) & (ids[None, :] != block.ids[:, None])
         q, c = np.nonzero(inside)
-        counts += np.bincount(q * BINS + (scores[q, c] - block.low[q]) // width[q], minlength=n * BINS)
-    counts = counts.reshape(n, BINS)
+        counts += np.bincount(q * block.bins + (scores[q, c] - block.low[q]) // width[q], minlength=n * block.bins)
+    counts = counts.reshape(n, block.bins)
     from_top = np.cumsum(counts[:, ::-1], axis=1)[:, ::-1]
     needed = np.maximum(1, k - block.above)
     report = (counts > 0) & (from_top - counts < needed[:, None])
@@ -119,13 +120,13 @@ def _select(rows: DataFrame, block: Block, k: int) -> DataFrame:
         at = np.flatnonzero((block.high - block.low > 1) & (block.above < k))
         if not len(at):
             break
-        part = Block(block.ids[at], block.vectors[at], block.low[at], block.high[at], block.above[at])
+        part = Block(block.ids[at], block.vectors[at], block.low[at], block.high[at], block.above[at], block.bins)
         shared = sc.broadcast(part)  # at most BLOCK_QUERIES vectors
         counts = rows.mapInArrow(lambda b, shared=shared: _counted(b, shared.value, k), "q int, bin int, n long")
         by_query: dict[int, list] = {}
         for r in counts.groupBy("q", "bin").agg(F.sum("n").alias("n")).collect():
             by_query.setdefault(r.q, []).append((r.bin, r.n))
-        width = np.maximum(1, -(-(part.high - part.low) // BINS))
+        width = np.maximum(1, -(-(part.high - part.low) // part.bins))
         for q, i in enumerate(at):
             above = int(block.above[i])
             low, w, high = int(part.low[q]), int(width[q]), int(part.high[q])
@@ -169,7 +170,7 @@ def top_k(rows: DataFrame, is_query: Callable[[Column], Column], k: int = 10, id
             q = np.array([r.v for r in picked], dtype=np.int64).reshape(len(picked), dim)
             # No score is larger than the product of the norms.
             reach = np.minimum(np.sqrt((q.astype(float) ** 2).sum(axis=1)) * longest * (1 + 1e-9) + 2, 2.0**62).astype(np.int64)
-            block = Block(ids, q, -reach, reach, np.zeros(len(ids), dtype=np.int64))
+            block = Block(ids, q, -reach, reach, np.zeros(len(ids), dtype=np.int64), BINS)
             own_best = _select(vectors, block, k)
             found = own_best if found is None else found.unionByName(own_best)
     if found is None:
