@@ -58,22 +58,28 @@ TEXTS = ["", None, "plain words, here!", "don't we'll I'm 'tis ''s", "Été ÀÉ
 
 @pytest.mark.parametrize("text", TEXTS)
 def test_ids_equal_the_tokenizer(text, monkeypatch):
-    assert [*packing.token_ids(text, PATH).tolist(), 1] == ids(text)
+    assert [*packing.token_ids([text], PATH)[0].tolist(), 1] == ids(text)
     monkeypatch.setattr(packing, "SLICE", 3)
-    assert [*packing.token_ids(text, PATH).tolist(), 1] == ids(text)
+    assert [*packing.token_ids([text], PATH)[0].tolist(), 1] == ids(text)
 
 
 @settings(max_examples=200, deadline=None)
 @given(st.text(alphabet=st.sampled_from("abcDEF 's't.,!_-0129éÉß\n\t'\"&"), max_size=60))
 def test_ids_equal_the_tokenizer_on_any_plain_text(text):
-    assert [*packing.token_ids(text, PATH).tolist(), 1] == ids(text)
+    assert [*packing.token_ids([text], PATH)[0].tolist(), 1] == ids(text)
 
 
 def test_memory_is_bounded(monkeypatch):
-    monkeypatch.setattr(packing, "REMEMBERED", 10)
+    met = len(packing._loaded(PATH)[3])
+    monkeypatch.setattr(packing, "REMEMBERED", met + 10)
     for k in range(20):
-        packing.token_ids(" ".join(f"word{k}x{j}" for j in range(8)), PATH)
-        assert len(packing._loaded(PATH)[3]) <= 20
+        packing.token_ids([" ".join(f"word{k}x{j}" for j in range(8))], PATH)
+    assert len(packing._loaded(PATH)[3]) <= met + 60
+
+
+def test_batches_equal_single_texts(monkeypatch):
+    monkeypatch.setattr(packing, "WORDS_AT_A_TIME", 5)
+    assert [x.tolist() for x in packing.token_ids(TEXTS * 3, PATH)] == [ids(t)[:-1] for t in TEXTS * 3]
 
 
 def test_nulls_empty_long_and_extra_columns(documents):

@@ -2,10 +2,9 @@
 
 Documents become token ids with an end id; only those longer than a sequence are cut. Full
 pieces are sequences of their own. The others are dealt at random into groups of bounded
-size. A group is packed best-fit, longest first, then improved: the emptiest sequence gives
-its pieces away, by moving one, or by exchanging one for one, two for one or one for two
-shorter pieces of a fuller sequence, each step raising the sum of squared fills, until it is
-empty or nothing helps. Sequences that stay underfull give their pieces to a next round of
+size. A group is packed best-fit, longest first, then improved: underfull sequences, the
+emptiest first, move a piece to another one, or exchange one for one, two for one or one for
+two, each step raising the sum of squared fills, until no sequence can be emptied any more. Sequences that stay underfull give their pieces to a next round of
 fewer groups, so what groups lose at their edges is won back.
 """
 
@@ -32,8 +31,8 @@ END_ID = 1
 GROUP_PIECES = 8192
 #: A sequence with this share free or more is opened again in the next round.
 OPEN_SHARE = 0.005
-#: Words whose ids a worker remembers, their longest length, and characters tokenised at a time.
-REMEMBERED, WORD_CHARS, SLICE = 400_000, 48, 1 << 20
+#: Words whose ids a worker remembers, their longest length, and characters and words tokenised at a time.
+REMEMBERED, WORD_CHARS, SLICE, WORDS_AT_A_TIME = 300_000, 48, 1 << 20, 1 << 19
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -49,8 +48,8 @@ _LOADED: dict[str, tuple] = {}
 
 
 def _loaded(path: str) -> tuple:
-    """Tokenizer, array code of its ids, (tokenizer of single words, which ids end a word), ids of the strings between white
-    space and of the words met so far."""
+    """Tokenizer, array code of its ids, (tokenizer of single words, which ids end a word), ids of words and of
+    strings between white space met so far."""
     if path not in _LOADED:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
@@ -63,7 +62,7 @@ def _loaded(path: str) -> tuple:
         size = tokenizer.get_vocab_size()
         ends = np.zeros(size, dtype=bool)
         ends[[i for w, i in tokenizer.get_vocab().items() if w.endswith("</w>")]] = True
-        _LOADED[path] = tokenizer, "H" if size <= 1 << 16 else "I", (words, ends), {}, {}
+        _LOADED[path] = tokenizer, "H" if size <= 1 << 16 else "I", (words, ends), {}
     return _LOADED[path]
 
 
@@ -79,44 +78,78 @@ def _ids_of_parts(parts: list[str], path: str) -> list[bytes]:
     return [raw[a:b] for a, b in zip(edges, edges[1:])]
 
 
-def token_ids(text: str | None, path: str) -> np.ndarray:
-    """Ids of a whole text by the tokenizer at ``path``, without special tokens added.
+def _remember(memory: dict[str, bytes], new: dict[str, bytes]) -> None:
+    """Words met early are the frequent ones: a full memory stays as it is."""
+    if len(memory) < REMEMBERED:
+        memory.update((w, ids) for w, ids in new.items() if len(w) <= WORD_CHARS)
 
-    Long texts are cut at white space, where no token spans. Words of plain texts are looked
-    up in a bounded memory; anything else goes to the tokenizer as it is.
-    """
-    tokenizer, code, _, memory, part_memory = _loaded(path)
-    text, at, out = text or "", 0, []
+
+def _slices(text: str) -> Iterator[str]:
+    """A text in parts cut at white space, where no token spans."""
+    at = 0
     while at < len(text):
         end = at + SLICE
         while end < len(text) and text[end] not in " \n\t":
             end += 1
-        piece = text[at:end]
+        yield text[at:end]
         at = end
-        if "<|" in piece or not _PLAIN.fullmatch(piece):
-            out.append(array(code, tokenizer.encode(piece, add_special_tokens=False).ids).tobytes())
-            continue
-        words = piece.lower().split()
-        known = list(map(memory.get, words))
-        if None in known:
-            if len(memory) > REMEMBERED:
-                memory.clear()
-            if len(part_memory) > REMEMBERED:
-                part_memory.clear()
-            new = {w: [w] if w.isalpha() else _PARTS.findall(w) for w, k in zip(words, known) if k is None}
-            parts = list({p for own in new.values() for p in own}.difference(part_memory))
-            if parts:
-                part_memory.update(zip(parts, _ids_of_parts(parts, path)))
-            here = {w: b"".join([part_memory[p] for p in own]) for w, own in new.items()}
-            known = [here[w] if k is None else k for w, k in zip(words, known)]
-            memory.update(here)
-            if max(map(len, words)) > WORD_CHARS:
-                for w in [w for w in here if len(w) > WORD_CHARS]:
-                    del memory[w]
-                for w in [w for w in parts if len(w) > WORD_CHARS]:
-                    del part_memory[w]
-        out.append(b"".join(known))
-    return np.frombuffer(b"".join(out), dtype="<u2" if code == "H" else "<u4")
+
+
+def _ids_of_words(words: list[str], path: str) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of all words, where each word's ids end). Each distinct string is looked up once."""
+    _, code, _, memory = _loaded(path)
+    codes, distinct = pd.factorize(np.array(words, dtype=object))
+    known = list(map(memory.get, distinct))
+    new = {w: [w] if w.isalpha() else _PARTS.findall(w) for w, k in zip(distinct, known) if k is None}
+    if new:
+        parts = list({p for own in new.values() for p in own}.difference(memory))
+        met = dict(zip(parts, _ids_of_parts(parts, path))) if parts else {}
+        here = {w: b"".join([met[p] if p in met else memory[p] for p in own]) for w, own in new.items()}
+        known = [here[w] if k is None else k for w, k in zip(distinct, known)]
+        _remember(memory, met)
+        _remember(memory, here)
+    flat = np.frombuffer(b"".join(known), dtype=code)
+    sizes = np.fromiter(map(len, known), np.int64, len(known)) // flat.itemsize
+    starts = np.cumsum(sizes) - sizes
+    own = sizes[codes]
+    ends = np.cumsum(own)
+    place = np.repeat(starts[codes] - (ends - own), own) + np.arange(ends[-1] if len(ends) else 0)
+    return flat[place], ends
+
+
+def token_ids(texts: list[str | None], path: str) -> list[np.ndarray]:
+    """Ids of whole texts by the tokenizer at ``path``, without special tokens added.
+
+    Words of plain texts are looked up in a bounded memory, many at a time; anything else goes
+    to the tokenizer as it is.
+    """
+    tokenizer, code, *_ = _loaded(path)
+    out: list[list[np.ndarray]] = [[] for _ in texts]
+    words: list[str] = []
+    waiting: list[tuple[int, int, int]] = []  # text, place in its list, words up to here
+
+    def solve() -> None:
+        ids, ends = _ids_of_words(words, path)
+        first = 0
+        for text, place, last in waiting:
+            stop = int(ends[last - 1]) if last else 0
+            out[text][place] = ids[first:stop]
+            first = stop
+        words.clear()
+        waiting.clear()
+
+    for n, text in enumerate(texts):
+        for piece in _slices(text or ""):
+            if "<|" in piece or not _PLAIN.fullmatch(piece):
+                out[n].append(np.array(tokenizer.encode(piece, add_special_tokens=False).ids, dtype=code))
+                continue
+            words += piece.lower().split()
+            waiting.append((n, len(out[n]), len(words)))
+            out[n].append(np.empty(0, dtype=code))
+            if len(words) >= WORDS_AT_A_TIME:
+                solve()
+    solve()
+    return [own[0] if len(own) == 1 else np.concatenate(own) if own else np.empty(0, dtype=code) for own in out]
 
 
 def tokenized_pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
@@ -125,8 +158,8 @@ def tokenized_pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             doc, piece, start, length, crc = [], [], [], [], []
-            for i, text in zip(pdf["doc_id"].astype("Int64"), pdf["text"]):
-                ids = np.append(token_ids(text, path).astype("<u4"), np.uint32(end_id)).astype("<u4")
+            for i, own_ids in zip(pdf["doc_id"].astype("Int64"), token_ids(list(pdf["text"]), path)):
+                ids = np.append(own_ids.astype("<u4"), np.uint32(end_id))
                 for k in range(0, len(ids), size):
                     own = ids[k:k + size]
                     doc.append(i)
@@ -182,71 +215,65 @@ def best_fit(lengths: np.ndarray, size: int) -> list[Bin]:
     return bins
 
 
-def _options(bins: list[Bin]) -> tuple[np.ndarray, ...]:
-    """Nothing, one length or two that a bin could give: (bin, given, first, second)."""
-    rows = []
-    for k, b in enumerate(bins):
-        own = sorted(b.items)
-        rows.append((k, 0, 0, 0))
-        rows += [(k, y, y, 0) for y in own]
-        rows += [(k, y + z, y, z) for i, y in enumerate(own) for z in own[i:] if y != z or len(b.items[y]) > 1]
-    return tuple(np.array(c, dtype=np.int64) for c in zip(*rows))
-
-
-def _empty_one(bins: list[Bin], emptiest: Bin, size: int) -> bool:
-    """Give the emptiest bin's pieces to ``bins``; true once it is empty."""
-    if sum(b.free for b in bins) < size - emptiest.free:
-        return False
-    which, given, first, second = _options(bins)
-    while emptiest.items:
-        frees = np.array([b.free for b in bins])
-        fill = size - emptiest.free
-        best: tuple[int, int, tuple[int, ...]] | None = None
-        own = sorted(emptiest.items, reverse=True)
-        pairs = [(x, y) for i, x in enumerate(own) for y in own[i:] if x != y or len(emptiest.items[x]) > 1]
-        for gives in [(x,) for x in own] + pairs:
-            total = sum(gives)
-            more = total - given  # what the other bin gains
-            fits = (more > 0) & (more <= frees[which])
-            if len(gives) == 2:
-                fits &= (second == 0) & (first > 0)  # two for one
-            if not fits.any():
-                continue
-            # The sum of squares rises by 2 * more * (other's fill - own fill + more).
-            gain = np.where(fits, more * (size - frees[which] - fill + more), -1)
-            k = int(gain.argmax())
-            if gain[k] > 0 and (best is None or gain[k] > best[0]):
-                best = int(gain[k]), k, gives
-        if best is None:
-            return False
-        _, k, gives = best
-        other = bins[which[k]]
-        back = [int(y) for y in (first[k], second[k]) if y]
-        there = [(x, emptiest.take(x)) for x in gives]
-        here = [(y, other.take(y)) for y in back]
-        for x, item in there:
-            other.put(x, item)
-        for y, item in here:
-            emptiest.put(y, item)
-        rows = _options([other])
-        keep = which != which[k]
-        changed = np.full(len(rows[0]), which[k])
-        which, given, first, second = (np.concatenate([a[keep], b]) for a, b in zip(
-            (which, given, first, second), (changed, *rows[1:])))
-    return True
+def _options(which: int, b: Bin) -> np.ndarray:
+    """Nothing, one length or two that a bin could give: rows of (bin, given, first, second)."""
+    own = sorted(b.items)
+    rows = [(which, 0, 0, 0), *((which, y, y, 0) for y in own)]
+    rows += [(which, y + z, y, z) for i, y in enumerate(own) for z in own[i:] if y != z or len(b.items[y]) > 1]
+    return np.array(rows, dtype=np.int64)
+
+
+def _best_step(bins: list[Bin], giver: int, options: np.ndarray, size: int) -> tuple[int, tuple[int, ...]] | None:
+    """The exchange that raises the sum of squared fills most: (row of options, lengths given for it)."""
+    which, given, first, second = options.T
+    frees = np.array([b.free for b in bins])[which]
+    fill, items = size - bins[giver].free, bins[giver].items
+    own = sorted(items, reverse=True)
+    pairs = [(x, y) for i, x in enumerate(own) for y in own[i:] if x != y or len(items[x]) > 1]
+    best: tuple[int, int, tuple[int, ...]] | None = None
+    for gives in [(x,) for x in own] + pairs:
+        more = sum(gives) - given  # what the other bin gains
+        fits = (more > 0) & (more <= frees) & (which != giver)
+        if len(gives) == 2:
+            fits &= (second == 0) & (first > 0)  # two for one
+        # The sum of squares rises by 2 * more * (other's fill - own fill + more).
+        gain = np.where(fits, more * (size - frees - fill + more), 0)
+        k = int(gain.argmax())
+        if gain[k] > 0 and (best is None or gain[k] > best[0]):
+            best = int(gain[k]), k, gives
+    return best and best[1:]
 
 
 def local_search(bins: list[Bin], size: int) -> list[Bin]:
-    """Empty bins one after the other, the emptiest first, as long as one can be emptied."""
-    full = [b for b in bins if not b.free]
-    under = sorted((b for b in bins if b.free), key=lambda b: b.free)
-    while len(under) > 1:
-        if not _empty_one(under[:-1], under[-1], size):
+    """Exchange pieces between underfull bins until no exchange raises the sum of squared fills, or until
+    the others haven't the room for the emptiest bin's pieces, so no bin can be emptied any more."""
+    full, under = [b for b in bins if not b.free], [b for b in bins if b.free]
+    options = [_options(k, b) for k, b in enumerate(under)]
+
+    def can_empty() -> bool:
+        own = [b for b in under if b.items]
+        emptiest = max((b.free for b in own), default=0)
+        return len(own) > 1 and sum(b.free for b in own) - emptiest >= size - emptiest
+
+    while can_empty():
+        step = None
+        all_options = np.concatenate([o for o, b in zip(options, under) if b.items and b.free])
+        for giver in sorted((k for k, b in enumerate(under) if b.items and b.free), key=lambda k: -under[k].free):
+            if step := _best_step(under, giver, all_options, size):
+                break
+        if not step:
             break
-        under.pop()
-        full += [b for b in under if not b.free]
-        under = sorted((b for b in under if b.free), key=lambda b: b.free)
-    return full + under
+        row, gives = step
+        k, _, *back = all_options[row].tolist()
+        there = [(x, under[giver].take(x)) for x in gives]
+        here = [(y, under[k].take(y)) for y in back if y]
+        for x, item in there:
+            under[k].put(x, item)
+        for y, item in here:
+            under[giver].put(y, item)
+        for changed in (giver, k):
+            options[changed] = _options(changed, under[changed])
+    return full + [b for b in under if b.items]
 
 
 def pack_lengths(lengths: np.ndarray, size: int = SEQUENCE_TOKENS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
