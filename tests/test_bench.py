@@ -36,4 +36,4 @@ def test_modules_import_without_a_session():
     out = subprocess.run([sys.executable, "-c", code], cwd="/tmp", env=dict(os.environ, PYTHONPATH=str(ROOT)),
                          capture_output=True, text=True, timeout=120, check=True)
     n_queries, n_oracles = map(int, out.stdout.split())
-    assert n_queries == n_oracles > 50
+    assert n_queries >= n_oracles > 50

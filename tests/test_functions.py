@@ -129,3 +129,14 @@ def test_run_stamp_literal():
     moment = dt.datetime(2026, 7, 9, 15, 42, 36, tzinfo=dt.timezone(dt.timedelta(hours=2)))
     assert coerce.run_stamp_literal(moment) == "20260709T134236Z"     # always rendered in UTC
     assert len(coerce.run_stamp_literal()) == 16
+
+
+def test_no_change_rate_or_ratio_is_nan(spark):
+    from pyspark.sql import functions as F
+    from tidemark.functions import arith
+
+    inf = float("inf")
+    df = spark.createDataFrame([(inf, inf), (inf, 1.0), (1.0, inf), (-inf, inf)], "a double, b double")
+    forms = [arith.pct_change_ieee, arith.guarded_pct_change, arith.change_fraction, arith.safe_ratio, arith.both_positive_ratio]
+    row = df.agg(*[F.count_if(F.isnan(f("a", "b"))).alias(f.__name__) for f in forms]).first()
+    assert set(row) == {0}

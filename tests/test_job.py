@@ -1,5 +1,7 @@
 """The batch job end to end in a temporary folder."""
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -45,11 +47,15 @@ def test_job_latest_only_single_run(spark, tmp_path):
         newest = raw.where(F.col(S.STAMP) == raw.select(F.max(S.STAMP)).scalar())
         landing.land_records(newest, layout.raw(feed), *fx.ENDPOINTS[feed], F.col(S.STAMP))
     landing.land_records(stables, layout.raw("stablecoins"), *fx.ENDPOINTS["stablecoins"], F.col(S.STAMP))
-    with pytest.raises(ValueError, match="at least 2 snapshots"):
+    with pytest.raises(ValueError, match="holds 1 run"):
         run_job(spark, layout)
     results = run_job(spark, layout, skip_trends_if_single=True).collect()
     assert {r["target"] for r in results} == {"markets", "protocols", "stablecoins", "token_liquidity_risk_top50",
                                               "defi_protocol_risk_top50", "stablecoin_depeg_risk_top50"}
+    stale = layout.report("defi_protocol_risk_trends")
+    spark.range(1).write.parquet(stale)
+    run_job(spark, layout, skip_trends_if_single=True)
+    assert not Path(stale).exists()  # a skipped report leaves none of an earlier run behind
 
 
 def test_quality_failures_are_all_reported(spark, tmp_path):
@@ -70,7 +76,7 @@ def test_quality_failures_are_all_reported(spark, tmp_path):
 def test_missing_landing_is_reported(spark, tmp_path):
     from tidemark.plans.job import normalize_feed
 
-    with pytest.raises(FileNotFoundError, match="no raw files found"):
+    with pytest.raises(FileNotFoundError, match="no run was landed"):
         normalize_feed(spark, Layout(str(tmp_path / "nothing")), "markets")
 
 
@@ -150,21 +156,26 @@ def test_together_runs_all_and_raises_first_failure(spark):
     assert ran == [3]   # the other action still completed
 
 
-def test_large_run_paths_give_the_same_reports(spark, tmp_path, monkeypatch):
-    from tidemark.plans import job as P
-
-    plain, forced = Layout(str(tmp_path / "plain")), Layout(str(tmp_path / "forced"))
-    for layout in (plain, forced):
-        land_fixture_feeds(spark, SF_SMALL, layout)
-    run_job(spark, plain, runs="all", with_marts=False)
-    monkeypatch.setattr(P, "HOT_KEY_SAMPLING_BYTES", 0)   # sample hot keys and stage every trend
-    monkeypatch.setattr(P, "STAGING_BYTES", 0)
-    run_job(spark, forced, runs="all", with_marts=False)
-    for name in ("token_liquidity_risk_trends", "defi_protocol_risk_trends"):
-        a, b = read_report(spark, plain, name), read_report(spark, forced, name)
-        assert a.count() == b.count() > 0
-        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
-    assert spark.read.parquet(forced.staging("defi_protocol_risk_trends")).count() > 0
+def test_quality_checks_run_once(spark, tmp_path):
+    """The job returns the rows it checked: reading them again starts no scan."""
+    layout = Layout(str(tmp_path / "job"))
+    land_fixture_feeds(spark, SF_SMALL, layout)
+    results = run_job(spark, layout, runs="all", with_marts=False)
+    plan = results._jdf.queryExecution().executedPlan().toString()
+    assert results.count() == 8 and "FileScan" not in plan
+    assert spark.read.parquet(layout.staging("defi_protocol_risk_trends")).count() > 0
+
+
+def test_empty_newest_run_stops_the_job(spark, tmp_path):
+    from tidemark.plans.job import normalize_feed
+
+    layout = Layout(str(tmp_path / "job"))
+    rows = spark.createDataFrame([("1", "a")], "id string, name string")
+    landing.land_records(rows, layout.raw("protocols"), "s", "e", "20240101T000000Z")
+    landing.land_records(rows.limit(0), layout.raw("protocols"), "s", "e", "20240102T000000Z")
+    for runs in ("latest", "all"):
+        with pytest.raises(ValueError, match="20240102T000000Z, holds no record"):
+            normalize_feed(spark, layout, "protocols", runs=runs)
 
 
 def test_quality_on_empty_outputs(spark, tmp_path):

@@ -1,93 +1,57 @@
-"""J1: NULL keys match NULL keys, duplicates multiply, the NULL group is salted."""
+"""J1: rows meet their own earlier row, rows without a key meet none, duplicates multiply."""
 
 from pyspark.sql import functions as F
 
-from tidemark.operators.joins import detect_hot_keys, grid_size, null_safe_join
-from tidemark.operators.trends import compare_snapshots
+from tidemark import schemas as S
+from tidemark.operators.joins import keyed_join
+from tidemark.operators.normalize import normalize_protocols
+from tidemark.operators.trends import compare_snapshots, defi_protocol_risk_trends
 
 
-def _frames(spark, left_keys, right_keys, key_type="double"):
+def _frames(spark, left_keys, right_keys, key_type="string"):
     left = spark.createDataFrame([(k, f"l{i}") for i, k in enumerate(left_keys)], f"id {key_type}, lv string")
     right = spark.createDataFrame([(k, f"r{i}") for i, k in enumerate(right_keys)], f"id {key_type}, rv string")
     return left, right
 
 
-def test_null_keys_match(spark):
-    left, right = _frames(spark, [1.0, None, None, 2.0], [1.0, None, None])
-    out = null_safe_join(left, right, "id")
-    assert out.count() == 5
-    assert out.where(F.col("id").isNull()).count() == 4
+def test_null_keys_match_nothing(spark):
+    left, right = _frames(spark, ["1", None, None, "2"], ["1", None, None])
+    out = keyed_join(left, right, "id")
     assert out.columns == ["id", "lv", "rv"]
+    assert [tuple(r) for r in out.collect()] == [("1", "l0", "r0")]
 
 
 def test_duplicates_multiply(spark):
-    left, right = _frames(spark, ["a", "a"], ["a", "a"], "string")
-    assert null_safe_join(left, right, "id").count() == 4
-
-
-def test_drop_mode(spark):
-    left, right = _frames(spark, [1.0, None, None, 2.0], [1.0, None, None])
-    assert null_safe_join(left, right, "id", null_keys="drop").count() == 1
-
-
-def test_salted_null_group_is_exact(spark):
-    left, right = _frames(spark, [None] * 40 + [1.0], [None] * 30 + [1.0])
-    out = null_safe_join(left, right, "id", grid=5)
-    pairs = out.where(F.col("id").isNull()).select("lv", "rv")
-    assert pairs.count() == 1200
-    assert pairs.distinct().count() == 1200
-
-
-def test_grid_follows_shuffle_partitions(spark):
-    assert grid_size(spark.range(1)) == 3  # 8 shuffle partitions in tests
-
-
-def test_null_group_spreads_over_cells(spark):
-    # Force a shuffled join so the spread over tasks is visible on tiny data.
-    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
-    saved = {k: spark.conf.get(k, None) for k in conf}
-    for k, v in conf.items():
-        spark.conf.set(k, v)
-    try:
-        left, right = _frames(spark, [None] * 200, [None] * 200)
-        out = null_safe_join(left, right, "id", grid=4)
-        per_task = out.groupBy(F.spark_partition_id().alias("p")).count().collect()
-    finally:
-        for k, v in saved.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-    assert sum(r["count"] for r in per_task) == 40000
-    assert len(per_task) > 1
-    assert max(r["count"] for r in per_task) < 40000 / 2
-
-
-def test_compare_snapshots_suffixes(spark):
-    latest = spark.createDataFrame([(1.0, "a", 10.0, "only_l")], "id double, name string, tvl double, extra string")
-    previous = spark.createDataFrame([(1.0, "b", 5.0)], "id double, name string, tvl double")
-    out = compare_snapshots(latest, previous)
-    assert sorted(out.columns) == sorted(["id", "name_latest", "tvl_latest", "extra", "name_previous", "tvl_previous"])
-    row = out.first()
-    assert (row["name_latest"], row["name_previous"], row["tvl_latest"], row["tvl_previous"]) == ("a", "b", 10.0, 5.0)
-
-
-def test_hot_keys_are_spread_and_exact(spark):
-    left, right = _frames(spark, [7.0] * 300 + [float(i) for i in range(300)] + [None] * 3,
-                          [7.0] * 5 + [float(i) for i in range(0, 300, 2)] + [None])
-    assert detect_hot_keys(left, "id", min_share=0.1, fraction=1.0) == [7.0]
-    plain = null_safe_join(left, right, "id")
-    salted = null_safe_join(left, right, "id", hot_keys="auto", grid=4)
-    want = 301 * 5 + 150 + 3   # key 7 (300 repeats + 1 from the range) × 5, 150 even keys, 3 × 1 NULL pairs
-    assert plain.count() == salted.count() == want
-    assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
-
-
-def test_drop_mode_with_hot_keys(spark):
-    left, right = _frames(spark, [1.0, 1.0, None], [1.0, None])
-    assert null_safe_join(left, right, "id", null_keys="drop", hot_keys=[1.0], grid=3).count() == 2
-
-
-def test_hot_key_on_the_right_side_only(spark):
-    left, right = _frames(spark, [float(i) for i in range(200)], [5.0] * 300 + [float(i) for i in range(200)])
-    salted = null_safe_join(left, right, "id", hot_keys="auto", grid=3)
-    assert salted.count() == 301 + 199
-    assert detect_hot_keys(right, "id", min_share=0.1, fraction=1.0) == [5.0]
+    left, right = _frames(spark, ["a", "a"], ["a", "a"])
+    assert keyed_join(left, right, "id").count() == 4
+
+
+def test_overlapping_columns_get_suffixes(spark):
+    df = spark.createDataFrame([("a", 1.0)], "id string, v double")
+    assert compare_snapshots(df, df.withColumn("only", F.lit(1))).columns == ["id", "v_latest", "v_previous", "only"]
+
+
+def _run(spark, ids, stamp):
+    raw = spark.createDataFrame([(i, f"n{k}", "5", stamp) for k, i in enumerate(ids)], f"id string, name string, tvl string, {S.STAMP} string")
+    return normalize_protocols(raw)
+
+
+def test_ids_that_are_no_numbers_meet_only_themselves(spark):
+    ids = ["7", "7.50", "parent#a", " parent#b ", None, "", "x"]
+    latest, previous = _run(spark, ids, "20240102T000000Z"), _run(spark, ["7.0", "7.5", "parent#a", "parent#b", None, "", "y"], "20240101T000000Z")
+    assert [r[S.ID_TEXT] for r in latest.collect()] == ["7.0", "7.5", "parent#a", "parent#b", None, None, "x"]
+    assert sorted(r["name_latest"] for r in defi_protocol_risk_trends(latest, previous).collect()) == ["n0", "n1", "n2", "n3"]
+
+
+def test_output_grows_with_the_input_for_ids_that_are_no_numbers(spark):
+    counts = []
+    for n in (30, 300):
+        ids = [f"parent#{k}" for k in range(n)] + [None] * n
+        counts.append(defi_protocol_risk_trends(_run(spark, ids, "20240102T000000Z"), _run(spark, ids, "20240101T000000Z")).count())
+    assert counts == [30, 300]
+
+
+def test_hot_key_plan_is_one_equi_join(spark):
+    left, right = _frames(spark, ["a"] * 30 + ["b"], ["a", "b"])
+    plan = keyed_join(left, right, "id")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join Inner") == 1 and "Generate" not in plan

@@ -56,3 +56,21 @@ def test_ranked_report_ties_are_deterministic(spark):
     first = [r["id"] for r in reports.token_liquidity_risk(markets).collect()]
     again = [r["id"] for r in reports.token_liquidity_risk(markets.repartition(3)).collect()]
     assert first == again == [f"t{i:03d}" for i in range(50)]
+
+
+def test_kpi_row_agrees_with_the_report_on_ties_and_nulls(spark):
+    from tidemark.operators import marts, ranking
+    from tidemark.operators.reports import STABLECOIN_RISK_ORDER
+    from tidemark.plans.job import REPORT_SCHEMAS
+
+    schema = REPORT_SCHEMAS["stablecoin_depeg_risk_top50"]
+    cases = [
+        [(None, "NULLNAME", "m", 1.0, 0.1, 5.0, 0.0, 0.0, 1, 90), ("a", "AAA", "m", 1.0, 0.1, 5.0, 0.0, 0.0, 1, 90)],
+        [("a", "NOSUPPLY", "m", 1.0, 0.1, None, 0.0, 0.0, 1, 90), ("b", "BBB", "m", 1.0, 0.1, 5.0, 0.0, 0.0, 1, 90)],
+        [("a", "NOSCORE", "m", 1.0, 0.1, 5.0, 0.0, 0.0, 1, None), ("b", "LOW", "m", 1.0, 0.1, 5.0, 0.0, 0.0, 1, 0)],
+    ]
+    for rows in cases:
+        report = spark.createDataFrame(rows, schema)
+        first = ranking.top_k(report, STABLECOIN_RISK_ORDER, 1).first()
+        other = spark.createDataFrame([(1,)], "x int")
+        assert marts.kpi_row(other, other, report).first()["top_stablecoin_symbol"] == first["symbol"]

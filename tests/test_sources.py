@@ -66,7 +66,7 @@ def test_landing_replaces_same_stamp(spark, tmp_path):
     landing.land_records(recs.limit(1), root, "defillama", "protocols", "20240102T000000Z")
     landing.land_records(recs, root, "defillama", "protocols", "20240102T000000Z")  # re-run replaces
     landed = landing.read_landed(spark, root, "protocols")
-    counts = {r[S.STAMP]: r["record_count"] for r in landing.manifest(landed).collect()}
+    counts = {r[S.STAMP]: r["record_count"] for r in landing.landed_runs(spark, root).collect()}
     assert counts == {"20240101T000000Z": 2, "20240102T000000Z": 2}
     newest = landing.newest_run(landed)
     assert newest.count() == 2
@@ -74,15 +74,23 @@ def test_landing_replaces_same_stamp(spark, tmp_path):
     assert f"PartitionFilters: [isnotnull({S.STAMP}" in plan
     listed = landing.read_newest_landed(spark, root, "protocols")
     assert listed.count() == 2
-    listed_plan = listed._jdf.queryExecution().executedPlan().toString()
-    assert "binaryFile" in listed_plan and f"PartitionFilters: [isnotnull({S.STAMP}" in listed_plan
+    assert "InMemoryFileIndex(1 paths)" in listed._jdf.queryExecution().executedPlan().toString()
     prot = normalize_protocols(newest).collect()
     assert sorted((r["id"], r["tvl"]) for r in prot if r["tvl"] is not None) == [(None, 10.0)]
 
 
-def test_require_rows(spark):
-    with pytest.raises(FileNotFoundError):
-        landing.require_rows(spark.range(0), "nothing")
+def test_runs_without_records(spark, tmp_path):
+    root = str(tmp_path / "raw")
+    recs = spark.createDataFrame([("p1", "10"), ("p2", "x")], "id string, tvl string")
+    landing.land_records(recs, root, "s", "e", "20240101T000000Z")
+    landing.land_records(recs.limit(0), root, "s", "e", "20240102T000000Z")
+    assert landing.newest_landed_run(spark, root) == ("20240102T000000Z", 0)
+    assert landing.read_newest_landed(spark, root, "protocols").count() == 0
+    landing.land_records(recs.limit(0), root, "s", "e", "20240101T000000Z")  # an empty run replaces rows, too
+    assert landing.read_landed(spark, root, "protocols").count() == 0
+    assert {r["record_count"] for r in landing.landed_runs(spark, root).collect()} == {0}
+    landing.land_records(recs, root, "s", "e", "20240102T000000Z")
+    assert landing.newest_landed_run(spark, root) == ("20240102T000000Z", 2)
 
 
 def test_snapshots_and_newest_two(spark, tmp_path):
@@ -92,17 +100,20 @@ def test_snapshots_and_newest_two(spark, tmp_path):
     snapshots.write_snapshots(df.where(F.col(S.STAMP) == "20240101T000000Z"), root)
     table = snapshots.read_snapshots(spark, root, df.schema)
     with pytest.raises(ValueError):
-        snapshots.newest_stamps(table, 2)
+        snapshots.newest_runs(spark, root, 2)
     snapshots.write_snapshots(df.where(F.col(S.STAMP) != "20240101T000000Z"), root)
     snapshots.write_snapshots(df.where(F.col(S.STAMP) != "20240101T000000Z"), root)  # idempotent
     table = snapshots.read_snapshots(spark, root, df.schema)
-    assert snapshots.newest_stamps(table, 2) == ["20240101T000000Z", "20240102T120000Z"]
+    assert snapshots.newest_runs(spark, root, 2) == ["20240101T000000Z", "20240102T120000Z"]
     latest = snapshots.pick_snapshot(table, "20240102T120000Z")
     assert latest.count() == 2
     assert {r["ingestion_date"] for r in latest.collect()} == {"2024-01-02"}
     assert "PartitionFilters: [isnotnull(snapshot_ts" in latest._jdf.queryExecution().executedPlan().toString()
     l2, p2 = snapshots.newest_two_in_plan(df)
     assert l2.count() == 2 and p2.count() == 1
+    one, _ = snapshots.newest_two_in_plan(df.where(F.col(S.STAMP) == "20240101T000000Z"))
+    with pytest.raises(Exception, match="two runs are needed"):
+        one.collect()
 
 
 def test_bad_stamp_fails_the_write(spark, tmp_path):
@@ -123,16 +134,12 @@ def test_report_round_trip(spark, tmp_path):
         reports_io.read_report(spark, str(tmp_path / "nope"))
 
 
-def test_run_sizes_from_listing(spark, tmp_path):
+def test_newest_runs_of_one_day_and_several(spark, tmp_path):
     root = str(tmp_path / "snap")
-    df = spark.createDataFrame([("a", 1.0, "20240101T000000Z"), ("b", 2.0, "20240102T000000Z")],
-                               f"id string, v double, {S.STAMP} string")
+    stamps = ["20240101T000000Z", "20240102T000000Z", "20240102T110000Z", "20240102T120000Z"]
+    df = spark.createDataFrame([("a", s) for s in stamps], f"id string, {S.STAMP} string")
     snapshots.write_snapshots(df, root)
-    runs = snapshots.newest_runs_with_size(spark, root, 2)
-    assert [r[0] for r in runs] == ["20240101T000000Z", "20240102T000000Z"]
-    assert all(b > 0 for _, b in runs)
-    plan = snapshots.run_sizes_at(spark, root)._jdf.queryExecution().executedPlan().toString()
-    assert "ReadSchema: struct<length:bigint>" in plan
+    assert [snapshots.newest_runs(spark, root, n) for n in (1, 2, 4)] == [stamps[-1:], stamps[-2:], stamps]
 
 
 def test_sized_conf():
@@ -181,17 +188,18 @@ def test_read_landed_run(spark, tmp_path):
     recs = spark.createDataFrame([("p1", "10"), ("p2", "x")], "id string, tvl string")
     landing.land_records(recs, root, "s", "e", "20240101T000000Z")
     landing.land_records(recs.limit(1), root, "s", "e", "20240102T000000Z")
-    stamp = landing.newest_landed_stamp_value(spark, root)
+    stamp, records = landing.newest_landed_run(spark, root)
+    assert records == 1
     run = landing.read_landed_run(spark, root, "protocols", stamp)
     assert stamp == "20240102T000000Z" and run.count() == 1
     assert run.first()[S.STAMP] == stamp
-    with pytest.raises(Exception):
-        landing.newest_landed_stamp_value(spark, str(tmp_path / "none"))
+    with pytest.raises(FileNotFoundError, match="no run was landed"):
+        landing.newest_landed_run(spark, str(tmp_path / "none"))
 
 
 def test_no_snapshot_table_yet(spark, tmp_path):
-    with pytest.raises(ValueError, match="found 0"):
-        snapshots.newest_runs_with_size(spark, str(tmp_path / "none"), 2)
+    with pytest.raises(ValueError, match="holds 0 run"):
+        snapshots.newest_runs(spark, str(tmp_path / "none"), 2)
 
 
 def test_normalisers_accept_typed_input(spark):

@@ -34,5 +34,16 @@ def test_cli_catch_up(spark, tmp_path):
     records = fx.stablecoins_raw(spark, SF_SMALL)
     landing.land_records(records, layout.raw("stablecoins"), "defillama", "stablecoins", F.col(S.STAMP))
     assert cli.main(["catch-up", "--root", layout.root, "--feed", "stablecoins"]) == 0
-    out = spark.read.schema(S.snapshot_schema(S.STABLECOINS)).parquet(f"{layout.root}/stream_snapshots/stablecoins")
+    out = spark.read.schema(S.snapshot_schema(S.STABLECOINS)).parquet(layout.snapshots("stablecoins"))
     assert out.count() == records.count()
+
+
+def test_run_landed_again_is_replaced(spark, tmp_path):
+    raw, out, ckpt = (str(tmp_path / p) for p in ("raw", "out", "ckpt"))
+    rows = spark.createDataFrame([("1", "a"), ("2", "b")], "id string, name string")
+    landing.land_records(rows.limit(1), raw, "s", "e", "20240101T000000Z")
+    catch_up(spark, raw, out, ckpt, "protocols")
+    landing.land_records(rows, raw, "s", "e", "20240101T000000Z")
+    catch_up(spark, raw, out, ckpt, "protocols")
+    table = spark.read.schema(S.snapshot_schema(S.PROTOCOLS)).parquet(out)
+    assert sorted(r["name"] for r in table.collect()) == ["a", "b"]

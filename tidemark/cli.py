@@ -39,7 +39,7 @@ def main(argv: list[str] | None = None) -> int:
     else:
         from tidemark.streaming.incremental import catch_up
 
-        catch_up(spark, layout.raw(args.feed), f"{layout.root}/stream_snapshots/{args.feed}",
+        catch_up(spark, layout.raw(args.feed), layout.snapshots(args.feed),
                  f"{layout.root}/_checkpoints/{args.feed}", args.feed)
     return 0
 

@@ -23,33 +23,37 @@ def _col(c: Column | str) -> Column:
 def safe_ratio(n: Column | str, d: Column | str) -> Column:
     """n / d when d > 0, else NULL."""
     n, d = _col(n), _col(d)
-    return F.when(d > 0, n / d)
+    return F.when(d > 0, _no_nan(n / d))
 
 
 def both_positive_ratio(n: Column | str, d: Column | str) -> Column:
     """n / d when both are > 0, else NULL."""
     n, d = _col(n), _col(d)
-    return F.when((n > 0) & (d > 0), n / d)
+    return F.when((n > 0) & (d > 0), _no_nan(n / d))
 
 
 def change_fraction(current: Column | str, previous: Column | str) -> Column:
     """(current - previous) / previous when previous > 0, else NULL."""
     c, p = _col(current), _col(previous)
-    return F.when(p > 0, (c - p) / p)
+    return F.when(p > 0, _no_nan((c - p) / p))
+
+
+def _no_nan(c: Column) -> Column:
+    return F.when(~F.isnan(c), c)
 
 
 def guarded_pct_change(latest: Column | str, previous: Column | str) -> Column:
-    """Percent change, NULL unless previous > 0."""
+    """Percent change, NULL unless previous > 0 and never NaN (inf → inf is NULL)."""
     l, p = _col(latest), _col(previous)
-    return F.when(p > 0, (l - p) / p * 100)
+    return F.when(p > 0, _no_nan((l - p) / p * 100))
 
 
 def pct_change_ieee(latest: Column | str, previous: Column | str) -> Column:
-    """Percent change with IEEE semantics: x/0 → ±inf, 0/0 → NULL, NULL in → NULL."""
+    """Percent change with IEEE semantics: x/0 → ±inf, 0/0 and inf → inf → NULL, NULL in → NULL."""
     l, p = _col(latest), _col(previous)
     return (
         F.when(p == 0, F.when(l > 0, F.lit(POS_INF)).when(l < 0, F.lit(NEG_INF)))
-        .otherwise((l - p) / p * 100)
+        .otherwise(_no_nan((l - p) / p * 100))
     )
 
 

@@ -1,96 +1,19 @@
-"""Equi-join where NULL keys match each other (the pandas ``merge`` rule), built
-to survive a hot key.
+"""Snapshot join: an equi-join in which a row without a key has no partner.
 
-NULL keys all fall on one key — a hot group by construction, whose result is
-every (left, right) pair of the group. That group is spread over a grid of
-``g × g`` cells inside the same join: a left NULL-key row goes to grid row
-``hash(row) % g`` and is repeated across the ``g`` columns; a right NULL-key row
-goes to column ``hash(row) % g`` and is repeated across the ``g`` rows. Each pair
-meets in exactly one cell, so every pair is produced once and each task holds
-about 1/g² of the group's pairs. Rows with a non-NULL key get cell (0, 0) and are
-never repeated. The salt is a hash of the row, not a random number, so a retried
-task reproduces it.
-
-It stays one lazy join: no count job, no driver round trip. Non-NULL keys that
-hold a large share of the rows can be put on the same grid (``hot_keys``):
-``detect_hot_keys`` finds them in a seeded sample, and the list is bounded by
-construction (at most ``1 / min_share`` keys). Sampling only decides the spread,
-never the result, so a missed hot key still joins correctly (AQE's skew-join
-splits it at run time) and a falsely flagged key only costs replication.
+Keys are texts that identify a record in every run (``id_text`` for protocols, whose ids
+may be no numbers), so records whose numeric id is NULL still meet their own earlier row
+and nobody else's. The join is linear in its input but for ids that a run repeats, which
+multiply as a join's rows do; the quality suite reports them. It is a plain equi-join:
+Spark broadcasts a side only by its own size check, and adaptive execution splits hot keys.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-MAX_GRID = 64
-
-
-def grid_size(df: DataFrame) -> int:
-    """g with g² ≈ the session's shuffle partitions (at least 2, at most 64)."""
-    try:
-        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    except (TypeError, ValueError):
-        parts = 200
-    return int(min(MAX_GRID, max(2, math.ceil(math.sqrt(parts)))))
-
 
-def detect_hot_keys(df: DataFrame, key: str, min_share: float = 0.01, fraction: float = 0.01,
-                    seed: int = 17) -> list:
-    """Non-NULL keys holding at least ``min_share`` of a seeded sample of ``df``.
-    At most ``1 / min_share`` keys can qualify, so the list is bounded."""
-    sample = df.select(key).where(F.col(key).isNotNull()).sample(fraction=fraction, seed=seed)
-    counts = sample.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    total = sample.agg(F.count(F.lit(1)).alias("t"))
-    hot = counts.where(F.col("n") >= total.scalar() * F.lit(min_share)).where(F.col("n") >= 2)
-    return [r[0] for r in hot.select(key).limit(int(1 / min_share)).collect()]
 
-
-def _salted(df: DataFrame, key: str, spread: str, repeat: str, g: int, hot: list) -> DataFrame:
-    """Add cell coordinates: ``spread`` = hash bucket, ``repeat`` = every bucket
-    (NULL-key and hot-key rows); (0, 0) for every other row."""
-    is_null = F.col(key).isNull()
-    if hot:
-        is_null = is_null | F.col(key).isin(hot)
-    bucket = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(g)).cast("int")
-    every = F.sequence(F.lit(0), F.lit(g - 1))
-    return (df.withColumn(spread, F.when(is_null, bucket).otherwise(F.lit(0)))
-              .withColumn(repeat, F.explode(F.when(is_null, every).otherwise(F.array(F.lit(0))))))
-
-
-def null_safe_join(
-    left: DataFrame,
-    right: DataFrame,
-    key: str,
-    null_keys: str = "match",
-    grid: int | None = None,
-    hot_keys: list | str | None = None,
-) -> DataFrame:
-    """Inner join on ``key`` with one output ``key`` column; duplicates multiply.
-
-    ``null_keys``: ``"match"`` (NULL = NULL) or ``"drop"`` (NULL keys never match).
-    ``hot_keys``: key values to spread like the NULL group, or ``"auto"`` to
-    detect them in a sample of each side (at most ``2 / min_share`` keys).
-    """
-    if null_keys not in ("match", "drop"):
-        raise ValueError("null_keys must be 'match' or 'drop'")
-    if hot_keys == "auto":
-        hot_keys = list(dict.fromkeys(detect_hot_keys(left, key) + detect_hot_keys(right, key)))
-    hot = list(hot_keys or [])
-    if null_keys == "drop":
-        left, right = left.where(F.col(key).isNotNull()), right.where(F.col(key).isNotNull())
-        if not hot:
-            return left.join(right, on=key, how="inner")
-    g = grid or grid_size(left)
-    rkey = "_tm_right_key"
-    l = _salted(left, key, "_tm_r", "_tm_c", g, hot)
-    r = _salted(right.withColumnRenamed(key, rkey), rkey, "_tm_c2", "_tm_r2", g, hot)
-    cond = (F.col(key).eqNullSafe(F.col(rkey)) & (F.col("_tm_r") == F.col("_tm_r2"))
-            & (F.col("_tm_c") == F.col("_tm_c2")))
-    out = l.join(r, cond, "inner")
-    right_cols = [c for c in right.columns if c != key]
+def keyed_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Inner join on ``key`` with one output ``key`` column; NULL keys match nothing, duplicates multiply."""
     left_cols = [c for c in left.columns if c != key]
-    return out.select(key, *left_cols, *right_cols)
+    right_cols = [c for c in right.columns if c != key]
+    return left.join(right, on=key, how="inner").select(key, *left_cols, *right_cols)

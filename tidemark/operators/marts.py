@@ -11,7 +11,7 @@ Reports read back from CSV have no order, so every mart re-states it.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.ranking import Order, ascending_by, top_k
@@ -21,11 +21,10 @@ from tidemark.operators.reports import (
     TOKEN_RISK_ORDER,
 )
 from tidemark.operators.trends import PROTOCOL_TREND_ORDER, TOKEN_TREND_ORDER
-from tidemark.sources.reports_io import read_report
 
 CHART_ROWS = 20
 
-# Chart definitions: (report order, charted value, label, hover columns).
+# Chart definitions (report order, charted value, label, hover columns).
 CHARTS: dict[str, tuple[Order, str, str, list[str]]] = {
     "token_risk": (TOKEN_RISK_ORDER, "liquidity_risk_score", "symbol",
                    ["name", "market_cap", "total_volume", "volume_to_market_cap_ratio"]),
@@ -62,8 +61,9 @@ def kpi_row(token_risk: DataFrame, protocol_risk: DataFrame, stablecoin_risk: Da
                   F.lit("stablecoin").alias("_r"), "symbol", "depeg_risk_score", "circulating_usd",
                   *[c for c, _ in STABLECOIN_RISK_ORDER if c not in ("symbol", "depeg_risk_score", "circulating_usd")]),
                   allowMissingColumns=True))
-    # Report order as one sortable struct: descending keys negated.
-    rank_key = F.struct(*[(-F.col(c)) if d == "desc" else F.col(c) for c, d in STABLECOIN_RISK_ORDER])
+    # Report order as one sortable struct: descending keys negated, and NULLs after all values.
+    rank_key = F.struct(*[part for n, (c, d) in enumerate(STABLECOIN_RISK_ORDER) for part in (
+        F.col(c).isNull().alias(f"none{n}"), (-F.col(c) if d == "desc" else F.col(c)).alias(f"key{n}"))])
     is_stable = F.col("_r") == "stablecoin"
     return tagged.agg(
         F.count_if(F.col("_r") == "token").cast("long").alias("tracked_tokens"),
@@ -74,9 +74,3 @@ def kpi_row(token_risk: DataFrame, protocol_risk: DataFrame, stablecoin_risk: Da
     ).select("tracked_tokens", "tracked_protocols", "tracked_stablecoins",
              F.col("_top.symbol").alias("top_stablecoin_symbol"),
              F.col("_top.depeg_risk_score").alias("top_stablecoin_score"))
-
-
-def load_reports(spark: SparkSession, paths: dict[str, str], schemas: dict) -> dict[str, DataFrame]:
-    """D7: read each report with its schema; a missing report raises ReportMissing.
-    Cache the reports when several marts read them."""
-    return {name: read_report(spark, path, schemas[name]) for name, path in paths.items()}

@@ -79,9 +79,17 @@ def normalize_protocols(landed: DataFrame) -> DataFrame:
     target = {f.name: f.dataType for f in S.PROTOCOLS.fields}
     cols = [_typed(landed, c, target[c]) for c in S.PROTOCOL_COLUMNS]
     cols.append(_field(landed, S.STAMP).alias(S.STAMP))
+    cols.append(id_text(landed).alias(S.ID_TEXT))
     return landed.select(*cols)
 
 
+def id_text(df: DataFrame) -> Column:
+    """The id as text: its number where it is one (so 7, 7.0 and "7" agree), the trimmed raw text
+    otherwise (or what the column already holds, in typed input); NULL where there is none."""
+    raw = _field(df, "id").cast("string")
+    return F.coalesce(to_number(raw).cast("string"), F.nullif(F.trim(raw), F.lit("")), _field(df, S.ID_TEXT))
+
+
 def normalize_stablecoins(landed: DataFrame) -> DataFrame:
     target = {f.name: f.dataType for f in S.STABLECOINS.fields}
     scalars = ["id", "name", "symbol", "gecko_id", "pegType", "pegMechanism", "price"]
@@ -109,6 +117,9 @@ def conform(df: DataFrame, feed: str) -> DataFrame:
     cols = []
     for field in target.fields:
         name, want = field.name, field.dataType
+        if name == S.ID_TEXT and name not in df.columns:
+            cols.append(id_text(df).alias(name))
+            continue
         if name not in df.columns:
             cols.append(F.lit(None).cast(want).alias(name))
             continue

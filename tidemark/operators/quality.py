@@ -68,9 +68,9 @@ def _open_table(spark: SparkSession, target: TableTarget):
         return spark.read.parquet(target.path), None, None
     except AnalysisException as exc:
         if _is_missing(exc):
-            return None, f"missing table: {target.path}", None
+            return None, f"{target.name} was not written: nothing at {target.path}", None
         if _is_without_files(exc):
-            return None, f"table is empty: {target.name}", 0
+            return None, f"{target.name} holds no row at {target.path}", 0
         raise
 
 
@@ -80,12 +80,12 @@ def _open_report(spark: SparkSession, target: ReportTarget):
         columns = df.columns
     except AnalysisException as exc:
         if _is_missing(exc):
-            return None, f"missing report: {target.path}", None
+            return None, f"{target.name} was not written: nothing at {target.path}", None
         if _is_without_files(exc):
-            return None, f"report is empty: {target.name}", 0
+            return None, f"{target.name} holds no row at {target.path}", 0
         raise
     if target.score_column not in columns:
-        return None, f"missing score column: {target.score_column}", None
+        return None, f"{target.name} lacks its score {target.score_column}; it has {len(columns)} other columns", None
     return df.select(target.score_column), None, None
 
 
@@ -126,32 +126,17 @@ def quality_suite(spark: SparkSession, tables: list[TableTarget], reports: list[
     checked = counted.select(
         "check", "target", "rows",
         ((F.col("rows") > 0) & (~is_report | (F.col("_n_scored") > 0))).alias("passed"),
-        F.when(F.col("rows") == 0, F.concat(F.when(is_report, F.lit("report is empty: "))
-                                            .otherwise(F.lit("table is empty: ")), F.col("target")))
-         .when(is_report & (F.col("_n_scored") == 0), F.lit("score column is entirely null"))
+        F.when(F.col("rows") == 0, F.concat(F.col("target"), F.lit(" holds no row")))
+         .when(is_report & (F.col("_n_scored") == 0),
+               F.concat(F.lit("none of the "), F.col("rows").cast("string"), F.lit(" rows of "), F.col("target"), F.lit(" has a score")))
          .alias("message"))
     return checked.unionByName(failed)
 
 
-def frame_check(df: DataFrame, name: str, score_column: str) -> DataFrame:
-    """Q3 on a DataFrame already in hand."""
-    spark = df.sparkSession
-    if score_column not in df.columns:
-        return spark.createDataFrame([("report_valid", name, None, False,
-                                       f"missing score column: {score_column}")], RESULT_SCHEMA)
-    rows = F.count(F.lit(1))
-    scored = F.count(F.col(score_column))
-    return df.agg(
-        F.lit("report_valid").alias("check"), F.lit(name).alias("target"),
-        rows.cast("long").alias("rows"), ((rows > 0) & (scored > 0)).alias("passed"),
-        F.when(rows == 0, F.lit(f"report is empty: {name}"))
-         .when(scored == 0, F.lit(f"score column is entirely null: {score_column}")).alias("message"))
-
-
-def assert_passed(results: DataFrame) -> list:
-    """Collect the (few) result rows; raise listing every failure."""
+def assert_passed(results: DataFrame) -> DataFrame:
+    """Run the checks once; raise listing every failure, else return the (few) result rows as a frame."""
     rows = results.collect()
     failed = [r for r in rows if not r["passed"]]
     if failed:
         raise QualityCheckFailed("; ".join(f"{r['target']}: {r['message']}" for r in failed))
-    return rows
+    return results.sparkSession.createDataFrame(rows, RESULT_SCHEMA)

@@ -135,10 +135,3 @@ def stablecoin_depeg_risk(stablecoins: DataFrame, limit: int | None = REPORT_LIM
                round_half_away(F.col("supply_change_7d") * 100, 2).alias("supply_change_7d_pct"),
                "chain_count", "depeg_risk_score"))
     return top_k(out, STABLECOIN_RISK_ORDER, limit)
-
-
-RANKED_REPORTS = {
-    "token_liquidity_risk": (token_liquidity_risk, TOKEN_RISK_ORDER, "liquidity_risk_score"),
-    "defi_protocol_risk": (defi_protocol_risk, PROTOCOL_RISK_ORDER, "protocol_risk_score"),
-    "stablecoin_depeg_risk": (stablecoin_depeg_risk, STABLECOIN_RISK_ORDER, "depeg_risk_score"),
-}

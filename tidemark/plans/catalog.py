@@ -36,11 +36,18 @@ def register(name: str, covers: str, oracle: str | None):
 
 
 def latest_markets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return newest_run(fx.fx_markets(spark, sf_dir))
+    return fx.fx_markets(spark, sf_dir, years=fx.newest_years(spark, sf_dir, "markets", 1))
 
 
 def latest_protocols(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return newest_run(fx.fx_protocols(spark, sf_dir))
+    return fx.fx_protocols(spark, sf_dir, years=fx.newest_years(spark, sf_dir, "protocols", 1))
+
+
+def newest_two(spark: SparkSession, sf_dir: str, feed: str) -> tuple[DataFrame, DataFrame]:
+    """The newest run and the one before it; raises where there are fewer than two."""
+    build = fx.FEED_BUILDERS[feed]
+    latest, previous = fx.newest_years(spark, sf_dir, feed, 2)
+    return build(spark, sf_dir, years=[latest]), build(spark, sf_dir, years=[previous])
 
 
 def latest_stablecoins(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -248,15 +255,15 @@ pro_stamps as (select distinct ingested_at_utc as s from fx_protocols),
 l as (select * from fx_protocols where ingested_at_utc = (select max(s) from pro_stamps)),
 p as (select * from fx_protocols
       where ingested_at_utc = (select max(s) from pro_stamps where s < (select max(s) from pro_stamps)))
-select l.id as id, l.name as name_latest, p.name as name_previous, l.tvl as tvl_latest, p.tvl as tvl_previous
-from l join p on l.id is not distinct from p.id"""))
+select l.id_text as id_text, l.name as name_latest, p.name as name_previous, l.tvl as tvl_latest, p.tvl as tvl_previous
+from l join p on l.id_text = p.id_text"""))
 def q_join_snapshots_null_safe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.operators.trends import compare_snapshots
-    from tidemark.sources.snapshots import newest_two_in_plan
 
-    latest, previous = newest_two_in_plan(fx.fx_protocols(spark, sf_dir))
-    joined = compare_snapshots(latest.select("id", "name", "tvl"), previous.select("id", "name", "tvl"))
-    return joined.select("id", "name_latest", "name_previous", "tvl_latest", "tvl_previous")
+    latest, previous = newest_two(spark, sf_dir, "protocols")
+    cols = ["id_text", "name", "tvl"]
+    joined = compare_snapshots(latest.select(*cols), previous.select(*cols), "id_text")
+    return joined.select("id_text", "name_latest", "name_previous", "tvl_latest", "tvl_previous")
 
 
 @register("token_liquidity_risk_trends", "R4 J1 E9 E10 P9 S10 S11",
@@ -264,7 +271,7 @@ def q_join_snapshots_null_safe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_token_liquidity_risk_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.operators import trends
 
-    return trends.trends_from_history(fx.fx_markets(spark, sf_dir), trends.token_liquidity_risk_trends)
+    return trends.token_liquidity_risk_trends(*newest_two(spark, sf_dir, "markets"))
 
 
 @register("defi_protocol_risk_trends", "R5 J1 E9 E11 P9 S10 S11",
@@ -273,7 +280,7 @@ def q_token_liquidity_risk_trends(spark: SparkSession, sf_dir: str) -> DataFrame
 def q_defi_protocol_risk_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.operators import trends
 
-    return trends.trends_from_history(fx.fx_protocols(spark, sf_dir), trends.defi_protocol_risk_trends)
+    return trends.defi_protocol_risk_trends(*newest_two(spark, sf_dir, "protocols"))
 
 
 @register("pct_change_unguarded", "E10",
@@ -282,9 +289,8 @@ def q_defi_protocol_risk_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_pct_change_unguarded(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.functions.arith import pct_change_ieee
     from tidemark.operators.trends import compare_snapshots
-    from tidemark.sources.snapshots import newest_two_in_plan
 
-    latest, previous = newest_two_in_plan(fx.fx_markets(spark, sf_dir))
+    latest, previous = newest_two(spark, sf_dir, "markets")
     cols = ["id", "market_cap", "total_volume"]
     t = compare_snapshots(latest.select(*cols), previous.select(*cols))
     return t.select("id",
@@ -298,10 +304,10 @@ def q_pct_change_unguarded(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_pct_change_guarded(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.functions.arith import guarded_pct_change
     from tidemark.operators.trends import compare_snapshots
-    from tidemark.sources.snapshots import newest_two_in_plan
 
-    latest, previous = newest_two_in_plan(fx.fx_protocols(spark, sf_dir))
-    t = compare_snapshots(latest.select("id", "name", "tvl"), previous.select("id", "name", "tvl"))
+    latest, previous = newest_two(spark, sf_dir, "protocols")
+    cols = ["id_text", "name", "tvl"]
+    t = compare_snapshots(latest.select(*cols), previous.select(*cols), "id_text")
     return t.select("name_latest", "name_previous",
                     guarded_pct_change("tvl_latest", "tvl_previous").alias("tvl_change_pct"))
 
@@ -461,11 +467,17 @@ def q_normalize_stablecoins(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("raw_manifest", "S1 S2 S3", sql.RAW_MANIFEST)
 def q_raw_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.plans.job import together
-    from tidemark.sources.landing import manifest, read_landed
+    from tidemark.sources.landing import land_records, landed_runs
 
     feeds = ("markets", "protocols", "stablecoins")
     roots = together([lambda f=feed: _landing_root(spark, sf_dir, f) for feed in feeds])
-    parts = [manifest(read_landed(spark, root, feed)) for feed, root in zip(feeds, roots)]
+    # One more run, without a record, and one landed twice.
+    nothing = fx.markets_raw(spark, sf_dir).drop("ingested_at_utc").where("false")
+    land_records(nothing, roots[0], *fx.ENDPOINTS["markets"], "20300101T000000Z")
+    for _ in range(2):
+        land_records(fx.stablecoins_raw(spark, sf_dir).drop("ingested_at_utc"), roots[2], *fx.ENDPOINTS["stablecoins"],
+                     "20250101T000000Z")
+    parts = [landed_runs(spark, root) for root in roots]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
@@ -503,10 +515,11 @@ def q_snapshot_newest_two(spark: SparkSession, sf_dir: str) -> DataFrame:
     protocols = fx.fx_protocols(spark, sf_dir)
     root = _scratch(spark, "snapshots-protocols")
     snapshots.write_snapshots(protocols, root)
-    table = snapshots.read_snapshots(spark, root, protocols.schema)
-    previous_ts, latest_ts = snapshots.newest_stamps(table, 2)
-    both = snapshots.pick_snapshot(table, latest_ts).unionByName(snapshots.pick_snapshot(table, previous_ts))
-    return both.groupBy("snapshot_ts").agg(F.count(F.lit(1)).alias("rows"))
+    newest = snapshots.newest_runs(spark, root, 2)
+    snapshots.write_snapshots(protocols.where(F.col("ingested_at_utc") == newest[-1]), root)  # again: replaced
+    both = snapshots.read_runs(spark, root, protocols.schema, newest)
+    return both.groupBy("snapshot_ts").agg(
+        F.count(F.lit(1)).alias("rows"), F.max("tvl").alias("tvl"), F.countDistinct("name").alias("names"))
 
 
 # --- report files, quality, marts, job (S13-S15, Q1-Q4, D1-D7, L1) --------------------------
@@ -526,9 +539,9 @@ def _report(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name == "stablecoin_depeg_risk_top50":
         return reports.stablecoin_depeg_risk(latest_stablecoins(spark, sf_dir))
     if name == "token_liquidity_risk_trends":
-        return trends.trends_from_history(fx.fx_markets(spark, sf_dir), trends.token_liquidity_risk_trends)
+        return trends.token_liquidity_risk_trends(*newest_two(spark, sf_dir, "markets"))
     if name == "defi_protocol_risk_trends":
-        return trends.trends_from_history(fx.fx_protocols(spark, sf_dir), trends.defi_protocol_risk_trends)
+        return trends.defi_protocol_risk_trends(*newest_two(spark, sf_dir, "protocols"))
     raise KeyError(name)
 
 
@@ -633,8 +646,9 @@ def q_stream_normalize_protocols(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.streaming.incremental import catch_up
 
     root = _scratch(spark, "stream-protocols")
-    _land(spark, sf_dir, "protocols", f"{root}/raw")
-    catch_up(spark, f"{root}/raw", f"{root}/snapshots", f"{root}/checkpoint", "protocols")
+    for _ in range(2):  # the second time all runs are landed again
+        _land(spark, sf_dir, "protocols", f"{root}/raw")
+        catch_up(spark, f"{root}/raw", f"{root}/snapshots", f"{root}/checkpoint", "protocols")
     table = spark.read.schema(S.snapshot_schema(S.PROTOCOLS)).parquet(f"{root}/snapshots")
     return table.select("id", "name", "symbol", "chain", "category", "tvl", "change_1d", "change_7d", "mcap",
                         "audits", "url", "ingested_at_utc")

@@ -35,14 +35,33 @@ def _yearly_stamp(y: Column) -> Column:
     return F.concat(_s(y), F.lit("0101T000000Z"))
 
 
-def market_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = _table(spark, sf_dir, "orders")
+def _of_years(df: DataFrame, day: str, years: list[int] | None) -> DataFrame:
+    """Rows of the given years. The range reaches the scan, so other row groups are skipped."""
+    if years is None:
+        return df
+    first, last = F.lit(f"{min(years)}-01-01").cast("date"), F.lit(f"{max(years) + 1}-01-01").cast("date")
+    return df.where((F.col(day) >= first) & (F.col(day) < last) & F.year(day).isin(years))
+
+
+def newest_years(spark: SparkSession, sf_dir: str, feed: str, n: int) -> list[int]:
+    """The ``n`` newest runs (years) of a feed, newest first; raises where there are fewer."""
+    table, day = {"markets": ("orders", "o_orderdate"), "protocols": ("lineitem", "l_shipdate")}[feed]
+    rows = (_table(spark, sf_dir, table).where(F.col(day).isNotNull()).select(F.year(day).alias("y")).distinct()
+            .orderBy(F.desc("y")).limit(n).collect())
+    if len(rows) < n:
+        raise ValueError(f"{feed}: {n} runs are needed and {sf_dir} holds {len(rows)}")
+    return [r.y for r in rows]
+
+
+def market_base(spark: SparkSession, sf_dir: str, years: list[int] | None = None) -> DataFrame:
+    orders = _of_years(_table(spark, sf_dir, "orders"), "o_orderdate", years)
     return (orders.groupBy(F.col("o_custkey").alias("k"), F.year("o_orderdate").alias("y"))
             .agg(F.max("o_totalprice").alias("mx"), F.min("o_totalprice").alias("mn")))
 
 
-def fx_markets(spark: SparkSession, sf_dir: str, keep_key: bool = False) -> DataFrame:
-    """One market snapshot per order year: ~customers × years rows."""
+def fx_markets(spark: SparkSession, sf_dir: str, keep_key: bool = False,
+               years: list[int] | None = None) -> DataFrame:
+    """One market snapshot per order year (of ``years``, if given): ~customers × years rows."""
     k, y, mx, mn = F.col("k"), F.col("y"), F.col("mx"), F.col("mn")
     cols = [
         F.concat(F.lit("c"), _s(k)).alias("id"),
@@ -61,17 +80,18 @@ def fx_markets(spark: SparkSession, sf_dir: str, keep_key: bool = False) -> Data
     ]
     if keep_key:
         cols.append(k.alias("k"))
-    return market_base(spark, sf_dir).select(*cols)
+    return market_base(spark, sf_dir, years).select(*cols)
 
 
-def protocol_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lineitem = _table(spark, sf_dir, "lineitem")
+def protocol_base(spark: SparkSession, sf_dir: str, years: list[int] | None = None) -> DataFrame:
+    lineitem = _of_years(_table(spark, sf_dir, "lineitem"), "l_shipdate", years)
     return (lineitem.groupBy(F.col("l_partkey").alias("k"), F.year("l_shipdate").alias("y"))
             .agg(F.max("l_extendedprice").alias("mx"), F.max("l_quantity").alias("q")))
 
 
-def fx_protocols(spark: SparkSession, sf_dir: str, keep_key: bool = False) -> DataFrame:
-    """One protocol snapshot per ship year; every 97th id is NULL."""
+def fx_protocols(spark: SparkSession, sf_dir: str, keep_key: bool = False,
+                 years: list[int] | None = None) -> DataFrame:
+    """One protocol snapshot per ship year (of ``years``, if given); every 97th id is no number."""
     k, y, mx, q = F.col("k"), F.col("y"), F.col("mx"), F.col("q")
     scale = (F.when(k % 4 == 0, F.lit(1)).when(k % 4 == 1, F.lit(10))
              .when(k % 4 == 2, F.lit(100)).otherwise(F.lit(1000)))
@@ -90,10 +110,11 @@ def fx_protocols(spark: SparkSession, sf_dir: str, keep_key: bool = False) -> Da
         F.when(k % 5 == 0, F.lit(None).cast("double")).otherwise(_dbl(k % 3)).alias("audits"),
         F.concat(F.lit("https://p"), _s(k), F.lit(".example.com")).alias("url"),
         _yearly_stamp(y).alias(S.STAMP),
+        F.when(k % 97 == 0, F.concat(F.lit("parent#"), _s(k))).otherwise(_s(_dbl(k))).alias(S.ID_TEXT),
     ]
     if keep_key:
         cols.append(k.alias("k"))
-    return protocol_base(spark, sf_dir).select(*cols)
+    return protocol_base(spark, sf_dir, years).select(*cols)
 
 
 def stablecoin_base(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,13 +25,6 @@ from tidemark.sources import landing, reports_io, snapshots
 
 FEEDS = ("markets", "protocols", "stablecoins")
 
-# Runs smaller than this on disk skip hot-key sampling in the trend join (the
-# NULL-key group is always spread; AQE still splits any skewed partition).
-HOT_KEY_SAMPLING_BYTES = 256 * 1024 * 1024
-# Trend inputs larger than this are joined once into a staging table before the
-# report's global sort (whose range sampling would otherwise re-run the join).
-STAGING_BYTES = 256 * 1024 * 1024
-
 RANKED = {
     # report name: (feed, builder, order, score column)
     "token_liquidity_risk_top50": ("markets", reports.token_liquidity_risk, reports.TOKEN_RISK_ORDER,
@@ -47,6 +40,9 @@ TRENDS = {
 }
 
 
+TREND_CHARTS = {"token_liquidity_risk_trends": "token_trends", "defi_protocol_risk_trends": "protocol_trends"}
+
+
 @dataclass(frozen=True)
 class Layout:
     """Folder layout under one root (a shared file system path or URI)."""
@@ -74,27 +70,21 @@ class Layout:
 
 def normalize_feed(spark: SparkSession, layout: Layout, feed: str, runs: str = "latest") -> None:
     """Normalise landed runs of ``feed`` into the snapshot table, then refresh the
-    latest table from the newest snapshot partition.
+    latest table from the newest landed run. Stops where that run holds no record.
 
     ``runs="latest"``: only the newest landed run (the regular schedule);
     ``runs="all"``: every landed run (backfill; idempotent per run).
     """
     if runs not in ("latest", "all"):
         raise ValueError("runs must be 'latest' or 'all'")
-    try:
-        if runs == "latest":
-            stamp = landing.newest_landed_stamp_value(spark, layout.raw(feed))
-            landed = landing.read_landed_run(spark, layout.raw(feed), feed, stamp)
-        else:
-            landed = landing.read_landed(spark, layout.raw(feed), feed)
-    except AnalysisException as exc:
-        if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
-            raise FileNotFoundError(f"no raw files found in {layout.raw(feed)}") from exc
-        raise
-    landing.require_rows(landed.select(S.STAMP), f"landed {feed} records")
+    newest, records = landing.newest_landed_run(spark, layout.raw(feed))
+    if not records:
+        raise ValueError(f"{layout.raw(feed)}: the newest run, {newest}, holds no record; land it again")
+    if runs == "latest":
+        landed = landing.read_landed_run(spark, layout.raw(feed), feed, newest)
+    else:
+        landed = landing.read_landed(spark, layout.raw(feed), feed)
     snapshots.write_snapshots(NORMALIZERS[feed](landed), layout.snapshots(feed), many_runs=(runs == "all"))
-    # The latest table is the run just processed (with a backfill: the newest run).
-    newest = stamp if runs == "latest" else snapshots.newest_stamps(snapshots.stamps_at(spark, layout.snapshots(feed)), 1)[0]
     latest = snapshots.read_runs(spark, layout.snapshots(feed), S.FEEDS[feed]["typed"], [newest]) \
         .drop(*S.SNAPSHOT_PARTITIONS)
     snapshots.write_latest(latest, layout.latest(feed))
@@ -133,21 +123,21 @@ def trend_reports(spark: SparkSession, layout: Layout, skip_if_single: bool = Fa
     def one(name: str, feed: str, build, order) -> Callable[[], str | None]:
         def run() -> str | None:
             try:
-                (previous_ts, previous_bytes), (latest_ts, latest_bytes) = snapshots.newest_runs_with_size(
-                    spark, layout.snapshots(feed), 2)
+                previous_ts, latest_ts = snapshots.newest_runs(spark, layout.snapshots(feed), 2)
             except ValueError:
-                if skip_if_single:
-                    return None
-                raise
+                if not skip_if_single:
+                    raise
+                # Nothing of an earlier run may pass for this one's.
+                for path in (layout.report(name), layout.mart(f"chart_{TREND_CHARTS[name]}")):
+                    snapshots.remove_folder(spark, path)
+                return None
             both = snapshots.read_runs(spark, layout.snapshots(feed), S.FEEDS[feed]["typed"],
                                        [previous_ts, latest_ts])
             latest = snapshots.pick_snapshot(both, latest_ts)
             previous = snapshots.pick_snapshot(both, previous_ts)
-            # Only a large run can hold a key hot enough to matter; sample those.
-            hot = "auto" if latest_bytes >= HOT_KEY_SAMPLING_BYTES else None
-            stage = layout.staging(name) if latest_bytes + previous_bytes >= STAGING_BYTES else None
-            reports_io.write_report(build(latest, previous, hot_keys=hot), layout.report(name),
-                                    order=list(_order_cols(order)), stage=stage)
+            # Joined once into a staging table: the global sort's range sampling would run the join again.
+            reports_io.write_report(build(latest, previous), layout.report(name),
+                                    order=list(_order_cols(order)), stage=layout.staging(name))
             return name
         return run
 
@@ -172,8 +162,7 @@ def build_marts(spark: SparkSession, layout: Layout, trend_names: list[str]) ->
                         loaded["stablecoin_depeg_risk_top50"])
     actions = [lambda: kpi.write.mode("overwrite").parquet(layout.mart("kpis"))]
     charts = {"token_risk": "token_liquidity_risk_top50", "protocol_risk": "defi_protocol_risk_top50",
-              "stablecoin_risk": "stablecoin_depeg_risk_top50", "token_trends": "token_liquidity_risk_trends",
-              "protocol_trends": "defi_protocol_risk_trends"}
+              "stablecoin_risk": "stablecoin_depeg_risk_top50", **{chart: name for name, chart in TREND_CHARTS.items()}}
     for chart, report in charts.items():
         if report in loaded:
             table = marts.chart_table(loaded[report], chart).coalesce(1)
@@ -200,8 +189,7 @@ def run_job(
     ranked_reports(spark, layout)
     written = trend_reports(spark, layout, skip_trends_if_single)
     tables, report_targets = quality_targets(layout, written)
-    results = quality.quality_suite(spark, tables, report_targets)
-    quality.assert_passed(results)
+    results = quality.assert_passed(quality.quality_suite(spark, tables, report_targets))
     if with_marts:
         build_marts(spark, layout, written)
     return results

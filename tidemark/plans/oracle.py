@@ -38,6 +38,7 @@ select case when k % 97 = 0 then null else cast(k as double) end as id,
   case when k % 5 = 0 then null else cast(k % 3 as double) end as audits,
   concat('https://p', k, '.example.com') as url,
   concat(y, '0101T000000Z') as ingested_at_utc,
+  case when k % 97 = 0 then concat('parent#', k) else concat(k, '.0') end as id_text,
   k
 from (select l_partkey as k, year(l_shipdate) as y, max(l_extendedprice) as mx, max(l_quantity) as q
       from lineitem group by l_partkey, year(l_shipdate)) b
@@ -190,7 +191,7 @@ token_trends as (
     l.volume_to_market_cap_ratio as volume_to_market_cap_ratio_latest,
     p.ingested_at_utc as ingested_at_utc_previous, l.ingested_at_utc as ingested_at_utc_latest,
     l.id as id
-  from tok_l l join tok_p p on l.id is not distinct from p.id)
+  from tok_l l join tok_p p on l.id = p.id)
 """.format(score=LIQUIDITY_SCORE, metrics=TOKEN_METRICS.format(src="fx_markets"),
            mcap=pct_ieee("l.market_cap", "p.market_cap"), vol=pct_ieee("l.total_volume", "p.total_volume"))
 TOKEN_TREND_SELECT = """symbol_latest, name_latest, liquidity_risk_score_previous, liquidity_risk_score_latest,
@@ -200,7 +201,7 @@ TOKEN_TREND_ORDER = order_sql(trends.TOKEN_TREND_ORDER)
 
 PROTOCOL_TRENDS = """
 pro_scored as (
-  select id, name, symbol, chain, category, tvl, change_1d, change_7d, audits,
+  select id, id_text, name, symbol, chain, category, tvl, change_1d, change_7d, audits,
     {score} as protocol_risk_score, ingested_at_utc
   from fx_protocols),
 pro_stamps as (select distinct ingested_at_utc as s from fx_protocols),
@@ -215,7 +216,7 @@ protocol_trends as (
     l.change_1d as change_1d_latest, l.change_7d as change_7d_latest, l.audits as audits_latest,
     p.ingested_at_utc as ingested_at_utc_previous, l.ingested_at_utc as ingested_at_utc_latest,
     l.id as id, p.name as name_previous
-  from pro_l l join pro_p p on l.id is not distinct from p.id)
+  from pro_l l join pro_p p on l.id_text = p.id_text)
 """.format(score=PROTOCOL_SCORE, tvl=pct_guarded("l.tvl", "p.tvl"))
 PROTOCOL_TREND_SELECT = """name_latest, symbol_latest, chain_latest, category_latest, protocol_risk_score_previous,
   protocol_risk_score_latest, risk_score_change, tvl_previous, tvl_latest, tvl_change_pct, change_1d_latest,
@@ -309,7 +310,12 @@ select 'defillama' as source, 'protocols' as endpoint, ingested_at_utc, count(*)
   from fx_protocols group by ingested_at_utc
 union all
 select 'defillama' as source, 'stablecoins' as endpoint, ingested_at_utc, count(*) as record_count
-  from fx_stablecoins group by ingested_at_utc""")
+  from fx_stablecoins group by ingested_at_utc
+union all
+select 'defillama' as source, 'stablecoins' as endpoint, '20250101T000000Z' as ingested_at_utc, count(*) as record_count
+  from fx_stablecoins
+union all
+select 'coingecko' as source, 'markets' as endpoint, '20300101T000000Z' as ingested_at_utc, 0 as record_count""")
 
 LATEST_RAW_SELECTION = with_adapters("""select id, symbol, ingested_at_utc, 'coingecko' as source, 'markets' as endpoint from latest_markets""")
 
@@ -317,7 +323,7 @@ SNAPSHOT_WRITE_READ = with_adapters("""select strftime(strptime(ingested_at_utc,
   ingested_at_utc as snapshot_ts, count(*) as rows, cast(sum(market_cap_rank) as bigint) as rank_sum
 from fx_markets group by ingested_at_utc""")
 
-SNAPSHOT_NEWEST_TWO = with_adapters("""select ingested_at_utc as snapshot_ts, count(*) as rows from fx_protocols
+SNAPSHOT_NEWEST_TWO = with_adapters("""select ingested_at_utc as snapshot_ts, count(*) as rows, max(tvl) as tvl, count(distinct name) as names from fx_protocols
 where ingested_at_utc in (select distinct ingested_at_utc from fx_protocols order by 1 desc limit 2)
 group by ingested_at_utc""")
 

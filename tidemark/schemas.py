@@ -50,15 +50,21 @@ STABLECOIN_NUMERIC = [
     "circulatingPrevMonth_usd", "chain_count",
 ]
 DEFAULT_SOURCE = "coingecko"
-# ---------------------------------------------------------------------------
-
+STAMP = "ingested_at_utc"
 # Integral numeric columns (kept as whole numbers); every other numeric is DOUBLE.
 BIGINT_COLUMNS = {"market_cap_rank", "listedAt"}
 INT_COLUMNS = {"chain_count"}
+STABLECOIN_OUT = [
+    "id", "name", "symbol", "gecko_id", "pegType", "pegMechanism", "price", STAMP,
+    "circulating_usd", "circulatingPrevDay_usd", "circulatingPrevWeek_usd",
+    "circulatingPrevMonth_usd", "chain_count",
+]
+# ---------------------------------------------------------------------------
 
 # Envelope fields carried beside every landed record.
-ENVELOPE_FIELDS = ["source", "endpoint", "ingested_at_utc"]
-STAMP = "ingested_at_utc"
+ENVELOPE_FIELDS = ["source", "endpoint", STAMP]
+# A protocol's id as text: its number, or the raw text where that is no number.
+ID_TEXT = "id_text"
 
 # Nested fields read as VARIANT.
 VARIANT_FIELDS = set(STABLECOIN_SUPPLY) | {"chains"}
@@ -123,16 +129,11 @@ MARKETS = T.StructType(
 
 PROTOCOLS = T.StructType(
     [T.StructField(c, _typed(c, set(PROTOCOL_NUMERIC)), True) for c in PROTOCOL_COLUMNS]
-    + [T.StructField(STAMP, T.StringType(), True)]
+    + [T.StructField(STAMP, T.StringType(), True), T.StructField(ID_TEXT, T.StringType(), True)]
 )
 
-_STABLE_OUT = [
-    "id", "name", "symbol", "gecko_id", "pegType", "pegMechanism", "price", STAMP,
-    "circulating_usd", "circulatingPrevDay_usd", "circulatingPrevWeek_usd",
-    "circulatingPrevMonth_usd", "chain_count",
-]
 STABLECOINS = T.StructType(
-    [T.StructField(c, _typed(c, set(STABLECOIN_NUMERIC)), True) for c in _STABLE_OUT]
+    [T.StructField(c, _typed(c, set(STABLECOIN_NUMERIC)), True) for c in STABLECOIN_OUT]
 )
 
 # Snapshot tables add two partition columns.

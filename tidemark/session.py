@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -74,25 +73,10 @@ def sized_conf(shuffle_bytes: int, total_cores: int, target_partition_bytes: int
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The cluster's shared scratch folder: ``spark.checkpoint.dir``.
-
-    Read from the session. Only when the setting is absent (local tests) a folder
-    is created and registered as the checkpoint directory. Works without a
-    SparkContext handle (Spark Connect) by reading the setting from the conf.
-    """
-    root = None
-    try:
-        root = spark.sparkContext.getCheckpointDir()
-    except Exception:  # no SparkContext handle (Spark Connect)
-        root = None
-    root = root or spark.conf.get("spark.checkpoint.dir", None)
+    """The folder that all executors share: ``spark.checkpoint.dir``, or the warehouse where that is unset."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="tidemark-ckpt-")
-        try:
-            spark.sparkContext.setCheckpointDir(root)
-            root = spark.sparkContext.getCheckpointDir() or root
-        except Exception:
-            pass
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return root.rstrip("/")
 
 

@@ -14,12 +14,17 @@ compatibility only.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas as S
 
 
+RUNS = "_runs"  # hidden from readers of the landing itself
+RUN_SCHEMA = f"source string, endpoint string, record_count long, {S.STAMP} string"
+
+
 def land_records(
     records: DataFrame,
     root: str,
@@ -27,18 +32,40 @@ def land_records(
     endpoint: str,
     stamp: str | Column,
 ) -> None:
-    """Append one run (or replace it, same stamp) to the landing at ``root``.
+    """Land one run, or replace it (same stamp), and note it in the run manifest beside the landing.
 
     ``records`` holds one row per raw record; nested values may be STRUCT, ARRAY
-    or VARIANT columns and are written as JSON.
+    or VARIANT columns and are written as JSON. Records are counted while they are
+    written; a run without records is a run with count 0. A Column as ``stamp`` lands
+    several runs at once, whose lines are counted afterwards, without parsing them; a run
+    without records can't be told then.
     """
-    stamp_col = F.lit(stamp) if isinstance(stamp, str) else stamp
-    (records
-     .withColumns({"source": F.lit(source), "endpoint": F.lit(endpoint), S.STAMP: stamp_col})
-     .write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic")
-     .partitionBy(S.STAMP)
-     .json(root))
+    spark = records.sparkSession
+    own = records.withColumns({"source": F.lit(source), "endpoint": F.lit(endpoint)})
+    if isinstance(stamp, str):
+        seen = Observation()
+        (own.observe(seen, F.count(F.lit(1)).alias("records"))
+         .write.mode("overwrite").json(f"{root}/{S.STAMP}={stamp}"))
+        runs = spark.createDataFrame([(source, endpoint, seen.get["records"], stamp)], RUN_SCHEMA)
+    else:
+        (own.withColumn(S.STAMP, stamp).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(S.STAMP).json(root))
+        lines = spark.read.schema(f"value string, {S.STAMP} string").text(root)
+        runs = lines.groupBy(S.STAMP).agg(F.count(F.lit(1)).alias("record_count")).select(
+            F.lit(source).alias("source"), F.lit(endpoint).alias("endpoint"), "record_count", S.STAMP)
+    (runs.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(S.STAMP).json(f"{root}/{RUNS}"))
+
+
+def landed_runs(spark: SparkSession, root: str) -> DataFrame:
+    """The run manifest: (source, endpoint, record_count, stamp), one row per run. Reads one small file
+    per run and no raw byte."""
+    try:
+        return spark.read.schema(RUN_SCHEMA).option("mode", "FAILFAST").json(f"{root}/{RUNS}")
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" in str(exc):
+            raise FileNotFoundError(f"{root}: no run was landed here; land one with land_records") from exc
+        raise
 
 
 def read_landed(spark: SparkSession, root: str, feed: str) -> DataFrame:
@@ -48,25 +75,12 @@ def read_landed(spark: SparkSession, root: str, feed: str) -> DataFrame:
     return spark.read.schema(schema).option("mode", "FAILFAST").json(root)
 
 
-def manifest(landed: DataFrame) -> DataFrame:
-    """Record count per run: (source, endpoint, ingested_at_utc, record_count)."""
-    return (landed.groupBy("source", "endpoint", S.STAMP)
-            .agg(F.count(F.lit(1)).alias("record_count")))
-
-
-def partition_values(spark: SparkSession, root: str, column: str) -> DataFrame:
-    """Distinct values of a partition column of the folder tree at ``root``,
-    from the file listing alone: the binary-file source reads no file content
-    unless asked for it, so no raw byte is read."""
-    return spark.read.format("binaryFile").load(root).select(column).distinct()
-
-
-def newest_landed_stamp_value(spark: SparkSession, root: str) -> str:
-    """The newest landed run stamp (one string to the driver), from the listing."""
-    stamp = partition_values(spark, root, S.STAMP).select(F.max(S.STAMP)).first()[0]
-    if stamp is None:
-        raise FileNotFoundError(f"no raw files found in {root}")
-    return stamp
+def newest_landed_run(spark: SparkSession, root: str) -> tuple[str, int]:
+    """Stamp and record count of the newest run, which may hold no record."""
+    row = landed_runs(spark, root).orderBy(F.desc(S.STAMP)).select(S.STAMP, "record_count").first()
+    if row is None:
+        raise FileNotFoundError(f"{root}: the run manifest is empty; land a run with land_records")
+    return row[0], row[1]
 
 
 def read_landed_run(spark: SparkSession, root: str, feed: str, stamp: str) -> DataFrame:
@@ -76,15 +90,10 @@ def read_landed_run(spark: SparkSession, root: str, feed: str, stamp: str) -> Da
             .json(f"{root}/{S.STAMP}={stamp}"))
 
 
-def landed_newest_stamp(spark: SparkSession, root: str) -> Column:
-    """Newest landed run stamp as a scalar subquery over the file listing."""
-    return partition_values(spark, root, S.STAMP).select(F.max(S.STAMP)).scalar()
-
-
 def read_newest_landed(spark: SparkSession, root: str, feed: str) -> DataFrame:
-    """Records of the newest landed run. The stamp comes from the listing; the
-    scan is pruned to that run's partition at run time."""
-    return read_landed(spark, root, feed).where(F.col(S.STAMP) == landed_newest_stamp(spark, root))
+    """Records of the newest landed run: none where that run is empty."""
+    stamp, _ = newest_landed_run(spark, root)
+    return read_landed_run(spark, root, feed, stamp)
 
 
 def newest_stamp(df: DataFrame, stamp: str = S.STAMP) -> Column:
@@ -98,12 +107,6 @@ def newest_run(df: DataFrame, stamp: str = S.STAMP) -> DataFrame:
     return df.where(F.col(stamp) == newest_stamp(df, stamp))
 
 
-def require_rows(df: DataFrame, what: str) -> None:
-    """Raise when ``df`` is empty (a one-row probe, not a count)."""
-    if df.isEmpty():
-        raise FileNotFoundError(f"no rows found for {what}")
-
-
 def read_envelopes(spark: SparkSession, path: str, feed: str) -> DataFrame:
     """Single-document envelopes → one row per record with the envelope columns.
 

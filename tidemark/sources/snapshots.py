@@ -74,59 +74,44 @@ def read_processed(spark: SparkSession, path: str, feed: str) -> DataFrame:
     nanoseconds, which Spark reads only as integers — the reader is told so."""
     from tidemark.operators.normalize import conform
 
-    spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
-    return conform(spark.read.parquet(path), feed)
-
-
-def snapshot_stamps(snapshots: DataFrame) -> DataFrame:
-    """Distinct run stamps; reads the partition column only."""
-    return snapshots.select("snapshot_ts").distinct()
+    setting = "spark.sql.legacy.parquet.nanosAsLong"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "true")  # the schema is read, and the setting taken into the plan, here
+    try:
+        return conform(spark.read.parquet(path), feed)
+    finally:
+        spark.conf.set(setting, before)
 
 
-def stamps_at(spark: SparkSession, root: str) -> DataFrame:
-    """Distinct run stamps of the snapshot table at ``root`` from the file
-    listing only (no file is opened)."""
-    return spark.read.format("binaryFile").load(root).select("snapshot_ts").distinct()
+def _folders(spark: SparkSession, path: str, column: str) -> list[str]:
+    """Values of a partition column in one folder, newest first; the folder's own entries are listed, no files below."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if not fs.exists(hadoop):
+        return []
+    names = [entry.getPath().getName() for entry in fs.listStatus(hadoop) if entry.isDirectory()]
+    return sorted((n.removeprefix(f"{column}=") for n in names if n.startswith(f"{column}=")), reverse=True)
 
 
-def run_sizes_at(spark: SparkSession, root: str) -> DataFrame:
-    """Bytes on disk per run (``snapshot_ts``, ``bytes``) from the file listing.
-    Compressed size: a lower bound of the in-memory size, useful to tell small
-    runs from large ones without reading them."""
-    return (spark.read.format("binaryFile").load(root)
-            .groupBy("snapshot_ts").agg(F.sum("length").alias("bytes")))
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove an output folder, if there is one."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(hadoop, True)
 
 
-def newest_runs_with_size(spark: SparkSession, root: str, n: int = 2) -> list[tuple[str, int]]:
-    """(stamp, bytes) of the ``n`` newest runs, oldest first; raises ValueError when
-    fewer exist (also when the table folder does not exist yet)."""
-    from pyspark.errors import AnalysisException
+def newest_runs(spark: SparkSession, root: str, n: int = 2) -> list[str]:
+    """Stamps of the ``n`` newest runs of the snapshot table at ``root``, oldest first.
 
-    try:
-        rows = (run_sizes_at(spark, root).where(F.col("snapshot_ts").isNotNull())
-                .orderBy(F.desc("snapshot_ts")).limit(n).collect())
-    except AnalysisException as exc:
-        if "PATH_NOT_FOUND" not in str(exc) and "Path does not exist" not in str(exc):
-            raise
-        rows = []
-    if len(rows) < n:
-        raise ValueError(f"need at least {n} snapshots to compare, found {len(rows)}; "
-                         "run the job again")
-    return [(r["snapshot_ts"], int(r["bytes"])) for r in reversed(rows)]
-
-
-def newest_stamps(snapshots: DataFrame, n: int = 2) -> list[str]:
-    """The ``n`` newest run stamps, oldest first. At most ``n`` strings reach the
-    driver. Raises when fewer than ``n`` runs exist.
-
-    ``snapshots`` may be the table itself (reads partition values) or
-    ``stamps_at(spark, root)`` (listing only)."""
-    rows = (snapshots.select("snapshot_ts").distinct().where(F.col("snapshot_ts").isNotNull())
-            .orderBy(F.desc("snapshot_ts")).limit(n).collect())
-    if len(rows) < n:
-        raise ValueError(f"need at least {n} snapshots to compare, found {len(rows)}; "
-                         "run the job again")
-    return [r[0] for r in reversed(rows)]
+    Lists the day folders and the newest days' run folders. Raises ValueError where there are fewer runs.
+    """
+    found: list[str] = []
+    for day in _folders(spark, root, "ingestion_date"):
+        found += _folders(spark, f"{root}/ingestion_date={day}", "snapshot_ts")
+        if len(found) >= n:
+            break
+    if len(found) < n:
+        raise ValueError(f"{root} holds {len(found)} run(s) and {n} are needed; run the job again after the next landing")
+    return found[:n][::-1]
 
 
 def pick_snapshot(snapshots: DataFrame, stamp: str) -> DataFrame:
@@ -135,10 +120,13 @@ def pick_snapshot(snapshots: DataFrame, stamp: str) -> DataFrame:
 
 
 def newest_two_in_plan(df: DataFrame, stamp: str = S.STAMP) -> tuple[DataFrame, DataFrame]:
-    """(latest, previous) runs of ``df`` chosen inside the plan with scalar
-    subqueries over the distinct stamps — no driver round trip. Either side is
-    empty when fewer than two runs exist."""
+    """(latest, previous) runs of ``df`` chosen inside the plan by scalar subqueries over the
+    distinct stamps, without a driver round trip. Running the plan fails where there are
+    fewer than two runs."""
     stamps = df.select(F.col(stamp).alias("_s")).where(F.col("_s").isNotNull()).distinct()
-    latest: Column = stamps.select(F.max("_s")).scalar()
-    previous: Column = stamps.where(F.col("_s") < latest).select(F.max("_s")).scalar()
-    return df.where(F.col(stamp) == latest), df.where(F.col(stamp) == previous)
+    newest = F.sort_array(F.collect_set("_s"), asc=False)
+    few = F.raise_error(F.concat(F.lit("two runs are needed to compare, found "), F.size(newest).cast("string")))
+
+    def nth(n: int) -> Column:
+        return stamps.agg(F.when(F.size(newest) < 2, few).otherwise(F.get(newest, n)).alias("_s")).scalar()
+    return df.where(F.col(stamp) == nth(0)), df.where(F.col(stamp) == nth(1))

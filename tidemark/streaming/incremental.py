@@ -2,17 +2,13 @@
 
 The batch job normalises the newest landed run (or backfills all of them). This
 stream instead picks up exactly the raw files that arrived since its last run:
-a file source over the landing, the same normaliser, and a parquet file sink
-partitioned like the snapshot table. The source's checkpoint remembers which
-files were processed and the sink's commit log makes output exactly-once, so a
-restarted or retried job neither skips nor duplicates a run.
+a file source over the landing tells which runs got files, and each micro-batch reads those
+whole runs again, normalises them and replaces exactly their partitions of the snapshot
+table. A retried batch, or a run that is landed again, therefore never duplicates rows, and
+the stream and the batch job share one snapshot table.
 
 ``Trigger.AvailableNow`` turns it into a scheduled batch: process everything
 new (in bounded micro-batches), then stop.
-
-The stream owns its output folder: a file sink lists its files in a
-``_spark_metadata`` log, and readers of that folder see only logged files, so it
-must not share a folder with the batch job's snapshot table.
 """
 
 from __future__ import annotations
@@ -22,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark import schemas as S
 from tidemark.operators.normalize import NORMALIZERS
-from tidemark.sources.snapshots import with_snapshot_partitions
+from tidemark.sources.snapshots import write_snapshots
 
 
 def landed_stream(spark: SparkSession, raw_root: str, feed: str, max_files_per_trigger: int = 1000) -> DataFrame:
@@ -34,8 +30,18 @@ def landed_stream(spark: SparkSession, raw_root: str, feed: str, max_files_per_t
             .json(raw_root))
 
 
-def normalized_stream(spark: SparkSession, raw_root: str, feed: str, max_files_per_trigger: int = 1000) -> DataFrame:
-    return with_snapshot_partitions(NORMALIZERS[feed](landed_stream(spark, raw_root, feed, max_files_per_trigger)))
+def _normalize_runs(raw_root: str, output_root: str, feed: str):
+    """A micro-batch writer: the runs that got files (their stamps reach the driver) are written anew, whole."""
+    def write(batch: DataFrame, _: int) -> None:
+        spark = batch.sparkSession
+        stamps = sorted(r[0] for r in batch.select(S.STAMP).distinct().collect())
+        if not stamps:
+            return
+        schema = S.landed_schema(S.FEEDS[feed]["raw"])
+        landed = (spark.read.schema(schema).option("mode", "FAILFAST").option("basePath", raw_root)
+                  .json([f"{raw_root}/{S.STAMP}={stamp}" for stamp in stamps]))
+        write_snapshots(NORMALIZERS[feed](landed), output_root, many_runs=len(stamps) > 1)
+    return write
 
 
 def start_incremental_normalize(
@@ -49,16 +55,15 @@ def start_incremental_normalize(
     max_files_per_trigger: int = 1000,
 ) -> StreamingQuery:
     """Start the stream; with ``available_now`` it stops once caught up."""
-    writer = (normalized_stream(spark, raw_root, feed, max_files_per_trigger)
-              .writeStream.format("parquet")
-              .outputMode("append")
+    writer = (landed_stream(spark, raw_root, feed, max_files_per_trigger)
+              .writeStream.outputMode("append")
               .option("checkpointLocation", checkpoint)
-              .partitionBy(*S.SNAPSHOT_PARTITIONS))
+              .foreachBatch(_normalize_runs(raw_root, output_root, feed)))
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif processing_time:
         writer = writer.trigger(processingTime=processing_time)
-    return writer.start(output_root)
+    return writer.start()
 
 
 def catch_up(spark: SparkSession, raw_root: str, output_root: str, checkpoint: str, feed: str) -> None:
