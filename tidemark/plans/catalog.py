@@ -7,9 +7,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from tidemark.operators import reports
+from tidemark.operators.ranking import order_columns
 from tidemark.plans import fixtures as fx
 from tidemark.plans import oracle as sql
 from tidemark.sources.landing import newest_run
@@ -54,24 +56,29 @@ def latest_stablecoins(spark: SparkSession, sf_dir: str) -> DataFrame:
     return newest_run(fx.fx_stablecoins(spark, sf_dir))
 
 
+def with_position(ranked: DataFrame, order: list) -> DataFrame:
+    """Number the (few) rows of a ranked frame, so that their order is part of what is checked."""
+    return ranked.withColumn("position", F.row_number().over(Window.orderBy(*order)).cast("long"))
+
+
 # --- ranked reports -----------------------------------------------------------
 
 @register("token_liquidity_risk_top50", "R1 O1 P4 P5 P7 P8 E1 E2 E8 SC1",
-          sql.with_adapters(sql.TOKEN_REPORT_ROWS + f"select * from token_report order by {sql.TOKEN_ORDER} limit 50"))
+          sql.with_adapters(sql.TOKEN_REPORT_ROWS + sql.numbered("token_report", sql.TOKEN_ORDER, 50)))
 def q_token_liquidity_risk_top50(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.token_liquidity_risk(latest_markets(spark, sf_dir))
+    return with_position(reports.token_liquidity_risk(latest_markets(spark, sf_dir)), order_columns(reports.TOKEN_RISK_ORDER))
 
 
 @register("defi_protocol_risk_top50", "R2 O2 P4 P7 P8 E3 E8 SC2",
-          sql.with_adapters(sql.PROTOCOL_REPORT_ROWS + f"select * from protocol_report order by {sql.PROTOCOL_ORDER} limit 50"))
+          sql.with_adapters(sql.PROTOCOL_REPORT_ROWS + sql.numbered("protocol_report", sql.PROTOCOL_ORDER, 50)))
 def q_defi_protocol_risk_top50(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.defi_protocol_risk(latest_protocols(spark, sf_dir))
+    return with_position(reports.defi_protocol_risk(latest_protocols(spark, sf_dir)), order_columns(reports.PROTOCOL_RISK_ORDER))
 
 
 @register("stablecoin_depeg_risk_top50", "R3 O3 P4 P5 P6 P7 P8 E4-E8 SC3",
-          sql.with_adapters(sql.STABLE_REPORT_ROWS + f"select * from stable_report order by {sql.STABLE_ORDER} limit 50"))
+          sql.with_adapters(sql.STABLE_REPORT_ROWS + sql.numbered("stable_report", sql.STABLE_ORDER, 50)))
 def q_stablecoin_depeg_risk_top50(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.stablecoin_depeg_risk(latest_stablecoins(spark, sf_dir))
+    return with_position(reports.stablecoin_depeg_risk(latest_stablecoins(spark, sf_dir)), order_columns(reports.STABLECOIN_RISK_ORDER))
 
 
 # --- helpers ------------------------------------------------------------------
@@ -125,8 +132,6 @@ def q_peg_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
                             "round(supply_change_1d * 100, 2) as supply_change_1d_pct, "
                             "round(supply_change_7d * 100, 2) as supply_change_7d_pct from m"))
 def q_supply_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import functions as F
-
     from tidemark.functions.arith import round_half_away
 
     m = reports.stablecoin_metrics(fx.fx_stablecoins(spark, sf_dir))
@@ -140,8 +145,6 @@ def q_supply_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
                             "round(change_1d / 7, 4) as change_1d_4, round(change_7d / 300000, 6) as change_7d_6, "
                             "round(mcap / 3, 2) as mcap_2, round(-change_1d / 1000, 2) as small_2 from fx_protocols"))
 def q_rounding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import functions as F
-
     from tidemark.functions.arith import round_half_away as r
 
     p = fx.fx_protocols(spark, sf_dir)
@@ -241,8 +244,6 @@ def q_filter_pegged_usd(spark: SparkSession, sf_dir: str) -> DataFrame:
           sql.with_adapters("select id, ingested_at_utc, market_cap from fx_markets "
                             "where market_cap is not null"))
 def q_filter_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import functions as F
-
     return fx.fx_markets(spark, sf_dir).where(F.col("market_cap").isNotNull()).select(
         "id", "ingested_at_utc", "market_cap")
 
@@ -316,8 +317,6 @@ def q_pct_change_guarded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def number_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw text of every shape the number coercion must handle, one per order."""
-    from pyspark.sql import functions as F
-
     o = _orders(spark, sf_dir)
     k, c = F.col("o_orderkey"), F.col("o_custkey")
 
@@ -347,8 +346,6 @@ def q_coerce_number(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("coerce_timestamp", "C2", sql.COERCE_TIMESTAMP)
 def q_coerce_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import functions as F
-
     from tidemark.functions.coerce import to_timestamp_loose
 
     o = _orders(spark, sf_dir)
@@ -377,8 +374,6 @@ def q_stamp_partition_date(spark: SparkSession, sf_dir: str) -> DataFrame:
           "select l_partkey as k, case when l_partkey % 5 in (0, 1) then sum(l_quantity) end as pegged_usd "
           "from lineitem group by l_partkey")
 def q_nested_pegged_usd(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import functions as F
-
     from tidemark.functions.coerce import json_field_number
 
     base = fx.stablecoin_base(spark, sf_dir)
@@ -395,8 +390,6 @@ def q_nested_pegged_usd(spark: SparkSession, sf_dir: str) -> DataFrame:
           "select l_partkey as k, cast(case l_partkey % 4 when 0 then l_partkey % 6 when 1 then 0 end as int) "
           "as chain_count from lineitem group by l_partkey")
 def q_nested_list_length(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import functions as F
-
     from tidemark.functions.coerce import json_list_length
 
     base = fx.stablecoin_base(spark, sf_dir)
@@ -411,8 +404,6 @@ def q_nested_list_length(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- landing and normalisation (S1-S7, P1-P3, R6-R8) ---------------------------------
 
 def _land(spark: SparkSession, sf_dir: str, feed: str, root: str) -> None:
-    from pyspark.sql import functions as F
-
     from tidemark import schemas as S
     from tidemark.sources.landing import land_records
 
@@ -434,34 +425,24 @@ def _landed(spark: SparkSession, sf_dir: str, feed: str) -> DataFrame:
 
 @register("normalize_markets", "R6 S1 S5 S6 P1 P2 C1 C2", sql.NORMALIZE_MARKETS)
 def q_normalize_markets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import functions as F
-
     from tidemark.operators.normalize import normalize_markets
 
     n = normalize_markets(_landed(spark, sf_dir, "markets"))
-    return n.select("id", "symbol", "name", "current_price", "market_cap", "market_cap_rank", "total_volume",
-                    "price_change_percentage_24h", "price_change_percentage_7d_in_currency",
-                    "circulating_supply", "total_supply", "ingested_at_utc",
-                    F.date_format("last_updated", "yyyy-MM-dd HH:mm:ss").alias("last_updated"), "source_file")
+    return n.withColumn("last_updated", F.date_format("last_updated", "yyyy-MM-dd HH:mm:ss"))
 
 
 @register("normalize_protocols", "R7 S1 S5 S6 P1 P2 C1", sql.NORMALIZE_PROTOCOLS)
 def q_normalize_protocols(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.operators.normalize import normalize_protocols
 
-    n = normalize_protocols(_landed(spark, sf_dir, "protocols"))
-    return n.select("id", "name", "symbol", "chain", "category", "tvl", "change_1d", "change_7d", "mcap",
-                    "audits", "url", "ingested_at_utc")
+    return normalize_protocols(_landed(spark, sf_dir, "protocols"))
 
 
 @register("normalize_stablecoins", "R8 S1 S5 S7 P1-P3 N1 N2 C1", sql.NORMALIZE_STABLECOINS)
 def q_normalize_stablecoins(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.operators.normalize import normalize_stablecoins
 
-    n = normalize_stablecoins(_landed(spark, sf_dir, "stablecoins"))
-    return n.select("id", "name", "symbol", "pegType", "pegMechanism", "price", "circulating_usd",
-                    "circulatingPrevDay_usd", "circulatingPrevWeek_usd", "circulatingPrevMonth_usd",
-                    "chain_count", "ingested_at_utc")
+    return normalize_stablecoins(_landed(spark, sf_dir, "stablecoins"))
 
 
 @register("raw_manifest", "S1 S2 S3", sql.RAW_MANIFEST)
@@ -494,8 +475,6 @@ def q_latest_raw_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("snapshot_write_read", "S8 S9 S12", sql.SNAPSHOT_WRITE_READ)
 def q_snapshot_write_read(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import functions as F
-
     from tidemark.sources import snapshots
 
     markets = fx.fx_markets(spark, sf_dir)
@@ -508,8 +487,6 @@ def q_snapshot_write_read(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("snapshot_newest_two", "S10 S11", sql.SNAPSHOT_NEWEST_TWO)
 def q_snapshot_newest_two(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import functions as F
-
     from tidemark.sources import snapshots
 
     protocols = fx.fx_protocols(spark, sf_dir)
@@ -551,7 +528,6 @@ def _all_reports(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 @register("report_preview", "S13 S14 S15 D7", sql.REPORT_PREVIEW)
 def q_report_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tidemark.operators.ranking import order_columns
     from tidemark.plans.job import REPORT_SCHEMAS
     from tidemark.sources import reports_io
 
@@ -565,10 +541,7 @@ def q_report_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("quality_checks", "Q1 Q2 Q3 Q4 A1 A2 A3", sql.QUALITY_CHECKS)
 def q_quality_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql import functions as F
-
     from tidemark.operators import quality
-    from tidemark.operators.ranking import order_columns
     from tidemark.sources import reports_io, snapshots
 
     from tidemark.plans.job import together
@@ -614,10 +587,12 @@ def q_dashboard_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _chart_builder(chart: str, report: str) -> Builder:
+    """The chart table with the place of every row in the order the mart gives."""
     def build(spark: SparkSession, sf_dir: str) -> DataFrame:
         from tidemark.operators.marts import chart_table
 
-        return chart_table(_report(spark, sf_dir, report), chart)
+        bars = chart_table(_report(spark, sf_dir, report), chart).withColumn("_at", F.monotonically_increasing_id())
+        return with_position(bars, [F.col("_at")]).drop("_at")
     return build
 
 
@@ -633,11 +608,27 @@ for _chart, _report_name, _cover in [
 
 @register("batch_job", "L1 (all steps) O4 S8 S9 S13 Q1-Q4", sql.BATCH_JOB)
 def q_batch_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.plans import job
     from tidemark.plans.job import Layout, land_fixture_feeds, run_job
 
     layout = Layout(_scratch(spark, "batch-job"))
     land_fixture_feeds(spark, sf_dir, layout)
-    return run_job(spark, layout, runs="all").select("check", "target", "rows", "passed")
+    checks = run_job(spark, layout, runs="all").select("check", "target", "rows", "passed")
+    contents = None
+    for name, (*_, score) in job.RANKED.items():
+        own = _contents(spark, layout, name, score, "name")
+        contents = own if contents is None else contents.unionByName(own)
+    for name in job.TRENDS:
+        contents = contents.unionByName(_contents(spark, layout, name, "risk_score_change", "name_latest"))
+    return checks.join(contents, "target", "left").select("check", "target", "rows", "passed", "score_sum", "names")
+
+
+def _contents(spark: SparkSession, layout, name: str, score: str, label: str) -> DataFrame:
+    """What a written report holds: the sum of its scores and its distinct names."""
+    from tidemark.plans.job import read_report
+
+    return read_report(spark, layout, name).agg(
+        F.lit(name).alias("target"), F.sum(score).cast("long").alias("score_sum"), F.countDistinct(label).alias("names"))
 
 
 @register("stream_normalize_protocols", "R7 via Structured Streaming (AvailableNow)", sql.NORMALIZE_PROTOCOLS)
@@ -650,5 +641,4 @@ def q_stream_normalize_protocols(spark: SparkSession, sf_dir: str) -> DataFrame:
         _land(spark, sf_dir, "protocols", f"{root}/raw")
         catch_up(spark, f"{root}/raw", f"{root}/snapshots", f"{root}/checkpoint", "protocols")
     table = spark.read.schema(S.snapshot_schema(S.PROTOCOLS)).parquet(f"{root}/snapshots")
-    return table.select("id", "name", "symbol", "chain", "category", "tvl", "change_1d", "change_7d", "mcap",
-                        "audits", "url", "ingested_at_utc")
+    return table.drop(*S.SNAPSHOT_PARTITIONS)

@@ -70,12 +70,16 @@ def fx_markets(spark: SparkSession, sf_dir: str, keep_key: bool = False,
         (mn / 100).alias("current_price"),
         F.when(k % 13 == 0, F.lit(None).cast("double"))
          .when((k + y) % 17 == 0, F.lit(0.0)).otherwise(mx).alias("market_cap"),
-        k.cast("bigint").alias("market_cap_rank"),
+        F.when(k % 50 != 0, k.cast("bigint")).alias("market_cap_rank"),
         (mn * (k % 12) / 100).alias("total_volume"),
         (_dbl((k * 7 + y * 3) % 41 - 25) + 0.25).alias("price_change_percentage_24h"),
         (_dbl((k * 5 + y * 11) % 61 - 40) + 0.5).alias("price_change_percentage_7d_in_currency"),
         F.when(k % 9 == 0, F.lit(None).cast("double")).otherwise(_dbl(k % 10)).alias("circulating_supply"),
         _dbl(10 + k % 7).alias("total_supply"),
+        (mx / 100).alias("high_24h"), (mn / 200).alias("low_24h"),
+        (_dbl(k % 7 - 3) + 0.5).alias("price_change_percentage_1h_in_currency"),
+        F.when(k % 3 != 0, _dbl(k % 50)).alias("max_supply"), mx.alias("ath"),
+        (-_dbl(k % 90)).alias("ath_change_percentage"), (mn / 1000).alias("atl"),
         _yearly_stamp(y).alias(S.STAMP),
     ]
     if keep_key:
@@ -109,6 +113,10 @@ def fx_protocols(spark: SparkSession, sf_dir: str, keep_key: bool = False,
          .when(k % 29 == 0, F.lit(0.0)).otherwise(q * 10000).alias("mcap"),
         F.when(k % 5 == 0, F.lit(None).cast("double")).otherwise(_dbl(k % 3)).alias("audits"),
         F.concat(F.lit("https://p"), _s(k), F.lit(".example.com")).alias("url"),
+        (_dbl(k % 9 - 4) + 0.25).alias("change_1h"),
+        F.when(k % 6 != 0, F.lit(9007199254740993) + k).alias("listedAt"), _dbl(k % 1000).alias("cmcId"),
+        F.concat(F.lit("g"), _s(k)).alias("gecko_id"), F.when(k % 2 == 1, F.concat(F.lit("@p"), _s(k))).alias("twitter"),
+        F.concat(F.lit("m"), _s(k % 3)).alias("module"),
         _yearly_stamp(y).alias(S.STAMP),
         F.when(k % 97 == 0, F.concat(F.lit("parent#"), _s(k))).otherwise(_s(_dbl(k))).alias(S.ID_TEXT),
     ]
@@ -138,6 +146,7 @@ def fx_stablecoins(spark: SparkSession, sf_dir: str, keep_key: bool = False) ->
          .otherwise(q * (1 + _dbl(k % 40 - 10) / 100)).alias("circulatingPrevDay_usd"),
         (q * (1 + _dbl(k % 100 - 20) / 100)).alias("circulatingPrevWeek_usd"),
         F.when(k % 8 == 0, F.lit(None).cast("int")).otherwise((k % 5).cast("int")).alias("chain_count"),
+        F.when(k % 4 != 0, F.concat(F.lit("sg"), _s(k))).alias("gecko_id"),
         F.lit("20240101T000000Z").alias(S.STAMP),
     ]
     if keep_key:
@@ -159,14 +168,17 @@ def markets_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw market records (+ ``last_updated`` text) and the run stamp."""
     fx = fx_markets(spark, sf_dir, keep_key=True)
     even = F.col("k") % 2 == 0
-    numeric = ["current_price", "market_cap", "market_cap_rank", "total_volume",
-               "price_change_percentage_24h", "price_change_percentage_7d_in_currency",
-               "circulating_supply", "total_supply"]
+    numeric = ["current_price", "market_cap", "total_volume", "high_24h", "low_24h", "price_change_percentage_24h",
+               "price_change_percentage_1h_in_currency", "price_change_percentage_7d_in_currency",
+               "circulating_supply", "total_supply", "max_supply", "ath", "ath_change_percentage", "atl"]
+    # A rank that is no whole number becomes NULL.
+    rank = F.when(F.col("market_cap_rank").isNull(), _json_number(_dbl(F.col("k")) + 0.5, even)) \
+        .otherwise(_json_number(F.col("market_cap_rank"), even))
     last_updated = F.concat(F.substring(S.STAMP, 1, 4), F.lit("-"),
                             F.lpad(_s(F.col("k") % 12 + 1), 2, "0"), F.lit("-15T10:20:30.000Z"))
     return fx.select(
         "id", "symbol", "name",
-        *[_json_number(F.col(c), even).alias(c) for c in numeric],
+        *[_json_number(F.col(c), even).alias(c) for c in numeric], rank.alias("market_cap_rank"),
         F.when(F.col("k") % 25 == 0, F.lit("not a time")).otherwise(last_updated).alias("last_updated"),
         S.STAMP,
     )
@@ -179,8 +191,9 @@ def protocols_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw_id = F.when(F.col("id").isNull(), F.concat(F.lit("parent#"), _s(F.col("k"))).cast("variant")) \
         .otherwise(_json_number(F.col("id"), even))
     return fx.select(
-        raw_id.alias("id"), "name", "symbol", "url", "chain", "category",
-        *[_json_number(F.col(c), even).alias(c) for c in ["tvl", "change_1d", "change_7d", "mcap", "audits"]],
+        raw_id.alias("id"), "name", "symbol", "url", "chain", "category", "gecko_id", "twitter", "module",
+        *[_json_number(F.col(c), even).alias(c) for c in
+          ["tvl", "change_1h", "change_1d", "change_7d", "mcap", "audits", "listedAt", "cmcId"]],
         S.STAMP,
     )
 
@@ -197,7 +210,7 @@ def stablecoins_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
                         lambda x, i: F.concat(F.lit("chain"), _s(i)))
     chains = F.when(F.col("chain_count").isNull(), F.lit(None).cast("variant")).otherwise(names.cast("variant"))
     return fx.select(
-        _json_number(F.col("id"), even).alias("id"), "name", "symbol", "pegType", "pegMechanism",
+        _json_number(F.col("id"), even).alias("id"), "name", "symbol", "gecko_id", "pegType", "pegMechanism",
         _json_number(F.col("price"), even).alias("price"),
         pegged("circulating_usd").alias("circulating"),
         pegged("circulatingPrevDay_usd").alias("circulatingPrevDay"),

@@ -5,21 +5,25 @@ which ``round_half_away`` reproduces); percent changes spell out IEEE results.
 
 from __future__ import annotations
 
-from tidemark.functions import scorecard as sc
-from tidemark.operators import trends
-from tidemark.operators.ranking import order_sql
-from tidemark.operators.reports import PROTOCOL_RISK_ORDER, STABLECOIN_RISK_ORDER, TOKEN_RISK_ORDER
+
+def _nulls_last(order: str) -> str:
+    """Add ``nulls last`` to each key of an order list."""
+    return ", ".join(f"{key.strip()} nulls last" for key in order.split(","))
+
 
 FX_MARKETS = """
 select concat('c', k) as id, concat('s', k % 500) as symbol, concat('Token ', k) as name,
   mn / 100 as current_price,
   case when k % 13 = 0 then null when (k + y) % 17 = 0 then 0.0 else mx end as market_cap,
-  cast(k as bigint) as market_cap_rank,
+  case when k % 50 = 0 then null else cast(k as bigint) end as market_cap_rank,
   mn * (k % 12) / 100 as total_volume,
   cast((k * 7 + y * 3) % 41 - 25 as double) + 0.25 as price_change_percentage_24h,
   cast((k * 5 + y * 11) % 61 - 40 as double) + 0.5 as price_change_percentage_7d_in_currency,
   case when k % 9 = 0 then null else cast(k % 10 as double) end as circulating_supply,
   cast(10 + k % 7 as double) as total_supply,
+  mx / 100 as high_24h, mn / 200 as low_24h, cast(k % 7 - 3 as double) + 0.5 as price_change_percentage_1h_in_currency,
+  case when k % 3 = 0 then null else cast(k % 50 as double) end as max_supply, mx as ath,
+  -cast(k % 90 as double) as ath_change_percentage, mn / 1000 as atl,
   concat(y, '0101T000000Z') as ingested_at_utc,
   k
 from (select o_custkey as k, year(o_orderdate) as y, max(o_totalprice) as mx, min(o_totalprice) as mn
@@ -37,6 +41,9 @@ select case when k % 97 = 0 then null else cast(k as double) end as id,
   case when k % 7 = 0 then null when k % 29 = 0 then 0.0 else q * 10000 end as mcap,
   case when k % 5 = 0 then null else cast(k % 3 as double) end as audits,
   concat('https://p', k, '.example.com') as url,
+  cast(k % 9 - 4 as double) + 0.25 as change_1h,
+  case when k % 6 = 0 then null else 9007199254740993 + k end as listedAt, cast(k % 1000 as double) as cmcId,
+  concat('g', k) as gecko_id, case when k % 2 = 1 then concat('@p', k) end as twitter, concat('m', k % 3) as module,
   concat(y, '0101T000000Z') as ingested_at_utc,
   case when k % 97 = 0 then concat('parent#', k) else concat(k, '.0') end as id_text,
   k
@@ -53,6 +60,7 @@ select cast(k as double) as id, concat('Stable ', k) as name, concat('st', k) as
   case when k % 37 = 0 then 0.0 else q * (1 + cast(k % 40 - 10 as double) / 100) end as circulatingPrevDay_usd,
   q * (1 + cast(k % 100 - 20 as double) / 100) as circulatingPrevWeek_usd,
   case when k % 8 = 0 then null else cast(k % 5 as int) end as chain_count,
+  case when k % 4 <> 0 then concat('sg', k) end as gecko_id,
   '20240101T000000Z' as ingested_at_utc,
   k
 from (select l_partkey as k, sum(l_quantity) as q from lineitem group by l_partkey) b
@@ -77,22 +85,24 @@ select *,
 from {src}
 """
 
-# Bands and scores rendered from the scorecard data (the thresholds themselves
-# are checked independently by the edge tests).
-B_VOLUME = sc.VOLUME_RATIO_BAND.sql()
-B_PRICE_24H = sc.PRICE_24H_BAND.sql()
-B_PRICE_7D = sc.PRICE_7D_BAND.sql()
-B_CIRC = sc.CIRCULATING_BAND.sql()
-LIQUIDITY_SCORE = sc.LIQUIDITY_CARD.sql()
+# Thresholds and points of the bands, and the report orders below, stated here
+# anew so that a wrong one in the library shows.
+B_VOLUME = """case when volume_to_market_cap_ratio is null then 25 when volume_to_market_cap_ratio < 0.01 then 25
+  when volume_to_market_cap_ratio < 0.03 then 15 when volume_to_market_cap_ratio < 0.05 then 8 else 0 end"""
+B_PRICE_24H = "case when price_change_percentage_24h <= -10 then 20 when price_change_percentage_24h <= -5 then 10 else 0 end"
+B_PRICE_7D = """case when price_change_percentage_7d_in_currency <= -20 then 20
+  when price_change_percentage_7d_in_currency <= -10 then 10 else 0 end"""
+B_CIRC = "case when circulating_supply_ratio is null then 10 when circulating_supply_ratio < 0.25 then 10 else 0 end"
+LIQUIDITY_SCORE = f"({B_VOLUME}) + ({B_PRICE_24H}) + ({B_PRICE_7D}) + ({B_CIRC})"
 
 PROTOCOL_METRICS = """
 select *, case when mcap > 0 then tvl / mcap else null end as tvl_to_mcap_ratio from {src}
 """
-B_TVL = sc.TVL_BAND.sql()
-B_TVL_1D = sc.TVL_1D_BAND.sql()
-B_TVL_7D = sc.TVL_7D_BAND.sql()
-B_AUDITS = sc.AUDITS_BAND.sql()
-PROTOCOL_SCORE = sc.PROTOCOL_CARD.sql()
+B_TVL = "case when tvl is null or tvl <= 0 then 25 when tvl < 1000000 then 20 when tvl < 10000000 then 10 else 0 end"
+B_TVL_1D = "case when change_1d <= -20 then 25 when change_1d <= -10 then 15 when change_1d <= -5 then 8 else 0 end"
+B_TVL_7D = "case when change_7d <= -40 then 25 when change_7d <= -20 then 15 when change_7d <= -10 then 8 else 0 end"
+B_AUDITS = "case when audits is null then 10 when audits = 0 then 10 else 0 end"
+PROTOCOL_SCORE = f"({B_TVL}) + ({B_TVL_1D}) + ({B_TVL_7D}) + ({B_AUDITS})"
 
 STABLE_METRICS = """
 select *, abs(price - 1.0) as absolute_depeg,
@@ -102,11 +112,15 @@ select *, abs(price - 1.0) as absolute_depeg,
        else null end as supply_change_7d
 from {src}
 """
-B_DEPEG = sc.DEPEG_GUARDED_BAND.sql()
-B_SUPPLY_1D = sc.SUPPLY_1D_BAND.sql()
-B_SUPPLY_7D = sc.SUPPLY_7D_BAND.sql()
-B_CHAINS = sc.CHAINS_BAND.sql()
-DEPEG_SCORE = sc.DEPEG_CARD.sql()
+B_DEPEG = """case when price is null then 30 when absolute_depeg >= cast(0.05 as double) then 40
+  when absolute_depeg >= cast(0.02 as double) then 25 when absolute_depeg >= cast(0.01 as double) then 15
+  when absolute_depeg >= cast(0.005 as double) then 8 else 0 end"""
+B_SUPPLY_1D = """case when supply_change_1d <= cast(-0.2 as double) then 20 when supply_change_1d <= cast(-0.1 as double) then 12
+  when supply_change_1d <= cast(-0.05 as double) then 6 else 0 end"""
+B_SUPPLY_7D = """case when supply_change_7d <= cast(-0.4 as double) then 20 when supply_change_7d <= cast(-0.2 as double) then 12
+  when supply_change_7d <= cast(-0.1 as double) then 6 else 0 end"""
+B_CHAINS = "case when chain_count is null then 5 when chain_count = 1 then 5 else 0 end"
+DEPEG_SCORE = f"({B_DEPEG}) + ({B_SUPPLY_1D}) + ({B_SUPPLY_7D}) + ({B_CHAINS})"
 
 
 def _join(ctes: str, body: str) -> str:
@@ -132,7 +146,8 @@ token_report as (
     liquidity_risk_score
   from token_scored where market_cap is not null)
 """.format(score=LIQUIDITY_SCORE, metrics=TOKEN_METRICS.format(src="latest_markets"))
-TOKEN_ORDER = order_sql(TOKEN_RISK_ORDER)
+TOKEN_ORDER = _nulls_last("""liquidity_risk_score desc, market_cap desc, id, market_cap_rank, symbol, name, current_price,
+  total_volume, volume_to_market_cap_ratio, price_change_percentage_24h, price_change_percentage_7d, circulating_supply_ratio""")
 
 PROTOCOL_REPORT_ROWS = """
 protocol_scored as (select *, {score} as protocol_risk_score from ({metrics}) m),
@@ -142,7 +157,8 @@ protocol_report as (
     protocol_risk_score, url
   from protocol_scored where tvl is not null)
 """.format(score=PROTOCOL_SCORE, metrics=PROTOCOL_METRICS.format(src="latest_protocols"))
-PROTOCOL_ORDER = order_sql(PROTOCOL_RISK_ORDER)
+PROTOCOL_ORDER = _nulls_last("""protocol_risk_score desc, tvl desc, name, symbol, chain, category, change_1d, change_7d,
+  audits, tvl_to_mcap_ratio, url""")
 
 STABLE_REPORT_ROWS = """
 stable_scored as (select *, {score} as depeg_risk_score
@@ -156,7 +172,8 @@ stable_report as (
   from stable_scored where circulating_usd is not null)
 """.format(score=DEPEG_SCORE,
            metrics=STABLE_METRICS.format(src="(select * from latest_stablecoins where pegType = 'peggedUSD')"))
-STABLE_ORDER = order_sql(STABLECOIN_RISK_ORDER)
+STABLE_ORDER = _nulls_last("""depeg_risk_score desc, circulating_usd desc, name, symbol, pegMechanism, price, absolute_depeg,
+  supply_change_1d_pct, supply_change_7d_pct, chain_count""")
 
 
 # --- trends ------------------------------------------------------------------
@@ -197,7 +214,9 @@ token_trends as (
 TOKEN_TREND_SELECT = """symbol_latest, name_latest, liquidity_risk_score_previous, liquidity_risk_score_latest,
   risk_score_change, market_cap_change_pct, volume_change_pct, volume_to_market_cap_ratio_previous,
   volume_to_market_cap_ratio_latest, ingested_at_utc_previous, ingested_at_utc_latest"""
-TOKEN_TREND_ORDER = order_sql(trends.TOKEN_TREND_ORDER)
+TOKEN_TREND_ORDER = _nulls_last("""risk_score_change desc, liquidity_risk_score_latest desc, symbol_latest, name_latest,
+  liquidity_risk_score_previous, market_cap_change_pct, volume_change_pct, volume_to_market_cap_ratio_previous,
+  volume_to_market_cap_ratio_latest, ingested_at_utc_previous, ingested_at_utc_latest""")
 
 PROTOCOL_TRENDS = """
 pro_scored as (
@@ -221,7 +240,9 @@ protocol_trends as (
 PROTOCOL_TREND_SELECT = """name_latest, symbol_latest, chain_latest, category_latest, protocol_risk_score_previous,
   protocol_risk_score_latest, risk_score_change, tvl_previous, tvl_latest, tvl_change_pct, change_1d_latest,
   change_7d_latest, audits_latest, ingested_at_utc_previous, ingested_at_utc_latest"""
-PROTOCOL_TREND_ORDER = order_sql(trends.PROTOCOL_TREND_ORDER)
+PROTOCOL_TREND_ORDER = _nulls_last("""risk_score_change desc, protocol_risk_score_latest desc, name_latest, symbol_latest,
+  chain_latest, category_latest, protocol_risk_score_previous, tvl_previous, tvl_latest, tvl_change_pct, change_1d_latest,
+  change_7d_latest, audits_latest, ingested_at_utc_previous, ingested_at_utc_latest""")
 
 ALL_REPORTS = ",\n".join([TOKEN_REPORT_ROWS.strip(), PROTOCOL_REPORT_ROWS.strip(), STABLE_REPORT_ROWS.strip(),
                           TOKEN_TRENDS.strip(), PROTOCOL_TRENDS.strip()]) + ",\n" + """
@@ -288,18 +309,24 @@ from ({TIME_TEXT}) t
 
 # --- landing, normalisation, snapshots, quality, marts ----------------------------
 
-NORMALIZE_MARKETS = with_adapters("""select id, symbol, name, current_price, market_cap, market_cap_rank, total_volume, price_change_percentage_24h,
-  price_change_percentage_7d_in_currency, circulating_supply, total_supply, ingested_at_utc,
+NORMALIZE_MARKETS = with_adapters("""select id, symbol, name, current_price, market_cap, market_cap_rank, total_volume, high_24h,
+  low_24h, price_change_percentage_24h, price_change_percentage_1h_in_currency,
+  cast(null as double) as price_change_percentage_24h_in_currency, price_change_percentage_7d_in_currency,
+  circulating_supply, total_supply, max_supply, ath, ath_change_percentage, atl,
+  cast(null as double) as atl_change_percentage, ingested_at_utc,
   case when k % 25 = 0 then null
        else concat(substr(ingested_at_utc, 1, 4), '-', lpad(cast(k % 12 + 1 as varchar), 2, '0'), '-15 10:20:30')
   end as last_updated,
   'coingecko' as source_file
 from fx_markets""")
 
-NORMALIZE_PROTOCOLS = with_adapters("""select id, name, symbol, chain, category, tvl, change_1d, change_7d, mcap, audits, url, ingested_at_utc
+NORMALIZE_PROTOCOLS = with_adapters("""select id, name, cast(null as varchar) as address, symbol, url,
+  cast(null as varchar) as description, chain, category, tvl, change_1h, change_1d, change_7d, mcap, listedAt, audits,
+  cast(null as varchar) as audit_note, gecko_id, cmcId, twitter, cast(null as varchar) as forkedFrom, module,
+  ingested_at_utc, id_text
 from fx_protocols""")
 
-NORMALIZE_STABLECOINS = with_adapters("""select id, name, symbol, pegType, pegMechanism, price, circulating_usd, circulatingPrevDay_usd,
+NORMALIZE_STABLECOINS = with_adapters("""select id, name, symbol, gecko_id, pegType, pegMechanism, price, circulating_usd, circulatingPrevDay_usd,
   circulatingPrevWeek_usd, cast(null as double) as circulatingPrevMonth_usd, chain_count, ingested_at_utc
 from fx_stablecoins""")
 
@@ -347,7 +374,16 @@ _OUTPUT_ROWS = [
     _check_row("report_valid", "token_liquidity_risk_trends", "(select count(*) from token_trends)", "true"),
     _check_row("report_valid", "defi_protocol_risk_trends", "(select count(*) from protocol_trends)", "true"),
 ]
-BATCH_JOB = with_reports("" + "\nunion all\n".join(_OUTPUT_ROWS))
+_CONTENTS = "\nunion all\n".join(
+    f"select '{name}' as target, cast(sum({score}) as bigint) as score_sum, count(distinct {label}) as names from {source}"
+    for name, score, label, source in [
+        ("token_liquidity_risk_top50", "liquidity_risk_score", "name", "token_top"),
+        ("defi_protocol_risk_top50", "protocol_risk_score", "name", "protocol_top"),
+        ("stablecoin_depeg_risk_top50", "depeg_risk_score", "name", "stable_top"),
+        ("token_liquidity_risk_trends", "risk_score_change", "name_latest", "token_trends"),
+        ("defi_protocol_risk_trends", "risk_score_change", "name_latest", "protocol_trends")])
+BATCH_JOB = with_reports("select \"check\", o.target, rows, passed, score_sum, names from (" + "\nunion all\n".join(_OUTPUT_ROWS)
+                         + f") o left join ({_CONTENTS}) c on o.target = c.target")
 QUALITY_CHECKS = with_reports("" + "\nunion all\n".join(_OUTPUT_ROWS + [
     _check_row("table_not_empty", "empty_table", "0", "false"),
     _check_row("report_valid", "missing_report", "null", "false"),
@@ -361,22 +397,29 @@ DASHBOARD_KPIS = with_reports(f"""select (select count(*) from token_top) as tra
   (select symbol from stable_top order by {STABLE_ORDER} limit 1) as top_stablecoin_symbol,
   (select depeg_risk_score from stable_top order by {STABLE_ORDER} limit 1) as top_stablecoin_score""")
 
+def _chart(columns: str, source: str, order: str, value: str) -> str:
+    """The first 20 rows in report order, numbered in ascending order of the charted value (then the report's other keys)."""
+    rest = [k.strip() for k in order.replace(" desc", "").split(",") if not k.strip().startswith(f"{value} ")]
+    return with_reports(f"select {columns}, row_number() over (order by {value} nulls last, {', '.join(rest)}) as position "
+                        f"from (select * from {source} order by {order} limit 20) t")
+
+
 CHARTS = {
-    "chart_token_risk": with_reports(
-        "select symbol, liquidity_risk_score, name, market_cap, total_volume, "
-        f"volume_to_market_cap_ratio from token_top order by {TOKEN_ORDER} limit 20"),
-    "chart_token_trends": with_reports(
-        "select symbol_latest, risk_score_change, name_latest, liquidity_risk_score_previous, "
-        "liquidity_risk_score_latest, market_cap_change_pct, volume_change_pct "
-        f"from token_trends order by {TOKEN_TREND_ORDER} limit 20"),
-    "chart_protocol_risk": with_reports(
-        "select name, protocol_risk_score, chain, category, tvl, change_1d, change_7d "
-        f"from protocol_top order by {PROTOCOL_ORDER} limit 20"),
-    "chart_protocol_trends": with_reports(
-        "select name_latest, risk_score_change, chain_latest, category_latest, "
-        "protocol_risk_score_previous, protocol_risk_score_latest, tvl_previous, tvl_latest, tvl_change_pct "
-        f"from protocol_trends order by {PROTOCOL_TREND_ORDER} limit 20"),
-    "chart_stablecoin_risk": with_reports(
-        "select symbol, depeg_risk_score, name, price, absolute_depeg, circulating_usd, "
-        f"supply_change_1d_pct, supply_change_7d_pct from stable_top order by {STABLE_ORDER} limit 20"),
+    "chart_token_risk": _chart("symbol, liquidity_risk_score, name, market_cap, total_volume, volume_to_market_cap_ratio",
+                               "token_top", TOKEN_ORDER, "liquidity_risk_score"),
+    "chart_token_trends": _chart("symbol_latest, risk_score_change, name_latest, liquidity_risk_score_previous, "
+                                 "liquidity_risk_score_latest, market_cap_change_pct, volume_change_pct",
+                                 "token_trends", TOKEN_TREND_ORDER, "risk_score_change"),
+    "chart_protocol_risk": _chart("name, protocol_risk_score, chain, category, tvl, change_1d, change_7d",
+                                  "protocol_top", PROTOCOL_ORDER, "protocol_risk_score"),
+    "chart_protocol_trends": _chart("name_latest, risk_score_change, chain_latest, category_latest, "
+                                    "protocol_risk_score_previous, protocol_risk_score_latest, tvl_previous, tvl_latest, "
+                                    "tvl_change_pct", "protocol_trends", PROTOCOL_TREND_ORDER, "risk_score_change"),
+    "chart_stablecoin_risk": _chart("symbol, depeg_risk_score, name, price, absolute_depeg, circulating_usd, "
+                                    "supply_change_1d_pct, supply_change_7d_pct", "stable_top", STABLE_ORDER, "depeg_risk_score"),
 }
+
+
+def numbered(report: str, order: str, n: int) -> str:
+    """The first ``n`` rows of a report with their position."""
+    return f"select *, row_number() over (order by {order}) as position from {report} order by {order} limit {n}"
