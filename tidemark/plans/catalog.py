@@ -423,7 +423,7 @@ def _landed(spark: SparkSession, sf_dir: str, feed: str) -> DataFrame:
     return read_landed(spark, _landing_root(spark, sf_dir, feed), feed)
 
 
-@register("normalize_markets", "R6 S1 S5 S6 P1 P2 C1 C2", sql.NORMALIZE_MARKETS)
+@register("normalize_markets", "R6 S1 P1 P2 C1 C2", sql.NORMALIZE_MARKETS)
 def q_normalize_markets(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.operators.normalize import normalize_markets
 
@@ -431,20 +431,46 @@ def q_normalize_markets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return n.withColumn("last_updated", F.date_format("last_updated", "yyyy-MM-dd HH:mm:ss"))
 
 
-@register("normalize_protocols", "R7 S1 S5 S6 P1 P2 C1", sql.NORMALIZE_PROTOCOLS)
+@register("normalize_protocols", "R7 S1 P1 P2 C1", sql.NORMALIZE_PROTOCOLS)
 def q_normalize_protocols(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.operators.normalize import normalize_protocols
 
     return normalize_protocols(_landed(spark, sf_dir, "protocols"))
 
 
-@register("normalize_stablecoins", "R8 S1 S5 S7 P1-P3 N1 N2 C1", sql.NORMALIZE_STABLECOINS)
+@register("normalize_stablecoins", "R8 S1 P1-P3 N1 N2 C1", sql.NORMALIZE_STABLECOINS)
 def q_normalize_stablecoins(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.operators.normalize import normalize_stablecoins
 
     return normalize_stablecoins(_landed(spark, sf_dir, "stablecoins"))
 
 
+@register("normalize_paged", "S5 S6 S7 P3", sql.NORMALIZE_PAGED)
+def q_normalize_paged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All three feeds landed in pages and read back record by record; what each run of a feed holds."""
+    from tidemark.operators.normalize import NORMALIZERS
+    from tidemark.sources.landing import PAGE_RECORDS, land_pages, read_pages
+
+    # The key that numbers a feed's records, by feed.
+    keys = {"markets": F.substring("id", 2, 20), "protocols": F.substring("name", 10, 20), "stablecoins": F.substring("name", 8, 20)}
+    values = {"markets": "current_price", "protocols": "change_1d", "stablecoins": "chain_count"}
+    out = None
+    for feed, build in fx.RAW_BUILDERS.items():
+        root = _scratch(spark, f"pages-{feed}")
+        records = build(spark, sf_dir)
+        page = F.floor(keys[feed].cast("long") / PAGE_RECORDS)
+        land_pages(records, root, feed, *fx.ENDPOINTS[feed], page, F.col("ingested_at_utc"))
+        if feed == "stablecoins":  # a page that lacks its list
+            spark.range(1).select(F.lit("defillama").alias("source"), F.struct(F.lit(1).alias("other")).alias("data")) \
+                .write.mode("append").json(root)
+        rows = NORMALIZERS[feed](read_pages(spark, root, feed))
+        own = rows.groupBy("ingested_at_utc").agg(
+            F.count(F.lit(1)).alias("records"), F.countDistinct("name").alias("names"), F.max(values[feed]).cast("double").alias("most"),
+            F.count("id").alias("ids")).select(F.lit(feed).alias("feed"), "ingested_at_utc", "records", "names", "most", "ids")
+        out = own if out is None else out.unionByName(own)
+    return out
+
+
 @register("raw_manifest", "S1 S2 S3", sql.RAW_MANIFEST)
 def q_raw_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.plans.job import together
@@ -462,7 +488,7 @@ def q_raw_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-@register("latest_raw_selection", "S4 S5", sql.LATEST_RAW_SELECTION)
+@register("latest_raw_selection", "S4", sql.LATEST_RAW_SELECTION)
 def q_latest_raw_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.sources.landing import read_newest_landed
 

@@ -330,6 +330,11 @@ NORMALIZE_STABLECOINS = with_adapters("""select id, name, symbol, gecko_id, pegT
   circulatingPrevWeek_usd, cast(null as double) as circulatingPrevMonth_usd, chain_count, ingested_at_utc
 from fx_stablecoins""")
 
+NORMALIZE_PAGED = with_adapters("\nunion all\n".join(
+    f"select '{feed}' as feed, ingested_at_utc, count(*) as records, count(distinct name) as names, "
+    f"cast(max({value}) as double) as most, count(id) as ids from fx_{feed} group by ingested_at_utc"
+    for feed, value in (("markets", "current_price"), ("protocols", "change_1d"), ("stablecoins", "chain_count"))))
+
 RAW_MANIFEST = with_adapters("""select 'coingecko' as source, 'markets' as endpoint, ingested_at_utc, count(*) as record_count
   from fx_markets group by ingested_at_utc
 union all

@@ -107,6 +107,37 @@ def newest_run(df: DataFrame, stamp: str = S.STAMP) -> DataFrame:
     return df.where(F.col(stamp) == newest_stamp(df, stamp))
 
 
+PAGE_RECORDS = 250  # records of one page at most: a fixed value of the source's paging
+
+
+def land_pages(records: DataFrame, root: str, feed: str, source: str, endpoint: str, page: Column, stamp: Column) -> None:
+    """Land records in pages: one JSON line for each page of a run, its records in a list.
+
+    ``page`` numbers a record's page within its run and must put at most ``PAGE_RECORDS`` on one,
+    so a group is bounded; a larger page fails. Feeds that nest their list do so here, too.
+    """
+    nested = S.FEEDS[feed]["nested_key"]
+    own = records.select(stamp.alias(S.STAMP), page.alias("page"),
+                         F.struct(*[F.col(c) for c in records.columns if c != S.STAMP]).alias("record"))
+    pages = own.groupBy(S.STAMP, "page").agg(F.collect_list("record").alias("data"))
+    size = F.size("data")
+    data = F.when(size > PAGE_RECORDS, F.raise_error(F.concat(F.lit("a page holds "), size.cast("string"), F.lit(" records")))) \
+        .otherwise(F.col("data"))
+    data = F.struct(data.alias(nested)) if nested else data
+    (pages.select(F.lit(source).alias("source"), F.lit(endpoint).alias("endpoint"), S.STAMP,
+                  size.cast("long").alias("record_count"), data.alias("data"))
+     .write.mode("overwrite").json(root))
+
+
+def read_pages(spark: SparkSession, path: str, feed: str) -> DataFrame:
+    """Landed pages → one row per record with the envelope columns. Lines split across tasks; a page
+    without its list has no records."""
+    spec = S.FEEDS[feed]
+    pages = spark.read.schema(S.envelope_schema(spec["raw"], spec["nested_key"])).option("mode", "FAILFAST").json(path)
+    items = F.col("data").getField(spec["nested_key"]) if spec["nested_key"] else F.col("data")
+    return pages.select("source", "endpoint", S.STAMP, F.inline(items))
+
+
 def read_envelopes(spark: SparkSession, path: str, feed: str) -> DataFrame:
     """Single-document envelopes → one row per record with the envelope columns.
 
