@@ -162,7 +162,7 @@ def test_quality_checks_run_once(spark, tmp_path):
     land_fixture_feeds(spark, SF_SMALL, layout)
     results = run_job(spark, layout, runs="all", with_marts=False)
     plan = results._jdf.queryExecution().executedPlan().toString()
-    assert results.count() == 8 and "FileScan" not in plan
+    assert results.count() == 14 and "FileScan" not in plan
     assert spark.read.parquet(layout.staging("defi_protocol_risk_trends")).count() > 0
 
 

@@ -32,6 +32,7 @@ RESULT_SCHEMA = T.StructType([
 class TableTarget:
     name: str
     path: str
+    key: str | None = None  # the column that tells records apart, if its gaps and repeats are to be reported
 
 
 @dataclass(frozen=True)
@@ -97,13 +98,14 @@ def quality_suite(spark: SparkSession, tables: list[TableTarget], reports: list[
     counts rows and non-NULL scores for all targets in one job. Missing targets
     become failed rows without touching data.
     """
-    markers, failures, parts = [], [], []
+    markers, failures, parts, opened = [], [], [], []
     for t in tables:
         df, problem, rows_seen = _open_table(spark, t)
         if problem:
             failures.append(("table_not_empty", t.name, rows_seen, False, problem))
         else:
             markers.append(("table_not_empty", t.name))
+            opened.append((t, df))
             parts.append(_tagged(df, "table_not_empty", t.name, None))
     for r in reports:
         df, problem, rows_seen = _open_report(spark, r)
@@ -123,6 +125,7 @@ def quality_suite(spark: SparkSession, tables: list[TableTarget], reports: list[
     scored = F.count_if(F.col("_scored") & (F.col("_real") == 1))
     is_report = F.col("check") == "report_valid"
     counted = tagged.groupBy("check", "target").agg(rows.alias("rows"), scored.alias("_n_scored"))
+    keyed = [_key_rows(df, t) for t, df in opened if t.key]
     checked = counted.select(
         "check", "target", "rows",
         ((F.col("rows") > 0) & (~is_report | (F.col("_n_scored") > 0))).alias("passed"),
@@ -130,9 +133,26 @@ def quality_suite(spark: SparkSession, tables: list[TableTarget], reports: list[
          .when(is_report & (F.col("_n_scored") == 0),
                F.concat(F.lit("none of the "), F.col("rows").cast("string"), F.lit(" rows of "), F.col("target"), F.lit(" has a score")))
          .alias("message"))
+    for own in keyed:
+        checked = checked.unionByName(own)
     return checked.unionByName(failed)
 
 
+def _key_rows(df: DataFrame, target: TableTarget) -> DataFrame:
+    """Two rows that always pass: how many records have no key (they join nothing), and how many have one
+    that another record has, too (they multiply in a join)."""
+    per_key = df.groupBy(F.col(target.key).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
+    found = per_key.agg(
+        F.coalesce(F.sum(F.when(F.col("_key").isNull(), F.col("_n"))), F.lit(0)).alias("none"),
+        F.coalesce(F.sum(F.when(F.col("_key").isNotNull() & (F.col("_n") > 1), F.col("_n"))), F.lit(0)).alias("repeated"))
+    rows = F.array(*[F.struct(F.lit(check).alias("check"), F.col(c).cast("long").alias("rows"), F.lit(text).alias("message"))
+                     for check, c, text in (("ids_missing", "none", "records without an id"),
+                                            ("ids_repeated", "repeated", "records whose id another one has"))])
+    return found.select(F.inline(rows)).select(
+        "check", F.lit(target.name).alias("target"), "rows", F.lit(True).alias("passed"),
+        F.when(F.col("rows") > 0, F.col("message")).alias("message"))
+
+
 def assert_passed(results: DataFrame) -> DataFrame:
     """Run the checks once; raise listing every failure, else return the (few) result rows as a frame."""
     rows = results.collect()

@@ -570,14 +570,14 @@ def q_quality_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.operators import quality
     from tidemark.sources import reports_io, snapshots
 
-    from tidemark.plans.job import together
+    from tidemark.plans.job import KEYS, together
 
     root = _scratch(spark, "quality")
     writes, tables = [], []
     for feed, frame in (("markets", latest_markets(spark, sf_dir)), ("protocols", latest_protocols(spark, sf_dir)),
                         ("stablecoins", latest_stablecoins(spark, sf_dir))):
         writes.append(lambda fr=frame, f=feed: snapshots.write_latest(fr, f"{root}/{f}"))
-        tables.append(quality.TableTarget(feed, f"{root}/{feed}"))
+        tables.append(quality.TableTarget(feed, f"{root}/{feed}", KEYS[feed]))
     writes.append(lambda: snapshots.write_latest(fx.fx_markets(spark, sf_dir).limit(0), f"{root}/empty_table"))
     tables.append(quality.TableTarget("empty_table", f"{root}/empty_table"))
 

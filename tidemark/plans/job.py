@@ -24,6 +24,7 @@ from tidemark.operators.normalize import NORMALIZERS
 from tidemark.sources import landing, reports_io, snapshots
 
 FEEDS = ("markets", "protocols", "stablecoins")
+KEYS = {"markets": "id", "protocols": S.ID_TEXT, "stablecoins": "id"}
 
 RANKED = {
     # report name: (feed, builder, order, score column)
@@ -146,7 +147,7 @@ def trend_reports(spark: SparkSession, layout: Layout, skip_if_single: bool = Fa
 
 
 def quality_targets(layout: Layout, trend_names: list[str]):
-    tables = [quality.TableTarget(feed, layout.latest(feed)) for feed in FEEDS]
+    tables = [quality.TableTarget(feed, layout.latest(feed), KEYS[feed]) for feed in FEEDS]
     score_cols = {name: spec[3] for name, spec in RANKED.items()}
     score_cols.update({name: "risk_score_change" for name in trend_names})
     return tables, [quality.ReportTarget(n, layout.report(n), c) for n, c in score_cols.items()]

@@ -366,7 +366,15 @@ def _check_row(check: str, target: str, rows: str, passed: str) -> str:
     return f"select '{check}' as \"check\", '{target}' as target, cast({rows} as bigint) as rows, {passed} as passed"
 
 
+def _key_rows(feed: str, key: str) -> list[str]:
+    source = f"latest_{feed}"
+    return [_check_row("ids_missing", feed, f"(select count(*) from {source} where {key} is null)", "true"),
+            _check_row("ids_repeated", feed, f"(select coalesce(sum(n), 0) from (select count(*) as n from {source} "
+                       f"where {key} is not null group by {key} having count(*) > 1) r)", "true")]
+
+
 _OUTPUT_ROWS = [
+    *_key_rows("markets", "id"), *_key_rows("protocols", "id_text"), *_key_rows("stablecoins", "id"),
     _check_row("table_not_empty", "markets", "(select count(*) from latest_markets)",
                "(select count(*) from latest_markets) > 0"),
     _check_row("table_not_empty", "protocols", "(select count(*) from latest_protocols)",
