@@ -72,7 +72,7 @@ def test_pieces_do_not_change_entropies(spark, monkeypatch):
 
 
 def test_edge_cases(spark):
-    rows = corpus() + [(500, None, "aa", "s"), (501, "", "bb", "s"), (502, "12 34 !", "aa", "s"), (None, "und der die", None, "s"), (503, "mit haus " * 30000, None, "s"),
+    rows = corpus() + [(500, None, "aa", "s"), (501, "", "bb", "s"), (502, "12 34 ! ² ½ Ⅷ", "aa", "s"), (None, "und der die", None, "s"), (503, "mit haus " * 30000, None, "s"),
                        (7, "repeated und mit", "bb", "s"), (7, "repeated und mit", "bb", "s")]
     df = spark.createDataFrame([(*r, 0.0) for r in rows], SCHEMA + ", score double").repartition(3)
     out = langid.identify(df, langid.learn_languages(df)).collect()

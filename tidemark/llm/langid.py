@@ -38,7 +38,7 @@ NO_LETTER = re.compile(r"[\W\d_]+")
 def letters(text: str | None) -> str:
     """Lower-cased words with a space before, between and after; empty where no letter is."""
     words = NO_LETTER.sub(" ", (text or "").lower()).strip()
-    return f" {words} " if words else ""
+    return f" {words} " if any(map(str.isalpha, words)) else ""
 
 
 def _code_points(texts: list[str]) -> np.ndarray:
