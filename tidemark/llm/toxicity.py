@@ -38,7 +38,7 @@ PREFIX_LENGTHS = (3, 4, 5, 6, 7, 8)
 EXPLAINED, LEAST_TEXTS = 3, 3
 THRESHOLD = 0.3
 #: Words that a worker remembers the symbol of.
-REMEMBERED = 300_000
+REMEMBERED = 100_000
 
 # Closed word classes of the grammar (English, German, French, Spanish).
 TARGETS = frozenset("""you your yours he she they them him her this these those that it who
@@ -176,11 +176,10 @@ class ToxicityModel:
         """Weights by pattern over all clauses of a text, and its number of words and sentence ends."""
         sums = [0.0] * len(PATTERNS)
         words = WORD.findall((text or "").lower())
-        if len(known) > REMEMBERED:
-            known.clear()
-        for w in set(words).difference(known):
-            known[w] = self.word(w)
-        symbols = [known[w] for w in words]
+        new = {w: self.word(w) for w in set(words).difference(known)}
+        symbols = [new[w] if w in new else known[w] for w in words] if new else [known[w] for w in words]
+        if len(known) < REMEMBERED:  # words met early are the frequent ones
+            known.update(new)
         hits = [i for i, s in enumerate(symbols) if s[0] in (INSULT, THREAT)]
         done = 0
         for hit in hits:
