@@ -10,6 +10,7 @@ fewer groups, so what groups lose at their edges is won back.
 
 from __future__ import annotations
 
+import heapq
 import os
 import re
 import zlib
@@ -29,6 +30,9 @@ SEQUENCE_TOKENS = 4096
 END_ID = 1
 #: Pieces packed together by one task.
 GROUP_PIECES = 8192
+#: The emptiest sequences that may give a piece away in one step; there are at most as many steps as pieces, so
+#: the search's work stays in proportion to a group (all pieces are packed whenever it ends).
+GIVERS = 16
 #: A sequence with this share free or more is opened again in the next round.
 OPEN_SHARE = 0.005
 #: Words whose ids a worker remembers, their longest length, and characters and words tokenised at a time.
@@ -245,20 +249,22 @@ def _best_step(bins: list[Bin], giver: int, options: np.ndarray, size: int) -> t
 
 
 def local_search(bins: list[Bin], size: int) -> list[Bin]:
-    """Exchange pieces between underfull bins until no exchange raises the sum of squared fills, or until
-    the others haven't the room for the emptiest bin's pieces, so no bin can be emptied any more."""
+    """Exchange pieces between underfull bins until no exchange from one of the emptiest raises the sum of
+    squared fills, or until the others haven't the room for the emptiest bin's pieces, so no bin can be
+    emptied any more."""
     full, under = [b for b in bins if not b.free], [b for b in bins if b.free]
-    options = [_options(k, b) for k, b in enumerate(under)]
+    steps = sum(len(items) for b in under for items in b.items.values())
 
     def can_empty() -> bool:
         own = [b for b in under if b.items]
         emptiest = max((b.free for b in own), default=0)
         return len(own) > 1 and sum(b.free for b in own) - emptiest >= size - emptiest
 
-    while can_empty():
-        step = None
+    options = [_options(k, b) for k, b in enumerate(under)] if can_empty() else []
+    while steps and can_empty():
+        step, steps = None, steps - 1
         all_options = np.concatenate([o for o, b in zip(options, under) if b.items and b.free])
-        for giver in sorted((k for k, b in enumerate(under) if b.items and b.free), key=lambda k: -under[k].free):
+        for giver in heapq.nlargest(GIVERS, (k for k, b in enumerate(under) if b.items and b.free), key=lambda k: under[k].free):
             if step := _best_step(under, giver, all_options, size):
                 break
         if not step:
