@@ -33,8 +33,8 @@ GROUP_PIECES = 8192
 #: The emptiest sequences that may give a piece away in one step; there are at most as many steps as pieces, so
 #: the search's work stays in proportion to a group (all pieces are packed whenever it ends).
 GIVERS = 16
-#: A sequence with this share free or more is opened again in the next round.
-OPEN_SHARE = 0.005
+#: Sequences with a share free are opened again in the next round: the first share that leaves it half of the pieces at most.
+OPEN_SHARES = (0.005, 0.02, 0.05, 0.1, 0.2)
 #: Words whose ids a worker remembers, their longest length, and characters and words tokenised at a time.
 REMEMBERED, WORD_CHARS, SLICE, WORDS_AT_A_TIME = 300_000, 48, 1 << 20, 1 << 19
 
@@ -321,11 +321,12 @@ def pack_pieces(pieces: DataFrame, size: int = SEQUENCE_TOKENS) -> DataFrame:
         # A hash deals unevenly, but by little: a group is a few per cent off GROUP_PIECES.
         packed = staged(left.withColumn("__group", group).groupBy("__group").applyInPandas(
             _packer(this_round << 52, size), f"{fields}, sequence_id long, offset long, free long"), "packed")
-        is_open = F.col("free") >= max(1, int(size * OPEN_SHARE))
-        still = packed.where(is_open).count() if groups > 1 else 0
-        if still > count * 0.75:  # another round would meet the same pieces
-            still = 0
-        done = done.unionByName((packed.where(~is_open) if still else packed).select(*columns, "sequence_id", "offset"))
+        still, is_open = 0, F.lit(False)
+        if groups > 1:  # open the emptiest sequences, holding half of the pieces at most, again
+            limits = [max(1, int(size * share)) for share in OPEN_SHARES]
+            held = packed.agg(*[F.count_if(F.col("free") >= limit) for limit in limits]).first()
+            still, is_open = next(((n, F.col("free") >= limit) for n, limit in zip(held, limits) if n <= count // 2), (0, is_open))
+        done = done.unionByName(packed.where(~is_open).select(*columns, "sequence_id", "offset"))
         left, count, this_round = packed.where(is_open).select(*rows.columns), still, this_round + 1
     return done
 
