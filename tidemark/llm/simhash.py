@@ -302,6 +302,8 @@ def simhash_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     linked = labels.join(classes, "label").select("fp", "class_id", F.lit(True).alias("is_linked"))
     found = least.join(linked, "fp", "left").select(
         "fp", F.when(F.col("is_linked"), F.col("class_id")).otherwise(F.col("least_id")).alias("component_id"))
+    # A fingerprint may have a third of all rows: written first, so that the join is one whose hot keys Spark splits.
+    found = staged(found, "classes")
     return own.join(found, "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "fp", "seq")
 
