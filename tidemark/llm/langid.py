@@ -27,7 +27,7 @@ SAMPLE_ROWS, DISCOUNT = 3_000, 0.75
 KEPT_SHARE = 0.995
 UNDETERMINED = "und"
 #: Bits of a character's number within an n-gram; characters scored at a time.
-CHAR_BITS, CHARS_AT_A_TIME = 16, 1 << 22
+CHAR_BITS, CHARS_AT_A_TIME = 16, 1 << 21
 SPACE, UNKNOWN = 1, 2  # numbers of the space and of characters that training didn't meet
 #: How sharply the score falls with the lead over the second language (per character, up to a length).
 SHARPNESS, FULL_LENGTH = 1.0, 60
