@@ -46,8 +46,9 @@ def _of_years(df: DataFrame, day: str, years: list[int] | None) -> DataFrame:
 def newest_years(spark: SparkSession, sf_dir: str, feed: str, n: int) -> list[int]:
     """The ``n`` newest runs (years) of a feed, newest first; raises where there are fewer."""
     table, day = {"markets": ("orders", "o_orderdate"), "protocols": ("lineitem", "l_shipdate")}[feed]
-    rows = (_table(spark, sf_dir, table).where(F.col(day).isNotNull()).select(F.year(day).alias("y")).distinct()
-            .orderBy(F.desc("y")).limit(n).collect())
+    years = _table(spark, sf_dir, table).where(F.col(day).isNotNull()).select(F.year(day).alias("y"))
+    newest = years.agg(F.max("y").alias("y")).where("y is not null") if n == 1 else years.distinct().orderBy(F.desc("y")).limit(n)
+    rows = newest.collect()
     if len(rows) < n:
         raise ValueError(f"{feed}: {n} runs are needed and {sf_dir} holds {len(rows)}")
     return [r.y for r in rows]
