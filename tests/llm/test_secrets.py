@@ -50,7 +50,7 @@ def test_query_against_brute_force(spark):
         want = base_spans(docs[r.doc_id])
         assert [r.n_assign, r.n_access, r.n_hex] == [sum(k == n for _, k, _ in want) for n in range(3)]
         assert r.base_sha256 == hashlib.sha256(joined(want).encode()).hexdigest()
-        assert set(joined(want).split(",")) <= set(r.spans.split(","))
+        assert set(filter(None, joined(want).split(","))) <= set(r.spans.split(","))
 
 
 def test_models_tell_random_strings_from_identifiers(spark, documents):
@@ -59,10 +59,11 @@ def test_models_tell_random_strings_from_identifiers(spark, documents):
     keys = ["".join(rng.choices(letters, k=32)) for _ in range(20)]
     names = ["get_user_account_number", "theconfigurationfilename", "HttpRequestHandlerFactory", "internationalization", "========================", "com.example.service.impl"]
     ordinary = " ".join(names * 3 + "the quick brown fox jumps over lazy dogs and runs into the forest".split() * 5)
-    docs = documents([(i, f"{ordinary} secret = {k}") for i, k in enumerate(keys)] + [(100 + i, f"we saw {k} there") for i, k in enumerate(keys)] + [(200, ordinary)])
+    docs = documents([(i, f"{ordinary} secret = {k}") for i, k in enumerate(keys)] + [(100 + i, f"we saw {k} there") for i, k in enumerate(keys)] + [
+        (200, ordinary), (201, "card 4151891120517744 of someone.09@mail3.example.com")])
     found = {r.doc_id: [tuple(s) for s in r.spans] for r in ss.find_secrets(docs, ss.train_markov(docs)).collect()}
     assert all(found[100 + i] == [(7, 3, 39)] for i in range(len(keys)))
-    assert found[200] == []
+    assert found[200] == found[201] == []
 
 
 def test_many_matches_in_one_text(spark, documents):

@@ -30,9 +30,9 @@ ASSIGN_VALUE_CHARS = 6
 KINDS = ("assign", "access", "hex", "markov")
 
 #: Characters of a run, and the least length that is scored.
-RUN_CLASS, RUN_CHARS = "[A-Za-z0-9+/_.=-]", 16
+RUN_CLASS, RUN_CHARS = "[A-Za-z0-9+/_-]", 16
 RUN = RUN_CLASS + "{%d,}" % RUN_CHARS
-ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-"
+ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
 #: Rows that the models are trained from; a run must reach the ratio in total and a part of it per character.
 SAMPLE_ROWS, LEAST_RATIO, LEAST_RATIO_PER_CHAR = 4_000, 10.0, 0.5
 #: Pseudo-counts: random strings are uniform over letters and digits until samples say otherwise.
@@ -170,7 +170,8 @@ def _is_random(run: Column, models: MarkovModels) -> Column:
     base = "|".join([ASSIGN, *(p for _, p in BASE[1:])])
     # Most runs are plain words; a look at the characters spares them the model.
     plain = run.rlike("^[a-z]+$") & (F.length(run) < 24)
-    return ~run.rlike(base) & ~plain & (ratio >= F.greatest(F.lit(LEAST_RATIO), LEAST_RATIO_PER_CHAR * F.length(run)))
+    number = ~run.rlike("[A-Za-z]")  # long numbers name accounts, cards or orders; they aren't secrets by themselves
+    return ~run.rlike(base) & ~plain & ~number & (ratio >= F.greatest(F.lit(LEAST_RATIO), LEAST_RATIO_PER_CHAR * F.length(run)))
 
 
 MARKOV_PIECES = f"{ASSIGN}|{RUN}"
