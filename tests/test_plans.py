@@ -32,5 +32,5 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     rows = df.collect()
     assert 0 < len(rows) <= 50
-    assert df.columns[-1] == "liquidity_risk_score"
+    assert df.columns[-2:] == ["liquidity_risk_score", "position"]
     assert set(entry.oracle_sql()) <= set(entry.queries())
