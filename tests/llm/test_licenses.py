@@ -38,6 +38,72 @@ def test_repeated_rows_null_ids_and_empty_table(documents):
     assert ls.scan_licenses(documents([])).count() == 0
 
 
+MIT_TEXT = """Copyright (c) 2020 Some One
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS BE LIABLE FOR ANY CLAIM."""
+BSD_TEXT = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice,
+   this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission."""
+GPL_TEXT = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details."""
+APACHE_TEXT = """Licensed under the Apache License, Version 2.0 (the
+"License"); you may not use this file except in compliance
+with the License. You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied."""
+MPL_TEXT = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this file, look elsewhere."""
+WRAPPED = [(MIT_TEXT, (3, "MIT", "permissive")), (BSD_TEXT, (4, "BSD-3-Clause", "permissive")), (GPL_TEXT, (2, "GPL-3.0-or-later", "copyleft")),
+           (APACHE_TEXT, (4, "Apache-2.0", "permissive")), (MPL_TEXT, (1, "MPL-2.0", "copyleft")),
+           ("All rights\nreserved", (1, "all-rights-reserved", "proprietary"))]
+
+
+@pytest.mark.parametrize("mark, end", [("", "\n"), ("# ", "\n"), (" * ", "\r\n"), ("// ", " \n")])
+def test_wrapped_headers(documents, mark, end):
+    rows = [(k, end.join(f"{mark}{line}" for line in text.split("\n"))) for k, (text, _) in enumerate(WRAPPED)]
+    assert scan(documents(rows)) == {k: want for k, (_, want) in enumerate(WRAPPED)}
+
+
+@pytest.mark.parametrize("text, n", [
+    ("Released under\n\nthe MIT license", 0), ("Released under\n#\n# the MIT license", 0), ("All rights. Reserved", 0),
+    ("Title\nreleased under the MIT license\nmore words", 1), ("All rights  reserved", 1), ("All/rights|reserved", 1),
+    (": " * 50_000 + "\n - " * 50_000 + "all rights\n*reserved", 1)])
+def test_ends_of_sentences(documents, text, n):
+    assert scan(documents([(1, text)]))[1][0] == n
+
+
 def test_query_against_duckdb(spark):
     con = duckdb.connect()
     con.execute(f"create view documents as select * from '{SF}/documents.parquet'")

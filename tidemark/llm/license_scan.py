@@ -1,10 +1,14 @@
 """License recognition by sentence rules, in DataFrame expressions only.
 
-Texts are cut into sentences, each sentence is normalised to lower-case letters and digits, and
-sentences known from license texts become identifiers. A text's identifiers, in order, are
-matched against license rules: ordered lists of identifiers, the longest first. Identifiers
-that a rule used up are not used by later rules. Other sentences may stand between two
-sentences of a rule (texts are re-wrapped and commented), other licenses' sentences may not.
+Texts are normalised to lower-case letters and digits with marks where a sentence may begin or
+end: at stops and at line ends. Sentences known from license texts that stand between two marks
+become identifiers. Line ends (with the comment marks of the next line), semicolons and colons
+may also stand inside a known sentence, as texts are wrapped and commented; blank lines and full
+stops may not, but for the one of "v. 2.0". Of known sentences that begin at one place the
+longest counts. A text's identifiers, in order, are matched against license rules: ordered lists
+of identifiers, the longest first. Identifiers that a rule used up are not used by later rules.
+Other sentences may stand between two sentences of a rule, other licenses' sentences may not.
+Comment marks are characters other than letters and digits (``#``, ``//``, ``*``; not ``rem``).
 """
 
 from __future__ import annotations
@@ -68,18 +72,35 @@ RULES = (
     ("all-rights-reserved", "proprietary", ("reserved",)),
 )
 
-# A text without any of these words holds no known sentence.
+# The DuckDB statement's: texts of interest, and ends of sentences where each line is by itself.
 HINT = "(?i)licen[sc]e|permi(t|ssion)|redistribut|warrant|rights reserved|free software|in compliance|copy of the|endorse"
-# Where sentences end. "4.0." ends one, "4.0" doesn't.
 SENTENCE_END = r"[.!?;:]+(\s+|$)|\n"
 
+# A text without any of these words holds no known sentence, however it is wrapped.
+WRAPPED_HINT = "(?i)license|permi(t|ssion)|redistribut|warrant|rights[^a-z0-9]+reserved"
+# Where sentences end for sure: stops ("4.0." ends one, "4.0" doesn't; "v. 2" neither) and blank lines.
+HARD_END = r"(?<!\bv)[.!?](?=\s|\z)|\n[^a-z0-9\n]*+(?=\n)"
+# Where they may end.
+SOFT_END = r"[.;:](?=\s|\z)|[\r\n]"
+
+
+def _marked(text: Column) -> Column:
+    """Words of a text, parted by ``|`` at sure ends, else by ``/`` at possible ends, else by a space."""
+    steps = ((HARD_END, "|"), (SOFT_END, "/"), ("[^a-z0-9|/]+", " "), (r"(?<![ /])[ /]*+\|[ /|]*+", "|"), (" ?/[ /]*+", "/"))
+    text = F.concat(F.lit("\n\n"), F.translate(F.lower(text), "|/", "~~"), F.lit("\n\n"))
+    for pattern, mark in steps:
+        text = F.regexp_replace(text, pattern, mark)
+    return text
+
 
 def sentence_ids(text: Column) -> Column:
     """Places (from 1, in ``SENTENCES``) of the known sentences of a text, in order."""
     known = F.split(F.lit("|".join(SENTENCES.values())), r"\|")
-    normal = F.transform(F.split(text, SENTENCE_END), lambda s: F.trim(F.regexp_replace(F.lower(s), "[^a-z0-9]+", " ")))
-    places = F.transform(normal, lambda s: F.array_position(known, s))
-    return F.when(text.rlike(HINT), F.filter(places, lambda p: p > 0)).otherwise(F.array().cast("array<bigint>"))
+    longest_first = sorted(SENTENCES.values(), key=len, reverse=True)
+    pattern = f"(?<=[|/])(?:{'|'.join(s.replace(' ', '[ /]') for s in longest_first)})(?=[|/])"
+    found = F.regexp_extract_all(_marked(text), F.lit(pattern), F.lit(0))
+    places = F.transform(found, lambda s: F.array_position(known, F.translate(s, "/", " ")))
+    return F.when(text.rlike(WRAPPED_HINT), places).otherwise(F.array().cast("array<bigint>"))
 
 
 def _used_up(ids: Column, rule: tuple[str, ...]) -> tuple[str, Column]:
