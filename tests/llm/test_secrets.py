@@ -66,6 +66,25 @@ def test_models_tell_random_strings_from_identifiers(spark, documents):
     assert found[200] == found[201] == []
 
 
+def test_lower_case_keys_and_long_numbers(spark, documents):
+    rng = random.Random(11)
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    trained = ss.train_markov(docs)
+    keys = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=n)) for n in range(16, 24) for _ in range(25)]
+    tokens = ["".join(rng.choices("0123456789", k=n)) for n in (24, 32, 40) for _ in range(20)]
+    df = documents([(i, f"we saw {k} there") for i, k in enumerate(keys + tokens)])
+    hits = {r.doc_id for r in ss.find_secrets(df, trained).collect() if [tuple(s) for s in r.spans][-1:] == [(7, 3, 7 + len((keys + tokens)[r.doc_id]))]}
+    assert len([i for i in hits if i < len(keys)]) >= 0.8 * len(keys)
+    got = ss.find_secrets(documents([(i, f"{t}!") for i, t in enumerate(tokens)]), trained).collect()
+    assert all(r.spans for r in got)
+    redacted = ss.redact_secrets(df.where(f"doc_id < {len(keys)}"), trained).where("text = 'we saw [redacted] there'").count()
+    assert redacted == len([i for i in hits if i < len(keys)])
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    plain = re.compile("[a-z]+|[0-9]{16}")
+    for r in ss.find_secrets(docs, trained).collect():
+        assert not [s for s in r.spans if s.kind == 3 and plain.fullmatch(texts[r.doc_id][s.start:s.end])]
+
+
 def test_many_matches_in_one_text(spark, documents):
     text = " ".join(f"token=abcdef{k} {HEX}" for k in range(1500))
     got = ss.find_secrets(documents([(1, text)]), models(spark)).first()

@@ -4,7 +4,9 @@ Patterns find assignments, access keys and long hex strings. Beyond them, every
 identifier characters is scored by two first-order character models, one of random strings
 and one of ordinary identifiers: a run whose log-likelihood ratio is high enough is a secret
 of kind ``markov``. The models are trained from a bounded sample of rows: what the patterns
-match there are the random strings, all other runs are ordinary.
+match there are the random strings, all other runs are ordinary. A number doesn't look like an
+identifier, so the ordinary model also holds the shapes (digits as zeros) that long numbers of
+the sample commonly have; runs without letters that have such a shape aren't secrets.
 
 Positions without a function that returns them: matches are put between marks, the text is
 split at the marks, and the lengths of the pieces add up to code-point positions. A mark
@@ -35,6 +37,8 @@ RUN = RUN_CLASS + "{%d,}" % RUN_CHARS
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
 #: Rows that the models are trained from; a run must reach the ratio in total and a part of it per character.
 SAMPLE_ROWS, LEAST_RATIO, LEAST_RATIO_PER_CHAR = 4_000, 10.0, 0.5
+#: Share of the sample's different long numbers that makes a shape an ordinary one.
+NUMBER_SHARE = 0.01
 #: Pseudo-counts: random strings are uniform over letters and digits until samples say otherwise.
 RANDOM_PRIOR, PAIR_PRIOR, SINGLE_PRIOR = 10.0, 5.0, 0.5
 #: Pieces whose lengths are added up at a time.
@@ -97,9 +101,13 @@ def _counts_base(kind: str, piece: Column) -> Column:
 
 @dataclass(frozen=True)
 class MarkovModels:
-    """Log-likelihood ratios, random against ordinary, by (character before, character); 0 is the start."""
+    """Log-likelihood ratios, random against ordinary, by (character before, character); 0 is the start.
+
+    ``shapes``: digests of the shapes of ordinary long numbers.
+    """
 
     ratios: tuple[float, ...]
+    shapes: tuple[str, ...] = ()
 
 
 def _codes(run: Column) -> Column:
@@ -114,13 +122,21 @@ def _is_ordinary(run: Column) -> Column:
     return (F.length(run) < RUN_CHARS) | ~run.rlike("[0-9]")
 
 
+def _is_number(run: Column) -> Column:
+    return ~run.rlike("[A-Za-z]") & run.rlike("[0-9]")
+
+
+def _shape(run: Column) -> Column:
+    return F.md5(F.regexp_replace(run, "[0-9]", "0"))
+
+
 def train_markov(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  sample_rows: int = SAMPLE_ROWS) -> MarkovModels:
     """Train from at most ``sample_rows`` ids, chosen by a hash of the id.
 
     Runs that the fixed patterns match (for assignments, their values) are the random samples.
     Other runs of four or more characters are ordinary, but for long ones with digits, which may
-    be either. Without samples the priors hold.
+    be either; of those without letters the shapes are learned. Without samples the priors hold.
     """
     ids = docs.select(F.col(id_col).alias("__id")).where("__id is not null").distinct() \
         .orderBy(F.xxhash64("__id"), "__id").limit(sample_rows)
@@ -139,6 +155,10 @@ def train_markov(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.slice("codes", 1, F.size("codes") - 1), F.slice("codes", 2, F.size("codes") - 1),
         lambda a, b: a * 100 + b)).alias("step"))
     counted = {(r.random, r.step): r.n for r in steps.groupBy("random", "step").agg(F.sum("n").alias("n")).collect()}
+    numbers = text.select(F.explode(F.filter(_runs(rest, RUN_CHARS), _is_number)).alias("run")).distinct() \
+        .groupBy(_shape(F.col("run")).alias("shape")).agg(F.count(F.lit(1)).alias("n"))
+    least = NUMBER_SHARE * (numbers.agg(F.sum("n")).first()[0] or 0)
+    shapes = tuple(sorted(r.shape for r in numbers.where(F.col("n") >= least).collect()))  # at most 1 / NUMBER_SHARE
     size = len(ALPHABET) + 1
     alnum = sum(c.isalnum() for c in ALPHABET)
     even = [0.98 / alnum if c.isalnum() else 0.02 / (size - 1 - alnum) for c in ALPHABET]
@@ -153,7 +173,7 @@ def train_markov(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             random = (counted.get((1, a * 100 + b), 0) + RANDOM_PRIOR * alnum * random_one[b - 1]) / (seen[1] + RANDOM_PRIOR * alnum)
             ordinary = (counted.get((0, a * 100 + b), 0) + PAIR_PRIOR * ordinary_one[b - 1]) / (seen[0] + PAIR_PRIOR)
             ratios[a * size + b] = math.log(random / ordinary)
-    return MarkovModels(tuple(ratios))
+    return MarkovModels(tuple(ratios), shapes)
 
 
 def log_ratio(run: Column, models: MarkovModels) -> Column:
@@ -168,10 +188,8 @@ def log_ratio(run: Column, models: MarkovModels) -> Column:
 def _is_random(run: Column, models: MarkovModels) -> Column:
     ratio = log_ratio(run, models)
     base = "|".join([ASSIGN, *(p for _, p in BASE[1:])])
-    # Most runs are plain words; a look at the characters spares them the model.
-    plain = run.rlike("^[a-z]+$") & (F.length(run) < 24)
-    number = ~run.rlike("[A-Za-z]")  # long numbers name accounts, cards or orders; they aren't secrets by themselves
-    return ~run.rlike(base) & ~plain & ~number & (ratio >= F.greatest(F.lit(LEAST_RATIO), LEAST_RATIO_PER_CHAR * F.length(run)))
+    number = _is_number(run) & _shape(run).isin(*models.shapes) if models.shapes else F.lit(False)
+    return ~run.rlike(base) & ~number & (ratio >= F.greatest(F.lit(LEAST_RATIO), LEAST_RATIO_PER_CHAR * F.length(run)))
 
 
 MARKOV_PIECES = f"{ASSIGN}|{RUN}"
