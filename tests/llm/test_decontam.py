@@ -113,6 +113,22 @@ def test_shards_blocks_and_slices_do_not_change_results(spark, documents, monkey
     assert np.array_equal(one.ids(docs[3][1]), ids)
 
 
+def test_repeated_and_null_item_ids(spark, documents, monkeypatch):
+    one = "Which river runs through the old town of Arlen? The broad river Sill runs through it."
+    two = "How many moons circle the planet Veda at night? Exactly fourteen small moons circle planet Veda."
+    three = "Who painted the yellow barn near Lake Orne? Old Matthis Brandt painted that yellow barn."
+    items = spark.createDataFrame([(1, one), (1, two), (1, two), (2, three), (None, three), (None, one), (3, "Nothing of this is anywhere. Not at all, no.")],
+                                  "item_id long, text string")
+    rows = [(1, f"intro words. {one}"), (2, f"{two} And so on."), (3, f"{one} {two}"), (4, three), (5, "no leak here"), (None, one), (None, one)]
+    want = sorted([(1, 1), (1, None), (2, 1), (3, 1), (3, None), (4, 2), (4, None)] + 2 * [(None, 1), (None, None)], key=str)
+    assert leaks(documents(rows), items) == want
+    assert [r.doc_id for r in dc.without_leaks(documents(rows), items).collect()] == [5]
+    monkeypatch.setattr(dc, "SHARD_ITEMS", 2)
+    assert len(dc.build_indexes(items)) == 3 and leaks(documents(rows), items) == want
+    null_only = items.where("item_id is null")
+    assert leaks(documents(rows[:1]), null_only) == [(1, None)]
+
+
 def test_empty_tables(spark, documents):
     items = spark.createDataFrame([], "item_id long, text string")
     docs = documents([(1, "a b c")])

@@ -67,7 +67,7 @@ class ItemIndex:
     """Inverted index of one shard of items."""
 
     vocabulary: dict[str, int]
-    items: list[int]                         # item ids
+    items: list[int | None]                  # item ids, not always distinct
     most: np.ndarray                         # by term: largest weight
     block_most: np.ndarray                   # by term and block: largest weight in the block
     postings: list[tuple[np.ndarray, np.ndarray]]  # by block: sorted terms, their weights by item of the block
@@ -126,8 +126,8 @@ class ItemIndex:
                     found[key] = max(found.get(key, 0.0), float(scores[j]))
         return found
 
-    def leaks(self, texts: pd.Series) -> Iterator[tuple[int, int, float, float, float]]:
-        """(row, item id, score, question overlap, answer overlap) for every leak in ``texts``."""
+    def leaks(self, texts: pd.Series) -> Iterator[tuple[int, int | None, float, float, float]]:
+        """(row, item id, score, question overlap, answer overlap) for every leak in ``texts``, also of items of one id."""
         held: list[tuple[int, np.ndarray]] = []
 
         def solve() -> Iterator[tuple[int, int, float, float, float]]:
@@ -162,8 +162,8 @@ def build_indexes(items: DataFrame, id_col: str = "item_id", text_col: str = "te
     """Indexes of all items, at most ``SHARD_ITEMS`` in each, with BM25 statistics over all items.
 
     Words, their counts and the weights are worked out on the cluster; the driver gathers one
-    bounded shard at a time. Items of equal id are one item with the texts joined; items
-    without words are left out.
+    bounded shard at a time. Each distinct pair of id and text is an item by itself, null ids
+    included; items without words are left out.
     """
     @F.pandas_udf("words array<string>, question array<string>, answer array<string>")
     def parts(texts: pd.Series) -> pd.DataFrame:
@@ -171,21 +171,22 @@ def build_indexes(items: DataFrame, id_col: str = "item_id", text_col: str = "te
         return pd.DataFrame({"words": [q + a for q, a in split], "question": [q for q, _ in split],
                              "answer": [a for _, a in split]})
 
-    own = (items.where(F.col(text_col).isNotNull() & F.col(id_col).isNotNull())
-           .groupBy(F.col(id_col).cast("long").alias("item_id"))
-           .agg(F.concat_ws("\n", F.sort_array(F.collect_set(text_col))).alias("text"))
-           .select("item_id", parts("text").alias("p")).select("item_id", "p.*").where(F.size("words") > 0))
+    # The key stands for the pair: ids may be null or shared by several texts.
+    key = F.unhex(F.sha2(F.concat(F.coalesce(F.col("item_id").cast("string"), F.lit("")), F.lit(":"), "text"), 256))
+    own = (items.where(F.col(text_col).isNotNull())
+           .select(F.col(id_col).cast("long").alias("item_id"), F.col(text_col).alias("text")).distinct()
+           .select("item_id", key.alias("key"), parts("text").alias("p")).select("item_id", "key", "p.*").where(F.size("words") > 0))
     size = own.agg(F.count(F.lit(1)).alias("n"), F.avg(F.size("words")).alias("words")).first()
     if not size.n:
         return []
-    tf = (own.select("item_id", F.size("words").alias("length"), F.explode("words").alias("word"))
-          .groupBy("item_id", "length", "word").agg(F.count(F.lit(1)).alias("tf")))
+    tf = (own.select("key", F.size("words").alias("length"), F.explode("words").alias("word"))
+          .groupBy("key", "length", "word").agg(F.count(F.lit(1)).alias("tf")))
     df = tf.groupBy("word").agg(F.count(F.lit(1)).alias("df"))
     idf = F.log(1 + (F.lit(float(size.n)) - F.col("df") + 0.5) / (F.col("df") + 0.5))
     norm = F.col("tf") + K1 * (1 - B + B * F.col("length") / F.lit(size.words))
-    weight = tf.join(df, "word").select("item_id", "word", (idf * F.col("tf") * (K1 + 1) / norm).alias("weight"))
-    weighted = weight.groupBy("item_id").agg(F.collect_list(F.struct("word", "weight")).alias("weights"))
-    rows = own.join(weighted, "item_id").orderBy("item_id").toLocalIterator()
+    weight = tf.join(df, "word").select("key", "word", (idf * F.col("tf") * (K1 + 1) / norm).alias("weight"))
+    weighted = weight.groupBy("key").agg(F.collect_list(F.struct("word", "weight")).alias("weights"))
+    rows = own.join(weighted, "key").orderBy("item_id", "key").toLocalIterator()
     return [_index(shard) for shard in batched(rows, SHARD_ITEMS)]
 
 
@@ -215,23 +216,27 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     """``(doc_id, item_id, bm25, question_overlap, answer_overlap)``: a row for every leak of an item into a row of ``docs``.
 
     Null and empty texts hold no leak. Rows are looked at one by one, so repeated rows and null
-    ids give a row each. Empty tables of items or documents give no rows. Whole texts are read,
-    in slices. Other columns are not looked at.
+    ids give a row each. An item id gives one row for a row of ``docs``, however many of the id's
+    texts it holds: that of the best score (items without an id count as of one id). Empty tables
+    of items or documents give no rows. Whole texts are read, in slices. Other columns are not
+    looked at.
     """
     spark = docs.sparkSession
-    out = spark.createDataFrame([], RESULT)
-    for index in build_indexes(items):
-        shared = spark.sparkContext.broadcast(index)  # at most SHARD_ITEMS items
-
-        def scan(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
-            for pdf in batches:
-                ids = pdf["doc_id"]
-                rows = [(ids.iloc[row], *rest) for row, *rest in shared.value.leaks(pdf["text"])]
-                yield pd.DataFrame(rows, columns=RESULT.names).astype({"doc_id": "Int64"})
-
-        out = out.unionByName(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-                              .mapInPandas(scan, RESULT))
-    return out
+    shards = [spark.sparkContext.broadcast(index) for index in build_indexes(items)]  # at most SHARD_ITEMS items each
+
+    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            ids = pdf["doc_id"]
+            best: dict[tuple[int, int | None], tuple[float, float, float]] = {}
+            for shared in shards:
+                for row, item, *shares in shared.value.leaks(pdf["text"]):
+                    best[row, item] = max(best.get((row, item), (0.0, 0.0, 0.0)), tuple(shares))
+            rows = [(ids.iloc[row], item, *shares) for (row, item), shares in best.items()]
+            yield pd.DataFrame(rows, columns=RESULT.names).astype({"doc_id": "Int64", "item_id": "Int64"})
+
+    if not shards:
+        return spark.createDataFrame([], RESULT)
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInPandas(scan, RESULT)
 
 
 def holds_leak(docs: DataFrame, items: DataFrame, text_col: str = "text") -> Column:
