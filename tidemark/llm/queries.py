@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontam, langid, license_scan, packing, secret_scan, sharding, simhash, topk, toxicity
+from tidemark.llm import (chat, decontam, fim, hard_negatives, langid, license_scan, mixing, packing, secret_scan, sharding, simhash, topk,
+                          toxicity)
 from tidemark.llm.storage import importable, table
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -113,6 +114,58 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_classes(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+#: The same search as a DuckDB statement: whole-number vectors, every pair scored.
+_TOP_K_SQL = """with v as (select vec_id, list_transform(embedding, lambda x: floor(1024 * cast(x as double))) as v from embeddings
+    where embedding is not null and vec_id is not null and len(list_filter(embedding, lambda x: isfinite(x))) = len(embedding)),
+  scored as (select q.vec_id as query_id, c.vec_id, cast(list_inner_product(q.v, c.v) as bigint) as score
+    from v q join v c on c.vec_id <> q.vec_id and len(c.v) = len(q.v) where q.vec_id % 100 = 0),
+  ranked as (select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as int) as rank from scored)
+  select query_id, rank, vec_id, score from ranked where rank <= 10"""
+
+
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document cut at two units and reordered; digests of the outputs and of what is rebuilt from them."""
+    return fim.digests(fim.fill_in_middle(fim.frame_texts(table(spark, sf_dir, "documents")), seed=1))
+
+
+_FIM_SQL = """with texts as (select doc_id, coalesce(text, '') as text, sha256(concat('1:', doc_id)) as s from documents),
+  units as (select *, regexp_extract_all(text, '[A-Za-z]+|[^A-Za-z]') as u, cast(concat('0x', substr(s, 1, 8)) as bigint) as h1,
+    cast(concat('0x', substr(s, 9, 8)) as bigint) as h2, cast(concat('0x', substr(s, 17, 8)) as bigint) as h3,
+    cast(concat('0x', substr(s, 25, 8)) as bigint) as h4 from texts),
+  cuts as (select *, len(u) as n, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) as low, greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) as high,
+    case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or h3 % 100 >= 90 then 'plain'
+         when h4 % 100 < 20 then 'spm' else 'psm' end as form from units),
+  parts as (select *, array_to_string(u[1:low], '') as p, array_to_string(u[low + 1:high], '') as m, array_to_string(u[high + 1:], '') as t from cuts)
+  select doc_id, n, form, case when form <> 'plain' then length(p) end as prefix_chars, case when form <> 'plain' then length(m) end as middle_chars,
+    sha256(case form when 'plain' then text when 'psm' then concat('<P>', p, '<S>', t, '<M>', m) else concat('<S>', t, '<P>', p, '<M>', m) end)
+      as output_sha256, sha256(text) as restored_sha256 from parts"""
+
+
+def op12_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of every document the mix takes, its sources weighing 5, 2 and 1 in turn."""
+    mix = mixing.mix_sources(table(spark, sf_dir, "documents"))
+    return mix.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hard negatives of every vector whose id is divisible by 100 and its first five positives."""
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", F.when(F.pmod("vec_id", F.lit(7)) == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives.mine_hard_negatives(rows, lambda i: F.pmod(i, F.lit(100)) == 0)
+
+
+_HARD_NEGATIVES_SQL = """with v as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: floor(256 * cast(x as double))) as v from embeddings
+    where embedding is not null and vec_id is not null and label is not null and len(list_filter(embedding, lambda x: isfinite(x))) = len(embedding)),
+  scored as (select a.vec_id as anchor_id, c.vec_id, a.label = c.label as same, cast(list_inner_product(a.v, c.v) as bigint) as score
+    from v a join v c on c.vec_id <> a.vec_id and len(c.v) = len(a.v) where a.vec_id % 100 = 0),
+  near as (select *, row_number() over (partition by anchor_id order by score desc, vec_id) as place from scored where same),
+  hard as (select n.anchor_id, n.vec_id as positive_id, s.vec_id as negative_id, n.score as positive_score, s.score as negative_score,
+      cast(row_number() over (partition by n.anchor_id, n.vec_id order by s.score desc, s.vec_id) as int) as rank
+    from near n join scored s on s.anchor_id = n.anchor_id and not s.same
+      and 30 * n.score <= 100 * s.score and 100 * s.score <= 90 * n.score where n.place <= 5)
+  select anchor_id, positive_id, rank, negative_id, positive_score, negative_score from hard where rank <= 10"""
+
+
 def _with_workers(build: Builder) -> Builder:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         importable(spark)
@@ -131,8 +184,16 @@ _BUILDERS: dict[str, Builder] = {
     "op8_decontamination": op8_decontamination,
     "op9_exact_top_k": op9_exact_top_k,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_source_mixing": op12_source_mixing,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 QUERIES: dict[str, Builder] = {name: _with_workers(build) for name, build in _BUILDERS.items()}
 
-ORACLE_SQL: dict[str, str] = {"op5_license_scan": _license_sql()}
+ORACLE_SQL: dict[str, str] = {
+    "op5_license_scan": _license_sql(),
+    "op9_exact_top_k": _TOP_K_SQL,
+    "op11_fill_in_middle": _FIM_SQL,
+    "op13_hard_negatives": _HARD_NEGATIVES_SQL,
+}
