@@ -1,5 +1,6 @@
 """J1: rows meet their own earlier row, rows without a key meet none, duplicates multiply."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark import schemas as S
@@ -55,3 +56,16 @@ def test_hot_key_plan_is_one_equi_join(spark):
     left, right = _frames(spark, ["a"] * 30 + ["b"], ["a", "b"])
     plan = keyed_join(left, right, "id")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Join Inner") == 1 and "Generate" not in plan
+
+
+def test_null_keys_meet_on_request_with_a_warning(spark):
+    left, right = _frames(spark, ["1", None, None, "2"], ["1", None, None, None])
+    with pytest.warns(UserWarning, match="6 rows of the join"):
+        out = keyed_join(left, right, "id", nulls_meet=True)
+    assert out.columns == ["id", "lv", "rv"] and out.count() == 7
+
+
+def test_large_whole_ids_stay_apart(spark):
+    ids = ["9007199254740992", "9007199254740993", " +009007199254740993", "9007199254740993.0", "-9007199254740993", "12345678901234567890123"]
+    assert [r[S.ID_TEXT] for r in _run(spark, ids, "20240102T000000Z").collect()] == [
+        "9007199254740992", "9007199254740993", "9007199254740993", "9007199254740993", "-9007199254740993", "12345678901234567890123"]

@@ -1,5 +1,6 @@
 """Landing, envelope reader, normalisers, snapshot tables, report files."""
 
+import datetime as dt
 import json
 
 import pytest
@@ -222,3 +223,70 @@ def test_big_integral_values_keep_precision(spark):
     df = spark.createDataFrame([(big, big)], "market_cap_rank bigint, listedAt bigint")
     assert normalize_markets(df).first()["market_cap_rank"] == big
     assert conform(df, "protocols").first()["listedAt"] == big
+
+
+def _runs_of(spark, root):
+    return sorted((r[S.STAMP], r["source"], r["endpoint"], r["record_count"]) for r in landing.landed_runs(spark, root).collect())
+
+
+def test_a_landing_touches_its_own_runs_only(spark, tmp_path):
+    root = str(tmp_path / "raw")
+    one = spark.createDataFrame([("p1", "10"), ("p2", "x"), ("p3", "y")], "id string, tvl string")
+    many = spark.createDataFrame([("a", "20240102T000000Z"), ("b", "20240102T000000Z"), ("c", "20240103T000000Z")], f"id string, {S.STAMP} string")
+    landing.land_records(one, root, "srcA", "epA", "20240101T000000Z")
+    landing.land_records(many, root, "srcB", "epB", F.col(S.STAMP))
+    landing.land_records(many.where("id = 'c'"), root, "srcC", "epC", F.col(S.STAMP))
+    assert _runs_of(spark, root) == [("20240101T000000Z", "srcA", "epA", 3), ("20240102T000000Z", "srcB", "epB", 2), ("20240103T000000Z", "srcC", "epC", 1)]
+    landed = landing.read_landed(spark, root, "protocols").collect()
+    assert sorted((r.id, r.source) for r in landed) == [("a", "srcB"), ("b", "srcB"), ("c", "srcC"), ("p1", "srcA"), ("p2", "srcA"), ("p3", "srcA")]
+
+
+def test_records_are_counted_while_they_are_written(spark, tmp_path, monkeypatch):
+    """Nothing of a landing is read to count it."""
+    root = str(tmp_path / "raw")
+    read = []
+    monkeypatch.setattr(type(spark.read), "text", lambda *a, **b: read.append(a))
+    monkeypatch.setattr(type(spark.read), "json", lambda *a, **b: read.append(a))
+    rows = spark.range(5000).select(F.col("id").cast("string"), F.format_string("2024%04dT000000Z", 1 + F.col("id") % 700).alias(S.STAMP))
+    landing.land_records(rows, root, "s", "e", F.col(S.STAMP))
+    monkeypatch.undo()
+    assert not read
+    assert [(n, k) for _, _, _, n in _runs_of(spark, root) for k in [n]] == [(8, 8)] * 100 + [(7, 7)] * 600
+
+
+@pytest.mark.parametrize("stamp", ["20240101T000000Z", None])
+def test_readers_see_the_old_run_until_the_new_one_is_published(spark, tmp_path, monkeypatch, stamp):
+    root = str(tmp_path / "raw")
+    rows = spark.createDataFrame([("old1", "20240101T000000Z"), ("old2", "20240101T000000Z")], f"id string, {S.STAMP} string")
+    landing.land_records(rows, root, "s", "e", F.col(S.STAMP))
+    newer = rows.select(F.lit("new").alias("id"), S.STAMP)
+
+    def lost(*args):
+        raise RuntimeError("the driver is lost")
+    monkeypatch.setattr(landing, "_publish", lost)
+    with pytest.raises(RuntimeError):
+        landing.land_records(newer.drop(S.STAMP) if stamp else newer, root, "s", "e", stamp or F.col(S.STAMP))
+    assert len(list((tmp_path / "raw").glob("attempt=*/*/part-*"))) > 1  # its records are there
+    assert sorted(r.id for r in landing.read_landed(spark, root, "protocols").collect()) == ["old1", "old2"]
+    assert _runs_of(spark, root) == [("20240101T000000Z", "s", "e", 2)]
+    monkeypatch.undo()
+    landing.land_records(newer, root, "s", "e", F.col(S.STAMP))
+    assert [r.id for r in landing.read_newest_landed(spark, root, "protocols").collect()] == ["new", "new"]
+
+
+def test_superseded_folders_are_removed(spark, tmp_path):
+    root = str(tmp_path / "raw")
+    rows = spark.createDataFrame([("a", "20240101T000000Z"), ("b", "20240102T000000Z")], f"id string, {S.STAMP} string")
+    landing.land_records(rows, root, "s", "e", F.col(S.STAMP))
+    landing.land_records(rows.limit(1), root, "s", "e", F.col(S.STAMP))
+    assert landing.remove_superseded(spark, root) == 0  # too young
+    assert landing.remove_superseded(spark, root, dt.timedelta(0)) == 1
+    assert sorted(r.id for r in landing.read_landed(spark, root, "protocols").collect()) == ["a", "b"]
+
+
+def test_rows_without_a_stamp_fail_the_landing(spark, tmp_path):
+    rows = spark.createDataFrame([("a", None), ("b", "20240102T000000Z")], f"id string, {S.STAMP} string")
+    with pytest.raises(ValueError, match="needs a run stamp"):
+        landing.land_records(rows, str(tmp_path / "raw"), "s", "e", F.col(S.STAMP))
+    with pytest.raises(FileNotFoundError):
+        landing.read_landed(spark, str(tmp_path / "raw"), "protocols")

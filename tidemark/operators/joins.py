@@ -5,15 +5,28 @@ may be no numbers), so records whose numeric id is NULL still meet their own ear
 and nobody else's. The join is linear in its input but for ids that a run repeats, which
 multiply as a join's rows do; the quality suite reports them. It is a plain equi-join:
 Spark broadcasts a side only by its own size check, and adaptive execution splits hot keys.
+
+``nulls_meet`` is the rule of dataframe merges, under which rows without a key meet each other,
+all of them: wanted only to compare with reports made that way. Its output grows with the square
+of such rows, so they are counted first and a warning tells how many rows come of them.
 """
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
-def keyed_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Inner join on ``key`` with one output ``key`` column; NULL keys match nothing, duplicates multiply."""
+def keyed_join(left: DataFrame, right: DataFrame, key: str, nulls_meet: bool = False) -> DataFrame:
+    """Inner join on ``key`` with one output ``key`` column; duplicates multiply. NULL keys match nothing, or each other."""
     left_cols = [c for c in left.columns if c != key]
     right_cols = [c for c in right.columns if c != key]
-    return left.join(right, on=key, how="inner").select(key, *left_cols, *right_cols)
+    if not nulls_meet:
+        return left.join(right, on=key, how="inner").select(key, *left_cols, *right_cols)
+    without = [df.where(F.col(key).isNull()).count() for df in (left, right)]
+    if all(without):
+        warnings.warn(f"{without[0]} and {without[1]} rows without {key} meet each other: {without[0] * without[1]} rows of the join", stacklevel=2)
+    other = right.withColumnRenamed(key, "_key")
+    return left.join(other, F.col(key).eqNullSafe(F.col("_key")), "inner").select(key, *left_cols, *right_cols)

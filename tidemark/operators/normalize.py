@@ -85,9 +85,12 @@ def normalize_protocols(landed: DataFrame) -> DataFrame:
 
 def id_text(df: DataFrame) -> Column:
     """The id as text: its number where it is one (so 7, 7.0 and "7" agree), the trimmed raw text
-    otherwise (or what the column already holds, in typed input); NULL where there is none."""
+    otherwise (or what the column already holds, in typed input); NULL where there is none. Whole
+    numbers of 16 or more digits keep all of them, which a double doesn't."""
     raw = _field(df, "id").cast("string")
-    return F.coalesce(to_number(raw).cast("string"), F.nullif(F.trim(raw), F.lit("")), _field(df, S.ID_TEXT))
+    large = r"^\s*\+?(-?)0*([1-9]\d{15,})(?:\.0*)?\s*$"
+    digits = F.when(raw.rlike(large), F.concat(F.regexp_extract(raw, large, 1), F.regexp_extract(raw, large, 2)))
+    return F.coalesce(digits, to_number(raw).cast("string"), F.nullif(F.trim(raw), F.lit("")), _field(df, S.ID_TEXT))
 
 
 def normalize_stablecoins(landed: DataFrame) -> DataFrame:

@@ -61,12 +61,12 @@ def score_protocol_snapshot(protocols: DataFrame) -> DataFrame:
 
 
 def compare_snapshots(latest: DataFrame, previous: DataFrame, key: str = "id",
-                      suffixes: tuple[str, str] = SUFFIXES) -> DataFrame:
-    """Join two runs on ``key``; columns present in both get the suffixes."""
+                      suffixes: tuple[str, str] = SUFFIXES, nulls_meet: bool = False) -> DataFrame:
+    """Join two runs on ``key``; columns present in both get the suffixes. ``nulls_meet``: see ``keyed_join``."""
     overlap = (set(latest.columns) & set(previous.columns)) - {key}
     l = latest.select(*[F.col(c).alias(c + suffixes[0]) if c in overlap else F.col(c) for c in latest.columns])
     p = previous.select(*[F.col(c).alias(c + suffixes[1]) if c in overlap else F.col(c) for c in previous.columns])
-    return keyed_join(l, p, key)
+    return keyed_join(l, p, key, nulls_meet)
 
 
 def token_liquidity_risk_trends(latest: DataFrame, previous: DataFrame) -> DataFrame:

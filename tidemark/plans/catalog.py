@@ -250,7 +250,7 @@ def q_filter_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- join and trends (J1, E9-E11, R4, R5) ---------------------------------------------
 
-@register("join_snapshots_null_safe", "J1",
+@register("join_snapshots_by_id", "J1",
           sql.with_adapters("""
 pro_stamps as (select distinct ingested_at_utc as s from fx_protocols),
 l as (select * from fx_protocols where ingested_at_utc = (select max(s) from pro_stamps)),
@@ -258,7 +258,7 @@ p as (select * from fx_protocols
       where ingested_at_utc = (select max(s) from pro_stamps where s < (select max(s) from pro_stamps)))
 select l.id_text as id_text, l.name as name_latest, p.name as name_previous, l.tvl as tvl_latest, p.tvl as tvl_previous
 from l join p on l.id_text = p.id_text"""))
-def q_join_snapshots_null_safe(spark: SparkSession, sf_dir: str) -> DataFrame:
+def q_join_snapshots_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tidemark.operators.trends import compare_snapshots
 
     latest, previous = newest_two(spark, sf_dir, "protocols")
@@ -267,6 +267,23 @@ def q_join_snapshots_null_safe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select("id_text", "name_latest", "name_previous", "tvl_latest", "tvl_previous")
 
 
+@register("join_snapshots_null_safe", "J1 with rows without an id meeting each other",
+          sql.with_adapters("""
+pro_stamps as (select distinct ingested_at_utc as s from fx_protocols),
+l as (select * from fx_protocols where ingested_at_utc = (select max(s) from pro_stamps)),
+p as (select * from fx_protocols
+      where ingested_at_utc = (select max(s) from pro_stamps where s < (select max(s) from pro_stamps)))
+select l.id as id, l.name as name_latest, p.name as name_previous, l.tvl as tvl_latest, p.tvl as tvl_previous
+from l join p on l.id is not distinct from p.id"""))
+def q_join_snapshots_null_safe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.operators.trends import compare_snapshots
+
+    latest, previous = newest_two(spark, sf_dir, "protocols")
+    cols = ["id", "name", "tvl"]
+    return compare_snapshots(latest.select(*cols), previous.select(*cols), "id", nulls_meet=True).select(
+        "id", "name_latest", "name_previous", "tvl_latest", "tvl_previous")
+
+
 @register("token_liquidity_risk_trends", "R4 J1 E9 E10 P9 S10 S11",
           sql.with_adapters(sql.TOKEN_TRENDS + f" select {sql.TOKEN_TREND_SELECT} from token_trends"))
 def q_token_liquidity_risk_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -284,6 +301,22 @@ def q_defi_protocol_risk_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trends.defi_protocol_risk_trends(*newest_two(spark, sf_dir, "protocols"))
 
 
+@register("trend_order", "O4 R4 R5", sql.TREND_ORDER)
+def q_trend_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both trend reports as written: the place of every row in its report's order."""
+    from tidemark.operators import trends
+    from tidemark.operators.ranking import with_global_position
+
+    out = None
+    for name, order, score in (("token_liquidity_risk_trends", trends.TOKEN_TREND_ORDER, "liquidity_risk_score_latest"),
+                               ("defi_protocol_risk_trends", trends.PROTOCOL_TREND_ORDER, "protocol_risk_score_latest")):
+        placed = with_global_position(_report(spark, sf_dir, name), order_columns(order))
+        own = placed.select(F.lit(name).alias("report"), "position", "name_latest", "risk_score_change", F.col(score).alias("score_latest"),
+                            "ingested_at_utc_latest")
+        out = own if out is None else out.unionByName(own)
+    return out
+
+
 @register("pct_change_unguarded", "E10",
           sql.with_adapters(sql.TOKEN_TRENDS + " select id, market_cap_change_pct, "
                             "volume_change_pct from token_trends"))
@@ -445,30 +478,57 @@ def q_normalize_stablecoins(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize_stablecoins(_landed(spark, sf_dir, "stablecoins"))
 
 
-@register("normalize_paged", "S5 S6 S7 P3", sql.NORMALIZE_PAGED)
-def q_normalize_paged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All three feeds landed in pages and read back record by record; what each run of a feed holds."""
+# What numbers a feed's records within a run.
+RECORD_NUMBERS = {"markets": ("id", 2), "protocols": ("name", 10), "stablecoins": ("name", 8)}
+
+
+def _record_number(feed: str):
+    name, start = RECORD_NUMBERS[feed]
+    return F.substring(name, start, 20).cast("long")
+
+
+def _all_feeds(read: Callable[[str], DataFrame]) -> DataFrame:
+    """Every normalised row of the three feeds, with all columns, in one table."""
     from tidemark.operators.normalize import NORMALIZERS
-    from tidemark.sources.landing import PAGE_RECORDS, land_pages, read_pages
 
-    # The key that numbers a feed's records, by feed.
-    keys = {"markets": F.substring("id", 2, 20), "protocols": F.substring("name", 10, 20), "stablecoins": F.substring("name", 8, 20)}
-    values = {"markets": "current_price", "protocols": "change_1d", "stablecoins": "chain_count"}
     out = None
-    for feed, build in fx.RAW_BUILDERS.items():
+    for feed in fx.RAW_BUILDERS:
+        rows = NORMALIZERS[feed](read(feed)).withColumn("feed", F.lit(feed))
+        if feed == "markets":
+            rows = rows.withColumn("last_updated", F.date_format("last_updated", "yyyy-MM-dd HH:mm:ss"))
+        else:
+            rows = rows.withColumnRenamed("id", "id_number")
+        out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
+    return out
+
+
+@register("normalize_paged", "S5 S6 S7 P3", sql.NORMALIZE_ALL)
+def q_normalize_paged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All three feeds landed in pages and read back record by record: whole rows."""
+    from tidemark.sources.landing import PAGE_RECORDS, land_pages, read_pages
+
+    def read(feed: str) -> DataFrame:
         root = _scratch(spark, f"pages-{feed}")
-        records = build(spark, sf_dir)
-        page = F.floor(keys[feed].cast("long") / PAGE_RECORDS)
-        land_pages(records, root, feed, *fx.ENDPOINTS[feed], page, F.col("ingested_at_utc"))
+        page = F.floor(_record_number(feed) / PAGE_RECORDS)
+        land_pages(fx.RAW_BUILDERS[feed](spark, sf_dir), root, feed, *fx.ENDPOINTS[feed], page, F.col("ingested_at_utc"))
         if feed == "stablecoins":  # a page that lacks its list
             spark.range(1).select(F.lit("defillama").alias("source"), F.struct(F.lit(1).alias("other")).alias("data")) \
                 .write.mode("append").json(root)
-        rows = NORMALIZERS[feed](read_pages(spark, root, feed))
-        own = rows.groupBy("ingested_at_utc").agg(
-            F.count(F.lit(1)).alias("records"), F.countDistinct("name").alias("names"), F.max(values[feed]).cast("double").alias("most"),
-            F.count("id").alias("ids")).select(F.lit(feed).alias("feed"), "ingested_at_utc", "records", "names", "most", "ids")
-        out = own if out is None else out.unionByName(own)
-    return out
+        return read_pages(spark, root, feed)
+    return _all_feeds(read)
+
+
+@register("normalize_envelope", "S5 S6 S7 P3", sql.NORMALIZE_ALL)
+def q_normalize_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All three feeds landed as whole documents, one a run, and read back by many tasks: whole rows."""
+    from tidemark.sources.documents import land_documents, read_documents
+
+    def read(feed: str) -> DataFrame:
+        root = _scratch(spark, f"documents-{feed}")
+        land_documents(fx.RAW_BUILDERS[feed](spark, sf_dir), root, feed, *fx.ENDPOINTS[feed], _record_number(feed),
+                       F.col("ingested_at_utc"), parts=4)
+        return read_documents(spark, root, feed, in_parts=True)
+    return _all_feeds(read)
 
 
 @register("raw_manifest", "S1 S2 S3", sql.RAW_MANIFEST)
@@ -484,6 +544,9 @@ def q_raw_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     for _ in range(2):
         land_records(fx.stablecoins_raw(spark, sf_dir).drop("ingested_at_utc"), roots[2], *fx.ENDPOINTS["stablecoins"],
                      "20250101T000000Z")
+    # Another source in the same root: two runs at once.
+    copies = fx.markets_raw(spark, sf_dir).withColumn("ingested_at_utc", F.concat(F.substring("ingested_at_utc", 1, 4), F.lit("0615T120000Z")))
+    land_records(copies, roots[0], "mirror", "copies", F.col("ingested_at_utc"))
     parts = [landed_runs(spark, root) for root in roots]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 

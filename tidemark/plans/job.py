@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark import schemas as S
 from tidemark.operators import marts, quality, reports, trends
 from tidemark.operators.normalize import NORMALIZERS
-from tidemark.sources import landing, reports_io, snapshots
+from tidemark.sources import files, landing, reports_io, snapshots
 
 FEEDS = ("markets", "protocols", "stablecoins")
 KEYS = {"markets": "id", "protocols": S.ID_TEXT, "stablecoins": "id"}
@@ -130,7 +130,7 @@ def trend_reports(spark: SparkSession, layout: Layout, skip_if_single: bool = Fa
                     raise
                 # Nothing of an earlier run may pass for this one's.
                 for path in (layout.report(name), layout.mart(f"chart_{TREND_CHARTS[name]}")):
-                    snapshots.remove_folder(spark, path)
+                    files.remove_folder(spark, path)
                 return None
             both = snapshots.read_runs(spark, layout.snapshots(feed), S.FEEDS[feed]["typed"],
                                        [previous_ts, latest_ts])

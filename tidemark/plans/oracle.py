@@ -309,7 +309,7 @@ from ({TIME_TEXT}) t
 
 # --- landing, normalisation, snapshots, quality, marts ----------------------------
 
-NORMALIZE_MARKETS = with_adapters("""select id, symbol, name, current_price, market_cap, market_cap_rank, total_volume, high_24h,
+MARKETS_ROWS = ("""select id, symbol, name, current_price, market_cap, market_cap_rank, total_volume, high_24h,
   low_24h, price_change_percentage_24h, price_change_percentage_1h_in_currency,
   cast(null as double) as price_change_percentage_24h_in_currency, price_change_percentage_7d_in_currency,
   circulating_supply, total_supply, max_supply, ath, ath_change_percentage, atl,
@@ -320,24 +320,32 @@ NORMALIZE_MARKETS = with_adapters("""select id, symbol, name, current_price, mar
   'coingecko' as source_file
 from fx_markets""")
 
-NORMALIZE_PROTOCOLS = with_adapters("""select id, name, cast(null as varchar) as address, symbol, url,
+PROTOCOLS_ROWS = ("""select id, name, cast(null as varchar) as address, symbol, url,
   cast(null as varchar) as description, chain, category, tvl, change_1h, change_1d, change_7d, mcap, listedAt, audits,
   cast(null as varchar) as audit_note, gecko_id, cmcId, twitter, cast(null as varchar) as forkedFrom, module,
   ingested_at_utc, id_text
 from fx_protocols""")
 
-NORMALIZE_STABLECOINS = with_adapters("""select id, name, symbol, gecko_id, pegType, pegMechanism, price, circulating_usd, circulatingPrevDay_usd,
+STABLECOINS_ROWS = ("""select id, name, symbol, gecko_id, pegType, pegMechanism, price, circulating_usd, circulatingPrevDay_usd,
   circulatingPrevWeek_usd, cast(null as double) as circulatingPrevMonth_usd, chain_count, ingested_at_utc
 from fx_stablecoins""")
 
-NORMALIZE_PAGED = with_adapters("\nunion all\n".join(
-    f"select '{feed}' as feed, ingested_at_utc, count(*) as records, count(distinct name) as names, "
-    f"cast(max({value}) as double) as most, count(id) as ids from fx_{feed} group by ingested_at_utc"
-    for feed, value in (("markets", "current_price"), ("protocols", "change_1d"), ("stablecoins", "chain_count"))))
+NORMALIZE_MARKETS = with_adapters(MARKETS_ROWS)
+NORMALIZE_PROTOCOLS = with_adapters(PROTOCOLS_ROWS)
+NORMALIZE_STABLECOINS = with_adapters(STABLECOINS_ROWS)
+
+# The three feeds in one table, every column of every row; ids that are numbers have a column of their own.
+ALL_FEEDS_ROWS = f"""select 'markets' as feed, * from ({MARKETS_ROWS})
+union all by name select 'protocols' as feed, * exclude (id), id as id_number from ({PROTOCOLS_ROWS})
+union all by name select 'stablecoins' as feed, * exclude (id), id as id_number from ({STABLECOINS_ROWS})"""
+NORMALIZE_ALL = with_adapters(f"select * from ({ALL_FEEDS_ROWS}) a")
 
 RAW_MANIFEST = with_adapters("""select 'coingecko' as source, 'markets' as endpoint, ingested_at_utc, count(*) as record_count
   from fx_markets group by ingested_at_utc
 union all
+select 'mirror' as source, 'copies' as endpoint, concat(substr(ingested_at_utc, 1, 4), '0615T120000Z') as ingested_at_utc, count(*) as record_count
+  from fx_markets group by ingested_at_utc
+union all
 select 'defillama' as source, 'protocols' as endpoint, ingested_at_utc, count(*) as record_count
   from fx_protocols group by ingested_at_utc
 union all
@@ -433,6 +441,14 @@ CHARTS = {
 }
 
 
+TREND_ORDER = with_adapters(_join(TOKEN_TRENDS.rstrip() + ", " + PROTOCOL_TRENDS.strip(), f"""select 'token_liquidity_risk_trends' as report,
+  row_number() over (order by {TOKEN_TREND_ORDER}) as position, name_latest, risk_score_change, liquidity_risk_score_latest as score_latest,
+  ingested_at_utc_latest from token_trends
+union all
+select 'defi_protocol_risk_trends' as report, row_number() over (order by {PROTOCOL_TREND_ORDER}) as position, name_latest, risk_score_change,
+  protocol_risk_score_latest as score_latest, ingested_at_utc_latest from protocol_trends"""))
+
+
 def numbered(report: str, order: str, n: int) -> str:
     """The first ``n`` rows of a report with their position."""
     return f"select *, row_number() over (order by {order}) as position from {report} order by {order} limit {n}"

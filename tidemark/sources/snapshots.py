@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from tidemark import schemas as S
 from tidemark.functions.coerce import format_stamp, parse_stamp, stamp_date
+from tidemark.sources.files import child_folders
 
 
 def write_latest(df: DataFrame, path: str) -> None:
@@ -83,30 +84,14 @@ def read_processed(spark: SparkSession, path: str, feed: str) -> DataFrame:
         spark.conf.set(setting, before)
 
 
-def _folders(spark: SparkSession, path: str, column: str) -> list[str]:
-    """Values of a partition column in one folder, newest first; the folder's own entries are listed, no files below."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    if not fs.exists(hadoop):
-        return []
-    names = [entry.getPath().getName() for entry in fs.listStatus(hadoop) if entry.isDirectory()]
-    return sorted((n.removeprefix(f"{column}=") for n in names if n.startswith(f"{column}=")), reverse=True)
-
-
-def remove_folder(spark: SparkSession, path: str) -> None:
-    """Remove an output folder, if there is one."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(hadoop, True)
-
-
 def newest_runs(spark: SparkSession, root: str, n: int = 2) -> list[str]:
     """Stamps of the ``n`` newest runs of the snapshot table at ``root``, oldest first.
 
     Lists the day folders and the newest days' run folders. Raises ValueError where there are fewer runs.
     """
     found: list[str] = []
-    for day in _folders(spark, root, "ingestion_date"):
-        found += _folders(spark, f"{root}/ingestion_date={day}", "snapshot_ts")
+    for day in child_folders(spark, root, "ingestion_date"):
+        found += child_folders(spark, f"{root}/ingestion_date={day}", "snapshot_ts")
         if len(found) >= n:
             break
     if len(found) < n:

@@ -1,10 +1,10 @@
 """Incremental normalisation with Structured Streaming.
 
 The batch job normalises the newest landed run (or backfills all of them). This
-stream instead picks up exactly the raw files that arrived since its last run:
-a file source over the landing tells which runs got files, and each micro-batch reads those
-whole runs again, normalises them and replaces exactly their partitions of the snapshot
-table. A retried batch, or a run that is landed again, therefore never duplicates rows, and
+stream instead picks up exactly the runs published since its last run: a file source over the
+landing's manifest tells them, and each micro-batch reads those runs' current folders, normalises
+them and replaces exactly their partitions of the snapshot table. A retried batch, or a run that is
+landed again, therefore never duplicates rows, a landing that isn't published is never seen, and
 the stream and the batch job share one snapshot table.
 
 ``Trigger.AvailableNow`` turns it into a scheduled batch: process everything
@@ -14,33 +14,30 @@ new (in bounded micro-batches), then stop.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark import schemas as S
 from tidemark.operators.normalize import NORMALIZERS
+from tidemark.sources.landing import MANIFEST, MANIFEST_SCHEMA, read_landed
 from tidemark.sources.snapshots import write_snapshots
 
 
-def landed_stream(spark: SparkSession, raw_root: str, feed: str, max_files_per_trigger: int = 1000) -> DataFrame:
-    """Newly landed raw records of ``feed`` as a streaming DataFrame."""
-    schema = S.landed_schema(S.FEEDS[feed]["raw"])
-    return (spark.readStream.schema(schema)
+def published_stream(spark: SparkSession, raw_root: str, max_files_per_trigger: int = 1000) -> DataFrame:
+    """Newly published runs as a streaming DataFrame of manifest rows; a file is a landing."""
+    return (spark.readStream.schema(MANIFEST_SCHEMA)
             .option("maxFilesPerTrigger", max_files_per_trigger)
             .option("mode", "FAILFAST")
-            .json(raw_root))
+            .json(f"{raw_root}/{MANIFEST}"))
 
 
 def _normalize_runs(raw_root: str, output_root: str, feed: str):
-    """A micro-batch writer: the runs that got files (their stamps reach the driver) are written anew, whole."""
+    """A micro-batch writer: the runs that were published (their stamps reach the driver) are written anew, whole."""
     def write(batch: DataFrame, _: int) -> None:
-        spark = batch.sparkSession
-        stamps = sorted(r[0] for r in batch.select(S.STAMP).distinct().collect())
-        if not stamps:
-            return
-        schema = S.landed_schema(S.FEEDS[feed]["raw"])
-        landed = (spark.read.schema(schema).option("mode", "FAILFAST").option("basePath", raw_root)
-                  .json([f"{raw_root}/{S.STAMP}={stamp}" for stamp in stamps]))
-        write_snapshots(NORMALIZERS[feed](landed), output_root, many_runs=len(stamps) > 1)
+        stamps = sorted(r[0] for r in batch.where(F.col("record_count") > 0).select(S.STAMP).distinct().collect())
+        if stamps:
+            landed = read_landed(batch.sparkSession, raw_root, feed, stamps)
+            write_snapshots(NORMALIZERS[feed](landed), output_root, many_runs=len(stamps) > 1)
     return write
 
 
@@ -55,7 +52,7 @@ def start_incremental_normalize(
     max_files_per_trigger: int = 1000,
 ) -> StreamingQuery:
     """Start the stream; with ``available_now`` it stops once caught up."""
-    writer = (landed_stream(spark, raw_root, feed, max_files_per_trigger)
+    writer = (published_stream(spark, raw_root, max_files_per_trigger)
               .writeStream.outputMode("append")
               .option("checkpointLocation", checkpoint)
               .foreachBatch(_normalize_runs(raw_root, output_root, feed)))
