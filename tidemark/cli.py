@@ -1,6 +1,6 @@
 """Command line for the batch job and the incremental normaliser.
 
-    spark-submit tidemark/cli.py run --root s3a://bucket/risk [--runs latest|all] [--skip-trends-if-single]
+    spark-submit tidemark/cli.py run --root s3a://bucket/risk [--runs latest|all] [--skip-trends-if-single] [--resume]
     spark-submit tidemark/cli.py catch-up --root s3a://bucket/risk --feed markets
 
 ``run`` executes every step in order and exits non-zero at the first failure;
@@ -21,6 +21,7 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("--runs", choices=["latest", "all"], default="latest")
     run.add_argument("--skip-trends-if-single", action="store_true")
     run.add_argument("--no-marts", action="store_true")
+    run.add_argument("--resume", action="store_true", help="after a failed run: skip the outputs it finished")
     catch = sub.add_parser("catch-up", help="normalise newly landed runs (streaming, AvailableNow)")
     catch.add_argument("--root", required=True)
     catch.add_argument("--feed", choices=["markets", "protocols", "stablecoins"], required=True)
@@ -33,7 +34,7 @@ def main(argv: list[str] | None = None) -> int:
     layout = Layout(args.root.rstrip("/"))
     if args.command == "run":
         results = run_job(spark, layout, runs=args.runs, skip_trends_if_single=args.skip_trends_if_single,
-                               with_marts=not args.no_marts)
+                               with_marts=not args.no_marts, resume=args.resume)
         for row in results.collect():
             print(f"{row['check']:16s} {row['target']:32s} rows={row['rows']} passed={row['passed']}")
     else:

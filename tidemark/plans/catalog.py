@@ -267,6 +267,43 @@ def q_join_snapshots_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select("id_text", "name_latest", "name_previous", "tvl_latest", "tvl_previous")
 
 
+_J1_BY_ID = REGISTRY["join_snapshots_by_id"].oracle
+
+
+@register("join_stored_runs", "J1 S9 S12 (runs clustered by id, joined without a shuffle)", _J1_BY_ID)
+def q_join_stored_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tidemark.operators.trends import compare_snapshots
+    from tidemark.sources.clustered import clustered_runs, read_clustered, write_clustered
+
+    root = _scratch(spark, "clustered-protocols")
+    for year, run in zip(("latest", "previous"), newest_two(spark, sf_dir, "protocols")):
+        write_clustered(run, root, "20240102T000000Z" if year == "latest" else "20240101T000000Z", "id_text", buckets=8)
+    previous, latest = (read_clustered(spark, root, run).select("id_text", "name", "tvl") for run in clustered_runs(spark, root))
+    return compare_snapshots(latest, previous, "id_text").select("id_text", "name_latest", "name_previous", "tvl_latest", "tvl_previous")
+
+
+@register("field_drift", "P1 (fields outside the allow-list) Q1", sql.FIELD_DRIFT)
+def q_field_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields that the newest run of each feed has beside the allow-list, or gained or lost since the run before."""
+    from tidemark import schemas as S
+    from tidemark.operators.drift import feed_drift
+    from tidemark.sources.landing import land_records
+
+    out = None
+    for feed, build in fx.RAW_BUILDERS.items():
+        root = _scratch(spark, f"drift-{feed}")
+        raw = build(spark, sf_dir)
+        if feed == "stablecoins":  # one run only: the run before lacks the rows of a peg type and has a field more
+            raw = raw.unionByName(raw.where(F.col("pegType") == "peggedUSD").withColumns(
+                {S.STAMP: F.lit("20230101T000000Z"), "retired": F.lit("x")}), allowMissingColumns=True)
+        # The source begins to send a field, in some records of the newest runs.
+        raw = raw.withColumn("listing", F.when((F.col(S.STAMP) >= ("2024" if feed == "stablecoins" else "1998")) & F.col("name").endswith("7"), F.lit(7)))
+        land_records(raw, root, *fx.ENDPOINTS[feed], F.col(S.STAMP))
+        own = feed_drift(spark, root, feed).withColumn("feed", F.lit(feed))
+        out = own if out is None else out.unionByName(own)
+    return out.select("feed", "field", "change", "records")
+
+
 @register("join_snapshots_null_safe", "J1 with rows without an id meeting each other",
           sql.with_adapters("""
 pro_stamps as (select distinct ingested_at_utc as s from fx_protocols),

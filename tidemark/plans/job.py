@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark import schemas as S
 from tidemark.operators import marts, quality, reports, trends
 from tidemark.operators.normalize import NORMALIZERS
+from tidemark.plans.ledger import Ledger
 from tidemark.sources import files, landing, reports_io, snapshots
 
 FEEDS = ("markets", "protocols", "stablecoins")
@@ -65,10 +66,26 @@ class Layout:
     def mart(self, name: str) -> str:
         return f"{self.root}/marts/{name}"
 
+    def ledger(self) -> str:
+        return f"{self.root}/_ledger"
+
     def staging(self, name: str) -> str:
         return f"{self.root}/_staging/{name}"
 
 
+def feed_inputs(spark: SparkSession, layout: Layout, feed: str, runs: str = "latest") -> list[tuple[str, int, str]]:
+    """The landed runs that a feed's normalisation reads, oldest first; stops where the newest holds no record."""
+    if runs not in ("latest", "all"):
+        raise ValueError("runs must be 'latest' or 'all'")
+    landed = landing.current_runs(spark, layout.raw(feed))
+    if not landed:
+        raise FileNotFoundError(f"{layout.raw(feed)}: the run manifest is empty; land a run with land_records")
+    newest, records, _ = landed[-1]
+    if not records:
+        raise ValueError(f"{layout.raw(feed)}: the newest run, {newest}, holds no record; land it again")
+    return landed[-1:] if runs == "latest" else landed
+
+
 def normalize_feed(spark: SparkSession, layout: Layout, feed: str, runs: str = "latest") -> None:
     """Normalise landed runs of ``feed`` into the snapshot table, then refresh the
     latest table from the newest landed run. Stops where that run holds no record.
@@ -76,15 +93,8 @@ def normalize_feed(spark: SparkSession, layout: Layout, feed: str, runs: str = "
     ``runs="latest"``: only the newest landed run (the regular schedule);
     ``runs="all"``: every landed run (backfill; idempotent per run).
     """
-    if runs not in ("latest", "all"):
-        raise ValueError("runs must be 'latest' or 'all'")
-    newest, records = landing.newest_landed_run(spark, layout.raw(feed))
-    if not records:
-        raise ValueError(f"{layout.raw(feed)}: the newest run, {newest}, holds no record; land it again")
-    if runs == "latest":
-        landed = landing.read_landed_run(spark, layout.raw(feed), feed, newest)
-    else:
-        landed = landing.read_landed(spark, layout.raw(feed), feed)
+    newest = feed_inputs(spark, layout, feed, runs)[-1][0]
+    landed = landing.read_landed(spark, layout.raw(feed), feed, [newest] if runs == "latest" else None)
     snapshots.write_snapshots(NORMALIZERS[feed](landed), layout.snapshots(feed), many_runs=(runs == "all"))
     latest = snapshots.read_runs(spark, layout.snapshots(feed), S.FEEDS[feed]["typed"], [newest]) \
         .drop(*S.SNAPSHOT_PARTITIONS)
@@ -111,20 +121,23 @@ def read_latest(spark: SparkSession, layout: Layout, feed: str) -> DataFrame:
     return spark.read.schema(S.FEEDS[feed]["typed"]).parquet(layout.latest(feed))
 
 
-def ranked_reports(spark: SparkSession, layout: Layout) -> None:
+def ranked_reports(spark: SparkSession, layout: Layout, ledger: Ledger | None = None, inputs: dict | None = None) -> None:
     def one(name: str, feed: str, build, order) -> Callable[[], None]:
-        return lambda: reports_io.write_report(build(read_latest(spark, layout, feed)), layout.report(name),
-                                               order=list(_order_cols(order)), single_file=True)
+        def write() -> None:
+            reports_io.write_report(build(read_latest(spark, layout, feed)), layout.report(name), order=list(_order_cols(order)), single_file=True)
+        return lambda: _step(ledger, name, (inputs or {}).get(feed), write)
     together([one(name, feed, build, order) for name, (feed, build, order, _) in RANKED.items()])
 
 
-def trend_reports(spark: SparkSession, layout: Layout, skip_if_single: bool = False) -> list[str]:
+def trend_reports(spark: SparkSession, layout: Layout, skip_if_single: bool = False, ledger: Ledger | None = None,
+                  inputs: dict | None = None) -> list[str]:
     """Write both trend reports; returns the names written. With fewer than two
-    runs this raises, unless ``skip_if_single``."""
+    runs this raises, unless ``skip_if_single``. The two runs are chosen once, in a pinned version: runs that
+    land meanwhile change nothing."""
     def one(name: str, feed: str, build, order) -> Callable[[], str | None]:
         def run() -> str | None:
             try:
-                previous_ts, latest_ts = snapshots.newest_runs(spark, layout.snapshots(feed), 2)
+                version = snapshots.pin_runs(spark, layout.snapshots(feed), 2)
             except ValueError:
                 if not skip_if_single:
                     raise
@@ -132,13 +145,15 @@ def trend_reports(spark: SparkSession, layout: Layout, skip_if_single: bool = Fa
                 for path in (layout.report(name), layout.mart(f"chart_{TREND_CHARTS[name]}")):
                     files.remove_folder(spark, path)
                 return None
-            both = snapshots.read_runs(spark, layout.snapshots(feed), S.FEEDS[feed]["typed"],
-                                       [previous_ts, latest_ts])
-            latest = snapshots.pick_snapshot(both, latest_ts)
-            previous = snapshots.pick_snapshot(both, previous_ts)
-            # Joined once into a staging table: the global sort's range sampling would run the join again.
-            reports_io.write_report(build(latest, previous), layout.report(name),
-                                    order=list(_order_cols(order)), stage=layout.staging(name))
+            previous_ts, latest_ts = snapshots.pinned_runs(spark, layout.snapshots(feed), version)
+
+            def write() -> None:
+                both = snapshots.read_runs(spark, layout.snapshots(feed), S.FEEDS[feed]["typed"], [previous_ts, latest_ts])
+                latest, previous = (snapshots.pick_snapshot(both, run) for run in (latest_ts, previous_ts))
+                # Joined once into a staging table: the global sort's range sampling would run the join again.
+                reports_io.write_report(build(latest, previous), layout.report(name),
+                                        order=list(_order_cols(order)), stage=layout.staging(name))
+            _step(ledger, name, [(inputs or {}).get(feed), previous_ts, latest_ts], write)
             return name
         return run
 
@@ -175,24 +190,36 @@ def build_marts(spark: SparkSession, layout: Layout, trend_names: list[str]) ->
             loaded[name].unpersist()
 
 
+def _step(ledger: Ledger | None, step: str, inputs: object, action: Callable[[], object]) -> None:
+    if ledger is None:
+        action()
+    else:
+        ledger.run(step, inputs, action)
+
+
 def run_job(
     spark: SparkSession,
     layout: Layout,
     runs: str = "latest",
     skip_trends_if_single: bool = False,
     with_marts: bool = True,
+    resume: bool = False,
 ) -> DataFrame:
     """Run every step; returns the quality results (one row per output).
 
     Steps run in order; the independent outputs inside a step (three feeds,
-    three ranked reports, two trends, the marts) run as concurrent jobs."""
-    together([lambda f=feed: normalize_feed(spark, layout, f, runs) for feed in FEEDS])
-    ranked_reports(spark, layout)
-    written = trend_reports(spark, layout, skip_trends_if_single)
+    three ranked reports, two trends, the marts) run as concurrent jobs. ``resume``, after a job that
+    failed, leaves out the outputs that it finished from the landed runs that are still the current ones;
+    the quality checks always run. Outputs that something else has changed since are not noticed."""
+    ledger = Ledger(spark, layout.ledger(), resume)
+    inputs = dict(zip(FEEDS, together([lambda f=feed: [runs, feed_inputs(spark, layout, f, runs)] for feed in FEEDS])))
+    together([lambda f=feed: ledger.run(f"normalize_{f}", inputs[f], lambda: normalize_feed(spark, layout, f, runs)) for feed in FEEDS])
+    ranked_reports(spark, layout, ledger, inputs)
+    written = trend_reports(spark, layout, skip_trends_if_single, ledger, inputs)
     tables, report_targets = quality_targets(layout, written)
     results = quality.assert_passed(quality.quality_suite(spark, tables, report_targets))
     if with_marts:
-        build_marts(spark, layout, written)
+        ledger.run("marts", [inputs, written], lambda: build_marts(spark, layout, written))
     return results
 
 

@@ -357,6 +357,19 @@ select 'defillama' as source, 'stablecoins' as endpoint, '20250101T000000Z' as i
 union all
 select 'coingecko' as source, 'markets' as endpoint, '20300101T000000Z' as ingested_at_utc, 0 as record_count""")
 
+# The feeds are landed with one more field, in records whose name ends with 7: of runs from 1998 on, or of the stablecoins'
+# only run of their own.
+def _drift(feed: str) -> str:
+    return f"""select '{feed}' as feed, 'listing' as field, change, n as records from
+      (select count(*) as n from fx_{feed} where name like '%7' and ingested_at_utc = (select max(ingested_at_utc) from fx_{feed})) a
+      cross join (select unnest(['unknown', 'new']) as change) c
+      where n > 0 and (change = 'unknown' or not exists (select 1 from fx_{feed} where name like '%7' and ingested_at_utc >= '1998'
+        and ingested_at_utc = (select max(ingested_at_utc) from fx_{feed} where ingested_at_utc < (select max(ingested_at_utc) from fx_{feed}))))"""
+
+
+FIELD_DRIFT = with_adapters(_drift("markets") + " union all " + _drift("protocols") + " union all " + _drift("stablecoins")
+                            + " union all select 'stablecoins' as feed, 'retired' as field, 'vanished' as change, 0 as records")
+
 LATEST_RAW_SELECTION = with_adapters("""select id, symbol, ingested_at_utc, 'coingecko' as source, 'markets' as endpoint from latest_markets""")
 
 SNAPSHOT_WRITE_READ = with_adapters("""select strftime(strptime(ingested_at_utc, '%Y%m%dT%H%M%SZ'), '%Y-%m-%d') as ingestion_date,

@@ -95,16 +95,27 @@ def landed_runs(spark: SparkSession, root: str) -> DataFrame:
     return _published(spark, root).drop(ATTEMPT)
 
 
-def read_landed(spark: SparkSession, root: str, feed: str, stamps: list[str] | None = None) -> DataFrame:
-    """Landed records of ``feed`` (``markets``, ``protocols``, ``stablecoins``), of all runs or those of ``stamps``: every
-    field as text (nested ones as VARIANT), plus envelope columns. Only the runs' current folders are listed."""
+def current_runs(spark: SparkSession, root: str) -> list[tuple[str, int, str]]:
+    """``(stamp, record count, landing)`` of every run, oldest first: what a reader sees now."""
+    return [(r[S.STAMP], r["record_count"], r[ATTEMPT]) for r in _published(spark, root).orderBy(S.STAMP).collect()]
+
+
+def run_folders(spark: SparkSession, root: str, stamps: list[str] | None = None) -> list[str]:
+    """The current folders of the runs, by stamp: one path for each run reaches the driver."""
     runs = _published(spark, root)
     runs = runs if stamps is None else runs.where(F.col(S.STAMP).isin(stamps))
-    folders = [f"{root}/{ATTEMPT}={r[ATTEMPT]}/{S.STAMP}={r[S.STAMP]}" for r in runs.orderBy(S.STAMP).collect()]  # one for each run
+    folders = [f"{root}/{ATTEMPT}={r[ATTEMPT]}/{S.STAMP}={r[S.STAMP]}" for r in runs.orderBy(S.STAMP).collect()]
     if len(folders) < len(stamps or folders[:1]) or not folders:
         raise FileNotFoundError(f"{root}: no such run was landed here ({', '.join(stamps or ['any'])})")
+    return folders
+
+
+def read_landed(spark: SparkSession, root: str, feed: str, stamps: list[str] | None = None) -> DataFrame:
+    """Landed records of ``feed`` (``markets``, ``protocols``, ``stablecoins``), of all runs or those of ``stamps``: every
+    field as text (nested ones as VARIANT), plus envelope columns. Only the runs' current folders are listed."""
     schema = S.landed_schema(S.FEEDS[feed]["raw"])
-    return spark.read.schema(schema).option("mode", "FAILFAST").option("basePath", root).json(folders).drop(ATTEMPT)
+    return (spark.read.schema(schema).option("mode", "FAILFAST").option("basePath", root)
+            .json(run_folders(spark, root, stamps)).drop(ATTEMPT))
 
 
 def newest_landed_run(spark: SparkSession, root: str) -> tuple[str, int]:

@@ -7,13 +7,19 @@ exactly that partition (dynamic overwrite).
 
 from __future__ import annotations
 
+import json
+import time
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import schemas as S
 from tidemark.functions.coerce import format_stamp, parse_stamp, stamp_date
-from tidemark.sources.files import child_folders
+from tidemark.sources.files import child_folders, read_whole, write_whole
+
+PINS = "_pins"  # hidden from readers of the snapshot table
 
 
 def write_latest(df: DataFrame, path: str) -> None:
@@ -99,6 +105,23 @@ def newest_runs(spark: SparkSession, root: str, n: int = 2) -> list[str]:
     return found[:n][::-1]
 
 
+def pin_runs(spark: SparkSession, root: str, n: int = 2) -> str:
+    """Choose the ``n`` newest runs for all readers of one job: a small file notes them, and its name (returned) is the
+    version that ``pinned_runs`` reads. Runs that land later don't change it."""
+    runs = newest_runs(spark, root, n)
+    version = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    write_whole(spark, f"{root}/{PINS}/{version}.json", json.dumps(runs))
+    return version
+
+
+def pinned_runs(spark: SparkSession, root: str, version: str) -> list[str]:
+    """The stamps of a version, oldest first."""
+    text = read_whole(spark, f"{root}/{PINS}/{version}.json")
+    if text is None:
+        raise FileNotFoundError(f"{root}: no version {version} of chosen runs")
+    return json.loads(text)
+
+
 def pick_snapshot(snapshots: DataFrame, stamp: str) -> DataFrame:
     """One run, by literal partition filter (static partition pruning)."""
     return snapshots.where(F.col("snapshot_ts") == F.lit(stamp))
