@@ -528,9 +528,12 @@ def _all_feeds(read: Callable[[str], DataFrame]) -> DataFrame:
     """Every normalised row of the three feeds, with all columns, in one table."""
     from tidemark.operators.normalize import NORMALIZERS
 
+    from tidemark.plans.job import together
+
     out = None
-    for feed in fx.RAW_BUILDERS:
-        rows = NORMALIZERS[feed](read(feed)).withColumn("feed", F.lit(feed))
+    frames = together([lambda f=feed: read(f) for feed in fx.RAW_BUILDERS])
+    for feed, frame in zip(fx.RAW_BUILDERS, frames):
+        rows = NORMALIZERS[feed](frame).withColumn("feed", F.lit(feed))
         if feed == "markets":
             rows = rows.withColumn("last_updated", F.date_format("last_updated", "yyyy-MM-dd HH:mm:ss"))
         else:

@@ -14,7 +14,8 @@ large file's are, and the records' boundaries are found in parallel:
 * Each range then tells its own records. The pieces of a record that crosses a range's end
   meet in one small exchange.
 
-One group is one range of the file, or one record. A document may also lie in several files that
+The text is read once for the state, once for each level of lists and once for the records; of the
+passes before the last only a row for each range is kept. One group is one range of the file, or one record. A document may also lie in several files that
 follow each other by name, each ending with a closing brace (``land_documents`` writes such ones),
 so writing a large one takes many tasks, too.
 """
@@ -25,6 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark import schemas as S
+from tidemark.session import scratch_path
 
 # Every place after an opening bracket, and before and after a closing square one. (Closing braces part the rows already.)
 _CUTS = r"(?<=[\[\{\]])|(?=\])"
@@ -59,6 +61,13 @@ def _before(column: str) -> Column:
     return F.coalesce(F.sum(column).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
 
 
+def _noted(ranges: DataFrame) -> DataFrame:
+    """What is known of the ranges, a row each, written and read again: later passes don't repeat the earlier ones."""
+    path = scratch_path(ranges.sparkSession, "document-ranges")
+    ranges.write.parquet(path)
+    return ranges.sparkSession.read.schema(ranges.schema).parquet(path)
+
+
 def _starts(pieces: DataFrame) -> DataFrame:
     """Every range's start state: in a string or not (1 or 0), and the depth."""
     odd = _so_far(F.col("quotes")) % 2
@@ -67,7 +76,7 @@ def _starts(pieces: DataFrame) -> DataFrame:
         F.sum(F.when(F.col("odd") == 1, F.col("step")).otherwise(0)).alias("if_inside"))
     known = ranges.withColumn("inside", _before("quotes") % 2)
     known = known.withColumn("change", F.when(F.col("inside") == 0, F.col("if_outside")).otherwise(F.col("if_inside")))
-    return known.select(*_RANGE, "inside", _before("change").alias("depth"))
+    return _noted(known.select(*_RANGE, "inside", _before("change").alias("depth")))
 
 
 def _placed(pieces: DataFrame, starts: DataFrame) -> DataFrame:
@@ -102,7 +111,7 @@ def _with_lists(pieces: DataFrame, starts: DataFrame, keys: list[str]) -> DataFr
         ended = F.sum((F.col("closes") & (F.col("after") == len(keys) + 1)).cast("long")).alias("ended")
         told = found.groupBy(*_RANGE).agg(F.max_by(f"event_{k}", F.when(F.col(f"event_{k}").isNotNull(), F.struct(*_ORDER))).alias("told"), ended)
         told = told.withColumns({f"start_{k}": F.coalesce(F.last("told", ignorenulls=True).over(earlier), F.lit(0)), "_ends": _before("ended")})
-        starts = starts.drop("ends").join(told.select(*_RANGE, f"start_{k}", F.col("_ends").alias("ends")), _RANGE)
+        starts = _noted(starts.drop("ends").join(told.select(*_RANGE, f"start_{k}", F.col("_ends").alias("ends")), _RANGE))
     return starts
 
 
