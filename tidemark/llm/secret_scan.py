@@ -3,10 +3,18 @@
 Patterns find assignments, access keys and long hex strings. Beyond them, every long run of
 identifier characters is scored by two first-order character models, one of random strings
 and one of ordinary identifiers: a run whose log-likelihood ratio is high enough is a secret
-of kind ``markov``. The models are trained from a bounded sample of rows: what the patterns
-match there are the random strings, all other runs are ordinary. A number doesn't look like an
-identifier, so the ordinary model also holds the shapes (digits as zeros) that long numbers of
-the sample commonly have; runs without letters that have such a shape aren't secrets.
+of kind ``markov``. The models are trained from a bounded sample of rows: what the patterns match
+there are the random strings, words of the rest, and a short list of words that names are made
+of, are the ordinary ones.
+
+An ordinary identifier is a row of parts, so the ordinary model reads a run part by part: a change
+of case, a separator, and the places where letters and digits meet begin a part; letters follow
+each other as in the training words, which also say how readily a word ends after a letter.
+Numbers are digit groups, which may be joined by separators (dates). A group of up to four
+characters repeated four times or more counts once, and so does the alphabet, so drawn rules are
+short; UUIDs are left out. A random string is either like the trained ones, or even over the kinds of characters it has,
+whichever is likelier. The least ratio per character is set on a part of the sample kept out of training: words
+joined to names in the usual ways must stay below it, but for a small share.
 
 Positions without a function that returns them: matches are put between marks, the text is
 split at the marks, and the lengths of the pieces add up to code-point positions. A mark
@@ -16,7 +24,7 @@ that occurs in a text is replaced first by another character, which no pattern m
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,12 +43,35 @@ KINDS = ("assign", "access", "hex", "markov")
 RUN_CLASS, RUN_CHARS = "[A-Za-z0-9+/_-]", 16
 RUN = RUN_CLASS + "{%d,}" % RUN_CHARS
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
-#: Rows that the models are trained from; a run must reach the ratio in total and a part of it per character.
-SAMPLE_ROWS, LEAST_RATIO, LEAST_RATIO_PER_CHAR = 4_000, 10.0, 0.5
+#: Rows that the models are trained from, one in HELD_OUT of which is kept for the least ratio per character; that is ``LEAST_PER_CHAR``
+#: or more, and so that ``NAMES_BELOW`` of the names made of the kept rows' words stay below it. The whole ratio is ``LEAST_RATIO`` at least.
+SAMPLE_ROWS, HELD_OUT, LEAST_PER_CHAR, NAMES_BELOW, LEAST_RATIO = 4_000, 4, 1.3, 0.995, 9.0
+#: Characters that must be left of a run when what repeats is shortened, and how often a listed word counts.
+LEAST_CHARS, LISTED_WEIGHT = 8, 8
 #: Share of the sample's different long numbers that makes a shape an ordinary one.
 NUMBER_SHARE = 0.01
-#: Pseudo-counts: random strings are uniform over letters and digits until samples say otherwise.
-RANDOM_PRIOR, PAIR_PRIOR, SINGLE_PRIOR = 10.0, 5.0, 0.5
+#: Pseudo-counts: random strings are uniform over letters and digits, words over letters, until samples say otherwise.
+RANDOM_PRIOR, PAIR_PRIOR, SINGLE_PRIOR, END_PRIOR = 10.0, 5.0, 0.5, 4.0
+#: Symbols of the ordinary model: letters (whatever their case), 0 for any digit, ^ for a change of case, : for a separator
+#: between digits, the separators, and the end of the run.
+ORDINARY = "abcdefghijklmnopqrstuvwxyz0^:_-/+$"
+_SEPARATORS = "_-/+"
+#: What follows a part of letters, and a digit; what a run or a part after a separator begins with. Shares of one.
+_AFTER_WORD = {"$": 0.4, "^": 0.25, "_": 0.1, "-": 0.1, "/": 0.1, "+": 0.01, "0": 0.04}
+_AFTER_DIGIT = {"0": 0.2, ":": 0.3, "$": 0.2, "letter": 0.18, "_": 0.03, "-": 0.03, "/": 0.03, "+": 0.01}
+_AFTER_SEPARATOR = {"letter": 0.8, "0": 0.1, "$": 0.02, "_": 0.02, "-": 0.02, "/": 0.02, "+": 0.02}
+UUID = "[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}"
+#: Words that identifiers, paths and slugs are often made of; samples of ordinary parts beside the sampled texts' words.
+ORDINARY_WORDS = """access account action address after agent alert apply archive argument array article async attribute author
+ backup balance base batch before binary block body bool branch bucket buffer build button byte cache call cancel category change channel
+ check child class clean client clock close cloud cluster code color column command comment common company compare complete component
+ config connect constant container content context control convert count country create current custom customer data date day debug
+ default delete device dialog directory display document domain download drive edit element email empty enable encode engine entity entry
+ environment error event example execute export extra factory failure feature field file filter final find first flag folder format frame
+ function general generate global graph group handle handler header height history home host icon image import index info initialize
+ inner input insert instance integer internal invoice item iterator job journal key label language last layer layout level library limit
+ line link list load local location lock logger long main manager map master max memory menu message method model module month mouse name
+ network node null number object offset open option order output package page panel parameter parent parse password path pattern payment"""
 #: Pieces whose lengths are added up at a time.
 PIECES = 128
 
@@ -101,12 +132,14 @@ def _counts_base(kind: str, piece: Column) -> Column:
 
 @dataclass(frozen=True)
 class MarkovModels:
-    """Log-likelihood ratios, random against ordinary, by (character before, character); 0 is the start.
+    """Log-likelihoods by (symbol before, symbol), 0 being the start: of random strings over ``ALPHABET``, of ordinary ones over ``ORDINARY``.
 
-    ``shapes``: digests of the shapes of ordinary long numbers.
+    ``least``: the ratio per character from which on a run is random. ``shapes``: digests of the shapes of ordinary long numbers.
     """
 
-    ratios: tuple[float, ...]
+    random: tuple[float, ...]
+    ordinary: tuple[float, ...]
+    least: float
     shapes: tuple[str, ...] = ()
 
 
@@ -118,8 +151,9 @@ def _runs(text: Column, least: int) -> Column:
     return F.regexp_extract_all(text, F.lit(RUN_CLASS + "{%d,}" % least), F.lit(0))
 
 
-def _is_ordinary(run: Column) -> Column:
-    return (F.length(run) < RUN_CHARS) | ~run.rlike("[0-9]")
+def _words(text: Column) -> Column:
+    """Words of the letters A to Z alone."""
+    return F.regexp_extract_all(text, F.lit(r"(?<![\p{L}\p{N}])[A-Za-z]{2,24}(?![\p{L}\p{N}])"), F.lit(0))
 
 
 def _is_number(run: Column) -> Column:
@@ -130,66 +164,148 @@ def _shape(run: Column) -> Column:
     return F.md5(F.regexp_replace(run, "[0-9]", "0"))
 
 
+def _learn_random(counted: dict[int, int]) -> tuple[float, ...]:
+    """Log-likelihoods of random strings' steps; pairs never seen fall back on single characters, and those on an even share."""
+    size, alnum = len(ALPHABET) + 1, sum(c.isalnum() for c in ALPHABET)
+    even = [0.98 / alnum if c.isalnum() else 0.02 / (size - 1 - alnum) for c in ALPHABET]
+    single = [sum(counted.get(a * 100 + b, 0) for a in range(size)) for b in range(1, size)]
+    one = [(n + RANDOM_PRIOR * e * alnum) / (sum(single) + RANDOM_PRIOR * alnum) for n, e in zip(single, even)]
+    out = [0.0] * (size * size)
+    for a in range(size):
+        seen = sum(counted.get(a * 100 + b, 0) for b in range(1, size))
+        for b in range(1, size):
+            out[a * size + b] = math.log((counted.get(a * 100 + b, 0) + RANDOM_PRIOR * alnum * one[b - 1]) / (seen + RANDOM_PRIOR * alnum))
+    return tuple(out)
+
+
+def _learn_ordinary(words: dict[str, int]) -> tuple[float, ...]:
+    """Log-likelihoods of identifiers' steps. ``words``: counts of the steps of training words, by two characters; ^ starts, $ ends one."""
+    letters = ORDINARY[:26]
+    single = {b: sum(words.get(a + b, 0) for a in "^" + letters) + SINGLE_PRIOR for b in letters}
+    total = sum(single.values())
+    single = {b: n / total for b, n in single.items()}
+
+    def begins(b: str, a: str = "^") -> float:  # share of the letters that follow a, or begin a word
+        seen = sum(words.get(a + c, 0) for c in letters)
+        return (words.get(a + b, 0) + PAIR_PRIOR * single[b]) / (seen + PAIR_PRIOR)
+
+    def step(a: str, b: str) -> float:
+        if a in letters:
+            seen = sum(words.get(a + c, 0) for c in letters)
+            ends = (words.get(a + "$", 0) + END_PRIOR * 0.2) / (seen + words.get(a + "$", 0) + END_PRIOR)
+            return (1 - ends) * begins(b, a) if b in letters else ends * _AFTER_WORD.get(b, 1e-6)
+        after = _AFTER_DIGIT if a == "0" else _AFTER_SEPARATOR
+        if a in "^:":  # a capital letter, a digit
+            after = {"letter": 1.0} if a == "^" else {"0": 1.0}
+        share = after.get("letter", 1e-6) * begins(b) if b in letters else after.get(b, 1e-6)
+        if not a and b in _SEPARATORS:
+            share = 0.05
+        return share / 10 if b == "0" else share  # any of ten digits
+
+    size = len(ORDINARY) + 1
+    out = [0.0] * (size * size)
+    for i, a in enumerate(["", *ORDINARY]):
+        for k, b in enumerate(ORDINARY, 1):
+            out[i * size + k] = math.log(max(step(a, b), 1e-6))
+    return tuple(out)
+
+
+def _steps_of(words: Column) -> Column:
+    """The steps of words, ^ and $ put around each."""
+    lower = F.transform(words, lambda w: F.concat(F.lit("^"), F.lower(w), F.lit("$")))
+    return F.flatten(F.transform(lower, lambda w: F.transform(F.sequence(F.lit(1), F.length(w) - 1), lambda i: F.substring(w, i, F.lit(2)))))
+
+
+def _names(words: Column) -> Column:
+    """Names made of each three words in a row, in the ways that identifiers, paths and slugs are."""
+    at = F.when(F.size(words) >= 3, F.sequence(F.lit(1), F.size(words) - 2, F.lit(3))).otherwise(F.array().cast("array<int>"))
+
+    def joined(i: Column) -> Column:
+        three = F.slice(words, i, 3)
+        lower = F.transform(three, F.lower)
+        ways = [F.array_join(lower, s) for s in ("_", "-", "/", "")]
+        capital = F.transform(lower, lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.substring(w, 2, 30)))
+        return F.array(*ways, F.upper(ways[0]), F.array_join(capital, ""))
+    return F.flatten(F.transform(at, joined))
+
+
 def train_markov(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  sample_rows: int = SAMPLE_ROWS) -> MarkovModels:
     """Train from at most ``sample_rows`` ids, chosen by a hash of the id.
 
-    Runs that the fixed patterns match (for assignments, their values) are the random samples.
-    Other runs of four or more characters are ordinary, but for long ones with digits, which may
-    be either; of those without letters the shapes are learned. Without samples the priors hold.
+    Runs that the fixed patterns match (for assignments, their values) are the random samples, different words of the rest
+    the ordinary ones; of long numbers the shapes are learned. Without samples the priors and the word list hold.
     """
     ids = docs.select(F.col(id_col).alias("__id")).where("__id is not null").distinct() \
         .orderBy(F.xxhash64("__id"), "__id").limit(sample_rows)
     text = docs.select(F.col(id_col).alias("__id"), _clean(F.col(text_col)).alias("text")) \
-        .join(F.broadcast(ids), "__id", "left_semi").select("text")  # at most sample_rows ids
+        .join(F.broadcast(ids), "__id", "left_semi")  # at most sample_rows ids
     values = F.regexp_extract_all("text", F.lit(ASSIGN), F.lit(1))
     known = F.concat(F.filter(values, lambda v: F.length(v) >= ASSIGN_VALUE_CHARS),
                      *[F.regexp_extract_all("text", F.lit(p), F.lit(0)) for _, p in BASE[1:]])
     rest = F.regexp_replace(F.regexp_replace("text", ASSIGN, " "), "|".join(p for _, p in BASE[1:]), " ")
-    samples = text.select(F.explode(F.concat(
-        F.transform(known, lambda v: F.struct(F.lit(1).alias("random"), v.alias("run"))),
-        F.transform(F.filter(_runs(rest, 4), _is_ordinary), lambda v: F.struct(F.lit(0).alias("random"), v.alias("run"))))).alias("s"))
-    codes = samples.groupBy("s.random", "s.run").agg(F.count(F.lit(1)).alias("n")).select(
-        "random", "n", F.concat(F.array(F.lit(0)), _codes(F.col("run"))).alias("codes"))
-    steps = codes.select("random", "n", F.explode(F.zip_with(
+    kept = F.pmod(F.xxhash64("__id", F.lit("kept")), F.lit(HELD_OUT)) == 0
+    codes = text.select(F.explode(known).alias("run")).groupBy("run").agg(F.count(F.lit(1)).alias("n")).select(
+        "n", F.concat(F.array(F.lit(0)), _codes(F.col("run"))).alias("codes"))
+    steps = codes.select("n", F.explode(F.zip_with(
         F.slice("codes", 1, F.size("codes") - 1), F.slice("codes", 2, F.size("codes") - 1),
         lambda a, b: a * 100 + b)).alias("step"))
-    counted = {(r.random, r.step): r.n for r in steps.groupBy("random", "step").agg(F.sum("n").alias("n")).collect()}
+    random = _learn_random({r.step: r.n for r in steps.groupBy("step").agg(F.sum("n").alias("n")).collect()})
+    words = text.where(~kept).select(F.explode(_words(rest)).alias("word")).select(F.lower("word").alias("word")).distinct()
+    listed = docs.sparkSession.range(1).select(F.explode(F.split(F.lit(" ".join(ORDINARY_WORDS.split())), " ")).alias("word"))
+    counts = {r.step: r.n for r in words.withColumn("n", F.lit(1)).unionByName(listed.withColumn("n", F.lit(LISTED_WEIGHT)))
+              .select("n", F.explode(_steps_of(F.array("word"))).alias("step"))
+              .groupBy("step").agg(F.sum("n").alias("n")).collect()}  # one row for each pair of letters
     numbers = text.select(F.explode(F.filter(_runs(rest, RUN_CHARS), _is_number)).alias("run")).distinct() \
         .groupBy(_shape(F.col("run")).alias("shape")).agg(F.count(F.lit(1)).alias("n"))
     least = NUMBER_SHARE * (numbers.agg(F.sum("n")).first()[0] or 0)
     shapes = tuple(sorted(r.shape for r in numbers.where(F.col("n") >= least).collect()))  # at most 1 / NUMBER_SHARE
-    size = len(ALPHABET) + 1
-    alnum = sum(c.isalnum() for c in ALPHABET)
-    even = [0.98 / alnum if c.isalnum() else 0.02 / (size - 1 - alnum) for c in ALPHABET]
-    # Pairs never seen fall back on single characters, and those of random strings on an even share.
-    single = [[sum(counted.get((k, a * 100 + b), 0) for a in range(size)) for b in range(1, size)] for k in (0, 1)]
-    ordinary_one = [(n + SINGLE_PRIOR) / (sum(single[0]) + SINGLE_PRIOR * (size - 1)) for n in single[0]]
-    random_one = [(n + RANDOM_PRIOR * e * alnum) / (sum(single[1]) + RANDOM_PRIOR * alnum) for n, e in zip(single[1], even)]
-    ratios = [0.0] * (size * size)
-    for a in range(size):
-        seen = [sum(counted.get((k, a * 100 + b), 0) for b in range(1, size)) for k in (0, 1)]
-        for b in range(1, size):
-            random = (counted.get((1, a * 100 + b), 0) + RANDOM_PRIOR * alnum * random_one[b - 1]) / (seen[1] + RANDOM_PRIOR * alnum)
-            ordinary = (counted.get((0, a * 100 + b), 0) + PAIR_PRIOR * ordinary_one[b - 1]) / (seen[0] + PAIR_PRIOR)
-            ratios[a * size + b] = math.log(random / ordinary)
-    return MarkovModels(tuple(ratios), shapes)
+    models = MarkovModels(random, _learn_ordinary(counts), LEAST_PER_CHAR, shapes)
+    names = _fixed(text.where(kept), words=_words(rest)).select(F.explode(_names(F.col("words"))).alias("run")).distinct()
+    ratio = names.where(F.length("run") >= RUN_CHARS).agg(F.percentile(
+        log_ratio(F.col("run"), models)["ratio"] / F.length("run"), F.lit(NAMES_BELOW))).first()[0]
+    return replace(models, least=max(LEAST_PER_CHAR, ratio or 0.0))
 
 
-def log_ratio(run: Column, models: MarkovModels) -> Column:
-    """Log-likelihood ratio of a run of alphabet characters, random against ordinary."""
-    table = F.split(F.lit(",".join(repr(r) for r in models.ratios)), ",").cast("array<double>")
-    codes = _codes(run)
+def _likelihood(codes: Column, table: tuple[float, ...], size: int) -> Column:
+    """Sum over the steps of a run, from the start on."""
+    values = F.split(F.lit(",".join(f"{x:.6g}" for x in table)), ",").cast("array<double>")
     steps = F.zip_with(F.concat(F.array(F.lit(0)), codes), codes,
-                       lambda a, b: F.when(b.isNotNull(), F.get(table, a * (len(ALPHABET) + 1) + b)).otherwise(F.lit(0.0)))
+                       lambda a, b: F.when(b.isNotNull(), F.get(values, a * size + b)).otherwise(F.lit(0.0)))
     return F.aggregate(steps, F.lit(0.0), lambda s, x: s + x)
 
 
+def _once(run: Column) -> Column:
+    """The run without UUIDs; a group of characters repeated four times or more, and the alphabet, shortened."""
+    bare = F.regexp_replace(F.regexp_replace(run, UUID, ""), "(?i)abcdefghijklmnopqrstuvwxyz", "a")
+    return F.regexp_replace(bare, r"(.{1,4}?)\1{3,}", "$1")
+
+
+def _in_parts(run: Column) -> Column:
+    """The run as symbols of the ordinary model."""
+    parted = F.regexp_replace(run, r"(?<=[a-z0-9])(?=[A-Z])|(?<=[A-Z])(?=[A-Z][a-z])", "^")
+    return F.lower(F.concat(F.regexp_replace(F.regexp_replace(parted, r"(?<=[0-9])[-_/](?=[0-9])", ":"), "[0-9]", "0"), F.lit("$")))
+
+
+def log_ratio(run: Column, models: MarkovModels) -> Column:
+    """A struct: the log-likelihood ``ratio`` of a run of alphabet characters, random against ordinary, and the ``chars`` it is made of."""
+    def compared(once: Column) -> Column:
+        ordinary = _likelihood(F.transform(F.split(_in_parts(once), ""), lambda c: F.instr(F.lit(ORDINARY), c)), models.ordinary, len(ORDINARY) + 1)
+        trained = _likelihood(_codes(once), models.random, len(ALPHABET) + 1)
+        kinds = [(once.rlike(c), n) for c, n in (("[a-z]", 26), ("[A-Z]", 26), ("[0-9]", 10), (r"\+", 1), ("/", 1), ("_", 1), ("-", 1))]
+        even = -F.length(once) * F.log(sum((F.when(has, n).otherwise(0) for has, n in kinds), F.lit(0.0)))
+        ratio = F.when(F.length(once) > 1, F.greatest(trained, even) - ordinary).otherwise(F.lit(0.0))
+        return F.struct(ratio.alias("ratio"), F.length(once).alias("chars"))
+    # A lambda's argument is worked out once.
+    return F.get(F.transform(F.array(_once(run)), compared), F.lit(0))
+
+
 def _is_random(run: Column, models: MarkovModels) -> Column:
-    ratio = log_ratio(run, models)
     base = "|".join([ASSIGN, *(p for _, p in BASE[1:])])
     number = _is_number(run) & _shape(run).isin(*models.shapes) if models.shapes else F.lit(False)
-    return ~run.rlike(base) & ~number & (ratio >= F.greatest(F.lit(LEAST_RATIO), LEAST_RATIO_PER_CHAR * F.length(run)))
+    random = F.exists(F.array(log_ratio(run, models)), lambda r: (
+        r["chars"] >= LEAST_CHARS) & (r["ratio"] >= LEAST_RATIO) & (r["ratio"] >= models.least * r["chars"]))
+    return ~run.rlike(base) & ~number & random
 
 
 MARKOV_PIECES = f"{ASSIGN}|{RUN}"
