@@ -61,10 +61,27 @@ def test_few_rows(documents, pairs):
     assert Counter((r.doc_id, r.text) for r in rows) == Counter(pairs)
 
 
-def test_numbering_over_several_tasks(documents, monkeypatch):
-    monkeypatch.setattr(sharding, "SLOT_ROWS", 5)
-    pairs = [(i, f"text {i}") for i in range(300)]
-    check(placed(documents(pairs), 4), pairs, 4)
+@pytest.mark.parametrize("rows, texts", [(300, 300), (60_000, 6_000)])
+def test_slots_follow_the_key_at_every_size(spark, rows, texts):
+    """Equal texts take neighbouring slots unless a shard's end parts them."""
+    df = spark.range(rows, numPartitions=7).selectExpr("id as doc_id", f"concat('text ', id % {texts}) as text")
+    out = sharding.shard_documents(df, 8, ["doc_id", "text"]).collect()
+    assert Counter(r.doc_id for r in out) == Counter(range(rows))
+    runs, last = Counter(), None
+    for r in sorted(out, key=lambda r: (r["shard"], r.slot)):
+        if (r["shard"], r.text) != last:
+            runs[r.text] += 1
+        last = (r["shard"], r.text)
+    assert len(runs) == texts and sum(n - 1 for n in runs.values()) <= 7
+    check(out, [(i, f"text {i % texts}") for i in range(rows)])
+
+
+def test_clashing_column_names(spark):
+    df = spark.createDataFrame([(k, f"t{k}", "a", "b", "c", 1, 2, "d") for k in range(30)],
+                               "doc_id long, text string, key string, seq string, row string, size int, slot int, place string")
+    out = sharding.shard_documents(df, 4, df.columns)
+    assert out.columns == ["doc_id", "text", "key", "seq", "row", "place", "size", "shard", "slot"]
+    assert {(r.key, r.seq, r.row, r.place) for r in out.collect()} == {("a", "b", "c", "d")}
 
 
 def test_files_hold_all_rows(spark, documents, tmp_path):

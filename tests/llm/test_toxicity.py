@@ -4,6 +4,7 @@ import random
 import zlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.llm import toxicity as tx
 from tidemark.llm.queries import QUERIES
@@ -88,3 +89,13 @@ def test_query_scores_every_document(spark):
     held = [r for r in labels if rows[r.doc_id].held_out]
     assert all(rows[i].held_out == (zlib.crc32(str(i).encode()) % 4 == 2) for i in rows)
     assert sum(rows[r.doc_id].predicted == r.toxic for r in held) / len(held) > 0.9
+
+
+def test_repeated_ids_are_learned_from_once(spark):
+    """A hot id neither shifts the model nor widens the sample: its rows count as one."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    hot = docs.where("doc_id % 7 = 0").withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(12)))).drop("n")
+    once, often = tx.learn_toxicity(docs, labels), tx.learn_toxicity(docs.unionByName(hot), labels)
+    assert once.lexicon == often.lexicon and once.lexicon
+    assert often.weights == pytest.approx(once.weights) and often.bias == pytest.approx(once.bias)

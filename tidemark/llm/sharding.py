@@ -3,7 +3,8 @@
 Rows get a 63-bit sort key. The key ranges of the shards are found by counting: each round
 cuts the ranges that still hold a splitter into bins, counts the exact bytes in every bin
 across all partitions, and goes on with the one bin that holds the splitter, until the bytes
-below a splitter are within the tolerance of its share. Rows are exchanged once, after that.
+below a splitter are within the tolerance of its share. Rows are exchanged once, after that: by
+ranges of the key, each sorted by one task, so a row's slot is its place in the key's order.
 
 The key is the hash of the row's group (equal texts), ended by a hash of the row itself:
 equal texts lie side by side, and a group that holds a third of all bytes can still be cut.
@@ -13,17 +14,16 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.storage import numbered, staged
+from tidemark.operators.ranking import with_global_position
 
 #: Bins per splitter and round, and how far from its share a splitter may be (a part of a shard).
 BINS, TOLERANCE = 256, 1e-4
 #: Low bits of the key that tell the rows of one group apart.
 ROW_BITS = 24
-#: Rows of a shard that one task numbers.
-SLOT_ROWS = 4096
 KEY_BITS = 63
 
 
@@ -94,25 +94,21 @@ def shard_rows(docs: DataFrame, shards: int, group: Column, size: Column, column
     """``columns`` of every row with ``size`` (long), ``shard`` (int) and ``slot`` (long).
 
     Law ``bytes``: shard sizes differ by little more than ``TOLERANCE`` of a shard, or by a row
-    where rows are larger than that. Rows of equal ``group`` lie in one shard unless a splitter
-    cuts the group. Slots count from 0 without gaps within a shard.
+    where rows are larger than that. Rows of equal ``group`` lie in one shard, side by side, unless a
+    splitter cuts the group. Slots count from 0 without gaps within a shard, in key order.
 
     Null groups are one group; repeated rows are told apart by a row number and all kept; an
-    empty table gives no rows. ``columns`` may not be named key, seq, sub, size, shard or slot.
+    empty table gives no rows. Of ``columns``, those named size, shard or slot are replaced.
     """
-    rows = numbered(docs.select(*columns, size.cast("long").alias("size"), group.alias("group")), "seq")
-    rows = rows.withColumn("key", sort_key(F.col("group"), F.col("seq"))).drop("group")
-    rows = staged(rows, "shard-keys")
+    kept = [c for c in columns if c not in ("size", "shard", "slot")]
+    rows = numbered(docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), size.cast("long").alias("size"), group.alias("group")), "seq")
+    rows = staged(rows.withColumn("key", sort_key(F.col("group"), F.col("seq"))).drop("group"), "shard-keys")
     splitters = find_splitters(rows, shards)
     shard = sum((F.when(F.col("key") >= s, 1).otherwise(0) for s in splitters if s < 1 << KEY_BITS), F.lit(0))
-    subs = max(1, -(-rows.count() // (shards * SLOT_ROWS)))
-    placed = rows.withColumn("shard", shard.cast("int")).withColumn("sub", F.pmod(F.xxhash64("seq"), F.lit(subs)).cast("int"))
-    counts = placed.groupBy("shard", "sub").agg(F.count(F.lit(1)).alias("n"))
-    before = Window.partitionBy("shard").orderBy("sub").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("shard", "sub", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
-    own = placed.withColumn("nth", F.row_number().over(Window.partitionBy("shard", "sub").orderBy("key", "seq")))
-    return own.join(starts, ["shard", "sub"]).select(
-        *columns, "size", "shard", (F.col("start") + F.col("nth") - 1).cast("long").alias("slot"))
+    # The one exchange of rows, by ranges of the same key: shards are ranges of it, too.
+    sorted_ = with_global_position(rows.withColumn("shard", shard.cast("int")), [F.asc("key"), F.asc("seq")], "place")
+    firsts = sorted_.groupBy("shard").agg(F.min("place").alias("first"))  # one row for each shard
+    return sorted_.join(F.broadcast(firsts), "shard").select("row.*", "size", "shard", (F.col("place") - F.col("first")).alias("slot"))
 
 
 def shard_documents(docs: DataFrame, shards: int, columns: list[str], text_col: str = "text") -> DataFrame:
@@ -122,6 +118,6 @@ def shard_documents(docs: DataFrame, shards: int, columns: list[str], text_col:
 
 
 def write_shards(docs: DataFrame, shards: int, path: str, text_col: str = "text") -> None:
-    """Write ``docs``, all columns, one folder for each shard."""
+    """Write ``docs``, all columns, one folder for each shard; columns named size, shard or slot are left out."""
     placed = shard_documents(docs, shards, docs.columns, text_col)
     placed.drop("size", "slot").write.partitionBy("shard").parquet(path)

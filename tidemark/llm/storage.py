@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from pathlib import Path
 
@@ -10,19 +11,28 @@ from pyspark.sql import functions as F
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``, or the warehouse where that is unset (tests)."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    """The folder all executors share: ``spark.checkpoint.dir``, or the warehouse where that is unset (tests).
+
+    Raises on a cluster where neither names a shared folder: files on one machine are not seen by the others.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        root = spark.conf.get("spark.sql.warehouse.dir")
+        local = spark.sparkContext.master.startswith("local[") or spark.sparkContext.master == "local"
+        if root.startswith(("file:", "/")) and not local:
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return root.rstrip("/")
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` under the shared folder and read it back.
+    """Write ``df`` under the shared folder, in one of the UTC day (to be expired by day), and read it back.
 
     Cuts the lineage: a lost executor repeats tasks of the current step only. Values
     that Spark made per row (sequence numbers, for instance) are fixed from here on.
     """
     spark = df.sparkSession
-    path = f"{shared_root(spark)}/tidemark-llm/{name}-{uuid.uuid4().hex}"
+    day = dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d")
+    path = f"{shared_root(spark)}/tidemark-llm/{day}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -30,9 +30,9 @@ from tidemark.llm.storage import staged
 
 #: Most labelled rows that the lexicon and the weights are learned from.
 SAMPLE_ROWS = 12_000
-#: Most entries of the learned lexicon, and the evidence (G²) and odds an entry needs at least. The more
-#: words are tried, the more evidence one needs: less than one chance find is expected among all.
-LEXICON_ENTRIES, LEAST_EVIDENCE, LEAST_LOG_ODDS = 4_000, 12.0, 3.0
+#: The evidence (G²) and odds an entry of the learned lexicon needs at least. The more words are tried,
+#: the more evidence one needs: less than one chance find is expected among all.
+LEAST_EVIDENCE, LEAST_LOG_ODDS = 12.0, 3.0
 PREFIX_LENGTHS = (3, 4, 5, 6, 7, 8)
 #: Words of a toxic text that the lexicon should explain, and texts that an entry must help with.
 EXPLAINED, LEAST_TEXTS = 3, 3
@@ -278,8 +278,9 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
                    label_col: str = "toxic", sample_rows: int = SAMPLE_ROWS) -> ToxicityModel:
     """Learn from at most ``sample_rows`` labelled training rows, chosen by a hash of the id.
 
-    Ids labelled more than once count as toxic if any label says so. Without both kinds of
-    label the fixed default model is returned.
+    Ids labelled more than once count as toxic if any label says so; of several rows with one id one, by a hash of the text,
+    is learned from, so at most ``sample_rows`` rows reach the driver. Without both kinds of label among the rows the fixed
+    default model is returned.
     """
     chosen = (labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("toxic"))
               .where(is_training_row(F.col("doc_id")) & F.col("toxic").isin(0, 1))
@@ -290,11 +291,17 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
         return ToxicityModel()
     ids = docs.sparkSession.createDataFrame(picked, "doc_id long, toxic int")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    sample = texts.join(F.broadcast(ids), "doc_id").select("text", "toxic")  # at most sample_rows ids
+    found = texts.join(F.broadcast(ids), "doc_id")  # at most sample_rows ids
+    # One row an id, however often it is repeated; written once, as it is read several times.
+    sample = staged(found.groupBy("doc_id").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"),
+                                                F.max("toxic").alias("toxic")).select("text", "toxic"), "labelled")
+    by_kind = {r.toxic: r["count"] for r in sample.groupBy("toxic").count().collect()}
     counts = (sample.mapInPandas(_word_features, "feature string, toxic int, n long")
               .groupBy("feature").agg(F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("bad"),
                                       F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("good")))
-    bad_docs, good_docs = (sum(t == k for _, t in picked) for k in (1, 0))
+    bad_docs, good_docs = (by_kind.get(k, 0) for k in (1, 0))
+    if not bad_docs or not good_docs:
+        return ToxicityModel()
     bad, good = F.col("bad"), F.col("good")
     odds = F.log((bad + 0.5) / (bad_docs + 1.0)) - F.log((good + 0.5) / (good_docs + 1.0))
     rate = (bad + good) / F.lit(bad_docs + good_docs)
@@ -303,7 +310,7 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     least = max(LEAST_EVIDENCE, 2 * math.log(max(1, tried.count())))
     rows = (tried.withColumn("odds", odds).withColumn("evidence", evidence)
             .where((F.col("odds") >= LEAST_LOG_ODDS) & (F.col("evidence") >= least))
-            .orderBy(F.desc("evidence"), "feature").limit(LEXICON_ENTRIES).collect())
+            .orderBy(F.desc("evidence"), "feature").collect())  # words of at most sample_rows texts
     candidates = {r.feature: r.odds for r in rows}
     found = sample.where("toxic = 1").mapInPandas(_explainer(candidates), "words array<array<string>>").collect()
     model = ToxicityModel(lexicon=_needed(candidates, [r.words for r in found]) or ToxicityModel().lexicon)
