@@ -94,7 +94,7 @@ def landed_schema(record: T.StructType) -> T.StructType:
 
 
 def envelope_schema(record: T.StructType, nested_key: str | None = None) -> T.StructType:
-    """Schema of one reference-style envelope document.
+    """Schema of one envelope document.
 
     ``data`` is a list of records, or (``nested_key`` given) an object holding the
     list under that key.

@@ -74,9 +74,12 @@ def sized_conf(shuffle_bytes: int, total_cores: int, target_partition_bytes: int
 
 def shared_root(spark: SparkSession) -> str:
     """The folder that all executors share: ``spark.checkpoint.dir``, or the warehouse where that is unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = spark.conf.get("spark.sql.warehouse.dir", None)
+        master = spark.sparkContext.master
+        if not root or (root.startswith(("file:", "/")) and not (master == "local" or master.startswith("local["))):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return root.rstrip("/")
 
 
