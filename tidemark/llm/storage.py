@@ -24,15 +24,20 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def day_folder(spark: SparkSession) -> str:
+    """This subpackage's folder of the UTC day under the shared folder, to be expired by day."""
+    day = dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d")
+    return f"{shared_root(spark)}/tidemark-llm/{day}"
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` under the shared folder, in one of the UTC day (to be expired by day), and read it back.
+    """Write ``df`` under the shared folder and read it back.
 
     Cuts the lineage: a lost executor repeats tasks of the current step only. Values
     that Spark made per row (sequence numbers, for instance) are fixed from here on.
     """
     spark = df.sparkSession
-    day = dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d")
-    path = f"{shared_root(spark)}/tidemark-llm/{day}/{name}-{uuid.uuid4().hex}"
+    path = f"{day_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
