@@ -1,6 +1,7 @@
 """Leaks against brute force, the bounds of retrieval, and edge cases."""
 
 import math
+import pickle
 import random
 from collections import Counter
 
@@ -135,3 +136,27 @@ def test_empty_tables(spark, documents):
     assert leaks(docs, items) == [] and dc.without_leaks(docs, items).count() == 1
     some = spark.createDataFrame([(1, "What is it? It is a thing.")], "item_id long, text string")
     assert leaks(documents([]), some) == []
+
+
+def test_blocks_and_postings_are_skipped(spark):
+    sf = "/root/testdata/sf0.01"
+    index = dc.build_indexes(spark.read.parquet(f"{sf}/benchmark.parquet"))[0]
+    texts = [r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    assert list(index.leaks(pd.Series(texts)))
+    work = index.work
+    assert 0 < work["pivots"] and work["postings skipped"] > 0
+    assert 0 < work["live blocks"] < work["block bounds"] / 10
+
+
+def test_a_whole_shard_of_items_stays_small():
+    """An index of SHARD_ITEMS items with 100,000 different words, and a batch of texts on it."""
+    rng = np.random.default_rng(4)
+    parts = [np.unique(np.minimum(rng.zipf(1.3, 36), 100_000)) for _ in range(dc.SHARD_ITEMS)]
+    names = [[f"w{t}" for t in p] for p in parts]
+    rows = pd.DataFrame({"item_id": range(len(parts)), "question": [n[:-5] for n in names], "answer": [n[-5:] for n in names],
+                         "terms": [sorted(n) for n in names], "weights": [rng.uniform(0.5, 8, len(n)) for n in names]})
+    index = dc._index(rows, dc.BLOCK)
+    assert len(pickle.dumps(index)) < 100_000_000
+    picked = rng.choice(len(parts), 20, replace=False)
+    found = {(r, i) for r, i, *_ in index.leaks(pd.Series([" ".join(rows.question[k] + rows.answer[k]) for k in picked]))}
+    assert {(r, int(k)) for r, k in enumerate(picked)} <= found

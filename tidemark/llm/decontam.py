@@ -49,7 +49,7 @@ BLOCK, SHARD_ITEMS = 8, 32_768
 #: A term in one of so many blocks or more has its block maxima in a dense row, the others in lists.
 DENSE_ONE_IN = 16
 #: Block bounds of passages, and pairs of a passage and a block, that are worked on at a time.
-BOUNDS, PAIRS = 1 << 18, 1 << 12
+BOUNDS, PAIRS = 1 << 22, 1 << 12
 #: Characters that are split into words, and words that are scored, at a time.
 SLICE, SCORED_WORDS = 1 << 20, 1 << 18
 
@@ -126,8 +126,7 @@ class ItemIndex:
         start = first[owner] + nth * STRIDE
         stop = (first + sizes)[owner]
         found: dict[tuple[int, int], float] = {}
-        blocks = self.dense.shape[1]
-        rows = min(SCORED_WORDS // PASSAGE, max(16, BOUNDS // blocks))
+        rows = min(SCORED_WORDS // PASSAGE, max(16, BOUNDS // max(self.dense.shape)))
         for k in range(0, len(owner), rows):
             s = slice(k, k + rows)
             at = start[s, None] + np.arange(PASSAGE)
@@ -155,13 +154,15 @@ class ItemIndex:
     def _block_bounds(self, terms: np.ndarray, n: np.ndarray) -> np.ndarray:
         """Sum of the terms' block maxima by passage and block; ``n`` terms belong to each passage."""
         blocks = self.dense.shape[1]
-        ends = np.cumsum(n)
-        bounds = np.add.reduceat(self.dense[self.dense_row[terms]], ends - n, axis=0)
+        passage = np.repeat(np.arange(len(n)), n)
+        chosen = np.zeros((len(n), len(self.dense)), np.float32)
+        chosen[passage, self.dense_row[terms]] = 1
+        bounds = chosen @ self.dense
         first = self.rare_start[terms]
         size = self.rare_start[terms + 1] - first
         if size.sum():
             at = np.repeat(first - (np.cumsum(size) - size), size) + np.arange(size.sum())
-            cell = np.repeat(np.repeat(np.arange(len(n)), n) * blocks, size) + self.rare_block[at]
+            cell = np.repeat(passage * blocks, size) + self.rare_block[at]
             bounds = bounds + np.bincount(cell, self.rare_most[at], bounds.size).reshape(bounds.shape)
         return bounds
 
@@ -173,17 +174,20 @@ class ItemIndex:
         key = block[:, None].astype(np.int64) * len(self.most) + terms
         run = np.minimum(np.searchsorted(self.runs, key), len(self.runs) - 1)
         known = (terms >= 0) & (self.runs[run] == key)
-        cursor = np.where(known, self.run_start[run], 0)
-        end = np.where(known, self.run_start[run + 1], 0)
+        held = known.sum(axis=1)
+        column = np.arange(held.max(initial=0))
+        run = run[known][np.minimum((np.cumsum(held) - held)[:, None] + column, held.sum() - 1)]  # each pair's runs first
+        known = column < held[:, None]
+        cursor, end = np.where(known, self.run_start[run], 0), np.where(known, self.run_start[run + 1], 0)
         most = np.where(known, self.run_most[run], 0)
         pair, last = np.arange(len(block)), len(self.posting_item) - 1
         while len(pair):
             item = np.where(cursor < end, self.posting_item[np.minimum(cursor, last)], self.block)
-            order = np.argsort(item, axis=1)
-            reached = np.cumsum(np.take_along_axis(np.where(cursor < end, most, 0), order, 1), axis=1, dtype=np.float64) >= THRESHOLD
-            on = reached[:, -1]
-            pivot = np.take_along_axis(np.take_along_axis(item, order, 1), reached.argmax(axis=1)[:, None], 1)[on]
-            pair, cursor, end, most, item = pair[on], cursor[on], end[on], most[on], item[on]
+            pivot = np.full(len(pair), self.block)
+            for place in reversed(range(self.block)):  # the first place whose terms so far can reach the threshold
+                pivot[(most * (item <= place)).sum(axis=1, dtype=np.float64) >= THRESHOLD] = place
+            on = pivot < self.block
+            pair, cursor, end, most, item, pivot = pair[on], cursor[on], end[on], most[on], item[on], pivot[on, None]
             while (behind := item < pivot).any():
                 self.work["postings skipped"] += int(behind.sum())
                 cursor = cursor + behind
