@@ -102,3 +102,20 @@ def test_query_held_out_accuracy(spark):
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in rows)
     held = [r for r in rows if r.held_out]
     assert sum(r.lang_pred == truth[r.doc_id] for r in held) / len(held) > 0.97
+
+
+def test_held_out_rejection_is_near_the_stated_share(spark):
+    sf = "/root/testdata/sf0.1"
+    rows = QUERIES["op7_language_id"](spark, sf).where("held_out").collect()
+    assert 0.0 < sum(r.rejected for r in rows) / len(rows) < 2 * (1 - langid.KEPT_SHARE)
+
+
+def test_an_id_counts_once(spark):
+    """A hot id doesn't outgrow the sample, and gives the same models in any order of rows."""
+    rows = corpus()
+    hot = [(1, f"und mit der haus {k}", "bb", "s") for k in range(300)] + 300 * [(1, "die", "bb", "s")]
+    one = langid.learn_languages(spark.createDataFrame(rows + hot, SCHEMA).repartition(5), sample_rows=20)
+    two = langid.learn_languages(spark.createDataFrame((hot + rows)[::-1], SCHEMA).repartition(2), sample_rows=20)
+    texts = ["the house and", "die und mit"]
+    np.testing.assert_allclose(one.entropies(texts), two.entropies(texts))
+    assert [m.rejected_above for m in one.models] == pytest.approx([m.rejected_above for m in two.models])

@@ -5,8 +5,8 @@ character model of order 4; its n-grams are packed into 64-bit numbers and kept
 arrays, one for every order, with the discounted probability of the n-gram and the weight that
 its context leaves to the next lower order. Lower orders count in how many contexts an n-gram
 occurs, as Kneser-Ney smoothing asks. A text gets the language of the lowest cross-entropy per
-character. A text whose cross-entropy is beyond what the language's own training texts reach
-is marked as rejected.
+character. A text whose cross-entropy is beyond what the language's own texts reach is marked as
+rejected; the bound comes from training texts scored by models that were learned without them.
 """
 
 from __future__ import annotations
@@ -20,11 +20,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.storage import staged
+
 ORDER = 4
 #: Training rows of one language, chosen by a hash of the id, and the discount of every order.
 SAMPLE_ROWS, DISCOUNT = 3_000, 0.75
-#: Training texts of a language that must not be rejected.
-KEPT_SHARE = 0.995
+#: Share of a language's texts, scored by models learned without them, that must not be rejected; parts that take
+#: turns at being scored.
+KEPT_SHARE, FOLDS = 0.995, 4
 UNDETERMINED = "und"
 #: Bits of a character's number within an n-gram; characters scored at a time.
 CHAR_BITS, CHARS_AT_A_TIME = 16, 1 << 21
@@ -140,9 +143,9 @@ class LanguageModels:
 
 
 def _sample_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Counts of the n-grams of code points in each language, as four columns of characters."""
+    """Counts of the n-grams of code points in each language and fold, as four columns of characters."""
     for pdf in batches:
-        for lang, own in pdf.groupby("lang"):
+        for (lang, fold), own in pdf.groupby(["lang", "fold"]):
             clean = [t for t in map(letters, own["text"]) if t]
             if not clean:
                 continue
@@ -155,7 +158,7 @@ def _sample_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             at = np.flatnonzero(inside)
             columns = {f"c{k}": points[at - (ORDER - 1 - k)] for k in range(ORDER)}
             counted = pd.DataFrame(columns).groupby(list(columns), as_index=False).size()
-            yield counted.rename(columns={"size": "n"}).assign(lang=lang)
+            yield counted.rename(columns={"size": "n"}).assign(lang=lang, fold=fold)
 
 
 def is_training_row(id_col: Column) -> Column:
@@ -190,59 +193,69 @@ def learn_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     sample_rows: int = SAMPLE_ROWS) -> LanguageModels | None:
     """Learn from at most ``sample_rows`` training rows of each language; None if there are none.
 
-    Rows of one id and language all count. The n-grams are counted on the cluster; the driver
-    gathers the distinct ones of the bounded sample.
+    Of the rows with one id and language one counts, the least by a hash of its text. The n-grams
+    are counted on the cluster; the driver gathers the distinct ones of the bounded sample. The
+    65,532 most frequent characters have numbers, the others count as unknown.
     """
     own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     own = own.where(is_training_row(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    own = own.withColumn("text_hash", F.xxhash64("text"))
     names = sorted(r.lang for r in own.select("lang").distinct().collect())
     if not names:
         return None
     picked = None
     for name in names:
-        ids = own.where(F.col("lang") == name).select("doc_id", "lang").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
+        ids = own.where(F.col("lang") == name).groupBy("doc_id", "lang").agg(F.min("text_hash").alias("text_hash"))
+        ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
         picked = ids if picked is None else picked.unionByName(ids)
-    sample = own.join(F.broadcast(picked.distinct()), ["doc_id", "lang"])  # at most sample_rows ids a language
-    schema = ", ".join(f"c{k} long" for k in range(ORDER)) + ", n long, lang string"
-    counts = sample.select("text", "lang").mapInPandas(_sample_grams, schema).groupBy(
-        "lang", *[f"c{k}" for k in range(ORDER)]).agg(F.sum("n").alias("n")).toPandas()
-    points = np.unique(counts[[f"c{k}" for k in range(ORDER)]].to_numpy())
-    characters = points[points != 32].astype(np.uint32)[:(1 << CHAR_BITS) - 4]
+    sample = own.join(F.broadcast(picked), ["doc_id", "lang", "text_hash"])  # at most sample_rows ids a language
+    fold = F.pmod(F.xxhash64("doc_id", F.lit(FOLDS)), F.lit(FOLDS))
+    sample = staged(sample.dropDuplicates(["doc_id", "lang"]).select("text", "lang", fold.alias("fold")), "language-sample")
+    schema = ", ".join(f"c{k} long" for k in range(ORDER)) + ", n long, lang string, fold long"
+    counts = sample.mapInPandas(_sample_grams, schema).groupBy(
+        "lang", "fold", *[f"c{k}" for k in range(ORDER)]).agg(F.sum("n").alias("n")).toPandas()
+    entropies = pd.concat([_fold_entropies(_models(counts[counts["fold"] != k]), sample.where(F.col("fold") == k)) for k in range(FOLDS)])
+    found = _models(counts)
+    for name, values in entropies.groupby("lang")["entropy"]:
+        found.models[found.names.index(name)].rejected_above = float(values.quantile(KEPT_SHARE, interpolation="higher"))
+    return found
+
+
+def _models(counts: pd.DataFrame) -> LanguageModels:
+    """Models of the languages from counts of n-grams."""
+    last = counts.groupby(f"c{ORDER - 1}")["n"].sum().drop(32, errors="ignore").sort_index().sort_values(ascending=False, kind="stable")
+    characters = np.sort(last.index.to_numpy()[:(1 << CHAR_BITS) - 4]).astype(np.uint32)
     found = LanguageModels(characters, [], [])
-    for name in names:
-        rows = counts[counts["lang"] == name]
-        if not len(rows):
-            continue
+    for name, rows in counts.groupby("lang"):
         packed = np.zeros(len(rows), dtype=np.uint64)
         for k in range(ORDER):
             packed |= found.numbers(rows[f"c{k}"].to_numpy()).astype(np.uint64) << np.uint64(CHAR_BITS * (ORDER - 1 - k))
         grams, where = np.unique(packed, return_inverse=True)
         found.names.append(name)
         found.models.append(_model(grams, np.bincount(where, weights=rows["n"].to_numpy()), len(characters)))
-    _calibrate(found, sample)
     return found
 
 
-def _calibrate(found: LanguageModels, sample: DataFrame) -> None:
-    """Set each language's bound of rejection from its training texts' own cross-entropies."""
+def _fold_entropies(models: LanguageModels, rows: DataFrame) -> pd.DataFrame:
+    """``(lang, entropy)`` of rows that the models weren't learned from; of the bounded sample, in languages the models know."""
+    if not models.names:
+        return pd.DataFrame({"lang": pd.Series(dtype=object), "entropy": pd.Series(dtype=float)})
+
     def entropies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            values = found.entropies(list(pdf["text"]))
-            own = [values[i, found.names.index(lang)] for i, lang in enumerate(pdf["lang"])]
+            values = models.entropies(list(pdf["text"]))
+            own = [values[i, models.names.index(lang)] for i, lang in enumerate(pdf["lang"])]
             yield pd.DataFrame({"lang": pdf["lang"], "entropy": own})
 
-    for r in (sample.mapInPandas(entropies, "lang string, entropy double").groupBy("lang")
-              .agg(F.percentile_approx("entropy", KEPT_SHARE, 10_000).alias("bound")).collect()):
-        if r.lang in found.names:
-            found.models[found.names.index(r.lang)].rejected_above = float(r.bound)
+    return rows.where(F.col("lang").isin(models.names)).mapInPandas(entropies, "lang string, entropy double").toPandas().dropna()
 
 
 def identify(docs: DataFrame, models: LanguageModels | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, lang_pred, score, entropy, rejected)``, a row for every row of ``docs``.
 
     ``score`` (0 to 1) is the predicted language's share when the languages' cross-entropies over up
-    to ``FULL_LENGTH`` characters are weighed against each other. ``rejected`` marks texts unlike all
-    training texts of the language; the prediction stays. Null and empty texts, and those without a
+    to ``FULL_LENGTH`` characters are weighed against each other. ``rejected`` marks texts less like the
+    language than all but ``1 - KEPT_SHARE`` of its texts; the prediction stays. Null and empty texts, and those without a
     letter, are ``und`` with score 0 and no entropy; so is every text where nothing was learned.
     Equal scores go to the first language by name. Whole texts are read; repeated rows and null
     ids are kept; an empty table gives no rows. Other columns are not looked at.
