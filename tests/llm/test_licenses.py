@@ -38,6 +38,7 @@ def test_repeated_rows_null_ids_and_empty_table(documents):
     assert ls.scan_licenses(documents([])).count() == 0
 
 
+# License headers as they are published: fixed values.
 MIT_TEXT = """Copyright (c) 2020 Some One
 
 Permission is hereby granted, free of charge, to any person obtaining a copy
@@ -85,7 +86,57 @@ distributed under the License is distributed on an "AS IS" BASIS,
 WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied."""
 MPL_TEXT = """This Source Code Form is subject to the terms of the Mozilla Public
 License, v. 2.0. If a copy of the MPL was not distributed with this file, look elsewhere."""
-WRAPPED = [(MIT_TEXT, (3, "MIT", "permissive")), (BSD_TEXT, (4, "BSD-3-Clause", "permissive")), (GPL_TEXT, (2, "GPL-3.0-or-later", "copyleft")),
+GPL2_TEXT = """This program is free software; you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation; either version 2 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details."""
+LGPL_TEXT = """This library is free software; you can redistribute it and/or
+modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either
+version 2.1 of the License, or (at your option) any later version.
+
+This library is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the GNU
+Lesser General Public License for more details."""
+AGPL_TEXT = GPL_TEXT.replace("GNU General Public License as", "GNU Affero General Public License as")
+ISC_TEXT = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH
+REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY
+AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE."""
+ZERO_TEXT = ISC_TEXT.replace(""", provided that the above
+copyright notice and this permission notice appear in all copies""", "")
+ZLIB_TEXT = """This software is provided 'as-is', without any express or implied
+warranty. In no event will the authors be held liable.
+
+Permission is granted to anyone to use this software for any purpose,
+including commercial applications, and to alter it and redistribute it
+freely, subject to the following restrictions:"""
+UNLICENSE_TEXT = """This is free and unencumbered software released
+into the public domain."""
+EPL_TEXT = """This program and the accompanying materials are made
+available under the terms of the Eclipse Public License 2.0
+which is available at https://www.eclipse.org/legal/epl-2.0/"""
+EPL1_TEXT = """All rights reserved. This program and the accompanying materials
+are made available under the terms of the Eclipse Public License v1.0
+which accompanies this distribution, and is available at
+http://www.eclipse.org/legal/epl-v10.html"""
+CC_TEXT = """This work is licensed under a Creative Commons
+Attribution-NonCommercial-ShareAlike 4.0 International License."""
+WRAPPED = [(GPL2_TEXT, (2, "GPL-2.0-or-later", "copyleft")), (LGPL_TEXT, (2, "LGPL-2.1-or-later", "copyleft")), (AGPL_TEXT, (2, "AGPL-3.0-or-later", "copyleft")),
+           (ISC_TEXT, (2, "ISC", "permissive")), (ZERO_TEXT, (2, "0BSD", "permissive")), (ZLIB_TEXT, (2, "Zlib", "permissive")),
+           (UNLICENSE_TEXT, (1, "Unlicense", "permissive")), (EPL_TEXT, (1, "EPL-2.0", "copyleft")),
+           (EPL1_TEXT, (2, "EPL-1.0,all-rights-reserved", "copyleft,proprietary")), (CC_TEXT, (1, "CC-BY-NC-SA-4.0", "noncommercial")),
+           ("Licensed under the\nMozilla Public License 2.0", (1, "MPL-2.0", "copyleft")),
+           (MIT_TEXT, (3, "MIT", "permissive")), (BSD_TEXT, (4, "BSD-3-Clause", "permissive")), (GPL_TEXT, (2, "GPL-3.0-or-later", "copyleft")),
            (APACHE_TEXT, (4, "Apache-2.0", "permissive")), (MPL_TEXT, (1, "MPL-2.0", "copyleft")),
            ("All rights\nreserved", (1, "all-rights-reserved", "proprietary"))]
 
@@ -104,6 +155,30 @@ def test_ends_of_sentences(documents, text, n):
     assert scan(documents([(1, text)]))[1][0] == n
 
 
+@pytest.mark.parametrize("line, want", [
+    ("SPDX-License-Identifier: MIT", "MIT"), ("/* SPDX-License-Identifier: GPL-2.0 */", "GPL-2.0-only"), ("// SPDX-License-Identifier: GPL-2.0+", "GPL-2.0-or-later"),
+    ("# SPDX-License-Identifier: LGPL-2.1-or-later", "LGPL-2.1-or-later"), ("SPDX-License-Identifier:BSD-3-Clause\r", "BSD-3-Clause"),
+    ("SPDX-License-Identifier: MIT OR Apache-2.0", ""), ("see SPDX-License-Identifier: MIT", "")])
+def test_spdx_lines(documents, line, want):
+    assert scan(documents([(1, f"{line}\nint x;\n")]))[1][1] == want
+
+
+def test_every_known_sentence_has_its_own_place():
+    assert len(set(ls.SENTENCES.values())) == len(ls.SENTENCES)
+    assert {i for *_, rule in ls.RULES for i in rule} | set(ls.ALONE) <= set(ls.SENTENCES)
+
+
+def test_statement_joins_wrapped_lines(documents):
+    texts = [end.join(f"{mark}{line}" for line in text.split("\n")) for text, _ in WRAPPED for mark, end in (("", "\n"), ("# ", "\n"), (" * ", "\r\n"))]
+    texts += [None, "", "released under\n\nthe MIT license", "released under\n#\n# the MIT license", "All rights. Reserved", "all rights reserved", "All/rights|reserved? Yes",
+              "x; all rights reserved: released under the MIT license! SPDX-License-Identifier: Apache-2.0\n", "Uses v. 2.\nSPDX-License-Identifier: GPL-2.0+ ", ". ".join(ls.SENTENCES.values())]
+    docs = documents(list(enumerate(texts)))
+    con = duckdb.connect()
+    con.register("documents", docs.toArrow())
+    got = ls.scan_licenses(docs)
+    assert sorted(map(tuple, got.collect())) == sorted(con.sql(ORACLE_SQL["op5_license_scan"]).select(*got.columns).fetchall())
+
+
 def test_query_against_duckdb(spark):
     con = duckdb.connect()
     con.execute(f"create view documents as select * from '{SF}/documents.parquet'")

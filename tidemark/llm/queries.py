@@ -64,26 +64,33 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _license_sql() -> str:
-    """The same rules as a DuckDB statement."""
-    known = ", ".join(f"'{s}'" for s in license_scan.SENTENCES.values())
-    names = ", ".join(f"'{n}'" for n in license_scan.SENTENCES)
+    """The same rules as a DuckDB statement. Its patterns can't look around, so marks are doubled: every sentence has one of its own at each end."""
+    known, names = ("split('" + "|".join(part) + "', '|')" for part in (license_scan.SENTENCES.values(), license_scan.SENTENCES))
+    by_itself = "|".join(license_scan.ALONE.get(n, "") for n in license_scan.SENTENCES)
+    blank, end = r"[ \t\n\x0B\f\r]", r"[ \t\n\x0B\f\r]|$"
+    marked = "concat(chr(10), chr(10), translate(lower(text), '|/', '~~'), chr(10), chr(10))"
+    for pattern, mark in ((rf"([0-9])\+({end})", r"\1 or later\2"), (rf"\bv\.({blank})", r"v/\1"), (rf"[.!?]({end})", r"|\1"),
+                          (r"\n[^a-z0-9\n]*\n", "|\n"), (rf"[.;:]({end})", r"/\1"), (r"[\r\n]", "/"), (r"[^a-z0-9|/]+", " "),
+                          (r"[ /]*\|[ /|]*", "||"), (r" ?/[ /]*", "//")):
+        marked = f"regexp_replace({marked}, '{pattern}', '{mark}', 'g')"
     steps = []
-    for k, (name, category, rule) in enumerate(license_scan.RULES):
+    for k, (name, category, rule) in enumerate(license_scan.SEVERAL):
         pattern = "".join(f",{list(license_scan.SENTENCES).index(n) + 1}," for n in rule)
         steps.append(f"r{k} as (select * exclude (l, found), replace(l, '{pattern}', ',0,') as l, case when contains(l, '{pattern}') "
                      f"then list_append(found, '{name} {category}') else found end as found from {f'r{k - 1}' if k else 'start'})")
     part = "array_to_string(list_sort(list_distinct(list_transform(found, lambda x: split_part(x, ' ', {}))))"
     return f"""with texts as (select doc_id, coalesce(text, '') as text from documents),
-        places as (select doc_id, case when regexp_matches(text, '{license_scan.HINT}') then list_filter(list_transform(
-            string_split_regex(text, '{license_scan.SENTENCE_END}'),
-            lambda s: list_position([{known}], trim(regexp_replace(lower(s), '[^a-z0-9]+', ' ', 'g')))), lambda p: p > 0)
-            else [] end as ids from texts),
+        marked as (select doc_id, case when regexp_matches(text, '{license_scan.WRAPPED_HINT}') then {marked} else '' end as t from texts),
+        places as (select doc_id, list_transform(regexp_extract_all(t, '[|/]({license_scan.alternatives("(?: |//)")})[|/]', 1),
+            lambda s: list_position({known}, replace(s, '//', ' '))) as ids from marked),
         start as (select doc_id, cast(len(ids) as bigint) as n_sentences,
-            array_to_string(list_transform(ids, lambda p: list_extract([{names}], p)), ',') as sentence_ids,
+            array_to_string(list_transform(ids, lambda p: list_extract({names}, p)), ',') as sentence_ids,
             ',' || array_to_string(ids, ',,') || ',' as l, cast([] as varchar[]) as found from places),
-        {", ".join(steps)}
+        {", ".join(steps)},
+        named as (select * exclude (found), list_concat(found, list_filter(list_transform(regexp_extract_all(l, '[1-9][0-9]*'),
+            lambda p: list_extract(split('{by_itself}', '|'), cast(p as int))), lambda f: f <> '')) as found from r{len(license_scan.SEVERAL) - 1})
         select doc_id, n_sentences, coalesce(sentence_ids, '') as sentence_ids, coalesce({part.format(1)}, ','), '') as licenses,
-            coalesce({part.format(2)}, ','), '') as categories from r{len(license_scan.RULES) - 1}"""
+            coalesce({part.format(2)}, ','), '') as categories from named"""
 
 
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
