@@ -6,6 +6,8 @@ those from its own kth score upwards, as no global kth score is below a task's.
 add up to a global histogram, whose bin with the kth score is cut into bins again, until the
 candidates at or above the bin are few or the bin is one score wide. A last pass returns the
 candidates there, each task its k best by (score, id), and the k best of them are the answer.
+A block's candidates are written before the next block begins, and nothing of it stays on the
+driver or the executors.
 """
 
 from __future__ import annotations
@@ -113,34 +115,44 @@ def _best(batches: Iterator[pa.RecordBatch], block: Block, k: int) -> Iterator[p
                                      names=["query_id", "vec_id", "score"])
 
 
+def _narrow(block: Block, at: np.ndarray, counts: pa.Table, k: int) -> None:
+    """Cut the ranges of the queries ``at`` to the bin with the kth score, by the global counts (q, bin, n)."""
+    q, b, n = (counts[c].to_numpy().astype(np.int64) for c in ("q", "bin", "n"))
+    order = np.lexsort((-b, q))
+    q, b, n = q[order], b[order], n[order]
+    first, last = (np.searchsorted(q, np.arange(len(at)), side) for side in ("left", "right"))
+    sums = np.concatenate([[0], np.cumsum(n)])
+    so_far = block.above[at[q]] + sums[1:] - sums[first[q]]  # candidates in the bin or above it
+    place = first + np.bincount(q[so_far < k], minlength=len(at))
+    hit = place < last
+    # Fewer than k candidates in all: every one in the range counts.
+    block.high[at[~hit]] = block.low[at[~hit]]
+    block.above[at[~hit]] += (sums[last] - sums[first])[~hit]
+    own, place = at[hit], place[hit]
+    width = np.maximum(1, -(-(block.high[own] - block.low[own]) // block.bins))
+    low = block.low[own] + b[place] * width
+    few = so_far[place] <= KEPT * k  # no need to look closer
+    block.high[own] = np.where(few, low, np.minimum(block.high[own], low + width))
+    block.low[own] = low
+    block.above[own] = so_far[place] - n[place]
+
+
 def _select(rows: DataFrame, block: Block, k: int) -> DataFrame:
-    """The last pass's candidates for one block of queries."""
+    """The last pass's candidates for one block of queries, written."""
     sc = rows.sparkSession.sparkContext
     while True:
         at = np.flatnonzero((block.high - block.low > 1) & (block.above < k))
         if not len(at):
             break
-        part = Block(block.ids[at], block.vectors[at], block.low[at], block.high[at], block.above[at], block.bins)
-        shared = sc.broadcast(part)  # at most BLOCK_QUERIES vectors
+        shared = sc.broadcast(Block(block.ids[at], block.vectors[at], block.low[at], block.high[at], block.above[at], block.bins))  # at most BLOCK_QUERIES vectors
         counts = rows.mapInArrow(lambda b, shared=shared: _counted(b, shared.value, k), "q int, bin int, n long")
-        by_query: dict[int, list] = {}
-        for r in counts.groupBy("q", "bin").agg(F.sum("n").alias("n")).collect():
-            by_query.setdefault(r.q, []).append((r.bin, r.n))
-        width = np.maximum(1, -(-(part.high - part.low) // part.bins))
-        for q, i in enumerate(at):
-            above = int(block.above[i])
-            low, w, high = int(part.low[q]), int(width[q]), int(part.high[q])
-            block.high[i] = low  # fewer than k candidates in all, unless a bin below says otherwise
-            for bin_, n in sorted(by_query.get(q, ()), reverse=True):
-                if above + n >= k:
-                    block.low[i], block.high[i] = low + bin_ * w, min(high, low + (bin_ + 1) * w)
-                    if above + n <= KEPT * k:  # few enough: no need to look closer
-                        block.high[i] = block.low[i]
-                    break
-                above += n
-            block.above[i] = above
+        _narrow(block, at, counts.groupBy("q", "bin").agg(F.sum("n").alias("n")).toArrow(), k)  # at most BLOCK_QUERIES * BINS counts
+        shared.destroy()
     shared = sc.broadcast(block)  # at most BLOCK_QUERIES vectors
-    return rows.mapInArrow(lambda b, shared=shared: _best(b, shared.value, k), "query_id long, vec_id long, score long")
+    best = rows.mapInArrow(lambda b, shared=shared: _best(b, shared.value, k), "query_id long, vec_id long, score long")
+    best = staged(best, "nearest")
+    shared.destroy()
+    return best
 
 
 def top_k(rows: DataFrame, is_query: Callable[[Column], Column], k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding",
