@@ -57,6 +57,16 @@ def digests(df):
     return {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in chat.digests(chat.format_conversations(df)).collect()}
 
 
+def test_rows_without_an_id_are_conversations_by_themselves(spark):
+    rows = [(None, k % 3, "assistant" if k % 2 else "user", "same" if k < 50 else f"text {k}") for k in range(60)] + [(1, 0, "user", "a")]
+    got = chat.digests(chat.format_conversations(spark.createDataFrame(rows, ROWS).repartition(4))).collect()
+    own = [r for r in got if r.conv_id is None]
+    assert len(got) == 61 and len(own) == 60 and {r.n_turns for r in own} == {1}
+    want = sorted(hashlib.sha256(f"{r}\n{x}\n".encode()).hexdigest() for c, _, r, x in rows if c is None)
+    assert sorted(r.turns_sha256 for r in own) == want
+    assert sum(r.loss_chars for r in own) == sum(len(x) for c, _, r, x in rows if c is None and r == "assistant")
+
+
 def test_query_against_brute_force(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SF}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
     rows += [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
@@ -67,7 +77,7 @@ def test_query_against_brute_force(spark):
 
 def test_nulls_ties_repeated_and_long(spark):
     rows = [(1, 0, "user", None), (1, None, "assistant", "first"), (1, 1, None, "x"), (1, 1, "assistant", "tie"), (1, 1, "assistant", "tie"),
-            (None, 0, "user", "a"), (None, 1, "assistant", ""), (2, 0, "assistant", "é\\" * 40000 + "</s>")]
+            (None, 0, "user", "a"), (2, 0, "assistant", "é\\" * 40000 + "</s>")]
     df = spark.createDataFrame([(*r, "z") for r in rows], ROWS + ", formatted string").repartition(3)
     assert digests(df) == brute(rows)
 

@@ -112,12 +112,14 @@ def conversations(rows: DataFrame, id_col: str = "conv_id", turn_col: str = "tur
                   text_col: str = "text") -> DataFrame:
     """``(conv_id, turns)``, one row for each conversation, its turns by number, role and text.
 
-    A conversation is one training example, so its turns belong in one row.
+    A conversation is one training example, so its turns belong in one row. Rows without an id
+    belong to no other row: each is a conversation by itself.
     """
     turn = F.struct(F.col(turn_col).alias("turn"), F.coalesce(F.col(role_col), F.lit("")).alias("role"),
                     F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     own = rows.select(F.col(id_col).alias("conv_id"), turn.alias("one"))
-    return own.groupBy("conv_id").agg(F.sort_array(F.collect_list("one")).alias("turns"))
+    whole = own.where(F.col("conv_id").isNotNull()).groupBy("conv_id").agg(F.sort_array(F.collect_list("one")).alias("turns"))
+    return whole.unionByName(own.where(F.col("conv_id").isNull()).select("conv_id", F.array("one").alias("turns")))
 
 
 def format_conversations(rows: DataFrame, template: Template = inst_template, id_col: str = "conv_id",
@@ -125,8 +127,8 @@ def format_conversations(rows: DataFrame, template: Template = inst_template, id
     """``(conv_id, formatted, turn_spans, loss_spans, rewrites_history)``, a row for each conversation.
 
     Null texts and roles are empty; turns with equal or null numbers are ordered by role and text
-    (null numbers first), and repeated rows are turns of their own. Rows with a null conversation id
-    are one conversation. An empty table gives no rows. Other columns are not looked at. A
+    (null numbers first), and repeated rows are turns of their own. Each row with a null conversation
+    id is a conversation by itself. An empty table gives no rows. Other columns are not looked at. A
     conversation of n turns is rendered n times and twice more for each assistant turn.
     """
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
