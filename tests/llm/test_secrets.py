@@ -134,6 +134,30 @@ def test_given_texts_hold_no_random_words(spark):
         assert not [s for s in r.spans if s.kind == 3 and plain.fullmatch(texts[r.doc_id][s.start:s.end])]
 
 
+def test_models_come_from_all_rows(spark):
+    """Whatever their ids, all of many rows are learned from: names' words, random strings and shapes of numbers."""
+    rng = random.Random(13)
+    texts = [f"{''.join(rng.choices('abcdefgh', k=7))} token={''.join(rng.choices('QRSTUVWXYZ', k=8))}" for _ in range(4_400)]
+    own = [ss.train_markov(spark.createDataFrame([(first + i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3))
+           for first in (0, 10**6)]
+    assert own[0] == own[1]
+    more = ss.train_markov(spark.createDataFrame([(i, t) for i, t in enumerate([*texts, "token=QQQQQQQQ"])], "doc_id long, text string"))
+    assert more.random != own[0].random and more.ordinary == own[0].ordinary
+
+
+def test_least_ratio_is_that_of_names_of_kept_words(spark):
+    """It holds for names of the same words in another order."""
+    rng = random.Random(14)
+    trained = models(spark)
+    words = spark.createDataFrame([("".join(rng.choices("qxzjkvw", k=8)),) for _ in range(2_000)], "word string").distinct()
+    least = ss._names_ratio(words, trained)
+    mixed = ss.F.sort_array(ss.F.collect_list(ss.F.struct(ss.F.md5("word").alias("at"), "word")))["word"]
+    one = words.agg(mixed.alias("words")).select(ss.F.explode(ss._names(ss.F.col("words"))).alias("run"))
+    ratios = one.select((ss.log_ratio(ss.F.col("run"), trained)["ratio"] / ss.F.length("run")).alias("x"))
+    below = ratios.where(ss.F.col("x") <= least).count() / ratios.count()
+    assert 0.98 < below < 1 and ss._names_ratio(words.where("false"), trained) == 0
+
+
 def test_many_matches_in_one_text(spark, documents):
     text = " ".join(f"token=abcdef{k} {HEX}" for k in range(1500))
     got = ss.find_secrets(documents([(1, text)]), models(spark)).first()

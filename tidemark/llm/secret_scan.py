@@ -3,9 +3,9 @@
 Patterns find assignments, access keys and long hex strings. Beyond them, every long run of
 identifier characters is scored by two first-order character models, one of random strings
 and one of ordinary identifiers: a run whose log-likelihood ratio is high enough is a secret
-of kind ``markov``. The models are trained from a bounded sample of rows: what the patterns match
-there are the random strings, words of the rest, and a short list of words that names are made
-of, are the ordinary ones.
+of kind ``markov``. The models are trained from all texts: what the patterns match there are the
+random strings, words of the rest, and a short list of words that names are made of, are the
+ordinary ones.
 
 An ordinary identifier is a row of parts, so the ordinary model reads a run part by part: a change
 of case, a separator, and the places where letters and digits meet begin a part; letters follow
@@ -13,7 +13,7 @@ each other as in the training words, which also say how readily a word ends afte
 Numbers are digit groups, which may be joined by separators (dates). A group of up to four
 characters repeated four times or more counts once, and so does the alphabet, so drawn rules are
 short; UUIDs are left out. A random string is either like the trained ones, or even over the kinds of characters it has,
-whichever is likelier. The least ratio per character is set on a part of the sample kept out of training: words
+whichever is likelier. The least ratio per character is set on different words kept out of training: those
 joined to names in the usual ways must stay below it, but for a small share.
 
 Positions without a function that returns them: matches are put between marks, the text is
@@ -29,6 +29,8 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.storage import staged
+
 MARK, OTHER_MARK = "\x01", "\x02"
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]+"
@@ -43,14 +45,16 @@ KINDS = ("assign", "access", "hex", "markov")
 RUN_CLASS, RUN_CHARS = "[A-Za-z0-9+/_-]", 16
 RUN = RUN_CLASS + "{%d,}" % RUN_CHARS
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
-#: Rows that the models are trained from, one in HELD_OUT of which is kept for the least ratio per character; that is ``LEAST_PER_CHAR``
-#: or more, and so that ``NAMES_BELOW`` of the names made of the kept rows' words stay below it. The whole ratio is ``LEAST_RATIO`` at least.
-SAMPLE_ROWS, HELD_OUT, LEAST_PER_CHAR, NAMES_BELOW, LEAST_RATIO = 4_000, 4, 1.3, 0.995, 9.0
+#: One in HELD_OUT of the texts' different words is kept for the least ratio per character; that is ``LEAST_PER_CHAR`` or more, and so that
+#: ``NAMES_BELOW`` of the names made of the kept words stay below it. The whole ratio is ``LEAST_RATIO`` at least.
+HELD_OUT, LEAST_PER_CHAR, NAMES_BELOW, LEAST_RATIO = 4, 1.3, 0.995, 9.0
+#: Kept words that are made into names together, and the steps of one that the ratio per character is counted in.
+GROUP_WORDS, RATIO_STEPS = 300, 1_000
 #: Characters that must be left of a run when what repeats is shortened, and how often a listed word counts.
 LEAST_CHARS, LISTED_WEIGHT = 8, 8
-#: Share of the sample's different long numbers that makes a shape an ordinary one.
+#: Share of the texts' different long numbers that makes a shape an ordinary one.
 NUMBER_SHARE = 0.01
-#: Pseudo-counts: random strings are uniform over letters and digits, words over letters, until samples say otherwise.
+#: Pseudo-counts: random strings are uniform over letters and digits, words over letters, until the texts say otherwise.
 RANDOM_PRIOR, PAIR_PRIOR, SINGLE_PRIOR, END_PRIOR = 10.0, 5.0, 0.5, 4.0
 #: Symbols of the ordinary model: letters (whatever their case), 0 for any digit, ^ for a change of case, : for a separator
 #: between digits, the separators, and the end of the run.
@@ -61,7 +65,7 @@ _AFTER_WORD = {"$": 0.4, "^": 0.25, "_": 0.1, "-": 0.1, "/": 0.1, "+": 0.01, "0"
 _AFTER_DIGIT = {"0": 0.2, ":": 0.3, "$": 0.2, "letter": 0.18, "_": 0.03, "-": 0.03, "/": 0.03, "+": 0.01}
 _AFTER_SEPARATOR = {"letter": 0.8, "0": 0.1, "$": 0.02, "_": 0.02, "-": 0.02, "/": 0.02, "+": 0.02}
 UUID = "[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}"
-#: Words that identifiers, paths and slugs are often made of; samples of ordinary parts beside the sampled texts' words.
+#: Words that identifiers, paths and slugs are often made of; samples of ordinary parts beside the texts' words.
 ORDINARY_WORDS = """access account action address after agent alert apply archive argument array article async attribute author
  backup balance base batch before binary block body bool branch bucket buffer build button byte cache call cancel category change channel
  check child class clean client clock close cloud cluster code color column command comment common company compare complete component
@@ -229,42 +233,67 @@ def _names(words: Column) -> Column:
     return F.flatten(F.transform(at, joined))
 
 
-def train_markov(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 sample_rows: int = SAMPLE_ROWS) -> MarkovModels:
-    """Train from at most ``sample_rows`` ids, chosen by a hash of the id.
+def _kept(word: Column) -> Column:
+    """Whether a word is kept out of training."""
+    return F.pmod(F.xxhash64(word, F.lit("kept")), F.lit(HELD_OUT)) == 0
 
-    Runs that the fixed patterns match (for assignments, their values) are the random samples, different words of the rest
-    the ordinary ones; of long numbers the shapes are learned. Without samples the priors and the word list hold.
-    """
-    ids = docs.select(F.col(id_col).alias("__id")).where("__id is not null").distinct() \
-        .orderBy(F.xxhash64("__id"), "__id").limit(sample_rows)
-    text = docs.select(F.col(id_col).alias("__id"), _clean(F.col(text_col)).alias("text")) \
-        .join(F.broadcast(ids), "__id", "left_semi")  # at most sample_rows ids
+
+def _training_parts(docs: DataFrame, text_col: str) -> DataFrame:
+    """``(kind, part, n)`` of all texts, a row for each different part: what the patterns match, with its count, words and long numbers of the rest."""
     values = F.regexp_extract_all("text", F.lit(ASSIGN), F.lit(1))
     known = F.concat(F.filter(values, lambda v: F.length(v) >= ASSIGN_VALUE_CHARS),
                      *[F.regexp_extract_all("text", F.lit(p), F.lit(0)) for _, p in BASE[1:]])
     rest = F.regexp_replace(F.regexp_replace("text", ASSIGN, " "), "|".join(p for _, p in BASE[1:]), " ")
-    kept = F.pmod(F.xxhash64("__id", F.lit("kept")), F.lit(HELD_OUT)) == 0
-    codes = text.select(F.explode(known).alias("run")).groupBy("run").agg(F.count(F.lit(1)).alias("n")).select(
-        "n", F.concat(F.array(F.lit(0)), _codes(F.col("run"))).alias("codes"))
+    text = _fixed(docs.select(_clean(F.col(text_col)).alias("text")), known=known, rest=rest)
+    parts = F.map_from_arrays(F.array(*map(F.lit, ("known", "word", "number"))), F.array(
+        "known", F.array_distinct(_words(F.col("rest"))), F.array_distinct(F.filter(_runs(F.col("rest"), RUN_CHARS), _is_number))))
+    each = text.select(F.explode(parts).alias("kind", "parts")).select("kind", F.explode("parts").alias("part"))
+    part = F.when(F.col("kind") == "word", F.lower("part")).otherwise(F.col("part"))
+    return each.groupBy("kind", part.alias("part")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def train_markov(docs: DataFrame, text_col: str = "text") -> MarkovModels:
+    """Train from all rows.
+
+    Runs that the fixed patterns match (for assignments, their values) are the random strings, different words of the rest the
+    ordinary ones, but for one in ``HELD_OUT``, chosen by a hash of the word: names made of these set the least ratio. Of long
+    numbers the shapes are learned. Where the texts hold none of these the priors and the word list hold. The texts are read once,
+    their different parts are written; only counts of symbol pairs, shapes and steps of the ratio reach the driver.
+    """
+    parts = staged(_training_parts(docs, text_col), "secret-training")
+    codes = parts.where("kind = 'known'").select("n", F.concat(F.array(F.lit(0)), _codes(F.col("part"))).alias("codes"))
     steps = codes.select("n", F.explode(F.zip_with(
         F.slice("codes", 1, F.size("codes") - 1), F.slice("codes", 2, F.size("codes") - 1),
         lambda a, b: a * 100 + b)).alias("step"))
     random = _learn_random({r.step: r.n for r in steps.groupBy("step").agg(F.sum("n").alias("n")).collect()})
-    words = text.where(~kept).select(F.explode(_words(rest)).alias("word")).select(F.lower("word").alias("word")).distinct()
+    words = parts.where("kind = 'word'").select(F.col("part").alias("word"), _kept(F.col("part")).alias("kept"))
     listed = docs.sparkSession.range(1).select(F.explode(F.split(F.lit(" ".join(ORDINARY_WORDS.split())), " ")).alias("word"))
-    counts = {r.step: r.n for r in words.withColumn("n", F.lit(1)).unionByName(listed.withColumn("n", F.lit(LISTED_WEIGHT)))
+    counts = {r.step: r.n for r in words.where(~F.col("kept")).select("word", F.lit(1).alias("n"))
+              .unionByName(listed.withColumn("n", F.lit(LISTED_WEIGHT)))
               .select("n", F.explode(_steps_of(F.array("word"))).alias("step"))
               .groupBy("step").agg(F.sum("n").alias("n")).collect()}  # one row for each pair of letters
-    numbers = text.select(F.explode(F.filter(_runs(rest, RUN_CHARS), _is_number)).alias("run")).distinct() \
-        .groupBy(_shape(F.col("run")).alias("shape")).agg(F.count(F.lit(1)).alias("n"))
+    numbers = parts.where("kind = 'number'").groupBy(_shape(F.col("part")).alias("shape")).agg(F.count(F.lit(1)).alias("n"))
     least = NUMBER_SHARE * (numbers.agg(F.sum("n")).first()[0] or 0)
     shapes = tuple(sorted(r.shape for r in numbers.where(F.col("n") >= least).collect()))  # at most 1 / NUMBER_SHARE
     models = MarkovModels(random, _learn_ordinary(counts), LEAST_PER_CHAR, shapes)
-    names = _fixed(text.where(kept), words=_words(rest)).select(F.explode(_names(F.col("words"))).alias("run")).distinct()
-    ratio = names.where(F.length("run") >= RUN_CHARS).agg(F.percentile(
-        log_ratio(F.col("run"), models)["ratio"] / F.length("run"), F.lit(NAMES_BELOW))).first()[0]
-    return replace(models, least=max(LEAST_PER_CHAR, ratio or 0.0))
+    return replace(models, least=max(LEAST_PER_CHAR, _names_ratio(words.where("kept").select("word"), models)))
+
+
+def _names_ratio(words: DataFrame, models: MarkovModels) -> float:
+    """The ratio per character that ``NAMES_BELOW`` of the names made of ``words`` don't exceed, rounded up to a step; 0 without names."""
+    groups = max(1, words.count() // GROUP_WORDS)  # a group's size doesn't grow with the words
+    drawn = F.xxhash64("word", F.lit("drawn"))
+    grouped = words.groupBy(F.pmod(F.xxhash64("word", F.lit("group")), F.lit(groups)).alias("group")) \
+        .agg(F.array_sort(F.collect_list(F.struct(drawn.alias("drawn"), "word")))["word"].alias("words"))
+    names = grouped.select(F.explode(_names(F.col("words"))).alias("run")).where(F.length("run") >= RUN_CHARS)
+    step = F.ceil(log_ratio(F.col("run"), models)["ratio"] / F.length("run") * RATIO_STEPS)
+    counted = sorted((r.step, r["count"]) for r in names.groupBy(step.alias("step")).count().collect())  # logarithms are bounded, so steps are few
+    names_left = NAMES_BELOW * sum(n for _, n in counted)
+    for at, n in counted:
+        names_left -= n
+        if names_left <= 0:
+            return at / RATIO_STEPS
+    return 0.0
 
 
 def _likelihood(codes: Column, table: tuple[float, ...], size: int) -> Column:
