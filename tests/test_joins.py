@@ -65,6 +65,35 @@ def test_null_keys_meet_on_request_with_a_warning(spark):
     assert out.columns == ["id", "lv", "rv"] and out.count() == 7
 
 
+def test_null_keys_meet_in_blocks(spark, monkeypatch):
+    """Every pair once, repeated rows included, whatever the size of a block."""
+    from tidemark.operators import joins
+
+    monkeypatch.setattr(joins, "BLOCK_ROWS", 3)
+    left, right = _frames(spark, ["1"] + [None] * 17, ["1", "3"] + [None] * 11)
+    left, right = left.withColumn("lv", F.nullif(F.substring("lv", 1, 2), F.lit("l9"))), right.withColumn("rv", F.struct("rv"))
+    with pytest.warns(UserWarning, match="187 rows of the join"):
+        out = keyed_join(left, right, "id", nulls_meet=True)
+    on_driver = [(l.id, l.lv, r.rv) for l in left.collect() for r in right.collect() if l.id == r.id]
+    key = lambda row: tuple(map(str, row))
+    assert sorted(map(tuple, out.collect()), key=key) == sorted(on_driver, key=key)
+    assert out.schema["rv"].dataType == right.schema["rv"].dataType
+
+
+def test_null_keys_are_met_by_many_tasks(spark):
+    """No task has a large part of the pairs."""
+    left, right = _frames(spark, [None] * 6000, [None] * 5000)
+    with pytest.warns(UserWarning, match="30000000 rows"):
+        out = keyed_join(left, right, "id", nulls_meet=True)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert sum(sizes) == 30_000_000 and max(sizes) <= 12_000_000
+
+
 def test_large_whole_ids_stay_apart(spark):
     ids = ["9007199254740992", "9007199254740993", " +009007199254740993", "9007199254740993.0", "-9007199254740993", "12345678901234567890123"]
     assert [r[S.ID_TEXT] for r in _run(spark, ids, "20240102T000000Z").collect()] == [
