@@ -98,6 +98,32 @@ def test_a_document_in_parts(spark, tmp_path, small_ranges):
         assert len(json.loads("".join(p.read_text() for p in sorted(part.glob("part-*"))))["data"]) == 30
 
 
+def test_text_is_exchanged_only_for_records_that_cross_ranges(spark, tmp_path, small_ranges):
+    """The state follows the rows where they were read: no window, which would bring each range's text together."""
+    rng = random.Random(2)
+    (tmp_path / "doc.json").write_text(json.dumps(envelope(records_of(rng, 40, "markets"))))
+    small_ranges(400)
+    found = documents.read_documents(spark, str(tmp_path), "markets")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and plan.count("Aggregate") == 2  # crossing records and the envelopes
+    assert found.count() == 40
+
+
+def test_rows_out_of_order_fail():
+    batch = documents.pa.RecordBatch.from_pylist([{"file": "f", "start": 0, "row": n, "text": "}"} for n in (1, 2, 2)])
+    with pytest.raises(RuntimeError, match="order"):
+        [list(rows) for _, rows in documents._ranges([batch])]
+
+
+def test_files_of_a_landed_document_are_bounded(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(documents, "FILE_RECORDS", 10)
+    df = spark.range(200).select(F.col("id").cast("string").alias("id"), F.lit(STAMP).alias(S.STAMP))
+    documents.land_documents(df, f"{tmp_path}/docs", "markets", "src", "end", F.col("id").cast("int"), F.col(S.STAMP), parts=2)
+    sizes = [p.read_text().count('"id"') for p in sorted((tmp_path / "docs").glob("run=*/part-*"))]
+    assert sum(sizes) == 200 and max(sizes) < 40
+    assert documents.read_documents(spark, f"{tmp_path}/docs", "markets", in_parts=True).count() == 200
+
+
 def test_broken_records_fail(spark, tmp_path):
     (tmp_path / "doc.json").write_text('{"source": "s", "data": [{"id": "1" "name"}, {"id": "2"}]}')
     with pytest.raises(Exception, match="MALFORMED|Malformed|malformed"):
